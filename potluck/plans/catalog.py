@@ -1,3 +1,4 @@
 """Import every query module so that the registry is filled."""
 
 from potluck.plans import q_timeseries  # noqa: F401
+from potluck.plans import q_quality  # noqa: F401
