@@ -165,6 +165,12 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_custkey") % 3 == 0, F.array(F.lower("c_mktsegment")))
         .otherwise(F.array(F.lower("c_mktsegment"), F.lower("n_name"))).alias("tokens"),
         F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").cast("long").alias("country_id"),
+        # names in every form the exact lookup knows (common, official, demonym, region)
+        F.when(F.col("c_custkey") % 4 == 0, F.array(F.lower("c_mktsegment"), F.lower("r_name")))
+        .when(F.col("c_custkey") % 4 == 1, F.array(F.lower("c_mktsegment"), F.concat(F.lower("n_name"), F.lit("ese"))))
+        .when(F.col("c_custkey") % 4 == 2, F.array(F.lower("r_name"), F.concat(F.lit("republic of "), F.lower("n_name"))))
+        .otherwise(F.array(F.lower("n_name"), F.lower("r_name"))).alias("tags"),
     )
 
 
@@ -172,7 +178,11 @@ SQL_GEO = """geo AS (
   SELECT c_custkey AS id, lower(n_name) AS country, lower(r_name) AS region,
          CASE WHEN c_custkey % 3 = 0 THEN [lower(c_mktsegment)]
               ELSE [lower(c_mktsegment), lower(n_name)] END AS tokens,
-         c_mktsegment AS segment
+         c_mktsegment AS segment, CAST(c_nationkey AS BIGINT) AS country_id,
+         CASE WHEN c_custkey % 4 = 0 THEN [lower(c_mktsegment), lower(r_name)]
+              WHEN c_custkey % 4 = 1 THEN [lower(c_mktsegment), lower(n_name) || 'ese']
+              WHEN c_custkey % 4 = 2 THEN [lower(r_name), 'republic of ' || lower(n_name)]
+              ELSE [lower(n_name), lower(r_name)] END AS tags
   FROM customer JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey)"""
 
