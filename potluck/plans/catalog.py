@@ -4,3 +4,4 @@ from potluck.plans import q_timeseries  # noqa: F401
 from potluck.plans import q_quality  # noqa: F401
 from potluck.plans import q_aggregates  # noqa: F401
 from potluck.plans import q_enrich  # noqa: F401
+from potluck.plans import q_cleaning  # noqa: F401
