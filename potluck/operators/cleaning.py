@@ -28,11 +28,19 @@ DATETIME_PATTERN = (
     r"|(?:\d{1,2}\s*[A-Za-z]{3,9}|[A-Za-z]{3,9}\s*\d{1,2})(?:,?\s*\d{2,4})?)$"
 )
 # Date formats tried in order when coercing text to timestamps (month first,
-# as the pandas parser does for ambiguous day/month).
+# as the pandas parser does for ambiguous day/month), each behind a cheap
+# shape test so that a value only tries the formats of its shape.
 DATE_FORMATS = [
-    "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d", "yyyy/M/d", "yyyy.M.d",
-    "M/d/yyyy", "M-d-yyyy", "d/M/yyyy", "M/d/yy",
-    "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy",
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", ["yyyy-M-d H:m:s"]),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", ["yyyy-M-d'T'H:m:s"]),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", ["yyyy-M-d"]),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", ["yyyy/M/d"]),
+    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", ["yyyy.M.d"]),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", ["M/d/yyyy", "d/M/yyyy"]),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", ["M-d-yyyy", "d-M-yyyy"]),
+    (r"^\d{1,2}/\d{1,2}/\d{2}$", ["M/d/yy"]),
+    (r"^\d{1,2} [A-Za-z]{3,9} \d{4}$", ["d MMM yyyy", "d MMMM yyyy"]),
+    (r"^[A-Za-z]{3,9} \d{1,2},? \d{4}$", ["MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy"]),
 ]
 # Nutrition vector layout and alternative column names.
 NUTRITION_COLS = ["calories", "total_fat", "sugar", "sodium", "protein", "saturated_fat", "carbohydrates"]
@@ -76,11 +84,15 @@ def clean_numeric(c: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------- B5 --------
-def clean_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def clean_date(c: str | Column, formats=DATE_FORMATS) -> Column:
     """Coerce text (or timestamps) to a timestamp; unparsable -> null."""
-    x = _c(c)
-    tries = [F.try_to_timestamp(F.trim(x.cast("string")), F.lit(f)) for f in formats]
-    return F.coalesce(*tries).cast("timestamp_ntz")
+    t = F.trim(_c(c).cast("string"))
+    out = None
+    for guard, fmts in formats:
+        parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in fmts]) if len(fmts) > 1 \
+            else F.try_to_timestamp(t, F.lit(fmts[0]))
+        out = F.when(t.rlike(guard), parsed) if out is None else out.when(t.rlike(guard), parsed)
+    return out.cast("timestamp_ntz")
 
 
 # ---------------------------------------------------------------- B6 --------

@@ -15,6 +15,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normalizer, RegexTokenizer,
                                 StopWordsRemover)
 from pyspark.ml.linalg import Vectors
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,13 @@ def kmeans_text(df: DataFrame, text_col: str = "text", *, k: int = 6, max_featur
                 seed: int = 42):
     """Fit TF-IDF + k-means (k-means||).  Returns (tfidf_model, kmeans_model)."""
     tfidf, feats = fit_tfidf(df, text_col, max_features=max_features)
-    km = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", initMode="k-means||").fit(feats)
+    # k-means makes one pass per iteration: keep its input materialised
+    # (memory and disk; lost blocks are recomputed from lineage)
+    feats = feats.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        km = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster", initMode="k-means||").fit(feats)
+    finally:
+        feats.unpersist()
     return tfidf, km
 
 
@@ -66,14 +73,24 @@ def top_terms_per_cluster(tfidf: PipelineModel, km, spark, n: int = 10) -> DataF
 
 def project_2d(feats: DataFrame, *, id_col: str = "id") -> DataFrame:
     """Truncated SVD (no centring) of the TF-IDF rows to 2 components:
-    coordinates = rows . V (= U S).  Signs are arbitrary."""
+    coordinates = rows . V (= U S).  Signs are arbitrary.
+
+    V comes from the Gramian X^T X, built in one distributed pass (its size
+    is vocabulary^2, bounded by ``max_features``) and decomposed locally; the
+    projection of the rows is a distributed matrix product.
+    """
+    import numpy as np
+    from pyspark.mllib.linalg import DenseMatrix
     from pyspark.mllib.linalg import Vectors as MLV
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
 
-    rdd = feats.select(F.col(id_col).cast("long"), "features").rdd.map(
+    rows = feats.select(F.col(id_col).cast("long"), "features").rdd.map(
         lambda r: IndexedRow(r[0], MLV.fromML(r[1])))
-    mat = IndexedRowMatrix(rdd)
-    svd = mat.computeSVD(2, computeU=False)
-    proj = mat.multiply(svd.V)
+    mat = IndexedRowMatrix(rows)
+    gram = mat.toRowMatrix().computeGramianMatrix().toArray()
+    vals, vecs = np.linalg.eigh(gram)
+    top = vecs[:, np.argsort(-vals)[:2]]
+    v = DenseMatrix(top.shape[0], 2, top.flatten(order="F").tolist())
+    proj = mat.multiply(v)
     return proj.rows.map(lambda r: (int(r.index), float(r.vector[0]), float(r.vector[1]))).toDF(
         f"{id_col} long, x double, y double")

@@ -54,22 +54,21 @@ def _pair_groups(items: DataFrame, queries: DataFrame, nblocks: int) -> DataFram
 
 
 def _topn_rows(ids_l, ids_r, s, top_n):
-    """Top-N candidates per query row of a score matrix (score desc, id asc)."""
-    out_i, out_j, out_s = [], [], []
-    for a in range(s.shape[0]):
-        row = s[a]
-        cand = np.nonzero(~np.isnan(row))[0]
-        if cand.size == 0:
-            continue
-        order = np.lexsort((ids_r[cand], -row[cand]))[:top_n]
-        sel = cand[order]
-        out_i.append(np.full(sel.size, ids_l[a], dtype=np.int64))
-        out_j.append(ids_r[sel])
-        out_s.append(row[sel])
-    if not out_i:
+    """Top-N candidates per query row of a score matrix (score desc, id asc).
+
+    Candidate columns must be sorted by id: a stable sort on the negated
+    score then breaks ties by id.  NaN marks excluded pairs.
+    """
+    if s.size == 0:
         return pd.DataFrame({"id": pd.Series([], dtype="int64"), "neighbor_id": pd.Series([], dtype="int64"),
                              "score": pd.Series([], dtype="float64")})
-    return pd.DataFrame({"id": np.concatenate(out_i), "neighbor_id": np.concatenate(out_j), "score": np.concatenate(out_s)})
+    key = np.where(np.isnan(s), np.inf, -s)
+    k = min(top_n, s.shape[1])
+    order = np.argsort(key, axis=1, kind="stable")[:, :k]
+    sc = np.take_along_axis(s, order, axis=1)
+    keep = ~np.isnan(sc)
+    rows = np.repeat(ids_l, k).reshape(-1, k)
+    return pd.DataFrame({"id": rows[keep], "neighbor_id": ids_r[order][keep], "score": sc[keep]})
 
 
 # ---------------------------------------------------------------- G6 --------
@@ -93,7 +92,7 @@ def cosine_topk_tokens(df: DataFrame, *, id_col: str = "id", tokens_col: str = "
 
     def score_block(pdf: pd.DataFrame) -> pd.DataFrame:
         L = pdf[pdf["_role"] == "L"]
-        R = pdf[pdf["_role"] == "R"]
+        R = pdf[pdf["_role"] == "R"].sort_values("id", kind="stable")
         if L.empty or R.empty:
             return _topn_rows(np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.zeros((0, 0)), top_n)
         ids_l = L["id"].to_numpy(np.int64)
@@ -149,7 +148,7 @@ def cosine_topk_numeric(df: DataFrame, cols: Sequence[str], *, id_col: str = "id
 
     def score_block(pdf: pd.DataFrame) -> pd.DataFrame:
         L = pdf[pdf["_role"] == "L"]
-        R = pdf[pdf["_role"] == "R"]
+        R = pdf[pdf["_role"] == "R"].sort_values("id", kind="stable")
         if L.empty or R.empty:
             return _topn_rows(np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.zeros((0, 0)), top_n)
         a = np.vstack(L["v"].to_numpy()).astype(np.float64)

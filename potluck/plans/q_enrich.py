@@ -292,14 +292,14 @@ _TIME_TOK = f"regexp_extract_all(lower(array_to_string(list_filter(tags, lambda
 @register("cosine_topk_ingredients", _R + _cos_sql(_ING_TOK, 25) + " SELECT id, neighbor_id, round(score, 6) AS score, rank FROM top")
 def q_cos_ingredients(spark, sf):
     r = P.recipes(spark, sf).select("id", SIM.ingredient_tokens("ingredients").alias("tokens"))
-    return rounded(SIM.cosine_topk_tokens(r, top_n=25, block_rows=512))
+    return rounded(SIM.cosine_topk_tokens(r, top_n=25))
 
 
 @register("cosine_topk_time_tags", _R + _cos_sql(_TIME_TOK, 10) + " SELECT id, neighbor_id, round(score, 6) AS score, rank FROM top")
 def q_cos_time(spark, sf):
     r = P.recipes(spark, sf)
     r = r.select("id", SIM.hyphen_tokens(F.array_join(TX.time_tags("tags"), " ")).alias("tokens"))
-    return rounded(SIM.cosine_topk_tokens(r, top_n=10, block_rows=512))
+    return rounded(SIM.cosine_topk_tokens(r, top_n=10))
 
 
 @register("cosine_topk_combined", _R + _cos_sql(f"list_concat({_TIME_TOK}, {_ING_TOK})", 10)
@@ -310,7 +310,7 @@ def q_cos_combined(spark, sf):
     r = P.recipes(spark, sf)
     feat = merge_features(TX.time_tags("tags"), SIM.ingredient_tokens("ingredients"))
     r = r.select("id", F.filter(F.split(F.lower(feat), " "), lambda t: t != "").alias("tokens"))
-    return rounded(SIM.cosine_topk_tokens(r, top_n=10, block_rows=512))
+    return rounded(SIM.cosine_topk_tokens(r, top_n=10))
 
 
 @register("neighbors_with_metadata", _R + _cos_sql(_ING_TOK, 5) + """ SELECT top.id, top.neighbor_id, round(top.score, 6) AS score, top.rank,
@@ -318,7 +318,7 @@ def q_cos_combined(spark, sf):
 def q_neighbors_meta(spark, sf):
     items = P.recipes(spark, sf)
     r = items.select("id", SIM.ingredient_tokens("ingredients").alias("tokens"))
-    nb = SIM.cosine_topk_tokens(r, top_n=5, block_rows=512)
+    nb = SIM.cosine_topk_tokens(r, top_n=5)
     return rounded(EN.neighbors_with_metadata(nb, items))
 
 
@@ -338,7 +338,7 @@ _NC = P.NUTRITION_COLS
           + """SELECT id, neighbor_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, neighbor_id) AS rank FROM s) WHERE rank <= 10""")
 def q_cos_numeric(spark, sf):
-    return rounded(SIM.cosine_topk_numeric(P.nutrition(spark, sf), _NC, top_n=10, block_rows=128))
+    return rounded(SIM.cosine_topk_numeric(P.nutrition(spark, sf), _NC, top_n=10))
 
 
 # ---------------------------------------------------------------- G2-G5 -----

@@ -55,11 +55,13 @@ def filter_logs(parsed: DataFrame, *, levels: Sequence[str] = (), query: str | N
 
 def level_counts(parsed: DataFrame, *, window: str = "1 hour", watermark: str | None = None) -> DataFrame:
     """Lines per level per event-time window (works on batch and streams)."""
-    src = parsed.where(F.col("ts").isNotNull())
+    # event-time watermarks need TIMESTAMP; the session time zone is UTC
+    src = parsed.where(F.col("ts").isNotNull()).withColumn("ts", F.col("ts").cast("timestamp"))
     if watermark:
         src = src.withWatermark("ts", watermark)
     return src.groupBy(F.window("ts", window).alias("w"), "level").agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "level", "n")
+        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                F.col("w.end").cast("timestamp_ntz").alias("window_end"), "level", "n")
 
 
 def stream_level_counts(spark: SparkSession, log_dir: str, *, window: str = "1 hour", watermark: str = "10 minutes"):
