@@ -105,11 +105,11 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lower("p_type"),
             F.lower("p_brand"),
             F.concat(F.col("p_size").cast("string"), F.lit("-minutes")),
-            F.element_at(_arr_lit(TAG_WORDS), (F.col("p_size") % len(TAG_WORDS) + 1).cast("int")),
+            F.get(_arr_lit(TAG_WORDS), (F.col("p_size") % len(TAG_WORDS)).cast("int")),
         ).alias("tags"),
         F.concat(
             F.lit("a "), F.col("p_name"), F.lit(" for "),
-            F.element_at(_arr_lit(DESC_WORDS), (F.col("p_partkey") % len(DESC_WORDS) + 1).cast("int")),
+            F.get(_arr_lit(DESC_WORDS), (F.col("p_partkey") % len(DESC_WORDS)).cast("int")),
         ).alias("description"),
         F.date_add(F.to_date(F.lit("2000-01-01")), (F.col("p_partkey") % 1500).cast("int"))
         .cast("timestamp_ntz").alias("submitted"),
