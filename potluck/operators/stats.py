@@ -2,8 +2,8 @@
 counts, vocabularies and duration bands (Q8-Q12, C5).
 
 Scalars such as min/max are computed by one aggregate and attached to the
-rows through a broadcast of that single row (a proven size bound), joined on a
-constant key, so every value stays on its executor.
+rows as a scalar subquery (evaluated once, its single row inlined into the
+projection), so every value stays on its executor and no join is planned.
 """
 
 from __future__ import annotations
@@ -18,8 +18,13 @@ from potluck.operators.common import exact_quantiles, quantiles_wide, with_index
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame to every row (broadcast, equi-join)."""
-    return df.withColumn("_k1", F.lit(0)).join(F.broadcast(one_row.withColumn("_k1", F.lit(0))), "_k1").drop("_k1")
+    """Attach the columns of a one-row aggregate to every row.
+
+    The row is a scalar subquery (one struct value; null when the aggregate
+    has no row), so the plan holds no join at all.
+    """
+    sub = one_row.select(F.struct(*[F.col(c) for c in one_row.columns]).alias("_s")).scalar()
+    return df.select("*", *[sub[c].alias(c) for c in one_row.columns])
 
 
 def _values(df: DataFrame, col: str) -> DataFrame:
