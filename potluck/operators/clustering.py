@@ -25,7 +25,9 @@ TOKEN_PATTERN = r"\b\w\w+\b"
 def fit_tfidf(df: DataFrame, text_col: str = "text", *, max_features: int = 8000) -> tuple[PipelineModel, DataFrame]:
     """Fit tokenizer -> stop words -> counts -> smooth idf -> L2; returns
     (model, features table with column ``features``)."""
-    docs = df.withColumn("_text", F.lower(F.coalesce(F.col(text_col), F.lit(""))))
+    from potluck.session import spread
+
+    docs = spread(df).withColumn("_text", F.lower(F.coalesce(F.col(text_col), F.lit(""))))
     base = Pipeline(stages=[
         RegexTokenizer(inputCol="_text", outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="_tok", outputCol="_words"),

@@ -13,8 +13,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Files above this size that arrive as fewer splits than cores are spread
+# over the cores (see session.spread); smaller ones are read as they are.
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from potluck.session import file_bytes, spread
+
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread(df) if file_bytes(spark, path) >= SPREAD_MIN_BYTES else df
 
 
 # ---------------------------------------------------------------- P1 --------
