@@ -101,6 +101,38 @@ def q_cohort_matrix(spark, sf):
     return ts.cohort_matrix(P.interactions(spark, sf))
 
 
-@register("seasonal_decompose")
+_DECOMP_SQL = P.with_ctes(P.SQL_INTERACTIONS, """bm AS (
+  SELECT CAST(date_trunc('month', date) AS TIMESTAMP) AS month, CAST(count(*) AS DOUBLE) AS n
+  FROM interactions WHERE date IS NOT NULL GROUP BY 1)""",
+    "b AS (SELECT min(month) AS lo, max(month) AS hi, count(*) AS cnt FROM bm)",
+    "sp AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS TIMESTAMP) AS month FROM b WHERE cnt >= 24)",
+    "s AS (SELECT sp.month, bm.n, row_number() OVER (ORDER BY sp.month) - 1 AS t FROM sp LEFT JOIN bm ON sp.month = bm.month)",
+    """i AS (SELECT month, t, n,
+  last_value(n IGNORE NULLS) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+  last_value(CASE WHEN n IS NOT NULL THEN t END IGNORE NULLS) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pt,
+  first_value(n IGNORE NULLS) OVER (ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
+  first_value(CASE WHEN n IS NOT NULL THEN t END IGNORE NULLS) OVER (ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nt
+  FROM s)""",
+    """x AS (SELECT month, t, CASE WHEN n IS NOT NULL THEN n WHEN pv IS NULL THEN nv WHEN nv IS NULL THEN pv
+  ELSE pv + (nv - pv) * (t - pt) / (nt - pt) END AS x FROM i)""",
+    """m AS (SELECT month, t, x, count(*) OVER () AS nn,
+  ((lag(x, 5) OVER w + lag(x, 4) OVER w + lag(x, 3) OVER w + lag(x, 2) OVER w + lag(x, 1) OVER w + x + lead(x, 1) OVER w + lead(x, 2) OVER w + lead(x, 3) OVER w + lead(x, 4) OVER w + lead(x, 5) OVER w) + 0.5 * lag(x, 6) OVER w + 0.5 * lead(x, 6) OVER w) / 12 AS ma0 FROM x WINDOW w AS (ORDER BY t))""",
+    "ma AS (SELECT month, t, x, nn, CASE WHEN t >= 6 AND t < nn - 6 THEN ma0 END AS ma FROM m)",
+    """fit AS (SELECT regr_slope(ma, t) FILTER (WHERE t >= 6 AND t < least(18, nn - 7)) AS fs,
+  regr_intercept(ma, t) FILTER (WHERE t >= 6 AND t < least(18, nn - 7)) AS fi,
+  regr_slope(ma, t) FILTER (WHERE t >= greatest(6, nn - 19) AND t < nn - 7) AS bs,
+  regr_intercept(ma, t) FILTER (WHERE t >= greatest(6, nn - 19) AND t < nn - 7) AS bi FROM ma)""",
+    """tr AS (SELECT month, t, x, CASE WHEN ma IS NOT NULL THEN ma WHEN t < 6 THEN fi + fs * t ELSE bi + bs * t END AS trend
+  FROM ma, fit)""",
+    "ph AS (SELECT t % 12 AS phase, avg(x - trend) AS pm FROM tr GROUP BY 1)",
+    "mp AS (SELECT avg(pm) AS mpm FROM ph)",
+    "fin AS (SELECT tr.month, tr.x, tr.trend, ph.pm - mp.mpm AS seasonal FROM tr JOIN ph ON tr.t % 12 = ph.phase, mp)",
+) + """SELECT month, 'observed' AS part, round(x, 6) + 0.0 AS value FROM fin
+UNION ALL SELECT month, 'trend', round(trend, 6) + 0.0 FROM fin
+UNION ALL SELECT month, 'seasonal', round(seasonal, 6) + 0.0 FROM fin
+UNION ALL SELECT month, 'resid', round(x - trend - seasonal, 6) + 0.0 FROM fin"""
+
+
+@register("seasonal_decompose", _DECOMP_SQL)
 def q_seasonal_decompose(spark, sf):
     return rounded(ts.seasonal_decompose(P.interactions(spark, sf)))
