@@ -9,7 +9,8 @@
   (value, count), routed to buckets cut at approximate quantiles (routing
   only - the answer stays exact), bucket prefix sums locate each wanted rank,
   and only the few buckets holding a wanted rank are ordered.
-* ``with_index``: consecutive 0-based index in a total order (distributed).
+* ``with_index``: consecutive 0-based index in a total order (distributed,
+  after a reliable checkpoint of the sorted rows).
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def cols(names: Sequence[str | Column]) -> list[Column]:
@@ -52,14 +52,22 @@ def topk_per_group(
 def with_index(df: DataFrame, order_cols: Sequence[str], index_col: str = "index") -> DataFrame:
     """Append a consecutive 0-based index following ``order_cols``.
 
-    Uses ``sort`` (range-partitioned, distributed) and ``zipWithIndex``, which
-    only counts rows per partition on the driver - no data passes through it.
+    The range-partitioned sort is cut from its lineage with a reliable
+    checkpoint (into ``spark.checkpoint.dir``), so partition contents are
+    fixed; the index is then the partition's offset (prefix sum over one row
+    per partition) plus the row's position inside its partition.  All work
+    stays in the JVM; nothing but per-partition counts is ordered globally.
     """
-    spark = df.sparkSession
-    srt = df.sort(*order_cols)
-    schema = T.StructType(srt.schema.fields + [T.StructField(index_col, T.LongType(), False)])
-    rdd = srt.rdd.zipWithIndex().map(lambda ri: tuple(ri[0]) + (ri[1],))
-    return spark.createDataFrame(rdd, schema)
+    from potluck.session import cut_lineage
+
+    srt = cut_lineage(df.sort(*order_cols))
+    part = srt.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+    counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    wpre = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_pid", F.coalesce(F.sum("_n").over(wpre), F.lit(0)).alias("_off"))
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return part.join(F.broadcast(offs), "_pid").select(*[F.col(c) for c in df.columns],
+                                                       (F.col("_off") + local).cast("long").alias(index_col))
 
 
 def exact_quantiles(

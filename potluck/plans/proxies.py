@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 # Files above this size that arrive as fewer splits than cores are spread
 # over the cores (see session.spread); smaller ones are read as they are.
-SPREAD_MIN_BYTES = 8 * 1024 * 1024
+SPREAD_MIN_BYTES = 16 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
