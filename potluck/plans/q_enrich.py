@@ -425,3 +425,29 @@ def q_log_tail(spark, sf):
 FROM (SELECT level, strptime(time, '%Y-%m-%d %H:%M:%S,%g') AS ts FROM p) GROUP BY 1, 2, 3""")
 def q_log_level_counts(spark, sf):
     return LG.level_counts(_log_lines(spark, sf), window="1 day")
+
+
+@register("stream_log_level_counts", _LINES_SQL + """ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+  CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, level, count(*) AS n
+FROM (SELECT level, strptime(time, '%Y-%m-%d %H:%M:%S,%g') AS ts FROM p) GROUP BY 1, 2, 3""")
+def q_stream_log_level_counts(spark, sf):
+    """The log stream: lines derived from events land as text files in a folder;
+    a Structured Streaming query with a watermark counts them per level and day."""
+    import uuid
+
+    from potluck.session import scratch_path
+
+    base = scratch_path(spark, f"log-stream-{uuid.uuid4().hex[:8]}")
+    e = P.table(spark, sf, "events").select("ts", "event_type", "user_id", "props")
+    _lines(e).write.mode("overwrite").text(f"{base}/in")
+    stream = LG.stream_level_counts(spark, f"{base}/in", window="1 day", watermark="1 day")
+    LG.run_to_table(stream, f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("signature_top3", _tfidf_sql(_R + ", items AS (SELECT name AS g, unnest(tags) AS term FROM recipes)", 3).replace(
+    "SELECT g AS grp, term, round(tfidf, 6) AS tfidf, round(tf, 6) AS tf, CAST(rank AS INTEGER) AS rank FROM (",
+    "SELECT grp, string_agg(term, ', ' ORDER BY rank) AS top_terms FROM (SELECT g AS grp, term, rank FROM (") + ") GROUP BY grp")
+def q_signature_top3(spark, sf):
+    r = P.recipes(spark, sf).select(F.col("name").alias("grp"), "tags")
+    return TX.signature_views(TX.signature_tfidf(r, "grp", "tags", top_n=3), "grp", k=3)

@@ -81,3 +81,17 @@ def lines_from_events(events: DataFrame) -> DataFrame:
         F.rpad(F.concat(F.lit("user."), F.col("user_id").cast("string")), 20, " "),
         F.concat(F.col("event_type"), F.lit(" value="), F.col("value").cast("string"), F.lit(" "), F.col("props")),
     ).alias("value"))
+
+
+def run_to_table(stream_df: DataFrame, path: str, checkpoint: str, *, timeout_s: int = 600) -> None:
+    """Run a streaming aggregation over everything available now, keeping its
+    complete result table as Parquet at ``path`` (rewritten per micro-batch
+    by ``foreachBatch``; the checkpoint makes the query restartable)."""
+    def write(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    q = (stream_df.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
