@@ -114,8 +114,14 @@ DESCRIBE_PROBS = [0.25, 0.5, 0.75]
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
-                     probs: Sequence[float] = DESCRIBE_PROBS) -> DataFrame:
-    """count, mean, std (ddof 1), min, exact percentiles, max per numeric column."""
+                     probs: Sequence[float] = DESCRIBE_PROBS, *, approx: bool = False,
+                     accuracy: int = 10000) -> DataFrame:
+    """count, mean, std (ddof 1), min, percentiles, max per numeric column.
+
+    Percentiles are exact (linear interpolation, distributed) by default;
+    ``approx=True`` uses the mergeable ``percentile_approx`` sketch instead
+    (one map-side combined pass, relative rank error 1/accuracy).
+    """
     columns = [c for c in (columns or [f.name for f in df.schema.fields if _is_numeric(f.dataType)])]
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns
@@ -125,16 +131,21 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None,
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"))
     names = [f"p{int(round(p * 100))}" for p in probs]
-    qs = quantiles_wide(exact_quantiles(long, "v", probs, by=["column_name"]), ["column_name"], probs, names)
+    if approx:
+        pa = F.percentile_approx("v", F.array(*[F.lit(float(p)) for p in probs]), accuracy)
+        qs = long.groupBy("column_name").agg(pa.alias("_q")).select(
+            "column_name", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    else:
+        qs = quantiles_wide(exact_quantiles(long, "v", probs, by=["column_name"]), ["column_name"], probs, names)
     return basic.join(qs, "column_name", "left").select("column_name", "count", "mean", "std", "min", *names, "max").orderBy("column_name")
 
 
 MINUTES_PROBS = [0.25, 0.5, 0.75, 0.8, 0.9, 0.95]
 
 
-def minutes_stats(df: DataFrame, col: str = "minutes") -> DataFrame:
+def minutes_stats(df: DataFrame, col: str = "minutes", *, approx: bool = False) -> DataFrame:
     """Describe of one column with percentiles 25, 50, 75, 80, 90, 95 (one row)."""
-    return describe_numeric(df, [col], MINUTES_PROBS).drop("column_name")
+    return describe_numeric(df, [col], MINUTES_PROBS, approx=approx).drop("column_name")
 
 
 # ---------------------------------------------------------------- Q5 --------

@@ -114,3 +114,9 @@ def test_time_tags(spark):
                                "id long, tags array<string>")
     r = TX.extract_time_tags(df).collect()[0]
     assert r["time_tags"] == ["15-minutes", "4-hours", "1-day-or-more", "30-minutes-or-less"]
+
+
+def test_minutes_stats_approx_option(recipes):
+    r = Q.minutes_stats(recipes, approx=True).collect()[0]
+    # the sketch returns observed values: nearest ranks of [10, 20, 20, 45]
+    assert r["count"] == 4 and r["p50"] == 20.0 and r["p95"] == 45.0 and r["min"] == 10
