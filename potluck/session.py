@@ -59,6 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local mode only (tests): a folder on this machine is the shared folder
         d = tempfile.mkdtemp(prefix="potluck-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
