@@ -83,11 +83,13 @@ def project_2d(feats: DataFrame, *, id_col: str = "id") -> DataFrame:
     """
     import numpy as np
     from pyspark.mllib.linalg import DenseMatrix
-    from pyspark.mllib.linalg import Vectors as MLV
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+    from pyspark.mllib.linalg.distributed import IndexedRowMatrix
+    from pyspark.mllib.util import MLUtils
 
-    rows = feats.select(F.col(id_col).cast("long"), "features").rdd.map(
-        lambda r: IndexedRow(r[0], MLV.fromML(r[1])))
+    # (index, vector) DataFrame: the matrix is built, multiplied and reduced in
+    # the JVM; no row passes through Python
+    rows = MLUtils.convertVectorColumnsFromML(
+        feats.select(F.col(id_col).cast("long").alias("index"), F.col("features").alias("vector")), "vector")
     mat = IndexedRowMatrix(rows)
     gram = mat.toRowMatrix().computeGramianMatrix().toArray()
     vals, vecs = np.linalg.eigh(gram)
