@@ -89,8 +89,12 @@ def exact_quantiles(
     if not by:
         base = base.withColumn("_g", F.lit(0))
     base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    # 1. distinct values with counts (map-side combined: a hot value is one row)
-    vc = base.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # 1. distinct values with counts (map-side combined: a hot value is one row);
+    #    read by three branches below, so its lineage is cut once (reliable
+    #    checkpoint into spark.checkpoint.dir) instead of rescanning the input
+    from potluck.session import cut_lineage
+
+    vc = cut_lineage(base.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c")))
     # 2. per group: approximate cut points (routing only) and total count
     fr = [i / buckets for i in range(1, buckets)]
     edges = vc.groupBy(*gk).agg(

@@ -53,7 +53,12 @@ def signature_tfidf(df: DataFrame, group_col: str, items_col: str, *, top_n: int
     """
     items = df.select(F.col(group_col).alias("group"), F.explode(items_col).alias("term")) \
         .where(F.col("group").isNotNull() & F.col("term").isNotNull())
-    c = items.groupBy("group", "term").agg(F.count(F.lit(1)).alias("cnt"))
+    # (group, term, count) feeds the vocabulary, the weights and the norms:
+    # cut its lineage once (reliable checkpoint in spark.checkpoint.dir) so the
+    # text is tokenized and counted a single time
+    from potluck.session import cut_lineage
+
+    c = cut_lineage(items.groupBy("group", "term").agg(F.count(F.lit(1)).alias("cnt")))
     ng = c.agg(F.countDistinct("group").alias("n_groups"))
     dfc = c.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("total"))
     dfc = attach_row(dfc, ng).where(F.col("df") <= F.lit(max_df) * F.col("n_groups"))
