@@ -55,13 +55,21 @@ def filter_logs(parsed: DataFrame, *, levels: Sequence[str] = (), query: str | N
 
 def level_counts(parsed: DataFrame, *, window: str = "1 hour", watermark: str | None = None) -> DataFrame:
     """Lines per level per event-time window (works on batch and streams)."""
-    # event-time watermarks need TIMESTAMP; the session time zone is UTC
-    src = parsed.where(F.col("ts").isNotNull()).withColumn("ts", F.col("ts").cast("timestamp"))
+    src = parsed.where(F.col("ts").isNotNull())
+    start, end = F.col("w.start"), F.col("w.end")
     if watermark:
+        # event-time watermarks need TIMESTAMP (instants): use the instant whose
+        # UTC reading is the logged wall-clock time, so windows fall on
+        # wall-clock boundaries whatever the session time zone; batch windows
+        # stay on TIMESTAMP_NTZ directly
+        epoch = "timestamp_ntz'1970-01-01 00:00:00'"
+        src = src.withColumn("ts", F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {epoch}, ts)")))
         src = src.withWatermark("ts", watermark)
+        start = F.expr(f"timestampadd(MICROSECOND, unix_micros(w.start), {epoch})")
+        end = F.expr(f"timestampadd(MICROSECOND, unix_micros(w.end), {epoch})")
     return src.groupBy(F.window("ts", window).alias("w"), "level").agg(F.count(F.lit(1)).alias("n")) \
-        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                F.col("w.end").cast("timestamp_ntz").alias("window_end"), "level", "n")
+        .select(start.cast("timestamp_ntz").alias("window_start"), end.cast("timestamp_ntz").alias("window_end"),
+                "level", "n")
 
 
 def stream_level_counts(spark: SparkSession, log_dir: str, *, window: str = "1 hour", watermark: str = "10 minutes"):
