@@ -122,3 +122,22 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
         vw, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = nw, nb, nt
     return w, float(b)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, label: str, columns: dict[str, str],
+                    max_rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """(key, y, *columns) of a pseudo-random sample: at most about ``max_rows``
+    of each class, and the number of labels of each class.
+
+    Rows with crc32(doc_id) mod 5 = 0 are held out; a document with several
+    labels has the greatest.  ``columns`` maps new names to those of ``docs``.
+    The sampled labels number at most about 2 x ``max_rows`` and are broadcast.
+    """
+    known = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
+             .groupBy(F.col(doc_id).alias("key")).agg(F.max(F.col(label).cast("int")).alias("y"))
+             .where(F.crc32(F.col("key").cast("string")) % 5 != 0))
+    n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = [min(1.0, max_rows / max(1, n.get(y, 0))) for y in (0, 1)]
+    picked = known.where(F.when(F.col("y") == 1, hash_share(F.col("key"), share[1], 3)).otherwise(hash_share(F.col("key"), share[0], 3)))
+    rows = docs.select(F.col(doc_id).alias("key"), *[F.col(old).alias(new) for new, old in columns.items()])
+    return rows.join(F.broadcast(picked), "key"), {0: n.get(0, 0), 1: n.get(1, 0)}

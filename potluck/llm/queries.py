@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from potluck.llm import simhash, toxicity
+from potluck.llm import bpe, cotraining, html, outliers, packing, sharding, simhash, topk, toxicity, viterbi
 from potluck.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,62 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op7_quality_cotraining")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by co-training of two views."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    model = cotraining.learn(docs, table(spark, sf_dir, "labels"))
+    return cotraining.score(docs, model).select(
+        "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
+        "score", "text_score", "meta_score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        (F.col("score") >= 0.5).alias("kept"))
+
+
+@query("op3_packing_nnls")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in windows of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_exact_top_k")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every vector whose id divides by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op2_rendezvous_sharding")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal weight by the key law."""
+    return (sharding.shard_rows(table(spark, sf_dir, "documents"), "doc_id", "text", [1.0] * 24)
+            .select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"))
+
+
+@query("op4_byte_level_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded by the ranks and decoded again, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+            .select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op5_unigram_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of unigram pieces of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return viterbi.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
+@query("op6_robust_outliers")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers of every document, DataFrame functions only."""
+    return outliers.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

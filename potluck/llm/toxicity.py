@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from potluck.llm.common import fit_logistic, fresh, hash_share, with_python, written
+from potluck.llm.common import fit_logistic, fresh, labelled_sample, with_python, written
 
 WORD = re.compile(r"[^\W_]+")
 #: Characters that open or close a quotation.
@@ -242,22 +242,6 @@ def _closed(after: str) -> bool:
 
 
 # -------------------------------------------------------------- learning ----
-def train_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_rows: int) -> DataFrame:
-    """(key, text, y) of a pseudo-random sample: at most about ``max_rows`` of
-    each class; rows with crc32(doc_id) mod 5 = 0 are held out.
-
-    The sampled labels number at most about 2 x ``max_rows`` and are broadcast.
-    """
-    known = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-             .groupBy(F.col(doc_id).alias("key")).agg(F.max(F.col(label).cast("int")).alias("y"))
-             .where(F.crc32(F.col("key").cast("string")) % 5 != 0))
-    n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = [min(1.0, max_rows / max(1, n.get(y, 0))) for y in (0, 1)]
-    picked = known.where(F.when(F.col("y") == 1, hash_share(F.col("key"), share[1], 3)).otherwise(hash_share(F.col("key"), share[0], 3)))
-    return (docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-            .join(F.broadcast(picked), "key"))
-
-
 def _terms(words: Iterable[str]) -> set[str]:
     out = set()
     for w in words:
@@ -278,7 +262,8 @@ def _sketch(words: list[str]) -> int:
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
           max_rows: int = 4000, min_share: float = 0.01, min_docs: int = 5, max_terms: int = 2000) -> Model:
     """Fit on at most about ``max_rows`` labelled rows of each class."""
-    sample = train_rows(docs, labels, doc_id, text, label, max_rows)
+    sample, _ = labelled_sample(docs, labels, doc_id, label, {"text": text}, max_rows)
+    sample = sample.where(F.col("text").isNotNull())
 
     def sketch():
         return lambda texts: [[_sketch(WORD.findall(t.lower())) for t in texts]]
