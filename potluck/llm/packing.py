@@ -145,7 +145,7 @@ def combinations_for(window: int, present: list[int]) -> list[dict[int, int]]:
         if 0 <= window - sum(parts) <= STEP:
             out.add(tuple(sorted(parts)))
 
-    coarse = have[np.unique(np.searchsorted(have, np.arange(0, window, window // 32).clip(have[0], have[-1])))]
+    coarse = have[np.unique(np.searchsorted(have, np.arange(0, window, max(1, window // 32)).clip(have[0], have[-1])))]
     for a in have.tolist():
         close((a,))
         copies = window // a

@@ -139,6 +139,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
+        asked = asked.rename(columns={c: c[2:] for c in asked.columns if c.startswith("q_")})
         if not len(asked) or not len(held):
             return empty
         stack = lambda v: np.stack([np.asarray(x, dtype=np.float64) for x in v])
@@ -156,8 +157,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
     def meet(asked: DataFrame) -> DataFrame:
         """(shard, block) of queries against the shard's rows."""
         held = data.select("vec_id", "v", "dim", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-        keys = ["dim", "shard", "block"]
-        return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(search, FOUND)
+        asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns])
+        return (asked.groupBy("q_dim", "q_shard", "q_block").cogroup(held.groupBy("dim", "shard", "block"))
+                .applyInPandas(search, FOUND))
 
     # a query that repeats its id is asked once
     once = asks.dropDuplicates(["vec_id", "dim"])

@@ -45,7 +45,7 @@ WORD = re.compile(r"[^\W_]+")
 QUOTES = "\"'“”„«»‘’‹›"
 WINDOW = 6
 PREFIXES = range(4, 9)
-N_FEATURES = 6
+N_FEATURES = 5
 
 
 # --------------------------------------------------- trie x automata --------
@@ -175,7 +175,7 @@ class Scorer:
         return got
 
     def features(self, text: str | None) -> list[float]:
-        """Strongest term; plain, quoted and misspelled weight; distinct terms; hits a word."""
+        """Strongest term; plain and quoted weight; distinct terms; hits a word."""
         low = (text or "").lower()
         words = WORD.findall(low)
         if not self.lexicon.terms:
@@ -187,18 +187,18 @@ class Scorer:
             if got is None:
                 got = hits(w)
             if got:
-                weight, kind = max((self.model.weights.get(h, 0.0), -h[1]) for h in got)
+                weight, term = max((self.model.weights.get(h, 0.0), h[0]) for h in got)
                 if weight > 0:
-                    bad[w] = (weight, kind, got[0][0])
+                    bad[w] = (weight, term)
         if not bad:
             return [0.0] * N_FEATURES
-        plain = quoted = misspelled = top = 0.0
+        plain = quoted = top = 0.0
         count, kinds = 0, set()
         spans = [(m.start(), m.end(), m.group()) for m in WORD.finditer(low)]
         for k, (start, end, w) in enumerate(spans):
             if w not in bad:
                 continue
-            weight, kind, term = bad[w]
+            weight, term = bad[w]
             before = low[spans[max(0, k - WINDOW)][0] - 1 if k > 0 else 0:start]
             after = low[end:spans[min(len(spans) - 1, k + WINDOW)][1] + 1]
             count += 1
@@ -207,12 +207,8 @@ class Scorer:
                 continue
             kinds.add(term)
             top = max(top, weight)
-            if kind < 0:
-                misspelled += weight
-            else:
-                plain += weight
-        return [top, math.log1p(plain), math.log1p(quoted), math.log1p(misspelled), math.log1p(len(kinds)),
-                math.log1p(100.0 * count / len(words))]
+            plain += weight
+        return [top, math.log1p(plain), math.log1p(quoted), math.log1p(len(kinds)), math.log1p(100.0 * count / len(words))]
 
     def score(self, texts: list) -> np.ndarray:
         x = np.array([self.features(t) for t in texts], dtype=float).reshape(-1, N_FEATURES)
@@ -319,11 +315,11 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         odds = math.log(((c1 + 0.1) / (n1 + 1)) / ((c0 + 0.5) / (n0 + 1)))
         if odds > math.log(3):
             model.weights[h] = min(odds, 8.0)
-    for k, term in enumerate(model.terms):  # misspellings that the sample does not hold: a prior below the term's own weight
+    for k, term in enumerate(model.terms):  # misspellings that the sample does not hold count somewhat less than the term
         own = model.weights.get((k, 0), 0.0)
         for d in range(1, allowed_edits(term) + 1 if not term.endswith("*") else 1):
             if (k, d) not in seen and own:
-                model.weights[(k, d)] = own / (1 + d)
+                model.weights[(k, d)] = own * 0.8 ** d
 
     def measured():
         scorer = Scorer(model)
