@@ -264,7 +264,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     def sketch():
         return lambda texts: [[_sketch(WORD.findall(t.lower())) for t in texts]]
     sample = written(with_python(sample, ["text"], sketch, [("sketch", T.LongType())])
-                     .repartition(16, "sketch").dropDuplicates(["sketch", "y"]), "toxic-sample")
+                     .dropDuplicates(["sketch", "y"]), "toxic-sample")
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if n1 < min_docs or not n0:
