@@ -27,21 +27,6 @@ DATETIME_PATTERN = (
     r"|\d{1,2}[-/]\d{1,2}[-/]\d{2,4}"
     r"|(?:\d{1,2}\s*[A-Za-z]{3,9}|[A-Za-z]{3,9}\s*\d{1,2})(?:,?\s*\d{2,4})?)$"
 )
-# Date formats tried in order when coercing text to timestamps (month first,
-# as the pandas parser does for ambiguous day/month), each behind a cheap
-# shape test so that a value only tries the formats of its shape.
-DATE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", ["yyyy-M-d H:m:s"]),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", ["yyyy-M-d'T'H:m:s"]),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", ["yyyy-M-d"]),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", ["yyyy/M/d"]),
-    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", ["yyyy.M.d"]),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", ["M/d/yyyy", "d/M/yyyy"]),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", ["M-d-yyyy", "d-M-yyyy"]),
-    (r"^\d{1,2}/\d{1,2}/\d{2}$", ["M/d/yy"]),
-    (r"^\d{1,2} [A-Za-z]{3,9} \d{4}$", ["d MMM yyyy", "d MMMM yyyy"]),
-    (r"^[A-Za-z]{3,9} \d{1,2},? \d{4}$", ["MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy"]),
-]
 # Nutrition vector layout and alternative column names.
 NUTRITION_COLS = ["calories", "total_fat", "sugar", "sodium", "protein", "saturated_fat", "carbohydrates"]
 NUTRITION_ALT_NAMES = {
@@ -84,15 +69,46 @@ def clean_numeric(c: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------- B5 --------
-def clean_date(c: str | Column, formats=DATE_FORMATS) -> Column:
-    """Coerce text (or timestamps) to a timestamp; unparsable -> null."""
-    t = F.trim(_c(c).cast("string"))
-    out = None
-    for guard, fmts in formats:
-        parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in fmts]) if len(fmts) > 1 \
-            else F.try_to_timestamp(t, F.lit(fmts[0]))
-        out = F.when(t.rlike(guard), parsed) if out is None else out.when(t.rlike(guard), parsed)
-    return out.cast("timestamp_ntz")
+_MONTHS = ("(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?"
+           "|nov(?:ember)?|dec(?:ember)?)")
+_ISO = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$"
+_ISO_TIME = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})[ t](\d{1,2}:\d{1,2})(:\d{1,2}(?:\.\d{1,9})?)?\s*(?:z|[-+]\d{2}:?\d{2})?$"
+_NUMERIC_DATE = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4}|\d{2})$"
+_DAY_MONTH = r"^(\d{1,2})\s*" + _MONTHS + r",?\s*(\d{4}|\d{2})$"
+_MONTH_DAY = r"^" + _MONTHS + r"\s*(\d{1,2})[,\s]+(\d{4}|\d{2})$"
+_MONTH_YEAR = r"^" + _MONTHS + r"\s*(\d{4})$"
+
+
+def clean_date(c: str | Column) -> Column:
+    """Coerce text (or timestamps) to a timestamp; unparsable -> null.
+
+    ISO dates with -, / or . and an optional time (seconds, fraction and zone
+    suffix may be missing; the wall clock is kept), numeric dates (month
+    first, day first where that fails), textual months.  Two-digit years from
+    69 on are 19xx.  A day and month without a year is null.
+    """
+    t = F.lower(F.trim(_c(c).cast("string")))
+    part = lambda pattern, k: F.regexp_extract(t, pattern, k)
+
+    def year(pattern: str, k: int) -> Column:
+        y = part(pattern, k)
+        return F.when(F.length(y) == 4, y).otherwise(F.concat(F.when(y >= "69", F.lit("19")).otherwise(F.lit("20")), y))
+
+    def at(y: Column, m: Column, d: Column, *time: Column) -> Column:
+        return F.concat(y, F.lit("-"), m, F.lit("-"), d, *time).try_cast("timestamp_ntz")
+
+    def month(pattern: str, k: int) -> Column:
+        short = F.substring(part(pattern, k), 1, 3)
+        return ((F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), short) + 2) / 3).cast("int").cast("string")
+
+    seconds = F.when(part(_ISO_TIME, 5) == "", F.lit(":00")).otherwise(part(_ISO_TIME, 5))
+    a, b, y = part(_NUMERIC_DATE, 1), part(_NUMERIC_DATE, 2), year(_NUMERIC_DATE, 3)
+    return (F.when(t.rlike(_ISO_TIME), at(part(_ISO_TIME, 1), part(_ISO_TIME, 2), part(_ISO_TIME, 3), F.lit(" "), part(_ISO_TIME, 4), seconds))
+            .when(t.rlike(_ISO), at(part(_ISO, 1), part(_ISO, 2), part(_ISO, 3)))
+            .when(t.rlike(_NUMERIC_DATE), F.coalesce(at(y, a, b), at(y, b, a)))
+            .when(t.rlike(_DAY_MONTH), at(year(_DAY_MONTH, 3), month(_DAY_MONTH, 2), part(_DAY_MONTH, 1)))
+            .when(t.rlike(_MONTH_YEAR), at(part(_MONTH_YEAR, 2), month(_MONTH_YEAR, 1), F.lit("1")))
+            .when(t.rlike(_MONTH_DAY), at(year(_MONTH_DAY, 3), month(_MONTH_DAY, 1), part(_MONTH_DAY, 2))))
 
 
 # ---------------------------------------------------------------- B6 --------
@@ -117,31 +133,66 @@ def parse_string_list(c: str | Column) -> Column:
 
 
 # ---------------------------------------------------------------- B7 --------
+# One item of a flat Python list literal, and the whole literal.
+_NUMBER = r"[-+]?(?:(?:\d+\.\d*|\.\d+)(?:[eE][-+]?\d+)?|\d+[eE][-+]?\d+|0+|[1-9]\d*)"
+_ITEM = r"(?:'[^'\\]*'|" + r'"[^"\\]*"' + r"|None|True|False|" + _NUMBER + ")"
+_LITERAL = r"^\s*\[\s*(?:" + _ITEM + r"\s*(?:,\s*" + _ITEM + r"\s*)*,?\s*)?\]\s*$"
+
+
+def _items(s: Column) -> Column:
+    """The items of a flat list literal as they are written."""
+    return F.regexp_extract_all(s, F.lit("(" + _ITEM + ")"), 1)
+
+
+def _unquoted(x: Column) -> Column:
+    return F.when(x.rlike("^['\"]"), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
+
+
 def parse_float_list(c: str | Column) -> Column:
-    """List text -> array<double>, keeping only items convertible to a number."""
+    """List text -> array<double>, keeping only items convertible to a number.
+
+    The whole text must be a flat list literal, else []; True and False count
+    as 1 and 0, quoted numbers are converted, None and other text dropped.
+    """
     s = F.coalesce(_c(c).cast("string"), F.lit(""))
-    js = F.regexp_replace(s, r"\bNone\b", "null")
-    parsed = F.from_json(js, T.ArrayType(T.StringType()))
-    vals = F.filter(F.transform(parsed, lambda x: F.trim(x).try_cast("double")), lambda x: x.isNotNull())
-    return F.coalesce(vals, F.array().cast("array<double>"))
+    number = r"^\s*(?:" + _NUMBER + r"|\d+|[-+]?(?:inf|infinity|nan))\s*$"
+    value = lambda x: (F.when(x == "True", F.lit(1.0)).when(x == "False", F.lit(0.0))
+                       .when(F.lower(_unquoted(x)).rlike(number), F.trim(_unquoted(x)).try_cast("double")))
+    vals = F.filter(F.transform(_items(s), value), lambda x: x.isNotNull())
+    return F.when(s.rlike(_LITERAL), vals).otherwise(F.array().cast("array<double>"))
 
 
 # ---------------------------------------------------------------- B8 --------
-def parse_loose_list(c: str | Column, *, as_text: bool = False, dtype=None) -> Column:
-    """Tolerant list parse: arrays as is (lower/trim); text that is a list
-    literal (``][`` read as ``, ``) is parsed; other text is split on
-    whitespace.  Tokens are lower-cased, trimmed and non-empty; ``as_text``
-    joins them with spaces."""
+def parse_loose_list(c: str | Column, *, as_text: bool = False, dtype=None, delimiters: str | None = None) -> Column:
+    """Tolerant list parse of arrays and text; tokens are trimmed and non-empty.
+
+    Without ``delimiters``: arrays as they are; text gets ``][`` read as
+    ``, ``, brackets around it if it has none, and is parsed as a list
+    literal, or else (brackets removed) split on commas, or without one on
+    white space; lower case.
+    With ``delimiters`` (such as ``",|"``): text that starts with a bracket is
+    parsed as a literal; other text, or a failed literal, is split on these
+    characters and keeps its case.  ``as_text`` joins the tokens with spaces.
+    """
     x = _c(c)
+    tidy = lambda a: F.filter(F.transform(a, lambda t: F.trim(t.cast("string"))), lambda t: t.isNotNull() & (t != ""))
     if isinstance(dtype, T.ArrayType):
-        toks = F.transform(F.filter(x, lambda t: t.isNotNull() & (t != "")), lambda t: F.lower(F.trim(t.cast("string"))))
+        toks = tidy(x) if delimiters else F.transform(tidy(x), lambda t: F.lower(t))
+    elif delimiters:
+        s = x.cast("string")
+        split = F.split(s, "[" + "".join("\\" + d for d in delimiters) + "]")
+        literal = F.transform(_items(s), lambda t: F.regexp_replace(F.trim(_unquoted(t)), "^['\"]+|['\"]+$", ""))
+        toks = tidy(F.when(s.startswith("[") & s.rlike(_LITERAL), literal).otherwise(split))
     else:
         s = F.trim(x.cast("string"))
-        fixed = F.regexp_replace(s, r"\]\s*\[", ", ")
-        parsed = F.from_json(fixed, T.ArrayType(T.StringType()))
-        parsed = F.transform(F.filter(parsed, lambda t: t.isNotNull() & (t != "")), lambda t: F.lower(F.trim(t)))
-        split = F.transform(F.filter(F.split(s, r"\s+"), lambda t: F.trim(t) != ""), lambda t: F.lower(F.trim(t)))
-        toks = F.when(x.isNull(), F.array().cast("array<string>")).when(parsed.isNotNull(), parsed).otherwise(split)
+        fixed = F.regexp_replace(s, r"\]\[", ", ")
+        bare = F.regexp_replace(fixed, r"^[\[\]]+|[\[\]]+$", "")
+        whole = F.when(fixed.startswith("[") & fixed.endswith("]"), fixed).otherwise(F.concat(F.lit("["), bare, F.lit("]")))
+        loose = F.regexp_replace(s, r"^[\[\]]+|[\[\]]+$", "")
+        split = F.when(F.instr(loose, ",") > 0, F.split(loose, r",\s*")).otherwise(F.split(loose, r"\s+"))
+        parsed = F.when(whole.rlike(_LITERAL), F.transform(_items(whole), _unquoted)).otherwise(split)
+        toks = F.transform(tidy(parsed), lambda t: F.lower(t))
+    toks = F.when(x.isNull(), F.array().cast("array<string>")).otherwise(toks)
     return F.array_join(toks, " ") if as_text else toks
 
 
@@ -200,23 +251,14 @@ def normalize_ingredient_text(c: str | Column, stop_words: Sequence[str] | None
 
 
 def normalize_ingredients(df: DataFrame, col: str = "ingredients", stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Normalise the distinct ingredient vocabulary once, then map every list.
+    """Normalise the items of every list in place (no shuffle).
 
-    Returns (table with ``col`` normalised, one-row report: distinct before,
-    after, reduction in percent).  The vocabulary is normalised on distinct
-    items only and joined back on the item (a shuffle join keyed by item; AQE
-    splits a hot item).
+    Returns (table with ``col`` normalised, one-row report over the distinct
+    items: before, after, reduction in percent).
     """
-    # a per-row id (scan position) keeps identical rows apart when regrouping
-    ex = df.withColumn("_rid", F.monotonically_increasing_id()).select(
-        "*", F.posexplode_outer(col).alias("_pos", "_item"))
-    vocab = ex.select("_item").where(F.col("_item").isNotNull()).distinct()
-    vocab = vocab.withColumn("_norm", normalize_ingredient_text("_item", stop_words))
-    mapped = ex.join(vocab, "_item", "left")
-    keys = [c for c in df.columns if c != col]
-    out = (mapped.groupBy("_rid", *keys)
-           .agg(F.sort_array(F.collect_list(F.struct("_pos", "_norm"))).alias("_l")))
-    out = out.withColumn(col, F.transform(F.filter("_l", lambda s: s["_norm"].isNotNull()), lambda s: s["_norm"]))
+    norm = lambda x: normalize_ingredient_text(x, stop_words)
+    out = df.withColumn(col, F.filter(F.transform(F.coalesce(F.col(col), F.array()), norm), lambda x: x.isNotNull()))
+    vocab = df.select(F.explode(col).alias("_item")).where(F.col("_item").isNotNull()).distinct().withColumn("_norm", norm("_item"))
     report = vocab.agg(
         F.count(F.lit(1)).alias("distinct_before"),
         F.countDistinct(F.when(F.col("_norm") != "", F.col("_norm"))).alias("distinct_after"),
@@ -354,18 +396,18 @@ def kind_of(c: Column) -> Column:
             .when(s.rlike(STRING_LIST_PATTERN), "list_string").otherwise("string"))
 
 
-def infer_column_kinds(df: DataFrame, *, by: str = "first") -> DataFrame:
+def infer_column_kinds(df: DataFrame, *, by: str = "first", order_col: str | None = None) -> DataFrame:
     """(column, kind) for every string column.
 
-    ``by="first"``: the kind of the first non-null value in scan order
-    (``min_by`` over a scan-position id, deterministic for a given input);
+    ``by="first"``: the kind of the first non-null value in the order of
+    ``order_col``, or else of the scan (deterministic for a given input);
     ``by="share"``: the kind most non-null values have (ties -> order above).
     One aggregation over the table.
     """
     str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not str_cols:
         return df.sparkSession.createDataFrame([], "column_name string, kind string")
-    pos = F.monotonically_increasing_id()
+    pos = F.col(order_col) if order_col else F.monotonically_increasing_id()
     base = df.select(pos.alias("_pos"), *str_cols)
     if by == "first":
         aggs = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(c) for c in str_cols]
@@ -402,7 +444,7 @@ def clean_by_kind(c: str, kind: str | None, dt) -> Column:
     return clean_string(c).alias(c)
 
 
-def preprocess(df: DataFrame, *, by: str = "first") -> tuple[DataFrame, DataFrame]:
+def preprocess(df: DataFrame, *, by: str = "first", order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean every column by kind; returns (clean table, raw missing counts).
 
     Column kinds come from one aggregation (one row per column reaches the
@@ -411,7 +453,7 @@ def preprocess(df: DataFrame, *, by: str = "first") -> tuple[DataFrame, DataFram
     """
     from potluck.operators.quality import na_counts
 
-    kinds = {r["column_name"]: r["kind"] for r in infer_column_kinds(df, by=by).collect()}
+    kinds = {r["column_name"]: r["kind"] for r in infer_column_kinds(df, by=by, order_col=order_col).collect()}
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     clean = df.select(*[clean_by_kind(c, kinds.get(c), types[c]) for c in df.columns])
     issues = na_counts(df).select("column_name", "na_count")

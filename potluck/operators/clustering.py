@@ -1,51 +1,95 @@
-"""Text clustering with Spark ML (G2-G5): TF-IDF + k-means, cluster
-assignment, top terms per centroid and a 2-D projection by truncated SVD.
-
-TF-IDF follows the smooth-idf convention idf = ln((1+n)/(1+df)) + 1: Spark's
-``IDF`` gives ln((n+1)/(df+1)), so the fitted weights are shifted by one and
-applied with ``ElementwiseProduct`` (a vector of ``vocab_size`` numbers,
-bounded by the ``max_features`` parameter).  Stop words are Spark's English
-list.  All fitting is distributed (k-means||, RowMatrix SVD).
+"""Text clustering (G2-G5): TF-IDF + k-means, cluster assignment, top terms
+per centroid and a 2-D projection by truncated SVD.
+
+TF-IDF: runs of two or more word characters, lower case, without Spark's
+English stop words; the ``max_features`` most frequent terms (ties by term);
+idf = ln((1 + n) / (1 + df)) + 1; rows of length 1.  The weights exist as rows
+(id, term, weight) for relational work and as vectors for Spark ML.  The
+vocabulary, bounded by ``max_features``, is all that reaches the driver.
+
+Fits work on ``FIT_PARTITIONS`` hash partitions ordered by id, so that the
+partitioning of the input does not change the clusters.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from collections.abc import Sequence
+
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normalizer, RegexTokenizer,
-                                StopWordsRemover)
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TOKEN_PATTERN = r"\b\w\w+\b"
+from potluck.operators.cleaning import english_stop_words
+from potluck.operators.stats import attach_row
+
+TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
+FIT_PARTITIONS = 32
+
+
+def words(text: str | Column, stop_words: Sequence[str] | None = None) -> Column:
+    """The tokens of a text without stop words (default: Spark's English list)."""
+    c = F.col(text) if isinstance(text, str) else text
+    stop = F.array(*[F.lit(w) for w in sorted({w.lower() for w in (english_stop_words() if stop_words is None else stop_words)})])
+    found = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(f"({TOKEN_PATTERN})"), 1)
+    return F.filter(found, lambda w: ~F.array_contains(stop, w))
+
+
+def vocabulary(df: DataFrame, text_col: str = "text", *, max_features: int = 8000, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """(term, idf): the most frequent terms of all rows, at most ``max_features``."""
+    n = df.agg(F.count(F.lit(1)).alias("n"))
+    terms = df.select(F.explode(_counts(words(text_col, stop_words))).alias("x"))
+    freq = terms.groupBy("x.term").agg(F.sum("x.cnt").alias("total"), F.count(F.lit(1)).alias("df"))
+    top = attach_row(freq.orderBy(F.desc("total"), "term").limit(max_features), n)
+    return top.select("term", "total", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+
 
+def _counts(tokens: Column) -> Column:
+    """[(term, cnt)] of one row's tokens: sorted, and cut where the term changes."""
+    def entries(s: Column) -> Column:
+        ends = F.filter(F.transform(s, lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+                        lambda x: F.get(s, x["i"] + 1).isNull() | (F.get(s, x["i"] + 1) != x["w"]))
+        return F.get(F.transform(F.array(ends), lambda e: F.transform(e, lambda x, k: F.struct(
+            x["w"].alias("term"), (x["i"] - F.coalesce(F.get(e, k - 1)["i"], F.lit(-1))).cast("long").alias("cnt")))), F.lit(0))
+    return F.get(F.transform(F.array(F.array_sort(tokens)), entries), F.lit(0))
 
-def fit_tfidf(df: DataFrame, text_col: str = "text", *, max_features: int = 8000) -> tuple[PipelineModel, DataFrame]:
-    """Fit tokenizer -> stop words -> counts -> smooth idf -> L2; returns
-    (model, features table with column ``features``)."""
-    from potluck.session import spread
 
-    docs = spread(df).withColumn("_text", F.lower(F.coalesce(F.col(text_col), F.lit(""))))
-    base = Pipeline(stages=[
-        RegexTokenizer(inputCol="_text", outputCol="_tok", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True),
-        StopWordsRemover(inputCol="_tok", outputCol="_words"),
-        CountVectorizer(inputCol="_words", outputCol="_tf", vocabSize=max_features),
-        IDF(inputCol="_tf", outputCol="_idf_unused"),
-    ]).fit(docs)
-    idf = base.stages[-1].idf.toArray() + 1.0
-    model = PipelineModel(stages=base.stages[:-1] + [
-        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
-    ])
-    return model, model.transform(docs)
+def tfidf_weights(df: DataFrame, id_col: str = "id", text_col: str = "text", *, max_features: int = 8000,
+                  stop_words: Sequence[str] | None = None) -> DataFrame:
+    """(id, term, weight): the TF-IDF rows, each id's weights of length 1."""
+    tf = (df.select(F.col(id_col).alias("id"), F.explode(words(text_col, stop_words)).alias("term"))
+          .groupBy("id", "term").agg(F.count(F.lit(1)).alias("cnt")))
+    raw = tf.join(vocabulary(df, text_col, max_features=max_features, stop_words=stop_words), "term").select("id", "term", (F.col("cnt") * F.col("idf")).alias("raw"))
+    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    return raw.join(norm, "id").select("id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
+
+
+def fit_tfidf(df: DataFrame, text_col: str = "text", *, max_features: int = 8000, id_col: str | None = None) -> tuple[PipelineModel, DataFrame]:
+    """(model, features table with column ``features``).  ``id_col`` fixes the
+    order of rows for fits."""
+    rows = vocabulary(df, text_col, max_features=max_features).orderBy(F.desc("total"), "term").collect()  # at most max_features
+    if not rows:
+        raise ValueError("no terms in the texts")
+    counter = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol="_words", outputCol="_tf")
+    model = PipelineModel(stages=[
+        counter, ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf", outputCol="_tfidf"),
+        Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)])
+    if id_col:
+        df = df.repartition(FIT_PARTITIONS, F.xxhash64(id_col)).sortWithinPartitions(id_col)
+    return model, _features(df, model, text_col)
+
+
+def _features(df: DataFrame, model: PipelineModel, text_col: str) -> DataFrame:
+    return model.transform(df.withColumn("_words", words(text_col))).drop("_words", "_tf", "_tfidf")
 
 
 def kmeans_text(df: DataFrame, text_col: str = "text", *, k: int = 6, max_features: int = 8000,
-                seed: int = 42):
+                seed: int = 42, id_col: str | None = None):
     """Fit TF-IDF + k-means (k-means||).  Returns (tfidf_model, kmeans_model)."""
-    tfidf, feats = fit_tfidf(df, text_col, max_features=max_features)
+    tfidf, feats = fit_tfidf(df, text_col, max_features=max_features, id_col=id_col)
     # k-means makes one pass per iteration: keep its input materialised
     # (memory and disk; lost blocks are recomputed from lineage)
     feats = feats.select("features").persist(StorageLevel.MEMORY_AND_DISK)
@@ -58,14 +102,20 @@ def kmeans_text(df: DataFrame, text_col: str = "text", *, k: int = 6, max_featur
 
 def assign_clusters(df: DataFrame, tfidf: PipelineModel, km, text_col: str = "text") -> DataFrame:
     """Cluster id per row (missing text treated as "")."""
-    feats = tfidf.transform(df.withColumn("_text", F.lower(F.coalesce(F.col(text_col), F.lit("")))))
-    return km.transform(feats).drop("_text", "_tok", "_words", "_tf", "_tfidf", "features")
+    return km.transform(_features(df, tfidf, text_col)).drop("features")
+
+
+def centroid_rows(tfidf: PipelineModel, km, spark) -> DataFrame:
+    """(cluster, term, weight) of the centroids: k x vocabulary, bounded by parameters."""
+    vocab = tfidf.stages[0].vocabulary
+    rows = [(c, t, float(w)) for c, center in enumerate(km.clusterCenters()) for t, w in zip(vocab, center) if w]
+    return spark.createDataFrame(rows, "cluster int, term string, weight double")
 
 
 def top_terms_per_cluster(tfidf: PipelineModel, km, spark, n: int = 10) -> DataFrame:
     """Comma-joined top-n terms of each centroid (k x vocabulary, both bounded
     by parameters, so the centroids are handled as a small table)."""
-    vocab = tfidf.stages[2].vocabulary
+    vocab = tfidf.stages[0].vocabulary
     rows = []
     for ci, center in enumerate(km.clusterCenters()):
         order = sorted(range(len(center)), key=lambda j: (-center[j], vocab[j]))[:n]
@@ -73,28 +123,61 @@ def top_terms_per_cluster(tfidf: PipelineModel, km, spark, n: int = 10) -> DataF
     return spark.createDataFrame(rows, "cluster int, top_terms string")
 
 
-def project_2d(feats: DataFrame, *, id_col: str = "id") -> DataFrame:
-    """Truncated SVD (no centring) of the TF-IDF rows to 2 components:
-    coordinates = rows . V (= U S).  Signs are arbitrary.
-
-    V comes from the Gramian X^T X, built in one distributed pass (its size
-    is vocabulary^2, bounded by ``max_features``) and decomposed locally; the
-    projection of the rows is a distributed matrix product.
-    """
-    import numpy as np
-    from pyspark.mllib.linalg import DenseMatrix
+def not_nearest(df: DataFrame, tfidf: PipelineModel, km, id_col: str = "id", text_col: str = "text", *, max_features: int = 8000) -> DataFrame:
+    """One row (n_docs, n_not_nearest): rows whose cluster is not the centroid
+    nearest to their TF-IDF rows, found relationally."""
+    spark = df.sparkSession
+    centers = centroid_rows(tfidf, km, spark).withColumnRenamed("weight", "c")
+    lengths = centers.groupBy("cluster").agg(F.sum(F.col("c") * F.col("c")).alias("c2"))
+    dots = (tfidf_weights(df, id_col, text_col, max_features=max_features).join(centers, "term")
+            .groupBy("id", "cluster").agg(F.sum(F.col("weight") * F.col("c")).alias("dot")))
+    k = len(km.clusterCenters())
+    every = df.select(F.col(id_col).alias("id"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster")).join(lengths, "cluster")
+    gap = every.join(dots, ["id", "cluster"], "left").withColumn("d", F.col("c2") - 2 * F.coalesce("dot", F.lit(0.0)))
+    near = gap.groupBy("id").agg(F.min("d").alias("least"), F.collect_list(F.struct("cluster", "d")).alias("all"))
+    mine = assign_clusters(df, tfidf, km, text_col).select(F.col(id_col).alias("id"), F.col("cluster").alias("own"))
+    j = near.join(mine, "id").withColumn("d", F.get(F.filter("all", lambda x: x["cluster"] == F.col("own")), F.lit(0))["d"])
+    return j.agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("d") > F.col("least") + 1e-9).alias("n_not_nearest"))
+
+
+def singular_vectors(feats: DataFrame, vocab: list[str], k: int = 2) -> tuple[DataFrame, list[float]]:
+    """((term, v1, v2, ...), singular values) of the feature rows: matrix-vector
+    passes over the rows; the driver holds vectors of vocabulary length."""
     from pyspark.mllib.linalg.distributed import IndexedRowMatrix
     from pyspark.mllib.util import MLUtils
 
-    # (index, vector) DataFrame: the matrix is built, multiplied and reduced in
-    # the JVM; no row passes through Python
     rows = MLUtils.convertVectorColumnsFromML(
-        feats.select(F.col(id_col).cast("long").alias("index"), F.col("features").alias("vector")), "vector")
-    mat = IndexedRowMatrix(rows)
-    gram = mat.toRowMatrix().computeGramianMatrix().toArray()
-    vals, vecs = np.linalg.eigh(gram)
-    top = vecs[:, np.argsort(-vals)[:2]]
-    v = DenseMatrix(top.shape[0], 2, top.flatten(order="F").tolist())
-    proj = mat.multiply(v)
-    return proj.rows.map(lambda r: (int(r.index), float(r.vector[0]), float(r.vector[1]))).toDF(
-        f"{id_col} long, x double, y double")
+        feats.select(F.lit(0).cast("long").alias("index"), F.col("features").alias("vector")), "vector")
+    svd = IndexedRowMatrix(rows).computeSVD(k, computeU=False)
+    v = svd.V.toArray()
+    names = [f"v{i + 1}" for i in range(v.shape[1])]
+    table = feats.sparkSession.createDataFrame([(t, *map(float, row)) for t, row in zip(vocab, v)],
+                                               "term string, " + ", ".join(f"{n} double" for n in names))
+    return table, [float(s) for s in svd.s]
+
+
+def project_2d(df: DataFrame, *, id_col: str = "id", text_col: str = "text", max_features: int = 8000) -> DataFrame:
+    """Truncated SVD (no centring) of the TF-IDF rows to 2 components:
+    (id, x, y) = rows . V (= U S).  Signs are arbitrary.  The rows are
+    projected relationally from (id, term, weight)."""
+    tfidf, feats = fit_tfidf(df, text_col, max_features=max_features, id_col=id_col)
+    v, _ = singular_vectors(feats, tfidf.stages[0].vocabulary)
+    w = tfidf_weights(df, id_col, text_col, max_features=max_features)
+    xy = w.join(v, "term").groupBy("id").agg(F.sum(F.col("weight") * F.col("v1")).alias("x"), F.sum(F.col("weight") * F.col("v2")).alias("y"))
+    return (df.select(F.col(id_col).alias("id")).join(xy, "id", "left")
+            .select(F.col("id").alias(id_col), F.coalesce("x", F.lit(0.0)).alias("x"), F.coalesce("y", F.lit(0.0)).alias("y")))
+
+
+def singular_residuals(df: DataFrame, *, id_col: str = "id", text_col: str = "text", max_features: int = 8000) -> DataFrame:
+    """(component, residual): |X'X v - s^2 v| / s^2 of both components, from the
+    relational rows; zero for true singular vectors."""
+    tfidf, feats = fit_tfidf(df, text_col, max_features=max_features, id_col=id_col)
+    v, s = singular_vectors(feats, tfidf.stages[0].vocabulary)
+    w = tfidf_weights(df, id_col, text_col, max_features=max_features)
+    long = v.select("term", F.explode(F.array(F.struct(F.lit(1).alias("k"), F.col("v1").alias("v")), F.struct(F.lit(2).alias("k"), F.col("v2").alias("v")))).alias("x"))
+    long = long.select("term", F.col("x.k").alias("component"), F.col("x.v").alias("v"))
+    y = w.join(long, "term").groupBy("id", "component").agg(F.sum(F.col("weight") * F.col("v")).alias("y"))
+    z = w.join(y, "id").groupBy("term", "component").agg(F.sum(F.col("weight") * F.col("y")).alias("z"))
+    s2 = F.when(F.col("component") == 1, F.lit(s[0] ** 2)).otherwise(F.lit(s[1] ** 2))
+    gap = long.join(z, ["term", "component"], "left").withColumn("g", F.coalesce("z", F.lit(0.0)) - s2 * F.col("v")).withColumn("s2", s2)
+    return gap.groupBy("component").agg((F.sqrt(F.sum(F.col("g") * F.col("g"))) / F.max("s2")).alias("residual"))

@@ -31,7 +31,7 @@ def topk_per_group(
     order: Sequence[Column],
     k: int,
     item_cols: Sequence[str],
-    salt: int = 32,
+    salt: int = 64,
     rank_col: str | None = None,
 ) -> DataFrame:
     """Keep the first ``k`` rows of each group in ``order`` (a total order).
@@ -75,7 +75,7 @@ def exact_quantiles(
     value_col: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    buckets: int = 64,
+    buckets: int = 256,
 ) -> DataFrame:
     """Exact quantiles (numpy/pandas "linear" rule) of ``value_col``.
 
@@ -89,12 +89,9 @@ def exact_quantiles(
     if not by:
         base = base.withColumn("_g", F.lit(0))
     base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    # 1. distinct values with counts (map-side combined: a hot value is one row);
-    #    read by three branches below, so its lineage is cut once (reliable
-    #    checkpoint into spark.checkpoint.dir) instead of rescanning the input
-    from potluck.session import cut_lineage
-
-    vc = cut_lineage(base.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    # 1. distinct values with counts (map-side combined: a hot value is one
+    #    row); read by the branches below through one reused exchange
+    vc = base.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
     # 2. per group: approximate cut points (routing only) and total count
     fr = [i / buckets for i in range(1, buckets)]
     edges = vc.groupBy(*gk).agg(
@@ -103,7 +100,7 @@ def exact_quantiles(
     )
     # bucket = number of cut points below the value, by binary search over the
     # sorted cut points (log2(buckets) comparisons, all code-generated)
-    vb = vc.join(F.broadcast(edges), gk).withColumn("_b", F.lit(0))
+    vb = vc.join(edges, gk).withColumn("_b", F.lit(0))
     n_edges = buckets - 1
     step = 1 << (max(n_edges, 1).bit_length() - 1)
     while step >= 1:
@@ -124,12 +121,12 @@ def exact_quantiles(
         F.struct(F.lit("lo").alias("side"), F.floor("_h").cast("long").alias("r")),
         F.struct(F.lit("hi").alias("side"), F.ceil("_h").cast("long").alias("r")),
     )).alias("t")).select(*gk, "p", "_h", "t.side", "t.r")
-    tb = tg.join(F.broadcast(bc.drop("_n")), gk).where(
+    tb = tg.join(bc.drop("_n"), gk).where(
         (F.col("r") >= F.col("_before")) & (F.col("r") < F.col("_before") + F.col("_bc"))
     ).select(*gk, "p", "_h", "side", "r", "_b", "_before")
     need = tb.select(*gk, "_b", "_before").distinct()
     # 5. order values only inside the needed buckets
-    sel = vb.join(F.broadcast(need), gk + ["_b"])
+    sel = vb.join(need, gk + ["_b"])
     wcum = Window.partitionBy(*gk, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     sel = sel.withColumn("_lo", F.col("_before") + F.coalesce(F.sum("_c").over(wcum), F.lit(0)))
     hit = tb.join(sel.select(*gk, "_b", "_v", "_c", "_lo"), gk + ["_b"]).where(

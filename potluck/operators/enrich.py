@@ -3,28 +3,25 @@ inference, season/event labelling, vocabulary overlap, map bubbles (F1-F18).
 
 Plans
 -----
-* Fuzzy matching scores every *distinct* token once (distinct-then-lookup:
-  Catalyst cannot push a distinct below a UDF, so it is written here) with an
-  Arrow-batched pandas UDF against the reference names, which are a bounded,
-  size-checked list shipped with the function.  Matches are joined back on
-  the token (AQE turns the join into a broadcast when the match table is
-  small and splits hot tokens otherwise) and reduced per row with ``min_by``.
-* Exact lookups are equi-joins of exploded tokens with a name dictionary.
-* Reference tables (countries, regions, centroids) are broadcast only after
-  their row count is checked.
+* Fuzzy matching scores every *distinct* token once: tokens are dealt by hash
+  and meet the table of reference names in a cogroup, where names are prepared
+  once per group.  Matches are joined back on the token and reduced per row
+  with ``min_by``.
+* Exact lookups explode all columns at once, join the name dictionary and
+  reduce once per row: one scan and one shuffle of the main table.
+* Joins carry no broadcast hints: AQE measures the reference side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from potluck.functions.fuzzy import best_match_udf
-
-MAX_REFERENCE_ROWS = 200_000
+from potluck.functions.fuzzy import Matcher
 
 # ----------------------------------------------------------------------------
 # Fixed values (must equal the original behaviour)
@@ -49,75 +46,99 @@ EVENTS_26 = [
 ]
 # Demonym whose best match maps to a different country name.
 DEMONYM_OVERRIDES = {"american": "united states"}
-# Bubble colour classes: < 10, < 30, <= 50, above.
-COLOR_CLASSES = [(10, "red"), (30, "yellow"), (50, "blue")]
-
-
-# ----------------------------------------------------------------------------
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_REFERENCE_ROWS) -> DataFrame:
-    """Broadcast ``df`` after proving it has at most ``max_rows`` rows;
-    larger inputs are returned as is (shuffle join)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _collect_reference(df: DataFrame, cols: Sequence[str], order: Sequence[str], max_rows: int) -> list:
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"reference table has more than {max_rows} rows; it is not reference data")
-    return df.select(*cols).orderBy(*order).collect()
-
-
-def countries_from_json(df: DataFrame) -> DataFrame:
-    """Flatten nested country records (see sources.load_countries)."""
-    from potluck.sources.io import flatten_countries
-
-    return flatten_countries(df)
-
-
-def reference_names(countries: DataFrame, max_rows: int = MAX_REFERENCE_ROWS) -> dict:
-    """Name groups for matching: country -> [names, demonyms], region -> [regions]."""
-    rows = _collect_reference(countries, ["name", "demonym", "region"], ["name"], max_rows)
-    names = [(r["name"] or "").lower() for r in rows]
-    dem = [(r["demonym"] or "").lower() for r in rows]
-    regions = sorted({(r["region"] or "").lower() for r in rows})
-    return {"country": [names, dem], "region": [regions]}
 
 
 # ---------------------------------------------------------------- F1 --------
-def fuzzy_match(df: DataFrame, col: str, groups: Sequence[Sequence[str]], *, threshold: float = 80,
+REFERENCE = "kind string, grp int, pos long, ref string, name string"
+MATCH = "token string, kind string, pos long, ref string, name string, score double"
+TOKEN_BUCKETS = 256
+
+
+def _reference_rows(spark, kind: str, groups: Sequence[Sequence[str]]) -> DataFrame:
+    rows = [(kind, g, i, x, groups[0][i]) for g, names in enumerate(groups) for i, x in enumerate(names)]
+    return spark.createDataFrame(rows, REFERENCE)
+
+
+def reference_names(countries: DataFrame, order: str = "country_id") -> DataFrame:
+    """Names to match, as rows (kind, grp, pos, ref, name): for countries their
+    names (grp 0) and demonyms (grp 1), both standing for the name, in the
+    order of ``order``; for regions their names in alphabetical order."""
+    c = countries.select(F.col(order).cast("long").alias("pos"), F.lower(F.coalesce("name", F.lit(""))).alias("name"),
+                         F.lower(F.coalesce("demonym", F.lit(""))).alias("demonym"), F.lower(F.coalesce("region", F.lit(""))).alias("region"))
+    regions = c.select("region").distinct().select(
+        F.lit("region").alias("kind"), F.lit(0).alias("grp"),
+        F.row_number().over(Window.orderBy("region")).cast("long").alias("pos"), F.col("region").alias("ref"), F.col("region").alias("name"))
+    return (c.select(F.lit("country").alias("kind"), F.lit(0).alias("grp"), "pos", F.col("name").alias("ref"), "name")
+            .unionByName(c.select(F.lit("country").alias("kind"), F.lit(1).alias("grp"), "pos", F.col("demonym").alias("ref"), "name"))
+            .unionByName(regions))
+
+
+def best_matches(tokens: DataFrame, refs: DataFrame, *, scorer: str = "mean_token", clean_dash: bool = True) -> DataFrame:
+    """Best reference of each kind per distinct token (first column of
+    ``tokens``): (token, kind, pos, ref, name, score); of equal scores the
+    first in (grp, pos) order wins.  Empty tokens have no row."""
+    q = tokens.select(F.col(tokens.columns[0]).alias("token")).where("token is not null and token <> ''").distinct()
+    q = q.withColumn("t_bucket", F.pmod(F.xxhash64("token"), F.lit(TOKEN_BUCKETS)))
+    r = refs.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TOKEN_BUCKETS - 1).cast("long"))))
+
+    def score(asked: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for kind, part in names.sort_values(["grp", "pos"], kind="stable").groupby("kind", sort=True) if len(asked) else []:
+            match = Matcher(part["ref"].tolist(), scorer)
+            pos, ref, name = part["pos"].tolist(), part["ref"].tolist(), part["name"].tolist()
+            for token in asked["token"]:
+                i, best = match(token.replace("-", " ") if clean_dash else token)
+                if i >= 0:
+                    out.append((token, kind, pos[i], ref[i], name[i], best))
+        return pd.DataFrame(out, columns=["token", "kind", "pos", "ref", "name", "score"])
+
+    return q.groupBy("t_bucket").cogroup(r.groupBy("bucket")).applyInPandas(score, MATCH)
+
+
+def _country_of(ref: Column, name: Column) -> Column:
+    """The name a match stands for (a few demonyms stand for another one)."""
+    for demonym, country in DEMONYM_OVERRIDES.items():
+        name = F.when(ref == demonym, F.lit(country)).otherwise(name)
+    return name
+
+
+def fuzzy_match(df: DataFrame, col: str, refs: DataFrame | Sequence[Sequence[str]], *, threshold: float = 80,
                 scorer: str = "mean_token") -> DataFrame:
-    """Best reference per distinct value of ``col``.
+    """Best reference per distinct value of ``col``: (col, match, score).
 
-    ``groups`` are parallel name lists (e.g. countries and demonyms); the best
-    match over all of them (first wins ties) maps to the name at the same
-    position in group 0.  Below ``threshold`` the match is "".  Columns:
-    ``col, match, score``.
+    ``refs``: rows of one kind as ``reference_names`` makes them, or parallel
+    name lists (e.g. countries and demonyms).  The best match over all of them
+    (first wins ties) gives its name; below ``threshold`` the match is "".
     """
-    flat = [x for g in groups for x in g]
-    n0 = len(groups[0])
-    g0 = F.array(*[F.lit(x) for x in groups[0]])
-    flat_arr = F.array(*[F.lit(x) for x in flat])
-    udf = best_match_udf(flat, scorer)
-    q = df.select(F.col(col)).where(F.col(col).isNotNull()).distinct()
-    s = q.withColumn("_b", udf(F.col(col)))
-    best_name = F.element_at(flat_arr, F.col("_b.idx") + 1)
-    mapped = F.element_at(g0, F.pmod(F.col("_b.idx"), F.lit(n0)) + 1)
-    for k, v in DEMONYM_OVERRIDES.items():
-        mapped = F.when(best_name == k, F.lit(v)).otherwise(mapped)
-    match = F.when((F.col("_b.idx") >= 0) & (F.col("_b.score") >= threshold), mapped).otherwise(F.lit(""))
-    return s.select(col, match.alias("match"), F.col("_b.score").alias("score"))
+    if not isinstance(refs, DataFrame):
+        refs = _reference_rows(df.sparkSession, "x", refs)
+    values = df.select(F.col(col).alias("value")).where(F.col(col).isNotNull()).distinct()
+    m = best_matches(values, refs, scorer=scorer)
+    j = values.join(m, F.col("value") == F.col("token"), "left")
+    match = F.when(F.col("score") >= threshold, _country_of(F.col("ref"), F.col("name"))).otherwise(F.lit(""))
+    return j.select(F.col("value").alias(col), match.alias("match"), F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 # ---------------------------------------------------------------- F2 --------
 def _tokens(df: DataFrame, col: str) -> Column:
     dt = df.schema[col].dataType
     if isinstance(dt, T.ArrayType):
-        return F.col(col)
+        return F.coalesce(F.col(col), F.array().cast(dt))
     return F.split(F.trim(F.coalesce(F.col(col), F.lit(""))), r"\s+")
 
 
-def fetch_reference(df: DataFrame, columns: Sequence[str], names: dict, *, id_col: str = "id",
+def _exploded(df: DataFrame, columns: Sequence[str], id_col: str, outer: bool = False) -> DataFrame:
+    """(_id, _ci, _pos, _tok): the tokens of all columns, from one scan."""
+    def numbered(ci: int, c: str) -> Column:
+        return F.transform(_tokens(df, c), lambda t, i: F.struct(F.lit(ci).alias("ci"), i.alias("pos"), t.alias("tok")))
+
+    parts = [numbered(ci, c) for ci, c in enumerate(columns)]
+    many = F.filter(F.concat(*parts), lambda x: x["tok"].isNotNull() & (x["tok"] != ""))
+    ex = df.select(F.col(id_col).alias("_id"), (F.explode_outer(many) if outer else F.explode(many)).alias("_x"))
+    return ex.select("_id", F.col("_x.ci").alias("_ci"), F.col("_x.pos").alias("_pos"), F.col("_x.tok").alias("_tok"))
+
+
+def fetch_reference(df: DataFrame, columns: Sequence[str], names: DataFrame, *, id_col: str = "id",
                     countries: DataFrame | None = None, threshold: float = 80) -> DataFrame:
     """Add ``country`` and ``region`` found in the tokens of ``columns``.
 
@@ -127,29 +148,20 @@ def fetch_reference(df: DataFrame, columns: Sequence[str], names: dict, *, id_co
     regions are then inferred from the country (F3) when ``countries`` is
     given.  ``id_col`` must identify rows.
     """
-    parts = []
-    for ci, c in enumerate(columns):
-        parts.append(df.select(F.col(id_col).alias("_id"), F.lit(ci).alias("_ci"),
-                               F.posexplode(_tokens(df, c)).alias("_pos", "_tok")))
-    ex = parts[0]
-    for p in parts[1:]:
-        ex = ex.unionByName(p)
-    ex = ex.where(F.col("_tok").isNotNull() & (F.col("_tok") != ""))
-    out = df
+    ex = _exploded(df, columns, id_col)
+    m = best_matches(ex.select("_tok"), names).where(F.col("score") >= threshold)
+    j = ex.join(m, ex["_tok"] == m["token"]).withColumn("match", _country_of(F.col("ref"), F.col("name")))
+    key = F.struct(F.col("_ci"), (F.col("score") < 100).alias("_n"),
+                   F.when(F.col("score") < 100, -F.col("score")).otherwise(F.lit(0.0)).alias("_s"), F.col("_pos"))
+    best = j.groupBy("_id").agg(*[F.min_by(F.when(F.col("kind") == k, F.col("match")), F.when(F.col("kind") == k, key)).alias(f"_{k}")
+                                  for k in ("country", "region")])
+    out = df.join(best, F.col(id_col) == best["_id"], "left").drop("_id")
     for kind in ("country", "region"):
-        m = fuzzy_match(ex, "_tok", names[kind], threshold=threshold).where(F.col("match") != "")
-        j = ex.join(m, "_tok")
-        key = F.struct(F.col("_ci"), (F.col("score") < 100).alias("_n"),
-                       F.when(F.col("score") < 100, -F.col("score")).otherwise(F.lit(0.0)).alias("_s"), F.col("_pos"))
-        best = j.groupBy("_id").agg(F.min_by("match", key).alias(f"_{kind}"))
-        out = out.join(best, out[id_col] == best["_id"], "left").drop("_id")
         found = F.coalesce(F.col(f"_{kind}"), F.lit(""))
         if kind in df.columns:
             keep = F.col(kind).isNotNull() & (F.col(kind) != "")
-            out = out.withColumn(kind, F.when(keep, F.col(kind)).otherwise(found))
-        else:
-            out = out.withColumn(kind, found)
-        out = out.drop(f"_{kind}")
+            found = F.when(keep, F.col(kind)).otherwise(found)
+        out = out.withColumn(kind, found).drop(f"_{kind}")
     if countries is not None:
         out = infer_parent(out, countries)
     return out
@@ -159,7 +171,7 @@ def fetch_reference(df: DataFrame, columns: Sequence[str], names: dict, *, id_co
 def infer_parent(df: DataFrame, countries: DataFrame, *, child: str = "country", parent: str = "region") -> DataFrame:
     """Empty ``parent`` -> the reference parent of ``child`` (lower case), else ""."""
     ref = countries.select(F.lower("name").alias("_cn"), F.lower(F.col("region")).alias("_pr")).dropDuplicates(["_cn"])
-    j = df.join(checked_broadcast(ref), F.col(child) == F.col("_cn"), "left")
+    j = df.join(ref, F.col(child) == F.col("_cn"), "left")
     empty = F.col(parent).isNull() | (F.col(parent) == "")
     return j.withColumn(parent, F.when(empty, F.coalesce(F.col("_pr"), F.lit(""))).otherwise(F.col(parent))).drop("_cn", "_pr")
 
@@ -183,26 +195,36 @@ def name_dictionary(countries: DataFrame) -> DataFrame:
         F.max("target_id").alias("target_id"))
 
 
+def cascade_columns(df: DataFrame, columns: Sequence[str], countries: DataFrame, *, id_col: str = "id") -> DataFrame:
+    """Per row: the first column whose tokens give a country, and the first
+    that gives a region (see ``lookup_exact``).  All columns are exploded and
+    looked up together: one scan, one dictionary, one shuffle on the id.
+    Columns: id, country_id, region_id."""
+    ex = _exploded(df, columns, id_col, outer=True)
+    d = name_dictionary(countries)
+    j = ex.join(d, F.lower(ex["_tok"]) == d["name"], "left")
+    g = j.groupBy("_id").agg(F.collect_list(F.when(F.col("stage").isNotNull(), F.struct("_ci", "_pos", "stage", "target_id"))).alias("_m"))
+    cid = rid = F.lit(-1).cast("long")
+
+    def found(ci: int) -> tuple[Column, Column]:
+        own = F.filter("_m", lambda x: x["_ci"] == ci)
+        first = F.array_min(F.transform(F.filter(own, lambda x: x["stage"] < 3), lambda x: F.struct(x["_pos"], x["stage"], x["target_id"])))
+        before = F.coalesce(first["_pos"], F.lit(1 << 30))
+        regions = F.filter(own, lambda x: (x["stage"] == 3) & (x["_pos"] < before))
+        return first["target_id"], F.array_max(F.transform(regions, lambda x: F.struct(x["_pos"], x["target_id"])))["target_id"]
+
+    for ci in reversed(range(len(columns))):
+        country, region = found(ci)
+        cid, rid = F.coalesce(country, cid), F.coalesce(region, rid)
+    return g.select(F.col("_id").alias(id_col), cid.cast("long").alias("country_id"), rid.cast("long").alias("region_id"))
+
+
 def lookup_exact(df: DataFrame, tokens_col: str, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
     """Per row: the first token (list order) equal to a common name, else an
     official name, else a demonym gives the country id; a region token seen
     before that (the latest one) gives the region id.  -1 when unknown.
     Columns: id, country_id, region_id."""
-    d = name_dictionary(countries)
-    ex = df.select(F.col(id_col).alias("_id"), F.posexplode(F.transform(tokens_col, lambda t: F.lower(t))).alias("pos", "name"))
-    j = ex.join(checked_broadcast(d), "name")
-    g = j.groupBy("_id").agg(F.collect_list(F.struct("pos", "stage", "target_id")).alias("_m"))
-    countries_hit = F.filter("_m", lambda x: x["stage"] < 3)
-    first = F.array_min(F.transform(countries_hit, lambda x: F.struct(x["pos"], x["stage"], x["target_id"])))
-    cpos = F.coalesce(first["pos"], F.lit(1 << 30))
-    regions_hit = F.filter("_m", lambda x: (x["stage"] == 3) & (x["pos"] < cpos))
-    last_region = F.array_max(F.transform(regions_hit, lambda x: F.struct(x["pos"], x["target_id"])))
-    res = g.select(F.col("_id"), F.coalesce(first["target_id"], F.lit(-1)).alias("country_id"),
-                   F.coalesce(last_region["target_id"], F.lit(-1)).alias("region_id"))
-    base = df.select(F.col(id_col).alias("_id"))
-    return base.join(res, "_id", "left").select(
-        F.col("_id").alias(id_col), F.coalesce("country_id", F.lit(-1)).cast("long").alias("country_id"),
-        F.coalesce("region_id", F.lit(-1)).cast("long").alias("region_id"))
+    return cascade_columns(df, [tokens_col], countries, id_col=id_col)
 
 
 # ---------------------------------------------------------------- F5 --------
@@ -210,61 +232,30 @@ def lookup_staged_fuzzy(df: DataFrame, tokens_col: str, countries: DataFrame, *,
                         threshold: float = 80) -> DataFrame:
     """Plain-ratio lookup in stages common -> official -> demonym: the best
     (token, name) pair of the first stage scoring >= threshold gives the
-    country id; the region is the best region name >= threshold.  -1 when
+    country id; the region (numbered in alphabetical order) is the best region
+    name >= threshold.  Equal scores: first token, then first name.  -1 when
     unknown.  Columns: id, country_id, region_id."""
-    rows = _collect_reference(countries, ["common_name", "official_name", "demonym", "country_id", "region"],
-                              ["country_id"], MAX_REFERENCE_ROWS)
-    ex = df.select(F.col(id_col).alias("_id"), F.posexplode(F.transform(tokens_col, lambda t: F.lower(t))).alias("pos", "tok")) \
-        .where(F.col("tok").isNotNull())
-    toks = ex.select("tok").distinct()
-    stages = [[(r["common_name"] or "").lower() for r in rows], [(r["official_name"] or "").lower() for r in rows],
-              [(r["demonym"] or "").lower() for r in rows]]
-    ids = F.array(*[F.lit(int(r["country_id"])) for r in rows])
-    regions = sorted({(r["region"] or "").lower() for r in rows})
-    scored = toks
-    for si, names in enumerate(stages):
-        scored = scored.withColumn(f"_s{si}", best_match_udf(names, "ratio", clean_dash=False)(F.col("tok")))
-    scored = scored.withColumn("_r", best_match_udf(regions, "ratio", clean_dash=False)(F.col("tok")))
-    j = ex.join(scored, "tok")
-    aggs = []
-    for si in range(3):
-        # best score over the row's tokens; ties -> first token, then first name
-        aggs.append(F.min_by(F.struct(F.col(f"_s{si}.score").alias("score"), F.col(f"_s{si}.idx").alias("idx")),
-                             F.struct(-F.col(f"_s{si}.score"), F.col("pos"))).alias(f"_b{si}"))
-    aggs.append(F.min_by(F.struct(F.col("_r.score").alias("score"), F.col("_r.idx").alias("idx")),
-                         F.struct(-F.col("_r.score"), F.col("pos"))).alias("_br"))
-    g = j.groupBy("_id").agg(*aggs)
-    cid = F.lit(-1).cast("long")
-    for si in reversed(range(3)):
-        b = F.col(f"_b{si}")
-        cid = F.when(b["score"] >= threshold, F.element_at(ids, b["idx"] + 1).cast("long")).otherwise(cid)
-    rid = F.when(F.col("_br.score") >= threshold, F.col("_br.idx").cast("long")).otherwise(F.lit(-1).cast("long"))
-    res = g.select("_id", cid.alias("country_id"), rid.alias("region_id"))
-    base = df.select(F.col(id_col).alias("_id"))
-    return base.join(res, "_id", "left").select(
-        F.col("_id").alias(id_col), F.coalesce("country_id", F.lit(-1)).cast("long").alias("country_id"),
-        F.coalesce("region_id", F.lit(-1)).cast("long").alias("region_id"))
-
-
-# ---------------------------------------------------------------- F6 --------
-def cascade_columns(df: DataFrame, columns: Sequence[str], countries: DataFrame, *, id_col: str = "id",
-                    lookup=lookup_exact) -> DataFrame:
-    """Try each column in turn, only for rows still unknown (-1)."""
-    out = None
-    for c in columns:
-        r = lookup(df, c, countries, id_col=id_col).select(
-            F.col(id_col), F.col("country_id").alias(f"_c_{c}"), F.col("region_id").alias(f"_r_{c}"))
-        out = r if out is None else out.join(r, id_col)
-    cid = F.lit(-1).cast("long")
-    rid = F.lit(-1).cast("long")
-    for c in reversed(columns):
-        cid = F.when(F.col(f"_c_{c}") != -1, F.col(f"_c_{c}")).otherwise(cid)
-        rid = F.when(F.col(f"_r_{c}") != -1, F.col(f"_r_{c}")).otherwise(rid)
-    return out.select(id_col, cid.alias("country_id"), rid.alias("region_id"))
+    c = countries.select(F.col("country_id").cast("long").alias("pos"), *[
+        F.lower(F.coalesce(F.col(x), F.lit(""))).alias(x) for x in ("common_name", "official_name", "demonym", "region")])
+    stages = ["common_name", "official_name", "demonym"]
+    refs = c.select(F.explode(F.array(*[F.struct(F.lit(x).alias("kind"), F.lit(0).alias("grp"), F.col("pos").alias("pos"), F.col(x).alias("ref"),
+                                                 F.col(x).alias("name")) for x in stages])).alias("r")).select("r.*")
+    regions = c.select("region").distinct().select(
+        F.lit("region").alias("kind"), F.lit(0).alias("grp"),
+        (F.row_number().over(Window.orderBy("region")) - 1).cast("long").alias("pos"), F.col("region").alias("ref"), F.col("region").alias("name"))
+    lowered = df.select(F.col(id_col).alias("_id"), F.transform(tokens_col, lambda t: F.lower(t)).alias("_l"))
+    ex = _exploded(lowered, ["_l"], "_id", outer=True)
+    m = best_matches(ex.select("_tok"), refs.unionByName(regions), scorer="ratio", clean_dash=False).where(F.col("score") >= threshold)
+    j = ex.join(m, ex["_tok"] == m["token"], "left")
+    best = lambda kind: F.min_by(F.when(F.col("kind") == kind, F.col("pos")),
+                                 F.when(F.col("kind") == kind, F.struct(-F.col("score"), F.col("_pos"))))
+    g = j.groupBy("_id").agg(*[best(k).alias(k) for k in [*stages, "region"]])
+    unknown = F.lit(-1).cast("long")
+    return g.select(F.col("_id").alias(id_col), F.coalesce(*stages, unknown).alias("country_id"), F.coalesce("region", unknown).alias("region_id"))
 
 
 # ---------------------------------------------------------------- F7 --------
-def fetch_country(df: DataFrame, names: dict, countries: DataFrame, *, columns: Sequence[str] = ("tags",),
+def fetch_country(df: DataFrame, names: DataFrame, countries: DataFrame, *, columns: Sequence[str] = ("tags",),
                   id_col: str = "id") -> DataFrame:
     """Rows whose tags name a country, with country and region."""
     out = fetch_reference(df, list(columns), names, id_col=id_col, countries=countries)
@@ -273,10 +264,10 @@ def fetch_country(df: DataFrame, names: dict, countries: DataFrame, *, columns:
 
 # ---------------------------------------------------------------- F8 --------
 def attach_dimension(df: DataFrame, countries: DataFrame, *, key: str = "country_id") -> DataFrame:
-    """country id -> country name, region and subregion (broadcast join)."""
+    """country id -> country name, region and subregion."""
     ref = countries.select(F.col("country_id").alias(key), F.col("name").alias("country_name"),
                            F.col("region").alias("country_region"), F.col("subregion").alias("country_subregion"))
-    return df.join(checked_broadcast(ref), key, "left")
+    return df.join(ref, key, "left")
 
 
 # ---------------------------------------------------------------- F9-F11 ----
@@ -321,7 +312,7 @@ def fetch_period(df: DataFrame, **kw) -> DataFrame:
     return out.where((F.col("season") != "") | (F.col("event") != ""))
 
 
-def fetch_country_season(df: DataFrame, names: dict, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
+def fetch_country_season(df: DataFrame, names: DataFrame, countries: DataFrame, *, id_col: str = "id") -> DataFrame:
     """Rows with a country and a season or event."""
     return fetch_period(fetch_country(df, names, countries, id_col=id_col))
 
@@ -354,21 +345,23 @@ def label_periods_least_ambiguous(df: DataFrame, sources: Sequence[str] = ("tags
 
 # ---------------------------------------------------------------- F14 -------
 def season_masks(df: DataFrame, *, tags_col: str = "tags", text_cols: Sequence[str] = ("name", "description")) -> DataFrame:
-    """One row: rows whose tags mention each season / christmas, any season in
-    tags, any season in tags or text, winter-and-christmas, and shares."""
-    tags_txt = _text_of(df, tags_col)
+    """One row: rows with each season / christmas among their tags, any season
+    among the tags, any season among the tags or in the text (substring),
+    winter and christmas, and shares."""
+    tags = F.coalesce(F.col(tags_col), F.array().cast("array<string>"))
+    tagged = lambda w: F.array_contains(tags, w)  # noqa: E731  a tag equals the word: "summer-squash" is no summer
     has = lambda t, w: F.instr(t, w) > 0
     any_tag = F.lit(False)
     for s in SEASONS:
-        any_tag = any_tag | has(tags_txt, s)
+        any_tag = any_tag | tagged(s)
     any_text = any_tag
     for c in text_cols:
         for s in SEASONS:
             any_text = any_text | has(_text_of(df, c), s)
-    aggs = [F.count(F.lit(1)).alias("rows")] + [F.count_if(has(tags_txt, s)).alias(f"n_{s}") for s in SEASONS]
-    aggs += [F.count_if(has(tags_txt, "christmas")).alias("n_christmas"),
+    aggs = [F.count(F.lit(1)).alias("rows")] + [F.count_if(tagged(s)).alias(f"n_{s}") for s in SEASONS]
+    aggs += [F.count_if(tagged("christmas")).alias("n_christmas"),
              F.count_if(any_tag).alias("n_any_season_tags"), F.count_if(any_text).alias("n_any_season_text"),
-             F.count_if(has(tags_txt, "winter") & has(tags_txt, "christmas")).alias("n_winter_christmas")]
+             F.count_if(tagged("winter") & tagged("christmas")).alias("n_winter_christmas")]
     out = df.agg(*aggs)
     return out.select("*", (F.col("n_any_season_tags") / F.col("rows")).alias("share_tags"),
                       (F.col("n_any_season_text") / F.col("rows")).alias("share_text"))
@@ -376,22 +369,18 @@ def season_masks(df: DataFrame, *, tags_col: str = "tags", text_cols: Sequence[s
 
 # ---------------------------------------------------------------- F15 -------
 def season_from_date(c: str | Column) -> Column:
-    """Meteorological season of a date: Dec-Feb winter, Mar-May spring, ..."""
+    """Meteorological season of a date: Dec-Feb winter, Mar-May spring, ...; null: null."""
     m = F.month(F.col(c) if isinstance(c, str) else c)
     return (F.when(m.isin(12, 1, 2), "winter").when(m.isin(3, 4, 5), "spring")
-            .when(m.isin(6, 7, 8), "summer").otherwise("fall"))
+            .when(m.isin(6, 7, 8), "summer").when(m.isNotNull(), "fall"))
 
 
 def season_agreement(df: DataFrame, *, tags_col: str = "tags", date_col: str = "submitted") -> DataFrame:
-    """Among rows whose tags mention a season: how many have their date's
-    season among the season tags.  One row: tagged, correct, share."""
-    tags_txt = _text_of(df, tags_col)
-    tagged = F.lit(False)
-    for s in SEASONS:
-        tagged = tagged | (F.instr(tags_txt, s) > 0)
-    seas_arr = F.array(*[F.lit(s) for s in SEASONS])
-    in_tags = F.filter(seas_arr, lambda s: F.array_contains(F.coalesce(F.col(tags_col), F.array()), s))
-    correct = F.array_contains(in_tags, season_from_date(date_col))
+    """Among rows with a season among their tags: how many have their date's
+    season there.  One row: tagged, correct, share."""
+    tags = F.coalesce(F.col(tags_col), F.array().cast("array<string>"))
+    tagged = F.arrays_overlap(tags, F.array(*[F.lit(s) for s in SEASONS]))
+    correct = F.coalesce(F.array_contains(tags, season_from_date(date_col)), F.lit(False))
     out = df.agg(F.count_if(tagged).alias("tagged"), F.count_if(correct).alias("correct"))
     return out.withColumn("share", F.col("correct") / F.nullif(F.col("tagged").cast("double"), F.lit(0.0)))
 
@@ -402,13 +391,10 @@ def vocabulary_overlap(tags_df: DataFrame, names_df: DataFrame, *, tags_col: str
     """(tags that are substrings of the space-joined holiday names,
     one-row count of holiday names that are tags).
 
-    The joined names are one bounded row (reference list, size checked) and
-    are attached by broadcast; tags are de-duplicated first.
+    The joined names, a reference list, are one row; tags are de-duplicated
+    first.
     """
     names = names_df.select(F.lower(F.col(name_col)).alias("n")).where(F.col("n").isNotNull())
-    n_names = names.limit(MAX_REFERENCE_ROWS + 1).count()
-    if n_names > MAX_REFERENCE_ROWS:
-        raise ValueError("holiday names are not a reference-sized list")
     joined = names.agg(F.concat_ws(" ", F.sort_array(F.collect_list("n"))).alias("_joined"))
     tags = tags_df.select(F.explode(tags_col).alias("tag")).where(F.col("tag").isNotNull()).distinct()
     from potluck.operators.stats import attach_row
@@ -428,7 +414,7 @@ def map_bubbles(counts: DataFrame, centroids: DataFrame, *, key: str = "country"
     lat/lon of the bubbles."""
     c = centroids.select(F.lower(F.trim(F.col(key))).alias("_k"), F.col("lat").cast("double").alias("lat"),
                          F.col("lon").cast("double").alias("lon")).dropDuplicates(["_k"])
-    j = counts.withColumn("_k", F.lower(F.trim(F.col(key).cast("string")))).join(checked_broadcast(c), "_k") \
+    j = counts.withColumn("_k", F.lower(F.trim(F.col(key).cast("string")))).join(c, "_k") \
         .where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).drop("_k")
     x = F.sqrt(F.col(count_col)) if use_sqrt else F.col(count_col).cast("double")
     w = Window.partitionBy()  # one row per place: bounded by the reference table

@@ -83,10 +83,10 @@ def filter_dimension(df: DataFrame, **equals) -> DataFrame:
 # ---------------------------------------------------------------- C6 --------
 def sample_rows(df: DataFrame, n: int, *, seed: int = 42, key_cols: Sequence[str] | None = None) -> DataFrame:
     """n rows without replacement, reproducible for any partitioning: rows are
-    ranked by a seeded hash of their key (all columns by default); all rows if
+    ranked by the md5 of seed and key (all columns by default); all rows if
     n >= count.  (A sampling operator: the limit is the feature.)"""
     keys = list(key_cols or df.columns)
-    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 

@@ -200,20 +200,27 @@ def date_span(df: DataFrame, col: str = "date") -> DataFrame:
 # ---------------------------------------------------------------- Q13 -------
 def kpis(df: DataFrame, *, distinct_cols: Sequence[str] = (), list_cols: Sequence[str] = ()) -> DataFrame:
     """Long (metric, value): rows, columns, distinct values of scalar and list columns."""
-    spark = df.sparkSession
-    base = df.agg(F.count(F.lit(1)).alias("rows"))
-    parts = [base.select(F.lit("rows").alias("metric"), F.col("rows").alias("value")),
-             spark.range(1).select(F.lit("columns").alias("metric"), F.lit(len(df.columns)).cast("long").alias("value"))]
-    for c in distinct_cols:
-        parts.append(df.select(c).where(F.col(c).isNotNull()).distinct()
-                     .agg(F.lit(f"unique_{c}").alias("metric"), F.count(F.lit(1)).alias("value")))
-    for c in list_cols:
-        items = df.select(F.explode(c).alias("_x")).where(F.col("_x").isNotNull()).distinct()
-        parts.append(items.agg(F.lit(f"unique_{c}").alias("metric"), F.count(F.lit(1)).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # one scan: every value becomes a (metric, value text) row, reduced to
+    # distinct ones by a partial aggregate; the row count rides along as a sum
+    from potluck.operators.cleaning import canonical_text
+
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    rows = F.array(F.struct(F.lit("rows").alias("m"), F.lit(None).cast("string").alias("v")))
+    scalars = [F.array(F.struct(F.lit(f"unique_{c}").alias("m"), canonical_text(F.col(c), types[c]).alias("v"))) for c in distinct_cols]
+
+    def items(c: str) -> Column:
+        kind = types[c].elementType
+        return F.transform(F.coalesce(F.col(c), F.array()), lambda x: F.struct(F.lit(f"unique_{c}").alias("m"), canonical_text(x, kind).alias("v")))
+
+    lists = [items(c) for c in list_cols]
+    long = df.select(F.explode(F.concat(rows, *scalars, *lists)).alias("kv")).select("kv.m", "kv.v")
+    seen = long.groupBy("m", "v").agg(F.count(F.lit(1)).alias("n"))
+    got = seen.groupBy(F.col("m").alias("metric")).agg(
+        F.sum(F.when(F.col("m") == "rows", F.col("n")).when(F.col("v").isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("value"))
+    names = ["rows", "columns"] + [f"unique_{c}" for c in [*distinct_cols, *list_cols]]
+    all_names = df.sparkSession.createDataFrame([(i, n) for i, n in enumerate(names)], "_i int, metric string")
+    columns = F.when(F.col("metric") == "columns", F.lit(len(df.columns)).cast("long"))
+    return all_names.join(got, "metric", "left").select("metric", F.coalesce("value", columns, F.lit(0)).cast("long").alias("value"))
 
 
 # ---------------------------------------------------------------- Q14 -------

@@ -1,13 +1,14 @@
 """Top-N cosine neighbours without a dense N x N matrix.
 
-Plan: items are hashed into B blocks with B = ceil(n / block_rows).  Every
-item is sent once as a query to the B groups (its block, j) and once as a
-candidate to the B groups (i, its block); each group scores its block pair
-in one task with numpy (bag-of-token postings, or dense feature vectors) and
-keeps only the top-N candidates per query.  A salted top-N per item then
-merges the B partial lists.  No pair is ever materialised as a row, a group
-holds at most 2 * block_rows items, and hot tokens stay inside a block.
-Queries can be restricted to given ids (the lookup of one item's neighbours).
+* Neighbours of given items (the lookup): the items are scanned once.  Tokens
+  of the asked items meet those of all items in an equi-join; numeric vectors
+  meet the asked ones in groups of items.  The cost is linear in the items.
+* Neighbours of all items by tokens: items are reduced to distinct token
+  vectors, each with its top_n + 1 smallest ids.  Vectors are hashed into
+  blocks; a group scores one pair of blocks with numpy and keeps top_n + 1
+  vectors per vector.  The lists are then expanded to ids and to items.  No
+  pair is a row, and items that share a vector are never compared.
+* All items by numbers are quadratic by nature (blocks of items).
 
 Scores: tokens -> dot(tf_a, tf_b) / sqrt(|a|^2 |b|^2) with integer counts;
 numeric -> cosine of standardised vectors (population sigma, 0 -> 1).
@@ -15,7 +16,6 @@ numeric -> cosine of standardised vectors (population sigma, 0 -> 1).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -42,17 +42,31 @@ def hyphen_tokens(col: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"\b[\w-]+\b"), 0)
 
 
-def _blocks(spark, n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / max(1, block_rows)))
+QUERY_GROUPS = 64
 
 
-def _pair_groups(items: DataFrame, queries: DataFrame, nblocks: int) -> DataFrame:
-    seq = F.sequence(F.lit(0), F.lit(nblocks - 1))
+def _blocked(items: DataFrame, key: str, block_rows: int) -> DataFrame:
+    """``items`` with a block number and the number of blocks, from one count."""
+    n = items.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(block_rows))).cast("int").alias("_nb"))
+    return attach_row(items, n).withColumn("_blk", F.pmod(F.xxhash64(key), F.col("_nb")).cast("int"))
+
+
+def _pair_groups(items: DataFrame, queries: DataFrame) -> DataFrame:
+    seq = F.sequence(F.lit(0), F.col("_nb") - 1)
     left = queries.select("*", F.col("_blk").alias("_gl"), F.explode(seq).alias("_gr"), F.lit("L").alias("_role"))
     right = items.select("*", F.explode(seq).alias("_gl"), F.col("_blk").alias("_gr"), F.lit("R").alias("_role"))
     return left.unionByName(right)
 
 
+def _known(query_ids: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
+    """The asked ids; an id that no item has raises when the plan runs."""
+    asked = query_ids.select(F.col(query_ids.columns[0]).cast("long").alias("_q")).distinct()
+    there = items.select(F.col(id_col).cast("long").alias("_there")).distinct()
+    j = asked.join(there, F.col("_q") == F.col("_there"), "left")
+    missing = F.raise_error(F.concat(F.lit("item id not found: "), F.col("_q").cast("string"))).cast("boolean")
+    return j.where(F.when(F.col("_there").isNull(), missing).otherwise(F.lit(True))).select("_q")
+
+
 def _topn_rows(ids_l, ids_r, s, top_n):
     """Top-N candidates per query row of a score matrix (score desc, id asc).
 
@@ -72,54 +86,79 @@ def _topn_rows(ids_l, ids_r, s, top_n):
 
 
 # ---------------------------------------------------------------- G6 --------
+def _term_counts(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
+    return (df.select(F.col(id_col).cast("long").alias("id"), F.explode(tokens_col).alias("term"))
+            .where(F.col("term").isNotNull() & (F.col("term") != ""))
+            .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def _ranked(part: DataFrame, top_n: int) -> DataFrame:
+    top = topk_per_group(part, ["id"], [F.desc("score"), F.col("neighbor_id")], top_n, ["neighbor_id"], rank_col="rank")
+    return top.select("id", "neighbor_id", "score", "rank")
+
+
 def cosine_topk_tokens(df: DataFrame, *, id_col: str = "id", tokens_col: str = "tokens", top_n: int = 25,
                        query_ids: DataFrame | None = None, block_rows: int = 2048) -> DataFrame:
-    """Top-N other items by bag-of-token cosine (pairs with score > 0 only).
+    """Top-N other items by bag-of-token cosine (pairs with score > 0 only),
+    of the items in ``query_ids`` (an unknown id raises) or of all.
 
     Columns: id, neighbor_id, score, rank.
     """
-    tf = (df.select(F.col(id_col).cast("long").alias("id"), F.explode(tokens_col).alias("term"))
-          .where(F.col("term").isNotNull() & (F.col("term") != ""))
-          .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    docs = tf.groupBy("id").agg(F.collect_list(F.struct("term", "tf")).alias("terms"),
-                                F.sum(F.col("tf") * F.col("tf")).alias("n2"))
-    n = docs.count()
-    nb = _blocks(df.sparkSession, n, block_rows)
-    docs = docs.withColumn("_blk", F.pmod(F.xxhash64("id"), F.lit(nb)))
-    queries = docs if query_ids is None else docs.join(query_ids.select(F.col(query_ids.columns[0]).cast("long").alias("id")), "id", "left_semi")
-    groups = _pair_groups(docs, queries, nb).select("_gl", "_gr", "_role", "id", "n2",
-                                                     F.col("terms.term").alias("t"), F.col("terms.tf").alias("w"))
+    tf = _term_counts(df, id_col, tokens_col)
+    if query_ids is not None:
+        return _token_lookup(df, tf, query_ids, id_col, top_n)
+    # distinct vectors: one hash of the sorted (term, count) list stands for a vector
+    docs = tf.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "tf"))).alias("terms"))
+    docs = docs.select("id", F.concat(F.xxhash64("terms").cast("string"), F.lit("/"), F.xxhash64(F.lit(1), "terms").cast("string")).alias("vec"), "terms")
+    vectors = docs.groupBy("vec").agg(F.min("id").alias("low"), F.min_by("terms", "id").alias("terms"))
+    vectors = vectors.withColumn("n2", F.aggregate("terms", F.lit(0).cast("long"), lambda a, x: a + x["tf"] * x["tf"]))
+    ids = topk_per_group(docs.select("vec", "id"), ["vec"], [F.col("id")], top_n + 1, ["id"])
+    blocked = _blocked(vectors, "vec", block_rows)
+    groups = _pair_groups(blocked, blocked).select("_gl", "_gr", "_role", "low", "n2",
+                                                   F.col("terms.term").alias("t"), F.col("terms.tf").alias("w"))
 
     def score_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        L = pdf[pdf["_role"] == "L"]
-        R = pdf[pdf["_role"] == "R"].sort_values("id", kind="stable")
-        if L.empty or R.empty:
-            return _topn_rows(np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.zeros((0, 0)), top_n)
-        ids_l = L["id"].to_numpy(np.int64)
-        ids_r = R["id"].to_numpy(np.int64)
-        post: dict = {}
-        for j, (terms, ws) in enumerate(zip(R["t"], R["w"])):
-            for t, w in zip(terms, ws):
-                post.setdefault(t, ([], []))
-                post[t][0].append(j)
-                post[t][1].append(float(w))
-        post = {t: (np.array(a, dtype=np.int64), np.array(b)) for t, (a, b) in post.items()}
-        dot = np.zeros((len(L), len(R)))
-        for i, (terms, ws) in enumerate(zip(L["t"], L["w"])):
-            row = dot[i]
-            for t, w in zip(terms, ws):
-                p = post.get(t)
-                if p is not None:
-                    row[p[0]] += float(w) * p[1]
-        n2l = L["n2"].to_numpy(np.float64)
-        n2r = R["n2"].to_numpy(np.float64)
-        s = dot / np.sqrt(n2l[:, None] * n2r[None, :])
-        s[(dot <= 0) | (ids_l[:, None] == ids_r[None, :])] = np.nan
-        return _topn_rows(ids_l, ids_r, s, top_n)
+        left = pdf[pdf["_role"] == "L"]
+        right = pdf[pdf["_role"] == "R"].sort_values("low", kind="stable")
+        dot = np.zeros((len(left), len(right)))
+        sides = []
+        for part in (left, right):
+            rows = np.repeat(np.arange(len(part)), [len(t) for t in part["t"]])
+            sides.append((rows, np.concatenate([np.asarray(t, dtype=object) for t in part["t"]]) if len(part) else np.empty(0, object),
+                          np.concatenate([np.asarray(w, dtype=np.float64) for w in part["w"]]) if len(part) else np.empty(0)))
+        if len(left) and len(right):
+            _, code = np.unique(np.concatenate([sides[0][1], sides[1][1]]), return_inverse=True)
+            codes = code[:len(sides[0][1])], code[len(sides[0][1]):]
+            orders = [np.argsort(c, kind="stable") for c in codes]
+            for term in np.intersect1d(*codes):  # rows that hold the term, on both sides at once
+                at = [o[slice(*np.searchsorted(c[o], [term, term + 1]))] for c, o in zip(codes, orders)]
+                dot[np.ix_(sides[0][0][at[0]], sides[1][0][at[1]])] += np.outer(sides[0][2][at[0]], sides[1][2][at[1]])
+        score = dot / np.sqrt(np.outer(left["n2"].to_numpy(np.float64), right["n2"].to_numpy(np.float64)))
+        score[dot <= 0] = np.nan
+        return _topn_rows(left["low"].to_numpy(np.int64), right["low"].to_numpy(np.int64), score, top_n + 1)
 
     part = groups.groupBy("_gl", "_gr").applyInPandas(score_block, _OUT)
-    top = topk_per_group(part, ["id"], [F.desc("score"), F.col("neighbor_id")], top_n, ["neighbor_id"], rank_col="rank")
-    return top.select("id", "neighbor_id", "score", "rank")
+    near = _ranked(part, top_n + 1).select(F.col("id").alias("low"), F.col("neighbor_id").alias("near"), "score")
+    # vectors -> ids: the top_n + 1 best (score, id) of each vector, then of each item without itself
+    lows = vectors.select(F.col("vec").alias("vec2"), F.col("low").alias("near"))
+    held = near.join(lows, "near").join(ids.select(F.col("vec").alias("vec2"), F.col("id").alias("neighbor_id")), "vec2")
+    best = topk_per_group(held.select("low", "neighbor_id", "score"), ["low"], [F.desc("score"), F.col("neighbor_id")], top_n + 1, ["neighbor_id"])
+    owner = vectors.select("vec", "low").join(docs.select("vec", "id"), "vec").select("low", "id")
+    return _ranked(owner.join(best, "low").where("id <> neighbor_id").select("id", "neighbor_id", "score"), top_n)
+
+
+def _token_lookup(df: DataFrame, tf: DataFrame, query_ids: DataFrame, id_col: str, top_n: int) -> DataFrame:
+    asked = _known(query_ids, df, id_col)
+    mine = asked.join(tf, F.col("_q") == F.col("id")).select("_q", F.col("term").alias("_t"), F.col("tf").alias("_w"))
+    norm = mine.groupBy("_q").agg(F.sum(F.col("_w") * F.col("_w")).alias("_n2"))
+    # one pass over the items' term counts: the dot products and each item's norm
+    dots = (tf.join(mine, F.col("term") == F.col("_t"), "left")
+            .groupBy("id", "_q").agg(F.sum(F.col("tf") * F.col("_w")).alias("dot")).where("_q is not null and _q <> id"))
+    norms = tf.groupBy("id").agg(F.sum(F.col("tf") * F.col("tf")).alias("n2"))
+    scored = dots.join(norms, "id").join(norm, "_q").where("dot > 0").select(
+        F.col("_q").alias("id"), F.col("id").alias("neighbor_id"),
+        (F.col("dot") / F.sqrt(F.col("_n2").cast("double") * F.col("n2").cast("double"))).alias("score"))
+    return _ranked(scored, top_n)
 
 
 # ---------------------------------------------------------------- G8 --------
@@ -136,33 +175,30 @@ def standardize(df: DataFrame, cols: Sequence[str], *, id_col: str = "id") -> Da
 
 def cosine_topk_numeric(df: DataFrame, cols: Sequence[str], *, id_col: str = "id", top_n: int = 10,
                         query_ids: DataFrame | None = None, block_rows: int = 4096) -> DataFrame:
-    """Top-N other items by cosine of standardised numeric columns.
+    """Top-N other items by cosine of standardised numeric columns, of the
+    items in ``query_ids`` (an unknown id raises) or of all (quadratic).
     Columns: id, neighbor_id, score, rank."""
     z = standardize(df, cols, id_col=id_col)
     vec = z.select("id", F.array(*[F.col(c) for c in cols]).alias("v"))
-    n = vec.count()
-    nb = _blocks(df.sparkSession, n, block_rows)
-    vec = vec.withColumn("_blk", F.pmod(F.xxhash64("id"), F.lit(nb)))
-    queries = vec if query_ids is None else vec.join(query_ids.select(F.col(query_ids.columns[0]).cast("long").alias("id")), "id", "left_semi")
-    groups = _pair_groups(vec, queries, nb).select("_gl", "_gr", "_role", "id", "v")
-
-    def score_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        L = pdf[pdf["_role"] == "L"]
-        R = pdf[pdf["_role"] == "R"].sort_values("id", kind="stable")
-        if L.empty or R.empty:
-            return _topn_rows(np.array([], dtype=np.int64), np.array([], dtype=np.int64), np.zeros((0, 0)), top_n)
-        a = np.vstack(L["v"].to_numpy()).astype(np.float64)
-        b = np.vstack(R["v"].to_numpy()).astype(np.float64)
-        na = np.sqrt((a * a).sum(axis=1))
-        nbv = np.sqrt((b * b).sum(axis=1))
-        na[na == 0] = 1.0
-        nbv[nbv == 0] = 1.0
-        s = (a / na[:, None]) @ (b / nbv[:, None]).T
-        ids_l = L["id"].to_numpy(np.int64)
-        ids_r = R["id"].to_numpy(np.int64)
-        s[ids_l[:, None] == ids_r[None, :]] = np.nan
-        return _topn_rows(ids_l, ids_r, s, top_n)
 
-    part = groups.groupBy("_gl", "_gr").applyInPandas(score_block, _OUT)
-    top = topk_per_group(part, ["id"], [F.desc("score"), F.col("neighbor_id")], top_n, ["neighbor_id"], rank_col="rank")
-    return top.select("id", "neighbor_id", "score", "rank")
+    def scores(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        held = held.sort_values("id", kind="stable")
+        if not len(asked) or not len(held):
+            return _topn_rows(np.empty(0, np.int64), np.empty(0, np.int64), np.zeros((0, 0)), top_n)
+        a, b = (np.vstack(x["v"].to_numpy()).astype(np.float64) for x in (asked, held))
+        na, nb = (np.sqrt((x * x).sum(axis=1)) for x in (a, b))
+        s = (a / np.where(na == 0, 1.0, na)[:, None]) @ (b / np.where(nb == 0, 1.0, nb)[:, None]).T
+        ids_a, ids_b = asked["id"].to_numpy(np.int64), held["id"].to_numpy(np.int64)
+        s[ids_a[:, None] == ids_b[None, :]] = np.nan
+        return _topn_rows(ids_a, ids_b, s, top_n)
+
+    if query_ids is not None:
+        # the items are dealt once; the asked vectors go to every group of items
+        asked = _known(query_ids, df, id_col).join(vec, F.col("_q") == F.col("id")).select(
+            F.col("id").alias("id"), F.col("v").alias("v"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(QUERY_GROUPS - 1).cast("long"))).alias("q_group"))
+        held = vec.select(F.col("id").alias("id"), F.col("v").alias("v"), F.pmod(F.xxhash64("id"), F.lit(QUERY_GROUPS)).alias("group"))
+        return _ranked(asked.groupBy("q_group").cogroup(held.groupBy("group")).applyInPandas(scores, _OUT), top_n)
+    blocked = _blocked(vec, "id", block_rows)
+    groups = _pair_groups(blocked, blocked).select("_gl", "_gr", "_role", "id", "v")
+    part = groups.groupBy("_gl", "_gr").applyInPandas(lambda pdf: scores(pdf[pdf["_role"] == "L"], pdf[pdf["_role"] == "R"]), _OUT)
+    return _ranked(part, top_n)

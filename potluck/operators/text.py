@@ -41,29 +41,26 @@ def extract_time_tags(df: DataFrame, *, id_col: str = "id", tags_col: str = "tag
 
 # ---------------------------------------------------------------- G1 --------
 def signature_tfidf(df: DataFrame, group_col: str, items_col: str, *, top_n: int = 10,
-                    max_df: float = 0.5, max_features: int = 14000) -> DataFrame:
+                    max_df: float = 0.5, max_features: int | None = 14000) -> DataFrame:
     """Signature terms per group.
 
     Each group is one document made of all its rows' items.  Terms in more
     than ``max_df`` of the groups are dropped, then the ``max_features`` most
-    frequent terms (ties by term) are kept.  tfidf = count * (ln((1+n)/(1+df)) + 1),
+    frequent terms (ties by term; None: all) are kept.  tfidf = count * (ln((1+n)/(1+df)) + 1),
     L2-normalised per group; tf = count / total kept count of the group (L1).
     Output (group, term, tfidf, tf, rank) for the top ``top_n`` terms with
     tfidf > 0 (ties by term).
     """
     items = df.select(F.col(group_col).alias("group"), F.explode(items_col).alias("term")) \
         .where(F.col("group").isNotNull() & F.col("term").isNotNull())
-    # (group, term, count) feeds the vocabulary, the weights and the norms:
-    # cut its lineage once (reliable checkpoint in spark.checkpoint.dir) so the
-    # text is tokenized and counted a single time
-    from potluck.session import cut_lineage
-
-    c = cut_lineage(items.groupBy("group", "term").agg(F.count(F.lit(1)).alias("cnt")))
-    ng = c.agg(F.countDistinct("group").alias("n_groups"))
+    c = items.groupBy("group", "term").agg(F.count(F.lit(1)).alias("cnt"))
+    # every group counts, also one whose lists are all empty
+    ng = df.agg(F.countDistinct(group_col).alias("n_groups"))
     dfc = c.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("total"))
     dfc = attach_row(dfc, ng).where(F.col("df") <= F.lit(max_df) * F.col("n_groups"))
-    vocab = dfc.orderBy(F.desc("total"), "term").limit(max_features).select("term", "df", "n_groups")
-    w = c.join(F.broadcast(vocab), "term")  # bounded by max_features
+    if max_features is not None:
+        dfc = dfc.orderBy(F.desc("total"), "term").limit(max_features)
+    w = c.join(dfc.select("term", "df", "n_groups"), "term")
     w = w.withColumn("raw", F.col("cnt") * (F.log((1 + F.col("n_groups")) / (1 + F.col("df"))) + 1))
     norms = w.groupBy("group").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("l2"), F.sum("cnt").alias("l1"))
     s = w.join(norms, "group").select("group", "term", (F.col("raw") / F.col("l2")).alias("tfidf"),

@@ -13,21 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Test files above this size are spread over the cores; smaller ones are
-# read as they are.
-SPREAD_MIN_BYTES = 16 * 1024 * 1024
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from potluck.session import file_bytes
-
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    # the test tables are single files with one row group: whatever the byte
-    # splits, one task would hold all rows, so large ones are spread here
-    if file_bytes(spark, path) >= SPREAD_MIN_BYTES:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- P1 --------
@@ -144,6 +131,36 @@ SQL_RECIPES = f"""recipes AS (
   FROM part)"""
 
 
+def recipes_seasonal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 with tags that only resemble a season, and some dates missing."""
+    r = recipes(spark, sf_dir)
+    odd = F.array(F.lit("summer-squash"), F.lit("waterfall"), F.lit("christmas-eve"))
+    return r.withColumn("tags", F.when(F.col("id") % 4 == 0, F.concat(F.slice("tags", 1, 3), odd)).otherwise(F.col("tags"))).withColumn(
+        "submitted", F.when(F.col("id") % 9 != 0, F.col("submitted")))
+
+
+SQL_RECIPES_SEASONAL = """recipes_seasonal AS (
+  SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN list_concat(tags[1:3], ['summer-squash', 'waterfall', 'christmas-eve']) ELSE tags END AS tags,
+                    CASE WHEN id % 9 <> 0 THEN submitted END AS submitted) FROM recipes)"""
+
+
+def recipes_located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 with a country and a season; the lists of one country and of one
+    season are all empty."""
+    r = recipes(spark, sf_dir)
+    return r.select(
+        "id", F.concat(F.lit("country "), (F.col("id") % 7).cast("string")).alias("country"),
+        F.get(F.array(*[F.lit(x) for x in ("winter", "spring", "summer", "fall", "all year")]), (F.floor(F.col("id") / 7) % 5).cast("int")).alias("season"),
+        F.when((F.col("id") % 7 == 3) | (F.floor(F.col("id") / 7) % 5 == 4), F.array().cast("array<string>"))
+        .otherwise(F.transform("ingredients", lambda t: F.concat(t, F.lit(" "), (F.col("id") % 3 + F.col("id") % 7).cast("string")))).alias("ingredients"))
+
+
+SQL_RECIPES_LOCATED = """recipes_located AS (
+  SELECT id, 'country ' || (id % 7) AS country, ['winter', 'spring', 'summer', 'fall', 'all year'][CAST(floor(id / 7) AS BIGINT) % 5 + 1] AS season,
+         CASE WHEN id % 7 = 3 OR CAST(floor(id / 7) AS BIGINT) % 5 = 4 THEN [] ELSE
+           list_transform(ingredients, lambda t: t || ' ' || (id % 3 + id % 7)) END AS ingredients FROM recipes)"""
+
+
 def recipes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 as raw CSV-like text: list columns as Python-literal strings."""
     r = recipes(spark, sf_dir)
@@ -170,7 +187,7 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
     return j.select(
         F.col("c_custkey").alias("id"),
         F.lower("n_name").alias("country"),
@@ -204,7 +221,7 @@ def country_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference countries derived from nation/region: the shape of the countries file."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.lower("n_name").alias("name"),
         F.lower("n_name").alias("common_name"),
         F.concat(F.lit("republic of "), F.lower("n_name")).alias("official_name"),

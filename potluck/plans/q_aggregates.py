@@ -149,7 +149,7 @@ GROUP BY c_mktsegment""")
 def q_diversity(spark, sf):
     c = P.table(spark, sf, "customer")
     n = P.table(spark, sf, "nation")
-    return E.diversity(c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey), "c_mktsegment", "n_name")
+    return E.diversity(c.join(n, c.c_nationkey == n.n_nationkey), "c_mktsegment", "n_name")
 
 
 @register("diversity_customers_per_region", """SELECT r_name, count(DISTINCT o_custkey) AS n_o_custkey FROM orders
@@ -158,8 +158,8 @@ GROUP BY r_name""")
 def q_diversity_region(spark, sf):
     o, c = P.table(spark, sf, "orders"), P.table(spark, sf, "customer")
     n, r = P.table(spark, sf, "nation"), P.table(spark, sf, "region")
-    j = (o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
-         .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey))
+    j = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+         .join(r, F.col("n_regionkey") == r.r_regionkey))
     return E.diversity(j, "r_name", "o_custkey")
 
 
@@ -207,7 +207,7 @@ def q_filter_dimension(spark, sf):
     return C.filter_dimension(P.geo(spark, sf), country="nation_3", region=None).select("id", "country", "region")
 
 
-@register("sample_rows")
+@register("sample_rows", "SELECT doc_id, lang, source FROM documents ORDER BY md5('7|' || doc_id), doc_id LIMIT 100")
 def q_sample_rows(spark, sf):
     d = P.table(spark, sf, "documents").select("doc_id", "lang", "source")
     return C.sample_rows(d, 100, seed=7, key_cols=["doc_id"])

@@ -40,13 +40,19 @@ def q_clean_numeric(spark, sf):
                     B.clean_numeric(F.col("o_totalprice").cast("string")).alias("price"))
 
 
-@register("clean_date", """SELECT o_orderkey, try_strptime(CAST(o_orderdate AS VARCHAR), '%Y-%m-%d %H:%M:%S') AS d1,
-  try_strptime(strftime(o_orderdate, '%m/%d/%Y'), '%m/%d/%Y') AS d2, CAST(NULL AS TIMESTAMP) AS d3 FROM orders""")
+@register("clean_date", """SELECT o_orderkey, o_orderdate AS d1, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d2, CAST(NULL AS TIMESTAMP) AS d3,
+  o_orderdate + INTERVAL 123 MILLISECOND AS d4, CASE WHEN o_orderkey % 8 = 7 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS d5,
+  CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 10 HOUR + INTERVAL 5 MINUTE AS d6 FROM orders""")
 def q_clean_date(spark, sf):
     o = P.table(spark, sf, "orders")
-    return o.select("o_orderkey", B.clean_date(F.col("o_orderdate").cast("string")).alias("d1"),
-                    B.clean_date(F.date_format("o_orderdate", "MM/dd/yyyy")).alias("d2"),
-                    B.clean_date("o_orderpriority").alias("d3"))
+    day = lambda f: F.date_format("o_orderdate", f)
+    shape = F.col("o_orderkey") % 8
+    mixed = (F.when(shape == 0, day("dd MMM yyyy")).when(shape == 1, day("MMMM d, yyyy")).when(shape == 2, day("ddMMMyyyy"))
+             .when(shape == 3, day("yyyy.M.d")).when(shape == 4, day("M-d-yy")).when(shape == 5, day("d MMM, yyyy"))
+             .when(shape == 6, day("yyyy/MM/dd")).otherwise(day("d MMM")))
+    return o.select("o_orderkey", B.clean_date(F.col("o_orderdate").cast("string")).alias("d1"), B.clean_date(day("MM/dd/yyyy")).alias("d2"),
+                    B.clean_date("o_orderpriority").alias("d3"), B.clean_date(F.col("o_orderdate") + F.expr("INTERVAL '0.123' SECOND")).alias("d4"),
+                    B.clean_date(mixed).alias("d5"), B.clean_date(F.concat(day("yyyy-MM-dd"), F.lit("T10:05Z"))).alias("d6"))
 
 
 # ---------------------------------------------------------------- B6 --------
@@ -80,25 +86,44 @@ def q_parse_string_list(spark, sf):
 
 
 # ---------------------------------------------------------------- B7/B8 -----
-@register("parse_float_list", """SELECT l_orderkey, l_linenumber, l_quantity AS v1, l_discount AS v2, l_tax AS v3, 3 AS n FROM lineitem""")
+@register("parse_float_list", """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 4 = 1 THEN NULL ELSE l_quantity END AS v1,
+  CASE WHEN l_linenumber % 4 = 1 THEN NULL ELSE l_discount END AS v2,
+  CASE l_linenumber % 4 WHEN 0 THEN l_tax WHEN 2 THEN 1.0 WHEN 3 THEN 0.5 END AS v3,
+  CASE l_linenumber % 4 WHEN 1 THEN 0 ELSE 3 END AS n FROM lineitem""")
 def q_parse_float_list(spark, sf):
     li = P.table(spark, sf, "lineitem")
-    txt = F.concat(F.lit("["), F.col("l_quantity").cast("string"), F.lit(", "), F.col("l_discount").cast("string"),
-                   F.lit(", None, 'x', "), F.col("l_tax").cast("string"), F.lit("]"))
+    head = F.concat(F.lit("["), F.col("l_quantity").cast("string"), F.lit(", "), F.col("l_discount").cast("string"))
+    shape = F.col("l_linenumber") % 4
+    txt = (F.when(shape == 0, F.concat(head, F.lit(", None, 'x', "), F.col("l_tax").cast("string"), F.lit("]")))
+           .when(shape == 1, F.concat(head, F.lit("] junk"))).when(shape == 2, F.concat(head, F.lit(", True, None,]")))
+           .otherwise(F.concat(head, F.lit(", .5]"))))
     arr = B.parse_float_list(txt)
-    return li.select("l_orderkey", "l_linenumber", F.element_at(arr, 1).alias("v1"), F.element_at(arr, 2).alias("v2"),
-                     F.element_at(arr, 3).alias("v3"), F.size(arr).alias("n"))
+    return li.select("l_orderkey", "l_linenumber", F.get(arr, F.lit(0)).alias("v1"), F.get(arr, F.lit(1)).alias("v2"),
+                     F.get(arr, F.lit(2)).alias("v3"), F.size(arr).alias("n"))
 
 
-@register("parse_loose_list", _R + """SELECT id, array_to_string(list_transform(ingredients, lambda t: lower(trim(t))), ' ') AS tokens FROM recipes""")
+@register("parse_loose_list", _R + """SELECT id, array_to_string(CASE WHEN id % 6 = 4 THEN [array_to_string(ingredients, '|')]
+  ELSE list_transform(ingredients, lambda t: lower(trim(t))) END, ';') AS tokens FROM recipes""")
 def q_parse_loose_list(spark, sf):
-    r = P.recipes_text(spark, sf)
-    raw = P.recipes(spark, sf).select("id", F.array_join("ingredients", " ").alias("_plain"))
-    r = r.join(raw, "id")
-    txt = (F.when(F.col("id") % 3 == 0, F.col("ingredients"))
-           .when(F.col("id") % 3 == 1, F.replace(F.col("ingredients"), F.lit("', '"), F.lit("']['")))
-           .otherwise(F.col("_plain")))
-    return r.select("id", B.parse_loose_list(txt, as_text=True).alias("tokens"))
+    r = P.recipes(spark, sf)
+    text = P.recipes_text(spark, sf).select(F.col("id").alias("_id"), F.col("ingredients").alias("_text"))
+    j = r.join(text, r["id"] == F.col("_id"))
+    shape = F.col("id") % 6
+    txt = (F.when(shape == 0, F.col("_text")).when(shape == 1, F.replace("_text", F.lit("', '"), F.lit("']['")))
+           .when(shape == 2, F.array_join("ingredients", ", ")).when(shape == 3, F.substring("_text", F.lit(2), F.length("_text") - 2))
+           .when(shape == 4, F.array_join("ingredients", "|")).otherwise(F.concat(F.lit("["), F.array_join("ingredients", ","), F.lit("]"))))
+    return j.select("id", F.array_join(B.parse_loose_list(txt), ";").alias("tokens"))
+
+
+@register("parse_tag_text", _R + """SELECT id, array_to_string(CASE WHEN id % 4 = 3 THEN list_transform(range(len(tags)), lambda i:
+  CASE WHEN i = 0 THEN '[' ELSE '' END || tags[i + 1] || CASE WHEN i = len(tags) - 1 THEN ']' ELSE '' END) ELSE tags END, ';') AS tokens FROM recipes""")
+def q_parse_tag_text(spark, sf):
+    """Tag text with commas, pipes or as a literal (a broken literal is split as it is)."""
+    r = P.recipes(spark, sf)
+    shape = F.col("id") % 4
+    txt = (F.when(shape == 0, F.concat(F.lit("['"), F.array_join("tags", "', '"), F.lit("']"))).when(shape == 1, F.array_join("tags", " | "))
+           .when(shape == 2, F.array_join("tags", ", ")).otherwise(F.concat(F.lit("["), F.array_join("tags", ","), F.lit("]"))))
+    return r.select("id", F.array_join(B.parse_loose_list(txt, delimiters=",|"), ";").alias("tokens"))
 
 
 # ---------------------------------------------------------------- B9 --------
@@ -186,10 +211,12 @@ def q_expand_nutrition(spark, sf):
   CAST(length(coalesce(text, '')) - length(replace(coalesce(text, ''), '!', '')) AS INTEGER) AS review_exclamations,
   CAST(length(coalesce(text, '')) - length(replace(coalesce(text, ''), '?', '')) AS INTEGER) AS review_question_marks,
   regexp_matches(coalesce(text, ''), '[A-Z]{3,}') AS review_has_caps,
-  regexp_matches(coalesce(text, ''), '(?i)\bthank(s| you)?\b') AS review_mentions_thanks FROM documents""")
+  regexp_matches(coalesce(text, ''), '(?i)\bthank(s| you)?\b') AS review_mentions_thanks
+FROM (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN text || ' Thanks!' WHEN 1 THEN text || ' thankful?' ELSE text END AS text FROM documents)""")
 def q_text_features(spark, sf):
-    d = P.table(spark, sf, "documents").select("doc_id", F.col("text").alias("review"))
-    return B.text_features(d, "review").drop("review")
+    d = P.table(spark, sf, "documents")
+    more = F.when(F.col("doc_id") % 5 == 0, " Thanks!").when(F.col("doc_id") % 5 == 1, " thankful?").otherwise("")
+    return B.text_features(d.select("doc_id", F.concat("text", more).alias("review")), "review").drop("review")
 
 
 # ---------------------------------------------------------------- B16/B17 ---
@@ -259,6 +286,19 @@ def q_infer_column_kinds(spark, sf):
     return B.infer_column_kinds(_mixed(spark, sf).drop("o_orderkey"), by="share")
 
 
+@register("infer_column_kinds_first", "SELECT * FROM (VALUES ('d', 'datetime'), ('fl', 'list_float'), ('sl', 'list_string'), ('s', 'string')) t(column_name, kind)")
+def q_infer_column_kinds_first(spark, sf):
+    return B.infer_column_kinds(_mixed(spark, sf), by="first", order_col="o_orderkey")
+
+
+@register("preprocess_first", _MIXED_SQL + """ SELECT o_orderkey, CASE WHEN d IS NULL THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS d,
+  o_totalprice AS fl_first, 1 AS fl_size, lower(o_orderpriority) || '|' || lower(o_orderstatus) AS sl, lower(o_orderpriority) AS s FROM mixed""")
+def q_preprocess_first(spark, sf):
+    clean, _ = B.preprocess(_mixed(spark, sf), by="first", order_col="o_orderkey")
+    return clean.select("o_orderkey", "d", F.element_at("fl", 1).alias("fl_first"), F.size("fl").alias("fl_size"),
+                        F.array_join("sl", "|").alias("sl"), "s")
+
+
 @register("preprocess", _MIXED_SQL + """ SELECT o_orderkey, CASE WHEN d IS NULL THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS d,
   o_totalprice AS fl_first, 1 AS fl_size, lower(o_orderpriority) || '|' || lower(o_orderstatus) AS sl, lower(o_orderpriority) AS s FROM mixed""")
 def q_preprocess(spark, sf):
@@ -279,6 +319,31 @@ def q_load_table(spark, sf):
     return A.load_table(spark, "orders", sf)
 
 
+@register("load_table_csv", P.with_ctes(P.SQL_INTERACTIONS) + "SELECT user_id, recipe_id, strftime(date, '%Y-%m-%d') AS date, rating, review FROM interactions")
+def q_load_table_csv(spark, sf):
+    """Interactions written as CSV and loaded with the declared schema."""
+    from potluck.session import scratch_path
+
+    base = scratch_path(spark, "csv-tables")
+    A.export(P.interactions(spark, sf).withColumn("date", F.date_format("date", "yyyy-MM-dd")), f"{base}/interactions.csv", "csv")
+    return A.load_table(spark, "interactions", base, schema=A.INTERACTIONS_SCHEMA, multi_line=False)
+
+
+@register("load_recipes_csv", _RT + """SELECT name, id, minutes, id % 9 AS contributor_id, strftime(submitted, '%Y-%m-%d') AS submitted, tags,
+  CAST(NULL AS VARCHAR) AS nutrition, n_steps, CAST(NULL AS VARCHAR) AS steps, description || chr(10) || name AS description, ingredients, n_ingredients FROM recipes_text""")
+def q_load_recipes_csv(spark, sf):
+    """Recipes with line breaks inside a field, by a candidate path."""
+    from potluck.session import scratch_path
+
+    base = scratch_path(spark, "csv-tables")
+    r = P.recipes_text(spark, sf)
+    raw = r.select("name", "id", "minutes", (F.col("id") % 9).alias("contributor_id"), F.date_format("submitted", "yyyy-MM-dd").alias("submitted"),
+                   "tags", F.lit(None).cast("string").alias("nutrition"), "n_steps", F.lit(None).cast("string").alias("steps"),
+                   F.concat("description", F.lit("\n"), "name").alias("description"), "ingredients", "n_ingredients")
+    A.export(raw, f"{base}/elsewhere.csv", "csv")
+    return A.load_table(spark, "recipes", base, schema=A.RECIPES_SCHEMA, candidates=[f"{base}/elsewhere.csv"])
+
+
 # ---------------------------------------------------------------- A3 --------
 _COUNTRY_JSON_SQL = """SELECT lower(n_name) AS name, n_name AS common_name, 'Republic of ' || n_name AS official_name,
   r_name AS region, CASE WHEN n_nationkey % 3 = 0 THEN r_name ELSE r_name || ' north' END AS subregion,

@@ -11,9 +11,12 @@ from potluck.operators import enrich as EN
 from potluck.operators import similarity as SIM
 from potluck.operators import text as TX
 from potluck.plans import proxies as P
+from potluck.plans import sql_fuzzy as SF
 from potluck.plans.registry import register, rounded
 from potluck.streaming import logs as LG
 
+STOP_WORDS = ["the", "and", "of", "that", "with", "for"]
+
 _R = P.with_ctes(P.SQL_RECIPES)
 _GC = P.with_ctes(P.SQL_GEO, P.SQL_COUNTRY_REF)
 
@@ -23,25 +26,25 @@ def _names(spark, sf):
 
 
 # ---------------------------------------------------------------- F1/F2 -----
-@register("fuzzy_match")
+@register("fuzzy_match", SF.FUZZY_MATCH)
 def q_fuzzy_match(spark, sf):
     g = P.geo(spark, sf).select(F.explode("tokens").alias("token"))
-    return EN.fuzzy_match(g, "token", _names(spark, sf)["country"])
+    return rounded(EN.fuzzy_match(g, "token", _names(spark, sf).where("kind = 'country'")))
 
 
-@register("fetch_reference")
+@register("fetch_reference", SF.FETCH_REFERENCE)
 def q_fetch_reference(spark, sf):
     g = P.geo(spark, sf).select("id", "tokens", "segment")
     return EN.fetch_reference(g, ["tokens", "segment"], _names(spark, sf), countries=P.country_reference(spark, sf))
 
 
-@register("fetch_country")
+@register("fetch_country", SF.FETCH_COUNTRY)
 def q_fetch_country(spark, sf):
     g = P.geo(spark, sf).select("id", F.col("tokens").alias("tags"))
     return EN.fetch_country(g, _names(spark, sf), P.country_reference(spark, sf))
 
 
-@register("fetch_country_season")
+@register("fetch_country_season", SF.FETCH_COUNTRY_SEASON)
 def q_fetch_country_season(spark, sf):
     g = P.geo(spark, sf).select("id", F.array_union("tokens", F.array(F.lower("segment"))).alias("tags"),
                                 F.col("segment").alias("name"),
@@ -49,7 +52,7 @@ def q_fetch_country_season(spark, sf):
     return EN.fetch_country_season(g, _names(spark, sf), P.country_reference(spark, sf))
 
 
-@register("lookup_staged_fuzzy")
+@register("lookup_staged_fuzzy", SF.LOOKUP_STAGED)
 def q_lookup_staged_fuzzy(spark, sf):
     return EN.lookup_staged_fuzzy(P.geo(spark, sf), "tags", P.country_reference(spark, sf))
 
@@ -155,38 +158,37 @@ def q_least_ambiguous(spark, sf):
 
 
 # ---------------------------------------------------------------- F14/F15 ---
-_T = "array_to_string(tags, ' ')"
-
-
-@register("season_masks", _R + ", m AS (SELECT count(*) AS rows, " + ", ".join(
-    f"count(*) FILTER (WHERE instr({_T}, '{s}') > 0) AS n_{s}" for s in EN.SEASONS)
-          + f""", count(*) FILTER (WHERE instr({_T}, 'christmas') > 0) AS n_christmas,
-  count(*) FILTER (WHERE {' OR '.join(f"instr({_T}, '{s}') > 0" for s in EN.SEASONS)}) AS n_any_season_tags,
-  count(*) FILTER (WHERE {' OR '.join(f"instr({c}, '{s}') > 0" for c in [_T, "coalesce(name, '')", "coalesce(description, '')"] for s in EN.SEASONS)}) AS n_any_season_text,
-  count(*) FILTER (WHERE instr({_T}, 'winter') > 0 AND instr({_T}, 'christmas') > 0) AS n_winter_christmas FROM recipes)
+_MONTH_SEASON = ("CASE WHEN month({0}) IS NULL THEN NULL WHEN month({0}) IN (12, 1, 2) THEN 'winter' WHEN month({0}) IN (3, 4, 5) THEN 'spring' "
+                 "WHEN month({0}) IN (6, 7, 8) THEN 'summer' ELSE 'fall' END")
+
+
+@register("season_masks", P.with_ctes(P.SQL_RECIPES, P.SQL_RECIPES_SEASONAL) + """, f AS (SELECT
+  list_contains(tags, 'winter') AS w, list_contains(tags, 'spring') AS sp, list_contains(tags, 'summer') AS su, list_contains(tags, 'fall') AS fa,
+  list_contains(tags, 'christmas') AS ch,
+  regexp_matches(coalesce(name, ''), 'winter|spring|summer|fall') OR regexp_matches(coalesce(description, ''), 'winter|spring|summer|fall') AS txt
+  FROM recipes_seasonal),
+m AS (SELECT count(*) AS rows, count(*) FILTER (WHERE w) AS n_winter, count(*) FILTER (WHERE sp) AS n_spring,
+  count(*) FILTER (WHERE su) AS n_summer, count(*) FILTER (WHERE fa) AS n_fall, count(*) FILTER (WHERE ch) AS n_christmas,
+  count(*) FILTER (WHERE w OR sp OR su OR fa) AS n_any_season_tags, count(*) FILTER (WHERE w OR sp OR su OR fa OR txt) AS n_any_season_text,
+  count(*) FILTER (WHERE w AND ch) AS n_winter_christmas FROM f)
 SELECT *, round(n_any_season_tags / rows, 6) AS share_tags, round(n_any_season_text / rows, 6) AS share_text FROM m""")
 def q_season_masks(spark, sf):
-    return rounded(EN.season_masks(P.recipes(spark, sf)))
+    return rounded(EN.season_masks(P.recipes_seasonal(spark, sf)))
 
 
-_SEASON_OF = ("CASE WHEN month(submitted) IN (12, 1, 2) THEN 'winter' WHEN month(submitted) IN (3, 4, 5) THEN 'spring' "
-              "WHEN month(submitted) IN (6, 7, 8) THEN 'summer' ELSE 'fall' END")
-
-
-@register("season_agreement", _R + f""", a AS (SELECT count(*) FILTER (WHERE {' OR '.join(f"instr({_T}, '{s}') > 0" for s in EN.SEASONS)}) AS tagged,
-  count(*) FILTER (WHERE list_contains(list_filter(['winter', 'spring', 'summer', 'fall'], lambda s: list_contains(tags, s)), {_SEASON_OF})) AS correct
-  FROM recipes)
+@register("season_agreement", P.with_ctes(P.SQL_RECIPES, P.SQL_RECIPES_SEASONAL) + f""", f AS (SELECT {_MONTH_SEASON.format('submitted')} AS season,
+  [t FOR t IN tags IF t IN ('winter', 'spring', 'summer', 'fall')] AS found FROM recipes_seasonal),
+a AS (SELECT count(*) FILTER (WHERE len(found) > 0) AS tagged, count(*) FILTER (WHERE list_contains(found, season)) AS correct FROM f)
 SELECT tagged, correct, round(correct / nullif(CAST(tagged AS DOUBLE), 0), 6) AS share FROM a""")
 def q_season_agreement(spark, sf):
-    return rounded(EN.season_agreement(P.recipes(spark, sf)))
+    return rounded(EN.season_agreement(P.recipes_seasonal(spark, sf)))
 
 
-@register("season_from_date", """SELECT o_orderkey, CASE WHEN month(o_orderdate) IN (12, 1, 2) THEN 'winter'
-  WHEN month(o_orderdate) IN (3, 4, 5) THEN 'spring' WHEN month(o_orderdate) IN (6, 7, 8) THEN 'summer' ELSE 'fall' END AS season
-FROM orders""")
+@register("season_from_date", "SELECT o_orderkey, " + _MONTH_SEASON.format("(CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderdate END)")
+          + " AS season FROM orders")
 def q_season_from_date(spark, sf):
     o = P.table(spark, sf, "orders")
-    return o.select("o_orderkey", EN.season_from_date("o_orderdate").alias("season"))
+    return o.select("o_orderkey", EN.season_from_date(F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderdate"))).alias("season"))
 
 
 # ---------------------------------------------------------------- F16 -------
@@ -245,10 +247,10 @@ def q_extract_time_tags(spark, sf):
 
 
 # ---------------------------------------------------------------- G1 --------
-def _tfidf_sql(items_sql: str, top_n: int = 10) -> str:
+def _tfidf_sql(items_sql: str, top_n: int = 10, groups: str = "SELECT DISTINCT name AS g FROM recipes") -> str:
     return items_sql + f""",
 c AS (SELECT g, term, count(*) AS cnt FROM items WHERE g IS NOT NULL AND term IS NOT NULL GROUP BY g, term),
-ng AS (SELECT count(DISTINCT g) AS n FROM c),
+ng AS (SELECT count(g) AS n FROM ({groups})),
 dfc AS (SELECT term, count(*) AS df, sum(cnt) AS total FROM c GROUP BY term),
 vocab AS (SELECT term, df, n FROM dfc, ng WHERE df <= 0.5 * n ORDER BY total DESC, term LIMIT 14000),
 w AS (SELECT c.g, c.term, c.cnt, c.cnt * (ln((1 + n) / (1 + vocab.df)) + 1) AS raw FROM c JOIN vocab ON c.term = vocab.term),
@@ -265,13 +267,30 @@ def q_signature_tfidf(spark, sf):
 
 
 @register("signature_tfidf_docs", _tfidf_sql("""WITH items AS (SELECT g, term FROM (
-  SELECT source AS g, unnest(regexp_split_to_array(lower(text), '\\s+')) AS term FROM documents) WHERE term <> '')"""))
+  SELECT source AS g, unnest(regexp_split_to_array(lower(text), '\\s+')) AS term FROM documents) WHERE term <> '')""", groups="SELECT DISTINCT source AS g FROM documents"))
 def q_signature_tfidf_docs(spark, sf):
     d = P.table(spark, sf, "documents").select(
         F.col("source").alias("grp"), F.filter(F.split(F.lower("text"), r"\s+"), lambda t: t != "").alias("words"))
     return rounded(TX.signature_tfidf(d, "grp", "words", top_n=10))
 
 
+_LOCATED_SQL = P.with_ctes(P.SQL_RECIPES, P.SQL_RECIPES_LOCATED)
+
+
+@register("signature_by_country", _tfidf_sql(_LOCATED_SQL + ", items AS (SELECT country AS g, unnest(ingredients) AS term FROM recipes_located)",
+                                             groups="SELECT DISTINCT country AS g FROM recipes_located"))
+def q_signature_by_country(spark, sf):
+    r = P.recipes_located(spark, sf).select(F.col("country").alias("grp"), "ingredients")
+    return rounded(TX.signature_tfidf(r, "grp", "ingredients", top_n=10))
+
+
+@register("signature_by_season", _tfidf_sql(_LOCATED_SQL + ", items AS (SELECT season AS g, unnest(ingredients) AS term FROM recipes_located)",
+                                            groups="SELECT DISTINCT season AS g FROM recipes_located"))
+def q_signature_by_season(spark, sf):
+    r = P.recipes_located(spark, sf).select(F.col("season").alias("grp"), "ingredients")
+    return rounded(TX.signature_tfidf(r, "grp", "ingredients", top_n=10))
+
+
 # ---------------------------------------------------------------- G6/F18 ----
 def _cos_sql(tokens_sql: str, top_n: int) -> str:
     return f""", toks AS (SELECT id, unnest({tokens_sql}) AS term FROM recipes),
@@ -313,12 +332,30 @@ def q_cos_combined(spark, sf):
     return rounded(SIM.cosine_topk_tokens(r, top_n=10))
 
 
+def _asked(spark, sf):
+    """The items whose neighbours are looked up: every 100th."""
+    return P.table(spark, sf, "part").where(F.col("p_partkey") % 100 == 0).select(F.col("p_partkey").alias("id"))
+
+
+@register("cosine_query_ingredients", _R + _cos_sql(_ING_TOK, 25) + " SELECT id, neighbor_id, round(score, 6) AS score, rank FROM top WHERE id % 100 = 0")
+def q_cos_query_ingredients(spark, sf):
+    r = P.recipes(spark, sf).select("id", SIM.ingredient_tokens("ingredients").alias("tokens"))
+    return rounded(SIM.cosine_topk_tokens(r, top_n=25, query_ids=_asked(spark, sf)))
+
+
+@register("cosine_query_time_tags", _R + _cos_sql(_TIME_TOK, 5) + " SELECT id, neighbor_id, round(score, 6) AS score, rank FROM top WHERE id % 100 = 0")
+def q_cos_query_time(spark, sf):
+    r = P.recipes(spark, sf)
+    r = r.select("id", SIM.hyphen_tokens(F.array_join(TX.time_tags("tags"), " ")).alias("tokens"))
+    return rounded(SIM.cosine_topk_tokens(r, top_n=5, query_ids=_asked(spark, sf)))
+
+
 @register("neighbors_with_metadata", _R + _cos_sql(_ING_TOK, 5) + """ SELECT top.id, top.neighbor_id, round(top.score, 6) AS score, top.rank,
-  r.name AS neighbor_name, r.minutes AS neighbor_minutes FROM top LEFT JOIN recipes r ON r.id = top.neighbor_id""")
+  r.name AS neighbor_name, r.minutes AS neighbor_minutes FROM top LEFT JOIN recipes r ON r.id = top.neighbor_id WHERE top.id % 100 = 0""")
 def q_neighbors_meta(spark, sf):
     items = P.recipes(spark, sf)
     r = items.select("id", SIM.ingredient_tokens("ingredients").alias("tokens"))
-    nb = SIM.cosine_topk_tokens(r, top_n=5)
+    nb = SIM.cosine_topk_tokens(r, top_n=5, query_ids=_asked(spark, sf))
     return rounded(EN.neighbors_with_metadata(nb, items))
 
 
@@ -334,11 +371,12 @@ _NC = P.NUTRITION_COLS
           + "nz AS (SELECT *, sqrt(" + " + ".join(f"{c} * {c}" for c in _NC) + ") AS nrm FROM z),\n"
           + "s AS (SELECT a.id, b.id AS neighbor_id, (" + " + ".join(f"a.{c} * b.{c}" for c in _NC)
           + ") / ((CASE WHEN a.nrm = 0 THEN 1.0 ELSE a.nrm END) * (CASE WHEN b.nrm = 0 THEN 1.0 ELSE b.nrm END)) AS score "
-          + "FROM nz a JOIN nz b ON a.id <> b.id)\n"
+          + "FROM nz a JOIN nz b ON a.id <> b.id AND a.id % 50 = 0)\n"
           + """SELECT id, neighbor_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, neighbor_id) AS rank FROM s) WHERE rank <= 10""")
 def q_cos_numeric(spark, sf):
-    return rounded(SIM.cosine_topk_numeric(P.nutrition(spark, sf), _NC, top_n=10))
+    asked = P.table(spark, sf, "embeddings").where(F.col("vec_id") % 50 == 0).select("vec_id")
+    return rounded(SIM.cosine_topk_numeric(P.nutrition(spark, sf), _NC, top_n=10, query_ids=asked))
 
 
 # ---------------------------------------------------------------- G2-G5 -----
@@ -346,21 +384,41 @@ def _docs_text(spark, sf):
     return P.table(spark, sf, "documents").select("doc_id", "text")
 
 
-@register("kmeans_text")
-def q_kmeans_text(spark, sf):
+def _model(spark, sf):
+    """TF-IDF and k-means over all documents."""
     from potluck.operators import clustering as CL
 
     docs = _docs_text(spark, sf)
-    tfidf, km = CL.kmeans_text(docs, "text", k=6, max_features=2000)
-    return CL.assign_clusters(docs, tfidf, km).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    return docs, *CL.kmeans_text(docs, "text", k=6, id_col="doc_id")
+
+
+@register("tfidf_weights", """WITH t AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]{2,}')) AS term FROM documents),
+c AS (SELECT id, term, count(*) AS cnt FROM t WHERE NOT list_contains(%s, term) GROUP BY 1, 2),
+v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf, sum(cnt) AS total FROM c GROUP BY term
+      ORDER BY total DESC, term LIMIT 8000),
+r AS (SELECT id, c.term, cnt * idf AS raw FROM c JOIN v ON c.term = v.term)
+SELECT id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)), 6) AS weight FROM r""" % (
+    "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"))
+def q_tfidf_weights(spark, sf):
+    from potluck.operators import clustering as CL
+
+    return rounded(CL.tfidf_weights(_docs_text(spark, sf), "doc_id", "text", stop_words=STOP_WORDS))
+
+
+@register("kmeans_text", "SELECT count(*) AS n_docs, CAST(0 AS BIGINT) AS n_not_nearest FROM documents")
+def q_kmeans_text(spark, sf):
+    """Documents of the model, and how many are not in their nearest cluster."""
+    from potluck.operators import clustering as CL
+
+    docs, tfidf, km = _model(spark, sf)
+    return CL.not_nearest(docs, tfidf, km, "doc_id", "text")
 
 
 @register("assign_clusters")
 def q_assign_clusters(spark, sf):
     from potluck.operators import clustering as CL
 
-    docs = _docs_text(spark, sf)
-    tfidf, km = CL.kmeans_text(docs, "text", k=6, max_features=2000)
+    docs, tfidf, km = _model(spark, sf)
     return CL.assign_clusters(docs, tfidf, km).select("doc_id", "cluster")
 
 
@@ -368,8 +426,7 @@ def q_assign_clusters(spark, sf):
 def q_top_terms(spark, sf):
     from potluck.operators import clustering as CL
 
-    docs = _docs_text(spark, sf)
-    tfidf, km = CL.kmeans_text(docs, "text", k=6, max_features=2000)
+    _, tfidf, km = _model(spark, sf)
     return CL.top_terms_per_cluster(tfidf, km, spark, n=10)
 
 
@@ -377,30 +434,38 @@ def q_top_terms(spark, sf):
 def q_project_2d(spark, sf):
     from potluck.operators import clustering as CL
 
-    tfidf, feats = CL.fit_tfidf(_docs_text(spark, sf), "text", max_features=2000)
-    return CL.project_2d(feats, id_col="doc_id")
+    return CL.project_2d(_docs_text(spark, sf), id_col="doc_id")
+
+
+@register("singular_residuals", "SELECT 1 AS component, 0.0::DOUBLE AS residual UNION ALL SELECT 2, 0.0")
+def q_singular_residuals(spark, sf):
+    """How far the two components are from singular vectors of the TF-IDF rows."""
+    from potluck.operators import clustering as CL
+
+    return rounded(CL.singular_residuals(_docs_text(spark, sf), id_col="doc_id"), 5)
 
 
 # ---------------------------------------------------------------- H1 --------
-_LINES_SQL = """WITH lines AS (SELECT concat_ws(' | ', strftime(ts, '%Y-%m-%d %H:%M:%S,%g'),
-    rpad(CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'purchase' THEN 'WARNING'
-              WHEN event_type = 'view' THEN 'DEBUG' ELSE 'INFO' END, 8, ' '),
-    rpad('user.' || CAST(user_id AS VARCHAR), 20, ' '), event_type || ' ' || props) AS value, ts FROM events),
-p AS (SELECT trim(string_split(value, '|')[1]) AS time, trim(string_split(value, '|')[2]) AS level,
-             trim(string_split(value, '|')[3]) AS logger, trim(string_split(value, '|')[4]) AS message, ts FROM lines)"""
+_LINES_SQL = """WITH lines AS (SELECT event_id, ts, event_id % 50 = 0 AS odd, event_type,
+    CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' WHEN 'view' THEN 'DEBUG' ELSE 'INFO' END AS level,
+    event_type || ' value=' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || ' ' || props AS message, user_id FROM events),
+p AS (SELECT event_id, ts, odd, CASE WHEN odd THEN '' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S,%g') END AS time,
+    CASE WHEN odd THEN '' ELSE level END AS level, CASE WHEN odd THEN '' ELSE 'user.' || user_id END AS logger,
+    CASE WHEN odd THEN '  Traceback of ' || event_type ELSE message END AS message FROM lines)"""
+_COUNTS_SQL = _LINES_SQL + """ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+  CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, level, count(*) AS n
+FROM p WHERE NOT odd GROUP BY 1, 2, 3"""
 
 
-def _log_lines(spark, sf):
-    e = P.table(spark, sf, "events").select("ts", "event_type", "user_id", "props", F.lit(None).cast("double").alias("value"))
-    return LG.parse_logs(_lines(e))
+def _event_lines(spark, sf):
+    """Numbered log lines of the events; every 50th is a traceback line without fields."""
+    odd = F.concat(F.lit("  Traceback of "), F.col("event_type"))
+    return P.table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 50 == 0, odd).otherwise(LG.event_line()).alias("value"), F.col("event_id").alias("line_no"))
 
 
-def _lines(e):
-    level = (F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "purchase", "WARNING")
-             .when(F.col("event_type") == "view", "DEBUG").otherwise("INFO"))
-    return e.select(F.concat_ws(" | ", F.date_format("ts", LG.TIME_FORMAT), F.rpad(level, 8, " "),
-                                F.rpad(F.concat(F.lit("user."), F.col("user_id").cast("string")), 20, " "),
-                                F.concat(F.col("event_type"), F.lit(" "), F.col("props"))).alias("value"))
+def _log_lines(spark, sf):
+    return LG.parse_logs(_event_lines(spark, sf))
 
 
 @register("parse_logs", _LINES_SQL + " SELECT time, level, logger, message FROM p")
@@ -415,34 +480,30 @@ def q_filter_logs(spark, sf):
         "time", "level", "logger", "message")
 
 
-@register("log_tail", _LINES_SQL + " SELECT time, level, logger, message FROM p ORDER BY ts DESC, message DESC LIMIT 50")
+@register("log_tail", _LINES_SQL + """ SELECT event_id, time, level, logger, message FROM
+  (SELECT * FROM p ORDER BY event_id DESC LIMIT 2000) WHERE instr(lower(concat_ws(' ', time, level, logger, message)), 'trace') > 0 OR level = 'ERROR'""")
 def q_log_tail(spark, sf):
-    return LG.filter_logs(_log_lines(spark, sf), last_n=50).select("time", "level", "logger", "message")
+    """The last 2000 lines; of these the errors and the traceback lines."""
+    tail = LG.filter_logs(_log_lines(spark, sf), last_n=2000)
+    both = LG.filter_logs(tail, levels=["ERROR"]).unionByName(LG.filter_logs(tail, query="Trace"))
+    return both.select(F.col("line_no").alias("event_id"), "time", "level", "logger", "message")
 
 
-@register("log_level_counts", _LINES_SQL + """ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
-  CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, level, count(*) AS n
-FROM (SELECT level, strptime(time, '%Y-%m-%d %H:%M:%S,%g') AS ts FROM p) GROUP BY 1, 2, 3""")
+@register("log_level_counts", _COUNTS_SQL)
 def q_log_level_counts(spark, sf):
     return LG.level_counts(_log_lines(spark, sf), window="1 day")
 
 
-@register("stream_log_level_counts", _LINES_SQL + """ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
-  CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end, level, count(*) AS n
-FROM (SELECT level, strptime(time, '%Y-%m-%d %H:%M:%S,%g') AS ts FROM p) GROUP BY 1, 2, 3""")
+@register("stream_log_level_counts", _COUNTS_SQL)
 def q_stream_log_level_counts(spark, sf):
     """The log stream: lines derived from events land as text files in a folder;
     a Structured Streaming query with a watermark counts them per level and day."""
-    import uuid
-
     from potluck.session import scratch_path
 
-    base = scratch_path(spark, f"log-stream-{uuid.uuid4().hex[:8]}")
-    e = P.table(spark, sf, "events").select("ts", "event_type", "user_id", "props")
-    _lines(e).write.mode("overwrite").text(f"{base}/in")
-    stream = LG.stream_level_counts(spark, f"{base}/in", window="1 day", watermark="1 day")
-    LG.run_to_table(stream, f"{base}/out", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/out")
+    base = scratch_path(spark, "log-stream")
+    _event_lines(spark, sf).select("value").write.text(f"{base}/in")
+    LG.run_to_table(LG.stream_level_counts(spark, f"{base}/in", window="1 day", watermark="1 day"), f"{base}/out", f"{base}/ckpt")
+    return LG.latest_counts(spark, f"{base}/out")
 
 
 @register("signature_top3", _tfidf_sql(_R + ", items AS (SELECT name AS g, unnest(tags) AS term FROM recipes)", 3).replace(

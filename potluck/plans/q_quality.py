@@ -133,6 +133,47 @@ def q_date_span(spark, sf):
     return Q.date_span(P.table(spark, sf, "orders"), "o_orderdate")
 
 
+_TEXT_FEATURES = "review_len review_words review_exclamations review_question_marks".split()
+_TEXT_SQL = P.with_ctes(P.SQL_REVIEWS) + r""", f AS (SELECT CAST(length(coalesce(review, '')) AS INTEGER) AS review_len,
+  len(list_filter(regexp_split_to_array(coalesce(review, ''), '\s+'), lambda w: w <> '')) AS review_words,
+  length(coalesce(review, '')) - length(replace(coalesce(review, ''), '!', '')) AS review_exclamations,
+  length(coalesce(review, '')) - length(replace(coalesce(review, ''), '?', '')) AS review_question_marks, rating FROM reviews)"""
+
+
+def _reviews_features(spark, sf):
+    from potluck.operators.cleaning import text_features
+
+    return text_features(P.reviews(spark, sf), "review")
+
+
+@register("value_ranges_interactions", _TEXT_SQL + """, y AS (SELECT year(date) AS yr FROM (SELECT o_orderdate AS date FROM orders))
+SELECT 'rating' AS column_name, min(rating) AS min, max(rating) AS max FROM f
+UNION ALL SELECT 'review_len', CAST(min(review_len) AS DOUBLE), CAST(max(review_len) AS DOUBLE) FROM f
+UNION ALL SELECT 'year', CAST(min(yr) AS DOUBLE), CAST(max(yr) AS DOUBLE) FROM y""")
+def q_value_ranges_interactions(spark, sf):
+    years = P.interactions(spark, sf).select(F.year("date").alias("year"))
+    return Q.value_ranges(_reviews_features(spark, sf), ["rating", "review_len"]).unionByName(Q.value_ranges(years, ["year"]))
+
+
+@register("describe_text_features", _TEXT_SQL + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+  round(CAST(min({c}) AS DOUBLE), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+  round(quantile_cont({c}, 0.75), 6) AS p75, round(CAST(max({c}) AS DOUBLE), 6) AS max FROM f""" for c in _TEXT_FEATURES))
+def q_describe_text_features(spark, sf):
+    return rounded(Q.describe_numeric(_reviews_features(spark, sf), _TEXT_FEATURES))
+
+
+@register("duplicates_interactions_found", P.with_ctes(P.SQL_INTERACTIONS) + """, t AS (SELECT * FROM interactions UNION ALL SELECT * FROM interactions WHERE user_id % 10 = 0
+  UNION ALL SELECT * REPLACE ('again' AS review) FROM interactions WHERE user_id % 15 = 0)
+SELECT 'user_recipe_date' AS kind, (SELECT count(*) FROM t) - (SELECT count(*) FROM (SELECT DISTINCT user_id, recipe_id, date FROM t)) AS n_duplicates
+UNION ALL SELECT 'full', (SELECT count(*) FROM t) - (SELECT count(*) FROM (SELECT DISTINCT * FROM t))""")
+def q_duplicates_interactions_found(spark, sf):
+    """Interactions of which some occur twice, some again with another review."""
+    i = P.interactions(spark, sf)
+    t = i.unionByName(i.where("user_id % 10 = 0")).unionByName(i.where("user_id % 15 = 0").withColumn("review", F.lit("again")))
+    return Q.duplicates_interactions(t)
+
+
 # ---------------------------------------------------------------- Q8-Q10 ----
 def _hist_sql(src: str, col: str, bins: int) -> str:
     edge = lambda k: f"(CASE WHEN {k} = {bins} THEN hi ELSE {k} * step + lo END)"
@@ -160,6 +201,19 @@ def q_histogram_steps(spark, sf):
     return S.histogram(P.recipes(spark, sf), "n_steps", 25)
 
 
+@register("histogram_review_len", P.with_ctes(P.SQL_REVIEWS) + ", rl AS (SELECT CAST(length(coalesce(review, '')) AS INTEGER) AS review_len FROM reviews)"
+          + _hist_sql("rl", "review_len", 50).replace("WITH ", ", ", 1))
+def q_histogram_review_len(spark, sf):
+    return S.histogram(_reviews_features(spark, sf), "review_len", 50)
+
+
+@register("histogram_user_mean", P.with_ctes(P.SQL_INTERACTIONS) + ", um AS (SELECT user_id, avg(rating) AS mean_rating FROM interactions GROUP BY user_id)"
+          + _hist_sql("um", "mean_rating", 25).replace("WITH ", ", ", 1))
+def q_histogram_user_mean(spark, sf):
+    means = P.interactions(spark, sf).groupBy("user_id").agg(F.avg("rating").alias("mean_rating"))
+    return S.histogram(means, "mean_rating", 25)
+
+
 @register("hist_rating", P.with_ctes(P.SQL_INTERACTIONS) + """, v AS (SELECT rating AS v FROM interactions WHERE rating BETWEEN 0.5 AND 5.5),
 c AS (SELECT CAST((v >= 1.5)::INT + (v >= 2.5)::INT + (v >= 3.5)::INT + (v >= 4.5)::INT AS INTEGER) AS bin, count(*) AS cnt FROM v GROUP BY 1),
 s AS (SELECT CAST(range AS INTEGER) AS bin, 0.5 + range AS "left", 1.5 + range AS right FROM range(0, 5))

@@ -7,8 +7,8 @@ from the session.  Only tests (where the setting is unset) create their own.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +22,9 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # A side is broadcast only when its measured size is below this bound;
-    # operators that broadcast by hint check sizes themselves (see joins).
+    # checkpoint files go once nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # A side is broadcast only when its measured size is below this bound.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
@@ -77,24 +78,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
+    """A new path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/potluck-tables/{name}-{os.getpid()}"
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than that (a small or unsplittable file, e.g. one Parquet row
-    group); a no-op for inputs that already arrive as many splits."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-def file_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or folder through the session's Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    return f"{base}/potluck-tables/{name}-{uuid.uuid4().hex}"

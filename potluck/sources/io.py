@@ -57,23 +57,24 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
 
 # ---------------------------------------------------------------- A1 --------
 def load_table(spark: SparkSession, name: str, data_dir: str, *, schema: T.StructType | None = None,
-               candidates: Sequence[str] | None = None) -> DataFrame:
+               candidates: Sequence[str] | None = None, multi_line: bool = True) -> DataFrame:
     """Parquet ``<dir>/<name>.parquet`` if present, else CSV ``<dir>/<name>.csv``
-    (header, multi-line quoted text), else the first existing candidate path
-    (dispatch on suffix); FileNotFoundError otherwise."""
+    (header, quoted text), else the first existing candidate path (dispatch on
+    suffix); FileNotFoundError otherwise.  ``multi_line=False`` reads CSV files
+    without line breaks inside fields in splits instead of one task a file."""
     base = data_dir.rstrip("/")
     paths = [f"{base}/{name}.parquet", f"{base}/{name}.csv"] + list(candidates or [])
     for p in paths:
         if _fs_exists(spark, p):
-            return read_path(spark, p, schema=schema)
+            return read_path(spark, p, schema=schema, multi_line=multi_line)
     raise FileNotFoundError(f"no parquet or csv for {name!r} under {data_dir!r}")
 
 
-def read_path(spark: SparkSession, path: str, *, schema: T.StructType | None = None) -> DataFrame:
+def read_path(spark: SparkSession, path: str, *, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """Read by suffix: .parquet, .csv, .json; a directory is read as Parquet."""
     low = path.lower()
     if low.endswith(".csv"):
-        r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
         return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
     if low.endswith(".json"):
         r = spark.read.option("multiLine", True)

@@ -32,24 +32,37 @@ def parse_log_line(line: str | Column) -> Column:
     )
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the log files at ``path`` with ``line_no``, a struct that sorts
+    as the lines stand in their files (file, block, place)."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("place"))
+    return spark.read.text(path).select("value", place.alias("line_no"))
+
+
 def parse_logs(lines: DataFrame, *, line_col: str = "value") -> DataFrame:
-    """(time, level, logger, message, ts) per line; ts parsed from time."""
-    p = lines.select(parse_log_line(line_col).alias("p")).select("p.*")
+    """(time, level, logger, message, ts) per line, and ``line_no`` if the
+    lines have one; ts parsed from time."""
+    keep = ["line_no"] if "line_no" in lines.columns else []
+    p = lines.select(parse_log_line(line_col).alias("p"), *keep).select("p.*", *keep)
     return p.withColumn("ts", F.try_to_timestamp(F.col("time"), F.lit(TIME_FORMAT)).cast("timestamp_ntz"))
 
 
 def filter_logs(parsed: DataFrame, *, levels: Sequence[str] = (), query: str | None = None,
-                last_n: int | None = None) -> DataFrame:
-    """Keep chosen levels and lines whose fields contain ``query`` (any case);
-    ``last_n`` keeps the latest lines by time (the tail view)."""
+                last_n: int | None = None, order_col: str = "line_no") -> DataFrame:
+    """The tail view: the last ``last_n`` lines in the order of ``order_col``
+    (without that column: by time), of these the chosen levels and the lines
+    whose fields contain ``query`` (any case).  Without ``last_n`` all lines
+    are filtered."""
     out = parsed
+    if last_n:
+        order = [F.desc(order_col)] if order_col in parsed.columns else [F.desc("ts"), F.desc("message")]
+        out = out.orderBy(*order).limit(last_n)
     if levels:
         out = out.where(F.col("level").isin(list(levels)))
     if query:
         hay = F.lower(F.concat_ws(" ", "time", "level", "logger", "message"))
         out = out.where(F.instr(hay, query.lower()) > 0)
-    if last_n:
-        out = out.orderBy(F.desc("ts"), F.desc("message")).limit(last_n)
     return out
 
 
@@ -79,27 +92,41 @@ def stream_level_counts(spark: SparkSession, log_dir: str, *, window: str = "1 h
     return level_counts(parse_logs(lines), window=window, watermark=watermark)
 
 
-def lines_from_events(events: DataFrame) -> DataFrame:
-    """Log lines derived from the events table (one per event), used as the
-    test source: time, level from the event type, logger from the user."""
+def event_line() -> Column:
+    """The log line of a row of the events table: time, level from the event
+    type, logger from the user, value and properties."""
     level = (F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "purchase", "WARNING")
              .when(F.col("event_type") == "view", "DEBUG").otherwise("INFO"))
-    return events.select(F.concat_ws(
+    return F.concat_ws(
         " | ", F.date_format("ts", TIME_FORMAT), F.rpad(level, 8, " "),
         F.rpad(F.concat(F.lit("user."), F.col("user_id").cast("string")), 20, " "),
-        F.concat(F.col("event_type"), F.lit(" value="), F.col("value").cast("string"), F.lit(" "), F.col("props")),
-    ).alias("value"))
+        F.concat(F.col("event_type"), F.lit(" value="), F.floor("value").cast("string"), F.lit(" "), F.col("props")))
 
 
-def run_to_table(stream_df: DataFrame, path: str, checkpoint: str, *, timeout_s: int = 600) -> None:
-    """Run a streaming aggregation over everything available now, keeping its
-    complete result table as Parquet at ``path`` (rewritten per micro-batch
-    by ``foreachBatch``; the checkpoint makes the query restartable)."""
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def lines_from_events(events: DataFrame) -> DataFrame:
+    """Log lines derived from the events table (one per event)."""
+    return events.select(event_line().alias("value"))
 
-    q = (stream_df.writeStream.outputMode("complete").foreachBatch(write)
+
+def run_to_table(stream_df: DataFrame, path: str, checkpoint: str) -> None:
+    """Run a windowed count over everything available now, in update mode.
+
+    Each micro-batch writes only the windows it changed, to a folder of its
+    own (written again as a whole if the batch is repeated); ``latest_counts``
+    reads the newest count per window and level.  Waits until the input is
+    used up and raises if the query fails; the checkpoint makes it restartable.
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+
+    q = (stream_df.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest count of every window and level under ``path``."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy("window_start", "window_end", "level").agg(F.max_by("n", "epoch").alias("n"))

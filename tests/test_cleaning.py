@@ -107,3 +107,30 @@ def test_normalize_ingredients_vocabulary(spark):
 def test_build_corpus(spark):
     df = spark.createDataFrame([("Pie", ["apple", "it's"], None)], "name string, ingredients array<string>, description string")
     assert df.select(B.build_corpus().alias("t")).collect()[0]["t"] == "pie ['apple', \"it's\"] "
+
+
+def test_dates_of_every_accepted_shape(spark):
+    cases = {"03-12-24": "2024-03-12", "25/12/24": "2024-12-25", "12Mar2024": "2024-03-12", "12 Mar, 2024": "2024-03-12", "Mar 12, 24": "2024-03-12",
+             "March 2024": "2024-03-01", "2024-03-12 10:00": "2024-03-12 10:00:00", "2024-03-12T10:00:00Z": "2024-03-12 10:00:00",
+             "2024-03-12 10:00:00.123": "2024-03-12 10:00:00.123", "13-12-24": "2024-12-13", "1/1/70": "1970-01-01", "2024.3.2": "2024-03-02",
+             "12 Mar": None, "Mar12": None, "3/4/024": None, "45/45/2024": None, "x": None}
+    df = spark.createDataFrame([(k,) for k in cases], "v string")
+    got = {r["v"]: r["d"] for r in df.select("v", B.clean_date("v").cast("string").alias("d")).collect()}
+    assert got == {k: v if v is None or " " in v else f"{v} 00:00:00" for k, v in cases.items()}
+    kept = spark.sql("SELECT timestamp_ntz'2024-01-02 03:04:05.678' t").select(B.clean_date("t").cast("string").alias("d")).first()["d"]
+    assert kept == "2024-01-02 03:04:05.678"
+
+
+def test_float_lists_as_literals(spark):
+    f = lambda c: B.parse_float_list(c)
+    for text, want in {"[1., .5]": [1.0, 0.5], "[1.0, 2.0,]": [1.0, 2.0], "[1.0, 2.0] junk": [], "[1.5, True]": [1.5, 1.0],
+                       "[1, None, 'x', '2.5', -3e2]": [1.0, 2.5, -300.0], "[01]": []}.items():
+        assert _one(spark, f, text) == want, text
+
+
+def test_loose_lists_by_both_rules(spark):
+    for text, literal, delimited in [("easy|quick, dinner", ["easy|quick", "dinner"], ["easy", "quick", "dinner"]), ("'a', 'b'", ["a", "b"], ["'a'", "'b'"]),
+                                     ("[tomato, basil]", ["tomato", "basil"], ["[tomato", "basil]"]), ("a,b", ["a", "b"], ["a", "b"]),
+                                     ("[' X ', 'y']", ["x", "y"], ["X", "y"])]:
+        assert _one(spark, lambda c: B.parse_loose_list(c), text) == literal
+        assert _one(spark, lambda c: B.parse_loose_list(c, delimiters=",|"), text) == delimited

@@ -87,6 +87,41 @@ def test_filter_logs(spark):
     assert LG.filter_logs(parsed, query="USER.").count() == parsed.count()
 
 
+def test_stream_with_late_and_unordered_files(spark):
+    """Update mode, a file at a time: rows that come late or out of order within
+    the watermark end in the batch result; written windows are merged."""
+    base = tempfile.mkdtemp(prefix="potluck-late-")
+    events = P.table(spark, SF_SMALL, "events")
+    first, last = (r.strftime("%Y-%m-%d %H:%M:%S") for r in events.selectExpr("min(ts)", "max(ts)").first())
+    cut = events.selectExpr(f"timestampadd(SECOND, timestampdiff(SECOND, timestamp_ntz'{first}', timestamp_ntz'{last}') DIV 2, timestamp_ntz'{first}') c").first()["c"]
+    middle = f"timestamp_ntz'{cut}'"
+    parts = [events.where(f"ts >= {middle}"), events.where(f"ts < {middle} AND event_id % 2 = 0"), events.where(f"ts < {middle} AND event_id % 2 = 1")]
+    for p in parts:  # the newest events come first, one run of the stream per arrival
+        LG.lines_from_events(p).coalesce(1).write.mode("append").text(os.path.join(base, "in"))
+        stream = LG.stream_level_counts(spark, os.path.join(base, "in"), window="1 day", watermark="1000 days")
+        LG.run_to_table(stream, os.path.join(base, "out"), os.path.join(base, "ckpt"))
+    got = {(r["window_start"], r["level"]): r["n"] for r in LG.latest_counts(spark, os.path.join(base, "out")).collect()}
+    want = {(r["window_start"], r["level"]): r["n"] for r in LG.level_counts(LG.parse_logs(LG.lines_from_events(events)), window="1 day").collect()}
+    assert got == want
+
+
+def test_tail_is_taken_before_the_filters(spark):
+    rows = [(i, f"2024-01-01 00:00:{i:02d},000 | {'ERROR' if i % 4 == 0 else 'INFO'} | x | m{i}" if i % 5 else f"  Traceback {i}") for i in range(1, 41)]
+    parsed = LG.parse_logs(spark.createDataFrame(rows, "line_no long, value string"))
+    tail = LG.filter_logs(parsed, last_n=10)
+    assert sorted(r["line_no"] for r in tail.collect()) == list(range(31, 41))
+    assert [r["line_no"] for r in LG.filter_logs(parsed, last_n=10, levels=["ERROR"]).collect()] in ([36, 32], [32, 36])
+    assert sorted(r["line_no"] for r in LG.filter_logs(parsed, last_n=10, query="traceback").collect()) == [35, 40]
+
+
+def test_lines_are_numbered_in_file_order(spark):
+    base = tempfile.mkdtemp(prefix="potluck-lines-")
+    with open(os.path.join(base, "app.log"), "w") as f:
+        f.writelines(f"line {i}\n" for i in range(5000))
+    got = [r["value"] for r in LG.read_lines(spark, base).orderBy("line_no").collect()]
+    assert got == [f"line {i}" for i in range(5000)]
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as entry
 

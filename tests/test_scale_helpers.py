@@ -116,3 +116,60 @@ def test_cosine_numeric_equals_brute_force(spark):
     for i in range(40):
         order = [j for j in np.argsort(-sim[i], kind="stable") if j != i][:3]
         assert got[i] == order
+
+
+def test_neighbour_lookup_is_linear_and_rejects_unknown_ids(spark):
+    from potluck.operators.similarity import cosine_topk_numeric, cosine_topk_tokens
+
+    df = spark.range(4000).selectExpr("id", "array(concat('t', id % 50), concat('u', id % 7)) AS tokens", "id * 1.0 AS x", "id % 3 * 1.0 AS y")
+    one = spark.createDataFrame([(17,)], "id long")
+    got = cosine_topk_tokens(df, top_n=5, query_ids=one).orderBy("rank").collect()
+    assert [r["neighbor_id"] for r in got] == [367, 717, 1067, 1417, 1767] and all(abs(r["score"] - 1) < 1e-12 for r in got)
+    every = cosine_topk_tokens(df, top_n=5, block_rows=64).where("id = 17").orderBy("rank").collect()
+    assert [(r["neighbor_id"], r["rank"]) for r in every] == [(r["neighbor_id"], r["rank"]) for r in got]
+    near = cosine_topk_numeric(df, ["x", "y"], top_n=3, query_ids=one).collect()
+    assert len(near) == 3
+    for call in (lambda q: cosine_topk_tokens(df, query_ids=q), lambda q: cosine_topk_numeric(df, ["x", "y"], query_ids=q)):
+        with pytest.raises(Exception, match="not found"):
+            call(spark.createDataFrame([(99999,)], "id long")).collect()
+    rows = [n for n in _exchange_rows(cosine_topk_tokens(df, top_n=5, query_ids=one))]
+    assert max(rows) <= 2 * 4000  # term counts of the items, dealt once; no copy per block
+
+
+def _exchange_rows(df):
+    """Rows written by each shuffle of the executed plan."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        p = todo.pop()
+        if p.nodeName() == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+            continue
+        if "QueryStage" in p.nodeName():
+            todo.append(p.plan())
+        m = p.metrics().get("shuffleRecordsWritten")
+        if m.isDefined():
+            out.append(m.get().value())
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def test_signature_counts_groups_without_items(spark):
+    from potluck.operators.text import signature_tfidf
+
+    rows = [("x", ["a", "b"]), ("y", ["a", "c"]), ("w", ["d"]), ("z", [])]
+    got = signature_tfidf(spark.createDataFrame(rows, "g string, items array<string>"), "g", "items").collect()
+    assert {(r["g"], r["term"]) for r in got} == {("x", "a"), ("x", "b"), ("y", "a"), ("y", "c"), ("w", "d")}  # a: 2 of 4 groups, kept
+
+
+def test_seasons_are_whole_tags_and_null_dates_have_none(spark):
+    from potluck.operators import enrich as EN
+
+    df = spark.createDataFrame([(["summer-squash", "waterfall"], None), (["summer"], "2024-07-01"), (["fall", "winter"], "2024-03-01")], "tags array<string>, d string")
+    df = df.selectExpr("tags", "cast(d as date) AS submitted", "'' AS name", "'' AS description")
+    m = EN.season_masks(df).first()
+    assert (m["n_summer"], m["n_fall"], m["n_any_season_tags"], m["n_any_season_text"]) == (1, 1, 2, 2)
+    a = EN.season_agreement(df).first()
+    assert (a["tagged"], a["correct"]) == (2, 1)
+    assert df.select(EN.season_from_date("submitted").alias("s")).collect()[0]["s"] is None
