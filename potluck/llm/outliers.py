@@ -36,8 +36,10 @@ from potluck.llm.common import written
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+#: Rows of a group are dealt to so many tasks wherever they meet their group's estimate.
+SALTS = 64
 #: Smallest standard deviations of the statistics: finer differences are not outlying.
-FLOORS = (0.35, 0.15, 0.25, 0.1, 0.1)
+FLOORS = (0.35, 0.15, 0.25, 0.2, 0.15)
 P = len(FLOORS)
 
 
@@ -165,16 +167,26 @@ def _means(sums: DataFrame, keys: list[str]) -> DataFrame:
                           for i, j in PAIRS])
 
 
+def with_group(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` (with a salt) joined with their group's columns.  The group table
+    is repeated once a salt, so that no task has to take a whole group."""
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, [*keys, "salt"], how)
+
+
+def salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int").alias("salt")
+
+
 def estimate(rows: DataFrame, keys: list[str], share: float = 0.75, steps: int = 3, least_rows: int = 20) -> DataFrame:
-    """keys, means, Cholesky factor of each group's covariance estimate.
+    """keys, means, Cholesky factor of each group's covariance estimate, for
+    groups of ``least_rows`` rows or more.
 
-    ``rows``: a written table of keys (not null) and z0, z1, ...
+    ``rows``: a written table of keys (not null), salt and z0, z1, ...
     """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= least_rows)
-    rows = rows.join(counts.select(*keys), keys, "left_semi")
     # start 0: medians and absolute deviations; start 1: plain moments
     mid = written(rows.groupBy(*keys).agg(*[F.percentile_approx(f"z{i}", 0.5, 1000).alias(f"m{i}") for i in range(P)]), "mcd-medians")
-    spread = rows.join(mid, keys).groupBy(*keys).agg(
+    spread = with_group(rows, mid, keys).groupBy(*keys).agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(P)],
         *[F.percentile_approx(F.abs(F.col(f"z{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"a{i}") for i in range(P)])
     robust = spread.select(*keys, F.lit(0).alias("start"), *[f"m{i}" for i in range(P)],
@@ -184,7 +196,7 @@ def estimate(rows: DataFrame, keys: list[str], share: float = 0.75, steps: int =
     now = written(_cholesky(robust.unionByName(plain), [*keys, "start"]), "mcd-start")
     own = [*keys, "start"]
     for step in range(steps):
-        far = _distance(rows.join(now, keys), "d2")
+        far = _distance(with_group(rows, now, keys), "d2")
         classes = (far.withColumn("class", F.floor(F.log2(F.col("d2") + F.lit(1e-6)) * 16).cast("int"))
                    .groupBy(*own, "class").agg(*_moments()))
         upto = Window.partitionBy(*own).orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
@@ -195,7 +207,9 @@ def estimate(rows: DataFrame, keys: list[str], share: float = 0.75, steps: int =
                                        *[F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in PAIRS])
         now = written(_cholesky(_means(sums, own), own), f"mcd-{step}")
     best = Window.partitionBy(*keys).orderBy("det", "start")
-    return now.withColumn("_best", F.row_number().over(best)).where("_best = 1").drop("_best", "start", "det")
+    enough = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= least_rows)
+    return (now.withColumn("_best", F.row_number().over(best)).where("_best = 1").drop("_best", "start", "det")
+            .join(enough, keys).drop("_rows"))
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
@@ -208,11 +222,12 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     stats = written(statistics(docs, doc_id, text, lang, source), "quality-statistics")
     keys = ["g_lang", "g_source"]
     group = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")).alias(k) for c, k in zip(("lang", "source"), keys)]
-    passed = stats.where("not base_failed").select(*group, *[z.alias(f"z{i}") for i, z in enumerate(vector())])
+    spread = salt("doc_id", "n_words", "word_chars", "n_symbols")
+    passed = stats.where("not base_failed").select(*group, spread, *[z.alias(f"z{i}") for i, z in enumerate(vector())])
     usual = estimate(passed, keys, share, steps, least_rows)
     wide = share / chi2_cdf(chi2_quantile(share, P), P + 2)  # makes the tight share's covariance that of all
     limit = chi2_quantile(1 - tail, P) * wide
-    marked = stats.select(*stats.columns, *group, *[F.when(~F.col("base_failed"), z).alias(f"z{i}") for i, z in enumerate(vector())])
-    far = _distance(marked.join(usual, keys, "left"), "d2")
+    marked = stats.select(*stats.columns, *group, spread, *[F.when(~F.col("base_failed"), z).alias(f"z{i}") for i, z in enumerate(vector())])
+    far = _distance(with_group(marked, usual, keys, "left"), "d2")
     return far.select(*stats.columns, (F.col("d2") / F.lit(wide)).alias("distance2"),
                       (~F.col("base_failed") & (F.col("d2").isNull() | (F.col("d2") <= F.lit(limit)))).alias("kept"))
