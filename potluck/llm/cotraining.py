@@ -35,6 +35,10 @@ from pyspark.sql import types as T
 from potluck.llm.common import fit_logistic, fresh, hash_share, labelled_sample, with_python
 
 TEXT_DIM = 1024
+#: A text of so many bytes has half the weight of a long one in the trigram shares.
+SHORT = 300
+#: How much the two repetition shares weigh beside one trigram share.
+REPETITION = 12.0
 SOURCE_DIM, LANG_DIM = 32, 16
 #: Classes of bytes whose shares describe a page's layout.
 CLASSES = ("upper", "lower", "digit", "space", "newline", "high", "mark", "stop")
@@ -56,7 +60,8 @@ CLASS_OF = _class_of()
 
 
 def text_view(text: str | None) -> np.ndarray:
-    """Square roots of hashed trigram shares (unit length), then two repetition shares."""
+    """Square roots of hashed trigram shares (less for short texts, which say
+    little), then two repetition shares."""
     out = np.zeros(TEXT_DIM + 2, dtype=np.float32)
     raw = (text or "").encode("utf-8", "surrogatepass")
     if len(raw) >= 3:
@@ -65,7 +70,7 @@ def text_view(text: str | None) -> np.ndarray:
             b = np.frombuffer(raw[at:at + (1 << 20) + 2], dtype=np.uint8).astype(np.uint32)
             code = (b[:-2] * np.uint32(40503) + b[1:-1] * np.uint32(30011) + b[2:] * np.uint32(9176471)) >> np.uint32(4)
             counts += np.bincount(code & np.uint32(TEXT_DIM - 1), minlength=TEXT_DIM)
-        out[:TEXT_DIM] = np.sqrt(counts / counts.sum())
+        out[:TEXT_DIM] = np.sqrt(counts / (counts.sum() + SHORT))
     words = raw.split()
     if words:
         out[TEXT_DIM] = 1.0 - len(set(words)) / len(words)
@@ -102,6 +107,8 @@ class View:
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float, steps: int) -> View:
         self.mean = x.mean(axis=0)
         self.scale = 1.0 / np.sqrt(x.var(axis=0) + 1e-4)
+        if x.shape[1] == TEXT_DIM + 2:
+            self.scale[TEXT_DIM:] *= REPETITION
         self.scale *= 4.0 / max(1e-9, float(np.linalg.norm((x - self.mean) * self.scale, axis=1).mean()))
         self.coef, self.shift = fit_logistic((x - self.mean) * self.scale, y, weight, l2=l2, steps=steps)
         return self
