@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from potluck.llm import bpe, cotraining, html, outliers, packing, sharding, simhash, topk, toxicity, viterbi
+from potluck.llm import bpe, cotraining, html, outliers, packing, sharding, simhash, sql_outliers, topk, toxicity, viterbi
 from potluck.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,7 +87,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_tokens")
 
 
-@query("op6_robust_outliers")
+@query("op6_robust_outliers", sql_outliers.build())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and robust outliers of every document, DataFrame functions only."""
     return outliers.judge(table(spark, sf_dir, "documents")).select(
