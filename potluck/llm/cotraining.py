@@ -13,7 +13,7 @@ logistic combination of the calibrated views scores every document.
 Fitting uses a bounded sample: at most about ``max_rows`` labelled rows of
 each class and ``pool_rows`` unlabelled rows (parameters), whose feature
 vectors, not texts, come to the driver.  Rows with crc32(doc_id) mod 5 = 0 are
-never learned from.  Scoring is one pass over whole texts without a shuffle.
+never learned from; of rows that repeat an id one is.  Scoring is one pass over whole texts without a shuffle.
 
 Defined cases: null and empty texts have zero text features and are scored by
 the same formula; null source, lang or length are values of their own; with
@@ -191,11 +191,11 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     sample, n = labelled_sample(docs, labels, doc_id, label, columns, max_rows)
     if not n[0] or not n[1]:
         return Model(constant=0.0 if n[0] else 1.0)
-    got = _featured(sample).select("key", "y", "x", "z").collect()
+    got = _featured(sample).select("key", "y", "x", "z").dropDuplicates(["key"]).collect()
     total = docs.count()
     bare = docs.select(F.col(doc_id).alias("key"), *[F.col(o).alias(c) for c, o in columns.items()])
     pool = bare.where(hash_share(F.col("key"), min(1.0, pool_rows / max(1, total)), 11) & (F.crc32(F.col("key").cast("string")) % 5 != 0))
-    free = _featured(pool).select("x", "z", "key").collect()
+    free = _featured(pool).select("x", "z", "key").dropDuplicates(["key"]).collect()
     unpack = lambda rows, c, d: np.array([np.frombuffer(r[c], np.float16) for r in rows], dtype=np.float64).reshape(-1, d)
     got.sort(key=lambda r: r["key"])
     free.sort(key=lambda r: r["key"])

@@ -50,7 +50,7 @@ N_FEATURES = 5
 
 # --------------------------------------------------- trie x automata --------
 def allowed_edits(term: str) -> int:
-    n = len(term)
+    n = len(term) - 2 * term.endswith("*")  # a beginning says less than a word of its length
     return 0 if n < 5 else 1 if n < 9 else 2
 
 
@@ -69,7 +69,7 @@ class Lexicon:
         self.room: list[int] = [0]             # most edits a term below still allows
         for t, term in enumerate(self.terms):
             stem = term.rstrip("*")
-            k, path = allowed_edits(stem) if not term.endswith("*") else 0, [0]
+            k, path = allowed_edits(stem), [0]
             for ch in stem:
                 at = self.children[path[-1]].get(ch)
                 if at is None:
@@ -109,14 +109,13 @@ class Lexicon:
             self.sets.append(key)
             self.next.append({})
             ends: dict[int, int] = {}
-            opens: list[int] = []
+            opens: dict[int, int] = {}
             for node, e in key:
-                for t in self.ends[node]:
-                    if e <= allowed_edits(self.terms[t]):
-                        ends[t] = min(e, ends.get(t, 9))
-                if e == 0:
-                    opens += self.opens[node]
-            self.found.append((tuple(sorted(ends.items())), tuple(opens)))
+                for here, terms in ((ends, self.ends[node]), (opens, self.opens[node])):
+                    for t in terms:
+                        if e <= allowed_edits(self.terms[t]):
+                            here[t] = min(e, here.get(t, 9))
+            self.found.append((tuple(sorted(ends.items())), tuple(opens.items())))
         return at
 
     def _step(self, state: int, ch: str) -> int:
@@ -132,7 +131,8 @@ class Lexicon:
         return at
 
     def match(self, word: str) -> tuple[tuple[int, int], ...]:
-        """(term number, distance) of every term that ``word`` matches."""
+        """(term number, distance) of every term that ``word`` matches; a
+        beginning matches with the least distance of any start of the word."""
         if len(self.sets) > self.keep:
             self._reset()
         at, opened = self.start, ()
@@ -145,7 +145,8 @@ class Lexicon:
             if not sets[at]:
                 break
         hits = dict(found[at][0])
-        hits.update((t, 0) for t in opened)
+        for t, e in opened:
+            hits[t] = min(e, hits.get(t, 9))
         return tuple(sorted(hits.items()))
 
 
@@ -199,7 +200,7 @@ class Scorer:
             if w not in bad:
                 continue
             weight, term = bad[w]
-            before = low[spans[max(0, k - WINDOW)][0] - 1 if k > 0 else 0:start]
+            before = low[max(0, spans[max(0, k - WINDOW)][0] - 1):start]
             after = low[end:spans[min(len(spans) - 1, k + WINDOW)][1] + 1]
             count += 1
             if _opened(before) and _closed(after):
@@ -256,7 +257,7 @@ def _sketch(words: list[str]) -> int:
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_rows: int = 4000, min_share: float = 0.01, min_docs: int = 5, max_terms: int = 2000) -> Model:
+          max_rows: int = 4000, min_share: float = 0.01, min_docs: int = 5, max_terms: int = 2000, max_candidates: int = 50_000) -> Model:
     """Fit on at most about ``max_rows`` labelled rows of each class."""
     sample, _ = labelled_sample(docs, labels, doc_id, label, {"text": text}, max_rows)
     sample = sample.where(F.col("text").isNotNull())
@@ -281,7 +282,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     toxic = sample.where("y = 1").select("text").mapInArrow(count, "term string, n long")
     tops = (toxic.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-            .orderBy(F.desc("n"), "term").limit(50_000).collect())  # a term holds at least 1 % of the toxic rows
+            .orderBy(F.desc("n"), "term").limit(max_candidates).collect())  # of the sample
     t1 = {r["term"]: r["n"] for r in tops}
     wanted = frozenset(t1)
 
@@ -302,7 +303,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         for b in texts_y:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 seen = {h for w in set(WORD.findall(t.lower())) for h in lexicon.match(w)}
-                got.update((k, d, y) for k, d in seen)
+                # a misspelling explains a toxic row only where no term stands as it is
+                exact = y == 1 and any(d == 0 for _, d in seen)
+                got.update((k, d, y) for k, d in seen if d == 0 or not exact)
         rows = [(k, d, y, c) for (k, d, y), c in got.items()]
         yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in (zip(*rows) if rows else ([],) * 4)], names=["k", "d", "y", "n"])
 
@@ -317,7 +320,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             model.weights[h] = min(odds, 8.0)
     for k, term in enumerate(model.terms):  # misspellings that the sample does not hold count somewhat less than the term
         own = model.weights.get((k, 0), 0.0)
-        for d in range(1, allowed_edits(term) + 1 if not term.endswith("*") else 1):
+        for d in range(1, allowed_edits(term) + 1):
             if (k, d) not in seen and own:
                 model.weights[(k, d)] = own * 0.8 ** d
 

@@ -18,7 +18,7 @@ def edits(a, b):
 
 def test_lexicon_against_edit_distance():
     rng = random.Random(1)
-    terms = ["".join(rng.choice("abc") for _ in range(rng.randint(2, 11))) for _ in range(25)] + ["abca*", "ccab*"]
+    terms = ["".join(rng.choice("abc") for _ in range(rng.randint(2, 11))) for _ in range(25)] + ["abca*", "ccab*", "abccb*", "cabbacaab*"]
     lexicon = toxicity.Lexicon(terms, keep=50)  # a bound small enough to start afresh many times
     for _ in range(1500):
         word = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 13)))
@@ -30,8 +30,9 @@ def test_lexicon_against_edit_distance():
         want = {}
         for k, t in enumerate(lexicon.terms):
             if t.endswith("*"):
-                if word.startswith(t[:-1]):
-                    want[k] = 0
+                least = min(edits(word[:n], t[:-1]) for n in range(len(word) + 1))
+                if least <= toxicity.allowed_edits(t):
+                    want[k] = least
             elif edits(word, t) <= toxicity.allowed_edits(t):
                 want[k] = edits(word, t)
         assert dict(lexicon.match(word)) == want, word
@@ -70,6 +71,7 @@ def test_toxicity_learns_catches_misspellings_and_spares_quotations(spark, make_
     assert score(base + " grumblefool dirtbag " + base) > 0.9
     assert score(base + " GRUMBLEFOL snotfaces " + base) > 0.5
     assert score(f'{base} he said "you grumblefool" and left {base}') < 0.5
+    assert score('the "snotface" of it') < 0.5 and score("snotface") > 0.5
     got = toxicity.score(make_docs(docs, extra=("score2",)), model).collect()
     assert all((r["score"] >= 0.5) == (r["doc_id"] % 4 == 0) for r in got)
 
