@@ -151,24 +151,28 @@ def cohort_matrix(df: DataFrame, *, max_age: int = 12, user_col: str = "user_id"
 
 
 # ---------------------------------------------------------------- T7 --------
-def seasonal_decompose(df: DataFrame, *, date_col: str = "date", rating_col: str = "rating",
-                       period: int = 12, min_months: int = 24) -> DataFrame:
-    """Additive decomposition of monthly n: long ``(month, part, value)``.
+def seasonal_decompose(df: DataFrame, *, date_col: str = "date", series_col: str | None = None,
+                       period: int = 12, min_months: int = 24, rating_col: str = "rating") -> DataFrame:
+    """Additive decomposition of monthly n: long ``(month, part, value)``, or
+    ``(series_col, month, part, value)`` with one decomposition per series.
 
     observed: monthly n on a gap-free month spine, gaps linearly interpolated;
     trend: centred 2x12 moving average, the first and last half-period filled by
     a least-squares line over the nearest ``period`` defined trend values;
     seasonal: per-phase mean of (observed - trend), centred to mean 0;
-    resid: observed - trend - seasonal.  Fewer than ``min_months`` months give
-    an empty result.  All windows run on the monthly rows only.
+    resid: observed - trend - seasonal.  Series of fewer than ``min_months``
+    months give no rows.  All windows run on the monthly rows only.
     """
-    bm = by_month(df, date_col=date_col, rating_col=rating_col).select("month", F.col("n").cast("double").alias("n"))
-    bounds = bm.agg(F.min("month").alias("lo"), F.max("month").alias("hi"), F.count(F.lit(1)).alias("cnt"))
-    spine = bounds.where(F.col("cnt") >= min_months).select(
-        F.explode(F.sequence(F.col("lo").cast("date"), F.col("hi").cast("date"), F.expr("interval 1 month"))).alias("d"))
-    spine = spine.select(F.col("d").cast("timestamp_ntz").alias("month"))
-    s = spine.join(bm, "month", "left")
-    w = Window.orderBy("month")
+    keys = [series_col] if series_col else []
+    dated = df.where(F.col(date_col).isNotNull())
+    bm = dated.groupBy(*keys, month_start(date_col).alias("month")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    bounds = bm.groupBy(*keys).agg(F.min("month").alias("lo"), F.max("month").alias("hi"), F.count(F.lit(1)).alias("cnt"))
+    spine = bounds.where(F.col("cnt") >= min_months).select(*keys, F.explode(
+        F.sequence(F.col("lo").cast("date"), F.col("hi").cast("date"), F.expr("interval 1 month"))).alias("d"))
+    spine = spine.select(*keys, F.col("d").cast("timestamp_ntz").alias("month"))
+    s = spine.join(bm, [*keys, "month"], "left")
+    wall = Window.partitionBy(*keys)
+    w = wall.orderBy("month")
     s = s.withColumn("t", F.row_number().over(w) - 1)
     wb = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wf = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -176,14 +180,14 @@ def seasonal_decompose(df: DataFrame, *, date_col: str = "date", rating_col: str
     prev_t = F.last(F.when(F.col("n").isNotNull(), F.col("t")), ignorenulls=True).over(wb)
     next_v = F.first("n", ignorenulls=True).over(wf)
     next_t = F.first(F.when(F.col("n").isNotNull(), F.col("t")), ignorenulls=True).over(wf)
-    s = s.select("month", "t", "n", prev_v.alias("pv"), prev_t.alias("pt"), next_v.alias("nv"), next_t.alias("nt"))
+    s = s.select(*keys, "month", "t", "n", prev_v.alias("pv"), prev_t.alias("pt"), next_v.alias("nv"), next_t.alias("nt"))
     interp = (F.when(F.col("n").isNotNull(), F.col("n"))
               .when(F.col("pv").isNull(), F.col("nv"))
               .when(F.col("nv").isNull(), F.col("pv"))
               .otherwise(F.col("pv") + (F.col("nv") - F.col("pv")) * (F.col("t") - F.col("pt")) / (F.col("nt") - F.col("pt"))))
-    s = s.select("month", "t", interp.alias("x"))
+    s = s.select(*keys, "month", "t", interp.alias("x"))
     half = period // 2
-    cnt = F.count(F.lit(1)).over(Window.partitionBy())
+    cnt = F.count(F.lit(1)).over(wall)
     s = s.withColumn("N", cnt)
     # centred moving average with half weights at both ends (even period)
     terms = [F.lag("x", k).over(w) for k in range(1, half)] + [F.col("x")] + [F.lead("x", k).over(w) for k in range(1, half)]
@@ -195,7 +199,6 @@ def seasonal_decompose(df: DataFrame, *, date_col: str = "date", rating_col: str
     a, b = F.lit(half), F.col("N") - half - 1
     in_front = (F.col("t") >= a) & (F.col("t") < F.least(a + period, b))
     in_back = (F.col("t") >= F.greatest(a, b - period)) & (F.col("t") < b)
-    wall = Window.partitionBy()
     fs = F.regr_slope(F.when(in_front, F.col("ma")), F.when(in_front, F.col("t"))).over(wall)
     fi = F.regr_intercept(F.when(in_front, F.col("ma")), F.when(in_front, F.col("t"))).over(wall)
     bs = F.regr_slope(F.when(in_back, F.col("ma")), F.when(in_back, F.col("t"))).over(wall)
@@ -205,18 +208,18 @@ def seasonal_decompose(df: DataFrame, *, date_col: str = "date", rating_col: str
              .otherwise(bi + bs * F.col("t")))
     s = s.withColumn("trend", trend)
     s = s.withColumn("phase", F.col("t") % period)
-    s = s.withColumn("pm", F.avg(F.col("x") - F.col("trend")).over(Window.partitionBy("phase")))
+    s = s.withColumn("pm", F.avg(F.col("x") - F.col("trend")).over(Window.partitionBy(*keys, "phase")))
     # phases 0..period-1 each occur exactly once among the first `period`
     # rows, so this is the mean of the phase means
     mean_pm = F.avg(F.when(F.col("t") < period, F.col("pm"))).over(wall)
-    s = s.select("month", "x", "trend", (F.col("pm") - mean_pm).alias("seasonal"))
+    s = s.select(*keys, "month", "x", "trend", (F.col("pm") - mean_pm).alias("seasonal"))
     s = s.withColumn("resid", F.col("x") - F.col("trend") - F.col("seasonal"))
     long = s.select(
-        "month",
+        *keys, "month",
         F.explode(F.array(
             F.struct(F.lit("observed").alias("part"), F.col("x").alias("value")),
             F.struct(F.lit("trend").alias("part"), F.col("trend").alias("value")),
             F.struct(F.lit("seasonal").alias("part"), F.col("seasonal").alias("value")),
             F.struct(F.lit("resid").alias("part"), F.col("resid").alias("value")),
         )).alias("kv"))
-    return long.select("month", "kv.part", "kv.value").where(F.col("value").isNotNull())
+    return long.select(*keys, "month", "kv.part", "kv.value").where(F.col("value").isNotNull())

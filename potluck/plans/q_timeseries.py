@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from potluck.operators import timeseries as ts
 from potluck.plans import proxies as P
 from potluck.plans.registry import register, rounded
@@ -136,3 +138,29 @@ UNION ALL SELECT month, 'resid', round(x - trend - seasonal, 6) + 0.0 FROM fin""
 @register("seasonal_decompose", _DECOMP_SQL)
 def q_seasonal_decompose(spark, sf):
     return rounded(ts.seasonal_decompose(P.interactions(spark, sf)))
+
+
+# one decomposition per series: every window and aggregate of the SQL above gets the key
+_DECOMP_SERIES_SQL = P.with_ctes(P.SQL_INTERACTIONS, """bm AS (SELECT user_id % 3 AS k, CAST(date_trunc('month', date) AS TIMESTAMP) AS month, CAST(count(*) AS DOUBLE) AS n
+  FROM interactions WHERE date IS NOT NULL AND NOT (user_id % 3 = 2 AND year(date) > 1992) GROUP BY 1, 2)""",
+    "b AS (SELECT k, min(month) AS lo, max(month) AS hi, count(*) AS cnt FROM bm GROUP BY k)",
+    "sp AS (SELECT k, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS TIMESTAMP) AS month FROM b WHERE cnt >= 24)",
+    "s AS (SELECT sp.k, sp.month, bm.n AS x, row_number() OVER (PARTITION BY sp.k ORDER BY sp.month) - 1 AS t FROM sp JOIN bm ON sp.month = bm.month AND sp.k = bm.k)",
+    """m AS (SELECT k, month, t, x, count(*) OVER (PARTITION BY k) AS nn, (sum(x) OVER (PARTITION BY k ORDER BY t ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)
+  + 0.5 * lag(x, 6) OVER (PARTITION BY k ORDER BY t) + 0.5 * lead(x, 6) OVER (PARTITION BY k ORDER BY t)) / 12 AS ma0 FROM s)""",
+    "ma AS (SELECT * EXCLUDE (ma0), CASE WHEN t >= 6 AND t < nn - 6 THEN ma0 END AS ma FROM m)",
+    """fit AS (SELECT k, regr_slope(ma, t) FILTER (WHERE t >= 6 AND t < least(18, nn - 7)) AS fs, regr_intercept(ma, t) FILTER (WHERE t >= 6 AND t < least(18, nn - 7)) AS fi,
+  regr_slope(ma, t) FILTER (WHERE t >= greatest(6, nn - 19) AND t < nn - 7) AS bs, regr_intercept(ma, t) FILTER (WHERE t >= greatest(6, nn - 19) AND t < nn - 7) AS bi FROM ma GROUP BY k)""",
+    "tr AS (SELECT ma.k, month, t, x, CASE WHEN ma IS NOT NULL THEN ma WHEN t < 6 THEN fi + fs * t ELSE bi + bs * t END AS trend FROM ma JOIN fit ON ma.k = fit.k)",
+    "ph AS (SELECT k, t % 12 AS phase, avg(x - trend) AS pm FROM tr GROUP BY 1, 2)",
+    "mp AS (SELECT k, avg(pm) AS mpm FROM ph GROUP BY k)",
+    "fin AS (SELECT tr.k, tr.month, tr.x, tr.trend, ph.pm - mp.mpm AS seasonal FROM tr JOIN ph ON tr.t % 12 = ph.phase AND tr.k = ph.k JOIN mp ON tr.k = mp.k)",
+) + """SELECT k AS series, month, 'observed' AS part, round(x, 6) + 0.0 AS value FROM fin UNION ALL SELECT k, month, 'trend', round(trend, 6) + 0.0 FROM fin
+UNION ALL SELECT k, month, 'seasonal', round(seasonal, 6) + 0.0 FROM fin UNION ALL SELECT k, month, 'resid', round(x - trend - seasonal, 6) + 0.0 FROM fin"""
+
+
+@register("seasonal_decompose_series", _DECOMP_SERIES_SQL)
+def q_seasonal_decompose_series(spark, sf):
+    """A decomposition per group of users; one group has too few months and drops out."""
+    i = P.interactions(spark, sf).withColumn("series", F.col("user_id") % 3)
+    return rounded(ts.seasonal_decompose(i.where("not (series = 2 and year(date) > 1992)"), series_col="series"))
