@@ -49,9 +49,14 @@ def with_python(df: DataFrame, inputs: Sequence[str], make: Callable[[], Callabl
 
     ``make()`` runs once per task and returns ``fn(*columns) -> arrays`` where
     the columns are the lists of ``inputs`` and one array per field comes back.
-    Every other column passes through untouched and needs no join.
+    Every other column passes through untouched and needs no join; a column
+    that has the name of a computed one gives way to it.
     """
     names = list(inputs)
+    new = {n.lower() for n, _ in fields}
+    if new & {n.lower() for n in names}:
+        raise ValueError("a computed column cannot have the name of an input")
+    df = df.drop(*[c for c in df.columns if c.lower() in new])
     schema = T.StructType(list(df.schema.fields) + [T.StructField(n, t, True) for n, t in fields])
     kinds = [_arrow(t) for _, t in fields]
 

@@ -180,3 +180,14 @@ def test_page_rows(spark):
     got = [r["text"] for r in html.extract(df).collect()]
     assert got[0] == got[1] == "Hello world, this is it." and got[2] == "" and got[3] == "deep"
     assert html.extract(df.where("false")).count() == 0
+
+
+def test_computed_columns_replace_clashing_ones(edge_docs, spark):
+    from pyspark.sql import functions as F
+
+    scored = toxicity.score(edge_docs, toxicity.Model())
+    assert scored.columns.count("score") == 1 and {r["score"] for r in scored.collect()} != {"x"}
+    pages = spark.createDataFrame([(1, "<p>Some words here.</p>")], "page_id long, html string").withColumn("TEXT", F.lit("old"))
+    assert [r["text"] for r in html.extract(pages).collect()] == ["Some words here."]
+    with pytest.raises(ValueError):
+        html.extract(pages, out="html")
