@@ -33,9 +33,9 @@ FIT_PARTITIONS = 32
 def words(text: str | Column, stop_words: Sequence[str] | None = None) -> Column:
     """The tokens of a text without stop words (default: Spark's English list)."""
     c = F.col(text) if isinstance(text, str) else text
-    stop = F.array(*[F.lit(w) for w in sorted({w.lower() for w in (english_stop_words() if stop_words is None else stop_words)})])
+    stop = sorted({w.lower() for w in (english_stop_words() if stop_words is None else stop_words)})
     found = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(f"({TOKEN_PATTERN})"), 1)
-    return F.filter(found, lambda w: ~F.array_contains(stop, w))
+    return F.filter(found, lambda w: ~w.isin(*stop)) if stop else found
 
 
 def vocabulary(df: DataFrame, text_col: str = "text", *, max_features: int = 8000, stop_words: Sequence[str] | None = None) -> DataFrame:
@@ -58,11 +58,14 @@ def _counts(tokens: Column) -> Column:
 
 
 def tfidf_weights(df: DataFrame, id_col: str = "id", text_col: str = "text", *, max_features: int = 8000,
-                  stop_words: Sequence[str] | None = None) -> DataFrame:
-    """(id, term, weight): the TF-IDF rows, each id's weights of length 1."""
+                  stop_words: Sequence[str] | None = None, vocab: DataFrame | None = None) -> DataFrame:
+    """(id, term, weight): the TF-IDF rows, each id's weights of length 1.
+    ``vocab``: (term, idf) if it is known already."""
+    if vocab is None:
+        vocab = vocabulary(df, text_col, max_features=max_features, stop_words=stop_words)
     tf = (df.select(F.col(id_col).alias("id"), F.explode(words(text_col, stop_words)).alias("term"))
           .groupBy("id", "term").agg(F.count(F.lit(1)).alias("cnt")))
-    raw = tf.join(vocabulary(df, text_col, max_features=max_features, stop_words=stop_words), "term").select("id", "term", (F.col("cnt") * F.col("idf")).alias("raw"))
+    raw = tf.join(vocab, "term").select("id", "term", (F.col("cnt") * F.col("idf")).alias("raw"))
     norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
     return raw.join(norm, "id").select("id", "term", (F.col("raw") / F.col("norm")).alias("weight"))
 
@@ -82,6 +85,11 @@ def fit_tfidf(df: DataFrame, text_col: str = "text", *, max_features: int = 8000
     return model, _features(df, model, text_col)
 
 
+def _vocab_of(model: PipelineModel, spark) -> DataFrame:
+    """(term, idf) of a fitted model, bounded by ``max_features``."""
+    return spark.createDataFrame(list(zip(model.stages[0].vocabulary, model.stages[1].getScalingVec().toArray().tolist())), "term string, idf double")
+
+
 def _features(df: DataFrame, model: PipelineModel, text_col: str) -> DataFrame:
     return model.transform(df.withColumn("_words", words(text_col))).drop("_words", "_tf", "_tfidf")
 
@@ -123,13 +131,13 @@ def top_terms_per_cluster(tfidf: PipelineModel, km, spark, n: int = 10) -> DataF
     return spark.createDataFrame(rows, "cluster int, top_terms string")
 
 
-def not_nearest(df: DataFrame, tfidf: PipelineModel, km, id_col: str = "id", text_col: str = "text", *, max_features: int = 8000) -> DataFrame:
+def not_nearest(df: DataFrame, tfidf: PipelineModel, km, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """One row (n_docs, n_not_nearest): rows whose cluster is not the centroid
     nearest to their TF-IDF rows, found relationally."""
     spark = df.sparkSession
     centers = centroid_rows(tfidf, km, spark).withColumnRenamed("weight", "c")
     lengths = centers.groupBy("cluster").agg(F.sum(F.col("c") * F.col("c")).alias("c2"))
-    dots = (tfidf_weights(df, id_col, text_col, max_features=max_features).join(centers, "term")
+    dots = (tfidf_weights(df, id_col, text_col, vocab=_vocab_of(tfidf, spark)).join(centers, "term")
             .groupBy("id", "cluster").agg(F.sum(F.col("weight") * F.col("c")).alias("dot")))
     k = len(km.clusterCenters())
     every = df.select(F.col(id_col).alias("id"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("cluster")).join(lengths, "cluster")
@@ -146,9 +154,12 @@ def singular_vectors(feats: DataFrame, vocab: list[str], k: int = 2) -> tuple[Da
     from pyspark.mllib.linalg.distributed import IndexedRowMatrix
     from pyspark.mllib.util import MLUtils
 
-    rows = MLUtils.convertVectorColumnsFromML(
-        feats.select(F.lit(0).cast("long").alias("index"), F.col("features").alias("vector")), "vector")
-    svd = IndexedRowMatrix(rows).computeSVD(k, computeU=False)
+    # one pass over the rows per iteration: keep them materialised meanwhile
+    kept = feats.select(F.lit(0).cast("long").alias("index"), F.col("features").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        svd = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(kept, "vector")).computeSVD(k, computeU=False)
+    finally:
+        kept.unpersist()
     v = svd.V.toArray()
     names = [f"v{i + 1}" for i in range(v.shape[1])]
     table = feats.sparkSession.createDataFrame([(t, *map(float, row)) for t, row in zip(vocab, v)],
@@ -162,7 +173,7 @@ def project_2d(df: DataFrame, *, id_col: str = "id", text_col: str = "text", max
     projected relationally from (id, term, weight)."""
     tfidf, feats = fit_tfidf(df, text_col, max_features=max_features, id_col=id_col)
     v, _ = singular_vectors(feats, tfidf.stages[0].vocabulary)
-    w = tfidf_weights(df, id_col, text_col, max_features=max_features)
+    w = tfidf_weights(df, id_col, text_col, vocab=_vocab_of(tfidf, df.sparkSession))
     xy = w.join(v, "term").groupBy("id").agg(F.sum(F.col("weight") * F.col("v1")).alias("x"), F.sum(F.col("weight") * F.col("v2")).alias("y"))
     return (df.select(F.col(id_col).alias("id")).join(xy, "id", "left")
             .select(F.col("id").alias(id_col), F.coalesce("x", F.lit(0.0)).alias("x"), F.coalesce("y", F.lit(0.0)).alias("y")))
@@ -173,7 +184,7 @@ def singular_residuals(df: DataFrame, *, id_col: str = "id", text_col: str = "te
     relational rows; zero for true singular vectors."""
     tfidf, feats = fit_tfidf(df, text_col, max_features=max_features, id_col=id_col)
     v, s = singular_vectors(feats, tfidf.stages[0].vocabulary)
-    w = tfidf_weights(df, id_col, text_col, max_features=max_features)
+    w = tfidf_weights(df, id_col, text_col, vocab=_vocab_of(tfidf, df.sparkSession))
     long = v.select("term", F.explode(F.array(F.struct(F.lit(1).alias("k"), F.col("v1").alias("v")), F.struct(F.lit(2).alias("k"), F.col("v2").alias("v")))).alias("x"))
     long = long.select("term", F.col("x.k").alias("component"), F.col("x.v").alias("v"))
     y = w.join(long, "term").groupBy("id", "component").agg(F.sum(F.col("weight") * F.col("v")).alias("y"))

@@ -48,7 +48,7 @@ def test_clusters_do_not_depend_on_the_input_partitions(spark):
         tfidf, km = CL.kmeans_text(docs.repartition(n), "text", k=4, max_features=60, seed=3, id_col="id")
         got.append(sorted((r["id"], r["cluster"]) for r in CL.assign_clusters(docs, tfidf, km).collect()))
     assert got[0] == got[1] == got[2]
-    row = CL.not_nearest(docs, tfidf, km, max_features=60).first()
+    row = CL.not_nearest(docs, tfidf, km).first()
     assert (row["n_docs"], row["n_not_nearest"]) == (200, 0)
 
 
