@@ -312,8 +312,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     fp, rid = fresh(docs, "_fp", "_rid")
     marked = written(fingerprints(docs, text, fp, shingle).withColumn(rid, F.monotonically_increasing_id()), "simhash-docs")
     known = rooted(marked, fp, doc_id, radius)
-    order = F.struct(F.col(doc_id).isNull().alias("n"), F.col(doc_id).alias("d"), F.col(rid).alias("r"))
-    member = marked.select(rid, order.alias("o"), F.col(fp).alias("node")).join(known, "node").select(F.col(rid).alias("r"), "root", "o")
-    first = member.groupBy("root").agg(F.min("o").alias("least"))
-    gone = member.join(first, "root").where(F.col("r") != F.col("least.r")).select(F.col("r").alias("_gone"))
+    least = F.col(doc_id).eqNullSafe(F.col("component_id")).alias("least")  # null only where all ids are
+    member = marked.select(F.col(rid).alias("r"), doc_id, F.col(fp).alias("node")).join(known, "node").select("r", "root", least)
+    # one row of those with the smallest id stays; no step gathers the rows of a group
+    first = member.where("least").groupBy("root").agg(F.min("r").alias("r"))
+    gone = member.join(first, "r", "left_anti").select(F.col("r").alias("_gone"))
     return marked.join(gone, F.col(rid) == F.col("_gone"), "left_anti").drop(fp, rid)
