@@ -17,10 +17,14 @@ two starts (medians with absolute deviations; plain moments):
 * the start with the smaller determinant wins, scaled for consistency with
   the normal distribution.
 
+Groups with fewer than ``least_rows`` documents that pass the base rules are
+held against the estimate of all such documents of their language, and if
+these are too few, of the whole table, made by the same steps.
+
 Defined cases: a null text is one without words; null language or source is a
-group value of its own; groups with fewer than ``least_rows`` documents that
-pass the base rules, or without spread, reject nothing more; repeated rows
-count as often as they occur; an empty table gives no rows.
+group value of its own; a table with fewer than ``least_rows`` documents that
+pass the base rules rejects nothing more; repeated rows count as often as they
+occur; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -222,12 +226,22 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     stats = written(statistics(docs, doc_id, text, lang, source), "quality-statistics")
     keys = ["g_lang", "g_source"]
     group = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")).alias(k) for c, k in zip(("lang", "source"), keys)]
+    group.append(F.lit("all").alias("g_all"))
     spread = salt("doc_id", "n_words", "word_chars", "n_symbols")
     passed = stats.where("not base_failed").select(*group, spread, *[z.alias(f"z{i}") for i, z in enumerate(vector())])
-    usual = estimate(passed, keys, share, steps, least_rows)
     wide = share / chi2_cdf(chi2_quantile(share, P), P + 2)  # makes the tight share's covariance that of all
     limit = chi2_quantile(1 - tail, P) * wide
     marked = stats.select(*stats.columns, *group, spread, *[F.when(~F.col("base_failed"), z).alias(f"z{i}") for i, z in enumerate(vector())])
-    far = _distance(with_group(marked, usual, keys, "left"), "d2")
+    names = [*(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in PAIRS)]
+    levels = [keys, ["g_lang"], ["g_all"]]  # the first with an estimate counts
+    used = []
+    for k, own in enumerate(levels):
+        if k and passed.groupBy(*levels[k - 1]).count().where(F.col("count") < least_rows).isEmpty():
+            break  # every row has an estimate
+        used.append(f"e{k}")
+        usual = estimate(passed, own, share, steps, least_rows)
+        marked = with_group(marked, usual.select(*own, F.struct(*names).alias(f"e{k}")), own, "left")
+    usual = F.coalesce(*[F.col(e) for e in used])
+    far = _distance(marked.withColumn("usual", usual).select("*", "usual.*"), "d2")
     return far.select(*stats.columns, (F.col("d2") / F.lit(wide)).alias("distance2"),
                       (~F.col("base_failed") & (F.col("d2").isNull() | (F.col("d2") <= F.lit(limit)))).alias("kept"))

@@ -89,6 +89,16 @@ def test_estimate_and_verdicts(make_docs):
         assert np.allclose([got[r[0]]["distance2"] for r in mine], want, rtol=1e-6)
 
 
+def test_small_groups_are_judged_by_language_then_all_rows(make_docs):
+    rng = random.Random(5)
+    rows = [(i, english(rng, rng.randint(60, 400)), "en", f"s{i % 20}") for i in range(60)]     # 3 rows a group
+    rows += [(100 + i, english(rng, rng.randint(60, 400)), "fi", "t") for i in range(5)]        # a small language
+    junk = [(1000 + i, " ".join(w + "%%%" for w in english(rng, 120).split()), lang, "s1") for i, lang in enumerate(("en", "en", "fi", None))]
+    got = {r["doc_id"]: r for r in outliers.judge(make_docs([(*r, len(r[1])) for r in rows + junk])).collect()}
+    assert len(got) == 69 and all(r["distance2"] is not None for r in got.values())
+    assert all(got[r[0]]["kept"] for r in rows) and not any(got[r[0]]["kept"] for r in junk)
+
+
 def test_chi_square_values():
     assert abs(outliers.chi2_quantile(0.95, 5) - 11.0705) < 1e-3
     assert abs(outliers.chi2_quantile(0.5, 2) - 2 * math.log(2)) < 1e-6
