@@ -174,6 +174,22 @@ def test_pages(page, text):
     assert got == [text] or page == "<![x"
 
 
+def visible(page):
+    return " ".join("".join(t if node >= 0 else " " for node, t in html.Page(page).runs).split())
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<html><head><title>t</title><body><p>text</p></body></html>", "text"),
+    ("<head><title>t</title><meta charset=utf-8><p>a<p>b", "a b"),
+    ("<head><title>t</title>plain <b>text</b>", "plain text"),
+    ("<head><head></head><p>c", "c"),
+    ("<head><noscript><img src=x></noscript><style>p{}</style></head><p>d", "d"),
+    ("<article><p>so <math><mi>q</mi></math> and <svg><title>no</title><text>label</text></svg></p></article>", "so q and label"),
+])
+def test_text_after_an_open_head_and_in_formulas(page, text):
+    assert visible(page) == text
+
+
 def test_page_rows(spark):
     rows = [(1, "u", "<p>Hello world, this is it.</p>"), (1, "u", "<p>Hello world, this is it.</p>"), (None, None, None), (2, "v", "<div>" * 3000 + "deep")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as n_chars")
