@@ -190,6 +190,14 @@ def test_text_after_an_open_head_and_in_formulas(page, text):
     assert visible(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<p>a</p><![foo[x]]><p>b</p>", "a b"), ("<p>x <![ y</p><p>b</p>", "x b"), ("<p>a<![>b", "ab"),
+    ("<p>a</p><![CDATA[x<p>b</p>", "a b"), ("<p>a<![CDATA[x > y]]>b</p>", "ab"), ("<p>a<![if !IE]>b<![endif]>c</p>", "abc"),
+])
+def test_text_after_unknown_sections(page, text):
+    assert visible(page) == text
+
+
 def test_page_rows(spark):
     rows = [(1, "u", "<p>Hello world, this is it.</p>"), (1, "u", "<p>Hello world, this is it.</p>"), (None, None, None), (2, "v", "<div>" * 3000 + "deep")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as n_chars")
