@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from potluck.llm import bpe, cotraining, html, outliers, packing, sharding, simhash, sql_outliers, topk, toxicity, viterbi
+from potluck.llm import (bpe, cotraining, dictionary_codes, html, langid, outliers, packing, sharding, simhash, sql_outliers, sql_vectors,
+                         topk, toxicity, viterbi, walsh)
 from potluck.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +108,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op11_dictionary_codes", sql_vectors.codes())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """16 codes of 64 entries for every vector, after two rounds."""
+    return dictionary_codes.codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query("op12_language_pieces")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from three quarters of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = langid.learn(docs, rest != 2, public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op13_walsh_clusters", sql_vectors.clusters())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8 centroids over all vectors of 64 components, ten rounds."""
+    return walsh.assign(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
