@@ -3,10 +3,10 @@
 Each language has a probability per piece of a fixed public vocabulary.  The
 probability of a word is the sum, over all ways to cut it into pieces, of the
 product of their probabilities; a forward pass over its positions sums them in
-the logarithm.  White space separates words, each begins with the word mark,
-and no piece of the vocabulary that spans words is used, so the text's value
-is the sum of its words'.  A character without a piece of its own may stand as
-its bytes.
+the logarithm.  White space separates words (in lower case, so that capitals
+tell nothing), each begins with the word mark, and no piece of the vocabulary
+that spans words is used, so the text's value is the sum of its words'.  A
+character without a piece of its own may stand as its bytes.
 
 Learning is expectation-maximisation.  Words are counted per language over
 all learned documents (in tasks first, then by Spark), written once, and every
@@ -51,7 +51,7 @@ from potluck.llm.common import with_python, written
 MARK = "▁"
 UNDEFINED = "und"
 SLICE = 1 << 20  # characters that are split into words at once
-TOGETHER = 20_000  # words worked on at once
+TOGETHER = 5_000  # words worked on at once
 UNIT = 1 << 20  # expected counts are added as whole parts of this: sums do not depend on their order
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,8 +69,15 @@ class Pieces:
         keys = np.array([self._whole_hash(p) for p, _ in known], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array([i for _, i in known], dtype=np.int64)[order]
-        self.seen = np.zeros(1 << 20, dtype=bool)  # leading bits of the keys: most windows end here
-        self.seen[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        # leading bits of the keys, and of all beginnings of pieces: most windows end here
+        self.seen, self.begun = np.zeros(1 << 20, dtype=bool), np.zeros(1 << 20, dtype=bool)
+        self.seen[self._bits(self.keys)] = True
+        begins = {p[:k] for p, _ in known for k in range(1, len(p) + 1)}
+        self.begun[self._bits(np.array([self._whole_hash(p) for p in begins], dtype=np.uint64))] = True
+
+    @staticmethod
+    def _bits(keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(44)).astype(np.int64)
 
     @staticmethod
     def _mix(codes: np.ndarray) -> np.ndarray:
@@ -83,17 +90,24 @@ class Pieces:
             h = (h + c) * _BASE
         return h[0]
 
-    def windows(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, starts, ids) of all pieces in the string of code points."""
+    def windows(self, codes: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, starts, ids) of all pieces in the string of code points;
+        none goes beyond the ``left`` code points from its start."""
         mixed = self._mix(codes)
-        h = np.zeros(len(codes), dtype=np.uint64)
-        for length in range(1, min(self.longest, len(codes)) + 1):
-            h = (h[:len(codes) - length + 1] + mixed[length - 1:]) * _BASE
-            at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
-            place = np.searchsorted(self.keys, h[at])
+        at, h = np.arange(len(codes)), np.zeros(len(codes), dtype=np.uint64)
+        for length in range(1, self.longest + 1):
+            if length > 1:
+                more = left[at] >= length
+                at, h = at[more], h[more]
+            h = (h + mixed[at + (length - 1)]) * _BASE
+            bits = self._bits(h)
+            maybe = np.flatnonzero(self.seen[bits])
+            place = np.searchsorted(self.keys, h[maybe])
             place[place == len(self.keys)] = 0
-            hit = self.keys[place] == h[at] if len(self.keys) else np.zeros(len(at), dtype=bool)
-            yield length, at[hit], self.ids[place[hit]]
+            hit = self.keys[place] == h[maybe] if len(self.keys) else np.zeros(len(maybe), dtype=bool)
+            yield length, at[maybe[hit]], self.ids[place[hit]]
+            go = self.begun[bits]
+            at, h = at[go], h[go]
 
 
 @lru_cache(maxsize=4)
@@ -125,9 +139,7 @@ class Lattice:
         starts, lengths, ids = [], [], []
         alone = np.zeros(len(codes), dtype=bool)
         left = first[word] + sizes[word] - np.arange(len(codes))  # characters to the word's end
-        for length, at, who in pieces.windows(codes):
-            inside = left[at] >= length
-            at, who = at[inside], who[inside]
+        for length, at, who in pieces.windows(codes, left):
             if length == 1:
                 alone[at] = True
             starts.append(at)
@@ -143,9 +155,11 @@ class Lattice:
         self.tail, self.head, self.id, self.word = at + word[at], at + word[at] + size, who, word[at]
         # edges of one (place of the end in its word, length) meet every node once
         place = self.head - self.begin[self.word]
-        order = np.lexsort((size, place))
-        self.tail, self.head, self.id, self.word = (x[order] for x in (self.tail, self.head, self.id, self.word))
-        key = place[order] * (pieces.longest + 1) + size[order]
+        key = place * (pieces.longest + 1) + size
+        if len(key) and key.max() < 1 << 16:
+            key = key.astype(np.uint16)  # sorted in one pass
+        order = np.argsort(key, kind="stable")
+        self.tail, self.head, self.id, self.word, key = (x[order] for x in (self.tail, self.head, self.id, self.word, key))
         cut = np.flatnonzero(np.diff(key)) + 1
         self.groups = [slice(a, b) for a, b in zip([0, *cut], [*cut, len(key)]) if b > a]
         self.bytes = [np.frombuffer(chr(c).encode("utf-8", "surrogatepass"), dtype=np.uint8) for c in self.strange.tolist()]
@@ -213,15 +227,15 @@ class Model:
 
 
 def words(text: str) -> Iterator[list[str]]:
-    """The words of a text, in slices of about ``SLICE`` characters."""
+    """The words of a text in lower case, in slices of about ``SLICE`` characters."""
     if len(text) <= SLICE:
-        yield text.split()
+        yield text.lower().split()
         return
     at = 0
     while at < len(text):
         gap = re.compile(r"\s").search(text, at + SLICE)
         end = gap.start() if gap else len(text)
-        yield text[at:end].split()
+        yield text[at:end].lower().split()
         at = end
 
 
@@ -317,18 +331,21 @@ class Values(dict):
         self.keep = max(20_000, keep_bytes // (8 * max(1, log_p.shape[1])))
         self.matrix = np.zeros((0, log_p.shape[1]))
 
-    def learn(self, some: Iterable[str]) -> None:
-        new = [w for w in dict.fromkeys(some) if w not in self]
-        if not new:
-            return
+    def learn(self, some: Iterable[list[str]]) -> None:
+        met = set().union(*some)
+        new = list(met - self.keys())
         if len(self) + len(new) > self.keep:
             self.clear()
-            self.matrix = self.matrix[:0]
-            new = list(dict.fromkeys(some))
-        step = max(200, 4 * TOGETHER // max(4, self.log_p.shape[1]))
-        parts = [Lattice(self.pieces, new[k:k + step]).values(self.log_p) for k in range(0, len(new), step)]
-        self.update(zip(new, range(len(self), len(self) + len(new))))
-        self.matrix = np.concatenate([self.matrix, *parts])
+            new = list(met)
+        at, step = len(self), max(200, 4 * TOGETHER // max(4, self.log_p.shape[1]))
+        if at + len(new) > len(self.matrix):
+            grown = np.empty((max(2 * len(self.matrix), at + len(new)), self.log_p.shape[1]))
+            grown[:at] = self.matrix[:at]
+            self.matrix = grown
+        for k in range(0, len(new), step):
+            part = new[k:k + step]
+            self.matrix[at + k:at + k + len(part)] = Lattice(self.pieces, part).values(self.log_p)
+        self.update(zip(new, range(at, at + len(new))))
 
     def total(self, some: list[str]) -> np.ndarray:
         rows = np.fromiter(map(self.__getitem__, some), dtype=np.int64, count=len(some))
@@ -351,7 +368,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_pred: str =
             waiting: list[tuple[int, list[str]]] = []
 
             def work():
-                values.learn(w for _, some in waiting for w in some)
+                values.learn(some for _, some in waiting)
                 for row, some in waiting:
                     totals[row] += values.total(some)
                 waiting.clear()
