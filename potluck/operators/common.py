@@ -4,17 +4,16 @@
   ranked inside (group, salt) where the salt is a hash of the ranked item, so a
   group holding a third of the data is split over ``salt`` tasks; the global
   top-k of a group is contained in the union of its per-salt top-k lists.
-* ``exact_quantiles``: exact (linear interpolation) quantiles without putting
-  all distinct values of a column into one task.  Values are reduced to
-  (value, count), routed to buckets cut at approximate quantiles (routing
-  only - the answer stays exact), bucket prefix sums locate each wanted rank,
-  and only the few buckets holding a wanted rank are ordered.
+* ``exact_quantiles``: exact (linear interpolation) quantiles by radix selection:
+  counts per magnitude prefix, then per even slice, only inside the parts that
+  hold a wanted rank.
 * ``with_index``: consecutive 0-based index in a total order (distributed,
   after a reliable checkpoint of the sorted rows).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,77 +69,94 @@ def with_index(df: DataFrame, order_cols: Sequence[str], index_col: str = "index
                                                        (F.col("_off") + local).cast("long").alias(index_col))
 
 
+OCTAVE_PARTS = 15  # parts of an octave in the first pass: about 2 ** 16 prefixes
+SLICES = 1 << 17   # even slices of a prefix in the following passes
+
+
+def magnitude_prefix(value: Column) -> Column:
+    """A long that never falls as the double grows: its sign and the whole part
+    of its logarithm in fifteenths of an octave (1 or more, also for the least
+    double); 0 for both zeros."""
+    size = F.floor((F.log2(F.abs(value)) + 1075) * OCTAVE_PARTS)
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("long"))
+
+
 def exact_quantiles(
     df: DataFrame,
     value_col: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    buckets: int = 256,
 ) -> DataFrame:
     """Exact quantiles (numpy/pandas "linear" rule) of ``value_col``.
 
     Returns long rows ``(*by, p, q)``.  ``by`` must have few groups (e.g. one
     per column of a describe); per-entity medians should use the built-in
     ``percentile``, whose per-group state is a value->count map.
+
+    Radix selection: the first pass counts rows per magnitude prefix with the
+    least and greatest value of each; every following pass counts even slices
+    between these two values, only inside the parts that hold a wanted rank.
+    Tasks combine their counts, at most ``SLICES`` a group and part.  A part
+    with one distinct value is final.  Doubles of one prefix differ by less
+    than a twentieth, so after three passes of slices every part is one double:
+    four passes at most, one or two where values are few.  The driver keeps
+    two ranks a probability and group.
     """
     by = list(by)
-    gk = by if by else ["_g"]
-    base = df.select(*[F.col(c) for c in by], F.col(value_col).cast("double").alias("_v"))
-    if not by:
-        base = base.withColumn("_g", F.lit(0))
-    base = base.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    # 1. distinct values with counts (map-side combined: a hot value is one
-    #    row); read by the branches below through one reused exchange
-    vc = base.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # 2. per group: approximate cut points (routing only) and total count
-    fr = [i / buckets for i in range(1, buckets)]
-    edges = vc.groupBy(*gk).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(x) for x in fr]), 4 * buckets).alias("_e"),
-        F.sum("_c").alias("_n"),
-    )
-    # bucket = number of cut points below the value, by binary search over the
-    # sorted cut points (log2(buckets) comparisons, all code-generated)
-    vb = vc.join(edges, gk).withColumn("_b", F.lit(0))
-    n_edges = buckets - 1
-    step = 1 << (max(n_edges, 1).bit_length() - 1)
-    while step >= 1:
-        nxt = F.col("_b") + step
-        vb = vb.withColumn("_b", F.when((nxt <= n_edges) & (F.element_at("_e", nxt) < F.col("_v")), nxt)
-                           .otherwise(F.col("_b")))
-        step >>= 1
-    vb = vb.drop("_e")
-    # 3. bucket totals and prefix sums: at most groups x buckets rows
-    bc = vb.groupBy(*gk, "_b").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
-    wpre = Window.partitionBy(*gk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bc = bc.withColumn("_before", F.coalesce(F.sum("_bc").over(wpre), F.lit(0)))
-    # 4. wanted 0-based ranks per probability: floor and ceil of (n-1)p
-    pa = F.array(*[F.lit(float(p)) for p in probs])
-    tg = bc.select(*gk, "_n").distinct().select(*gk, "_n", F.explode(pa).alias("p"))
-    tg = tg.withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-    tg = tg.select(*gk, "p", "_h", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.floor("_h").cast("long").alias("r")),
-        F.struct(F.lit("hi").alias("side"), F.ceil("_h").cast("long").alias("r")),
-    )).alias("t")).select(*gk, "p", "_h", "t.side", "t.r")
-    tb = tg.join(bc.drop("_n"), gk).where(
-        (F.col("r") >= F.col("_before")) & (F.col("r") < F.col("_before") + F.col("_bc"))
-    ).select(*gk, "p", "_h", "side", "r", "_b", "_before")
-    need = tb.select(*gk, "_b", "_before").distinct()
-    # 5. order values only inside the needed buckets
-    sel = vb.join(need, gk + ["_b"])
-    wcum = Window.partitionBy(*gk, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    sel = sel.withColumn("_lo", F.col("_before") + F.coalesce(F.sum("_c").over(wcum), F.lit(0)))
-    hit = tb.join(sel.select(*gk, "_b", "_v", "_c", "_lo"), gk + ["_b"]).where(
-        (F.col("r") >= F.col("_lo")) & (F.col("r") < F.col("_lo") + F.col("_c"))
-    )
-    res = hit.groupBy(*gk, "p").agg(
-        F.first("_h").alias("_h"),
-        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("side") == "lo", F.col("r"))).alias("_rlo"),
-        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_vhi"),
-    )
-    q = F.col("_vlo") + (F.col("_h") - F.col("_rlo")) * (F.col("_vhi") - F.col("_vlo"))
-    out = res.select(*gk, "p", q.alias("q"))
-    return out.drop("_g") if not by else out
+    spark = df.sparkSession
+    keys = [f"_g{i}" for i in range(len(by))]
+    types = [df.schema[c].dataType.simpleString() for c in by]
+    value = F.col("_v")
+    rows = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col(value_col).cast("double").alias("_v"))
+    rows = rows.where(value.isNotNull() & ~F.isnan(value))
+    sign = F.signum(value).cast("int")
+    total: dict[tuple, int] = {}
+    found: dict[tuple, float] = {}  # (group, rank) -> value
+    parts: list[tuple] = []  # (group, sign, least, greatest, number, ranks inside, rows before)
+    while not total or parts:
+        if not total:
+            counted = rows.groupBy(*keys, F.lit(0).alias("_up"), magnitude_prefix(value).alias("_p")).agg(
+                F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+        else:
+            schema = ", ".join([*(f"_w{i} {t}" for i, t in enumerate(types)), "_sign int, _from double, _to double, _up int, _ranks array<long>"])
+            wanted = spark.createDataFrame([(*g, *part) for g, *part, _ in parts], schema)
+            same = (sign == F.col("_sign")) & value.between(F.col("_from"), F.col("_to"))
+            for i, k in enumerate(keys):
+                same = same & F.col(k).eqNullSafe(F.col(f"_w{i}"))
+            piece = F.floor((value - F.col("_from")) / (F.col("_to") - F.col("_from")) * SLICES)
+            counted = rows.join(F.broadcast(wanted), same).groupBy(*keys, "_up", piece.alias("_p")).agg(  # two parts a probability and group
+                F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.first("_ranks").alias("_ranks"))
+        inside = Window.partitionBy(*keys, "_up")
+        placed = counted.withColumn("_all", F.sum("_n").over(inside)).withColumn(
+            "_end", F.sum("_n").over(inside.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        if not total:
+            last = F.col("_all") - 1
+            ranks = F.array(*[f(last * F.lit(float(p))) for p in probs for f in (F.floor, F.ceil)])
+        else:
+            ranks = F.col("_ranks")
+        mine = F.filter(ranks, lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n")))
+        hits = placed.select(*keys, "_up", "_lo", "_hi", "_all", (F.col("_end") - F.col("_n")).alias("_before"),
+                             F.array_sort(F.array_distinct(mine)).alias("_r")).where(F.size("_r") > 0).collect()
+        before = {(g, up): n for g, _, _, _, up, _, n in parts}
+        if not hits:
+            break
+        parts = []
+        for h in hits:
+            group = tuple(h[k] for k in keys)
+            base = before.get((group, h["_up"]), 0)
+            total.setdefault(group, h["_all"])
+            if h["_lo"] == h["_hi"]:
+                found.update({(group, base + r): h["_lo"] for r in h["_r"]})
+            else:
+                parts.append((group, 1 if h["_lo"] > 0 else -1, h["_lo"], h["_hi"], len(parts), [r - h["_before"] for r in h["_r"]], base + h["_before"]))
+    out = []
+    for group, n in total.items():
+        for p in probs:
+            place = (n - 1) * float(p)
+            lo, hi = found[group, math.floor(place)], found[group, math.ceil(place)]
+            out.append((*group, float(p), lo if lo == hi else lo + (place - math.floor(place)) * (hi - lo)))
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in zip(by, types)), "p double, q double"])
+    return spark.createDataFrame(out, schema)
 
 
 def quantiles_wide(qlong: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:

@@ -26,7 +26,7 @@ def skewed(spark):
 
 def test_exact_quantiles_match_numpy(skewed):
     probs = [0.0, 0.1, 0.25, 0.5, 0.8, 0.95, 1.0]
-    got = {r["p"]: r["q"] for r in exact_quantiles(skewed, "v", probs, buckets=16).collect()}
+    got = {r["p"]: r["q"] for r in exact_quantiles(skewed, "v", probs).collect()}
     vals = np.array([r["v"] for r in skewed.collect()])
     for p in probs:
         assert got[p] == pytest.approx(float(np.percentile(vals, p * 100)), abs=1e-9)
@@ -34,13 +34,72 @@ def test_exact_quantiles_match_numpy(skewed):
 
 def test_exact_quantiles_grouped(skewed):
     probs = [0.25, 0.5, 0.95]
-    got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(skewed, "v", probs, by=["g"], buckets=8).collect()}
+    got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(skewed, "v", probs, by=["g"]).collect()}
     pdf = skewed.toPandas()
     for g, part in pdf.groupby("g"):
         for p in probs:
             assert got[(g, p)] == pytest.approx(float(np.percentile(part["v"], p * 100)), abs=1e-9)
 
 
+def test_magnitude_prefix_never_falls(spark):
+    from potluck.operators.common import magnitude_prefix
+
+    rnd = random.Random(8)
+    edge = [0.0, 5e-324, 2.0 ** -1074 * 7, 2.0 ** -1022, 2.0 ** -1022 - 5e-324, 1.0, 1.0 + 2.0 ** -52, 1.0 - 2.0 ** -53, 1.7976931348623157e308, float("inf"),
+            8.0, 8.0 - 2.0 ** -50, 0.1, 1e22, 3.0]
+    edge += [2.0 ** rnd.randint(-1074, 1023) for _ in range(200)]
+    edge += [rnd.uniform(1, 2) * 2.0 ** rnd.randint(-1070, 1022) for _ in range(1000)]
+    values = edge + [-x for x in edge]
+    got = sorted((r["v"], r["k"]) for r in spark.createDataFrame([(v,) for v in values], "v double").select("v", magnitude_prefix(F.col("v")).alias("k")).collect())
+    assert [k for _, k in got] == sorted(k for _, k in got)
+    assert {v for v, k in got if k == 0} == {0.0}
+    for v, k in got:
+        for w, m in got:
+            if v > 0 and k == m and v != float("inf"):
+                assert abs(v - w) <= 0.05 * max(v, w) + 5e-324
+
+
+@pytest.mark.parametrize("kind", ["wide", "last bits", "subnormal", "few"])
+def test_exact_quantiles_of_hard_values(spark, kind):
+    rnd = random.Random(kind)
+    values = {"wide": [rnd.choice([-1, 1]) * rnd.uniform(1, 2) * 2.0 ** rnd.randint(-1060, 1020) for _ in range(1500)],
+              "last bits": [3.0 + k * 2.0 ** -51 for k in range(1500)], "subnormal": [k * 5e-324 for k in range(-700, 800)],
+              "few": [float(rnd.choice([-7, 0, 1, 1, 1, 1e300])) for _ in range(500)]}[kind]
+    got = {r["p"]: r["q"] for r in exact_quantiles(spark.createDataFrame([(v,) for v in values], "v double").repartition(4), "v", [0.0, 0.3, 0.5, 0.99, 1.0]).collect()}
+    ordered = sorted(values)
+    for p, q in got.items():
+        place = (len(values) - 1) * p
+        lo, hi = ordered[int(np.floor(place))], ordered[int(np.ceil(place))]
+        assert q == (lo if lo == hi else lo + (place - np.floor(place)) * (hi - lo))
+
+
+def test_exact_quantiles_edge_values(spark):
+    inf = float("inf")
+    rows = [("a", 1.0), ("a", None), ("a", float("nan")), (None, -3.5), (None, 2.25), (None, -3.5), ("i", inf), ("i", inf), ("z", 0.0), ("z", -0.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["p"]): r["q"] for r in exact_quantiles(df, "v", [0.5, 0.75], by=["g"]).collect()}
+    assert got == {("a", 0.5): 1.0, ("a", 0.75): 1.0, (None, 0.5): -3.5, (None, 0.75): -0.625, ("i", 0.5): inf, ("i", 0.75): inf, ("z", 0.5): 0.0, ("z", 0.75): 0.0}
+    assert exact_quantiles(df.where("g = 'none'"), "v", [0.5]).count() == 0
+
+
+def test_exact_quantiles_read_and_shuffle_little(spark, monkeypatch):
+    """Counts by prefix leave the tasks, not values; whole numbers take one pass or two."""
+    kind = type(spark.range(1))
+    sizes, collect = [], kind.collect
+
+    def counted(self):
+        sizes.append(max([n for n in _exchange_rows_of(self, collect)], default=0))
+        return collect(self)
+
+    monkeypatch.setattr(kind, "collect", counted)
+    df = spark.range(200_000, numPartitions=4).selectExpr("pmod(hash(id), 50) AS v", "id / 7.0D AS w")
+    exact_quantiles(df, "v", [0.25, 0.5, 0.9])
+    assert len(sizes) <= 2 and max(sizes) <= 4 * 50
+    sizes.clear()
+    exact_quantiles(df, "w", [0.5])
+    assert len(sizes) <= 4 and max(sizes) <= 4 * 9000  # prefixes and slices that hold rows
+
+
 def test_topk_per_group_matches_sort(skewed):
     top = topk_per_group(skewed, ["g"], [F.desc("v"), F.col("id")], 5, ["id"], salt=4, rank_col="rank")
     got = {(r["g"], r["rank"]): r["id"] for r in top.collect()}
@@ -138,7 +197,11 @@ def test_neighbour_lookup_is_linear_and_rejects_unknown_ids(spark):
 
 def _exchange_rows(df):
     """Rows written by each shuffle of the executed plan."""
-    df.collect()
+    return _exchange_rows_of(df, type(df).collect)
+
+
+def _exchange_rows_of(df, collect):
+    collect(df)
     todo, out = [df._jdf.queryExecution().executedPlan()], []
     while todo:
         p = todo.pop()
