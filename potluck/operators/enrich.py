@@ -3,10 +3,10 @@ inference, season/event labelling, vocabulary overlap, map bubbles (F1-F18).
 
 Plans
 -----
-* Fuzzy matching scores every *distinct* token once: tokens are dealt by hash
-  and meet the table of reference names in a cogroup, where names are prepared
-  once per group.  Matches are joined back on the token and reduced per row
-  with ``min_by``.
+* Fuzzy matching scores every *distinct* token once, in a map-side scan: tasks
+  index the reference names (broadcast in chunks of a checked size) and score
+  a token only with names that can win.  Matches are joined back on the token
+  and reduced per row with ``min_by``.
 * Exact lookups explode all columns at once, join the name dictionary and
   reduce once per row: one scan and one shuffle of the main table.
 * Joins carry no broadcast hints: AQE measures the reference side.
@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from potluck.functions.fuzzy import Matcher
+from potluck.functions.fuzzy import NameIndex
+from potluck.operators.chunks import chunks
 
 # ----------------------------------------------------------------------------
 # Fixed values (must equal the original behaviour)
@@ -50,8 +51,7 @@ DEMONYM_OVERRIDES = {"american": "united states"}
 
 # ---------------------------------------------------------------- F1 --------
 REFERENCE = "kind string, grp int, pos long, ref string, name string"
-MATCH = "token string, kind string, pos long, ref string, name string, score double"
-TOKEN_BUCKETS = 256
+MATCH = "token string, kind string, grp int, pos long, ref string, name string, score double, scored long"
 
 
 def _reference_rows(spark, kind: str, groups: Sequence[Sequence[str]]) -> DataFrame:
@@ -73,26 +73,46 @@ def reference_names(countries: DataFrame, order: str = "country_id") -> DataFram
             .unionByName(regions))
 
 
-def best_matches(tokens: DataFrame, refs: DataFrame, *, scorer: str = "mean_token", clean_dash: bool = True) -> DataFrame:
+def best_matches(tokens: DataFrame, refs: DataFrame, *, scorer: str = "mean_token", clean_dash: bool = True,
+                 max_bytes: int | None = None) -> DataFrame:
     """Best reference of each kind per distinct token (first column of
-    ``tokens``): (token, kind, pos, ref, name, score); of equal scores the
-    first in (grp, pos) order wins.  Empty tokens have no row."""
+    ``tokens``): (token, kind, pos, ref, name, score, scored); of equal scores
+    the first in (grp, pos) order wins.  Empty tokens have no row.  ``scored``:
+    names of that kind the token was compared with.
+
+    The references are collected in chunks of a checked size when this is
+    called; every task of the distinct tokens indexes them once.
+    """
     q = tokens.select(F.col(tokens.columns[0]).alias("token")).where("token is not null and token <> ''").distinct()
-    q = q.withColumn("t_bucket", F.pmod(F.xxhash64("token"), F.lit(TOKEN_BUCKETS)))
-    r = refs.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TOKEN_BUCKETS - 1).cast("long"))))
-
-    def score(asked: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for kind, part in names.sort_values(["grp", "pos"], kind="stable").groupby("kind", sort=True) if len(asked) else []:
-            match = Matcher(part["ref"].tolist(), scorer)
-            pos, ref, name = part["pos"].tolist(), part["ref"].tolist(), part["name"].tolist()
-            for token in asked["token"]:
-                i, best = match(token.replace("-", " ") if clean_dash else token)
-                if i >= 0:
-                    out.append((token, kind, pos[i], ref[i], name[i], best))
-        return pd.DataFrame(out, columns=["token", "kind", "pos", "ref", "name", "score"])
-
-    return q.groupBy("t_bucket").cogroup(r.groupBy("bucket")).applyInPandas(score, MATCH)
+    found = None
+    many = 0
+    for names in chunks(refs, max_bytes):
+        part = q.mapInArrow(_scan(names, scorer, clean_dash), MATCH)
+        found = part if found is None else found.unionByName(part)
+        many += 1
+    if many > 1:  # the best over the chunks
+        first = F.struct(-F.col("score"), F.col("grp"), F.col("pos"))
+        found = found.groupBy("token", "kind").agg(*[F.min_by(c, first).alias(c) for c in ("grp", "pos", "ref", "name", "score")], F.sum("scored").alias("scored"))
+    return found.drop("grp")
+
+
+def _scan(names, scorer: str, clean_dash: bool):
+    def run(batches):
+        kinds = [(kind, list(part[["grp", "pos", "ref", "name"]].itertuples(index=False, name=None)), NameIndex(part["ref"].tolist(), scorer))
+                 for kind, part in names.value.sort_values(["grp", "pos"], kind="stable").groupby("kind", sort=True)]
+        for batch in batches:
+            out = {f.split()[0]: [] for f in MATCH.split(", ")}
+            for token in batch.column(0).to_pylist():
+                for kind, part, index in kinds:
+                    met = index.scored
+                    i, score = index(token.replace("-", " ") if clean_dash else token)
+                    row = (token, kind, *part[i], score, index.scored - met)
+                    for column, v in zip(out.values(), row):
+                        column.append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
+                ("token", pa.string()), ("kind", pa.string()), ("grp", pa.int32()), ("pos", pa.int64()), ("ref", pa.string()), ("name", pa.string()),
+                ("score", pa.float64()), ("scored", pa.int64())]))
+    return run
 
 
 def _country_of(ref: Column, name: Column) -> Column:

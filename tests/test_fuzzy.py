@@ -99,3 +99,40 @@ def test_labels_and_least_ambiguous(spark):
     assert la[1] == ("winter", "christmas") and la[4] == ("fall", "") and la[3] == ("", "easter")
     assert EN.fetch_period(df).count() == 4
     assert F is not None
+
+
+@pytest.mark.parametrize("scorer", list(FZ.SCORERS))
+def test_index_gives_the_first_best_of_all_names(scorer):
+    rnd = random.Random(scorer)
+    word = lambda: "".join(rnd.choice("abcdeé") for _ in range(rnd.randint(1, 6)))
+    names = [" ".join(word() for _ in range(rnd.randint(0, 3))) for _ in range(120)] + ["", "a a b", "a b"]
+    names += names[:10]  # ties: the first one wins
+    index = FZ.NameIndex(names, scorer)
+    for _ in range(150):
+        query = rnd.choice([word(), f"{word()} {word()}", rnd.choice(names) or "b", "b a"])
+        scores = [FZ.SCORERS[scorer](query, n) for n in names]
+        bounds = index.bounds(query)
+        assert all(s <= b + 1e-9 for s, b in zip(scores, bounds)), (query, scorer)
+        place, score = index(query)
+        assert score == pytest.approx(max(scores)) and place == scores.index(max(scores)), query
+
+
+def test_index_scores_few_pairs():
+    rnd = random.Random(3)
+    names = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(4, 12))) for _ in range(2000)]
+    index = FZ.NameIndex(names)
+    for k in range(100):
+        index(names[k][:-1] + "z")
+    assert index.scored < 100 * 40  # of 2000 names a query
+
+
+def test_scan_over_chunks_equals_one_chunk(spark, countries):
+    names = EN.reference_names(countries)
+    tokens = spark.createDataFrame([(t,) for t in ["french", "france", "asia", "xyz", "", None, "japan-ese", "spain", "spain"]], "t string")
+    one = {tuple(r[c] for c in ("token", "kind", "pos", "ref", "name", "score")) for r in EN.best_matches(tokens, names).collect()}
+    assert len(one) == 12 and all(r["scored"] >= 1 for r in EN.best_matches(tokens, names).collect())
+    few = EN.best_matches(tokens, names, max_bytes=100)
+    assert {tuple(r[c] for c in ("token", "kind", "pos", "ref", "name", "score")) for r in few.collect()} == one
+    plan = EN.best_matches(tokens, names)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroup" not in plan
+    assert EN.best_matches(tokens, names.where("kind = 'none'")).count() == 0
