@@ -2,13 +2,12 @@
 
 * Neighbours of given items (the lookup): the items are scanned once.  Tokens
   of the asked items meet those of all items in an equi-join; numeric vectors
-  meet the asked ones in groups of items.  The cost is linear in the items.
-* Neighbours of all items by tokens: items are reduced to distinct token
-  vectors, each with its top_n + 1 smallest ids.  Vectors are hashed into
-  blocks; a group scores one pair of blocks with numpy and keeps top_n + 1
-  vectors per vector.  The lists are then expanded to ids and to items.  No
-  pair is a row, and items that share a vector are never compared.
-* All items by numbers are quadratic by nature (blocks of items).
+  are scanned where they lie, with the asked ones and their heaps in the task.
+* Neighbours of all items: items are reduced to distinct vectors, each with its
+  top_n + 1 smallest ids, so equal items are never compared.  Token vectors
+  meet under the terms of their prefix (``neighbors.vectors_by_postings``),
+  numeric ones in the pivot partitions that can hold a neighbour
+  (``neighbors.vectors_by_pivots``).  The lists are then expanded to ids.
 
 Scores: tokens -> dot(tf_a, tf_b) / sqrt(|a|^2 |b|^2) with integer counts;
 numeric -> cosine of standardised vectors (population sigma, 0 -> 1).
@@ -18,16 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from potluck.operators.common import topk_per_group
+from potluck.operators.neighbors import scan_numeric, vectors_by_pivots, vectors_by_postings
 from potluck.operators.stats import attach_row
-
-_OUT = "id long, neighbor_id long, score double"
-
+from potluck.session import cut_lineage
 
 def ingredient_tokens(col: str | Column) -> Column:
     """Ingredients -> lower-case word tokens (items joined by spaces, split on " ")."""
@@ -42,22 +38,6 @@ def hyphen_tokens(col: str | Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"\b[\w-]+\b"), 0)
 
 
-QUERY_GROUPS = 64
-
-
-def _blocked(items: DataFrame, key: str, block_rows: int) -> DataFrame:
-    """``items`` with a block number and the number of blocks, from one count."""
-    n = items.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(block_rows))).cast("int").alias("_nb"))
-    return attach_row(items, n).withColumn("_blk", F.pmod(F.xxhash64(key), F.col("_nb")).cast("int"))
-
-
-def _pair_groups(items: DataFrame, queries: DataFrame) -> DataFrame:
-    seq = F.sequence(F.lit(0), F.col("_nb") - 1)
-    left = queries.select("*", F.col("_blk").alias("_gl"), F.explode(seq).alias("_gr"), F.lit("L").alias("_role"))
-    right = items.select("*", F.explode(seq).alias("_gl"), F.col("_blk").alias("_gr"), F.lit("R").alias("_role"))
-    return left.unionByName(right)
-
-
 def _known(query_ids: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
     """The asked ids; an id that no item has raises when the plan runs."""
     asked = query_ids.select(F.col(query_ids.columns[0]).cast("long").alias("_q")).distinct()
@@ -67,24 +47,6 @@ def _known(query_ids: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
     return j.where(F.when(F.col("_there").isNull(), missing).otherwise(F.lit(True))).select("_q")
 
 
-def _topn_rows(ids_l, ids_r, s, top_n):
-    """Top-N candidates per query row of a score matrix (score desc, id asc).
-
-    Candidate columns must be sorted by id: a stable sort on the negated
-    score then breaks ties by id.  NaN marks excluded pairs.
-    """
-    if s.size == 0:
-        return pd.DataFrame({"id": pd.Series([], dtype="int64"), "neighbor_id": pd.Series([], dtype="int64"),
-                             "score": pd.Series([], dtype="float64")})
-    key = np.where(np.isnan(s), np.inf, -s)
-    k = min(top_n, s.shape[1])
-    order = np.argsort(key, axis=1, kind="stable")[:, :k]
-    sc = np.take_along_axis(s, order, axis=1)
-    keep = ~np.isnan(sc)
-    rows = np.repeat(ids_l, k).reshape(-1, k)
-    return pd.DataFrame({"id": rows[keep], "neighbor_id": ids_r[order][keep], "score": sc[keep]})
-
-
 # ---------------------------------------------------------------- G6 --------
 def _term_counts(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     return (df.select(F.col(id_col).cast("long").alias("id"), F.explode(tokens_col).alias("term"))
@@ -109,41 +71,23 @@ def cosine_topk_tokens(df: DataFrame, *, id_col: str = "id", tokens_col: str = "
         return _token_lookup(df, tf, query_ids, id_col, top_n)
     # distinct vectors: one hash of the sorted (term, count) list stands for a vector
     docs = tf.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("term", "tf"))).alias("terms"))
-    docs = docs.select("id", F.concat(F.xxhash64("terms").cast("string"), F.lit("/"), F.xxhash64(F.lit(1), "terms").cast("string")).alias("vec"), "terms")
+    docs = cut_lineage(docs.select("id", F.concat(F.xxhash64("terms").cast("string"), F.lit("/"), F.xxhash64(F.lit(1), "terms").cast("string")).alias("vec"), "terms"))
     vectors = docs.groupBy("vec").agg(F.min("id").alias("low"), F.min_by("terms", "id").alias("terms"))
-    vectors = vectors.withColumn("n2", F.aggregate("terms", F.lit(0).cast("long"), lambda a, x: a + x["tf"] * x["tf"]))
-    ids = topk_per_group(docs.select("vec", "id"), ["vec"], [F.col("id")], top_n + 1, ["id"])
-    blocked = _blocked(vectors, "vec", block_rows)
-    groups = _pair_groups(blocked, blocked).select("_gl", "_gr", "_role", "low", "n2",
-                                                   F.col("terms.term").alias("t"), F.col("terms.tf").alias("w"))
-
-    def score_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = pdf[pdf["_role"] == "L"]
-        right = pdf[pdf["_role"] == "R"].sort_values("low", kind="stable")
-        dot = np.zeros((len(left), len(right)))
-        sides = []
-        for part in (left, right):
-            rows = np.repeat(np.arange(len(part)), [len(t) for t in part["t"]])
-            sides.append((rows, np.concatenate([np.asarray(t, dtype=object) for t in part["t"]]) if len(part) else np.empty(0, object),
-                          np.concatenate([np.asarray(w, dtype=np.float64) for w in part["w"]]) if len(part) else np.empty(0)))
-        if len(left) and len(right):
-            _, code = np.unique(np.concatenate([sides[0][1], sides[1][1]]), return_inverse=True)
-            codes = code[:len(sides[0][1])], code[len(sides[0][1]):]
-            orders = [np.argsort(c, kind="stable") for c in codes]
-            for term in np.intersect1d(*codes):  # rows that hold the term, on both sides at once
-                at = [o[slice(*np.searchsorted(c[o], [term, term + 1]))] for c, o in zip(codes, orders)]
-                dot[np.ix_(sides[0][0][at[0]], sides[1][0][at[1]])] += np.outer(sides[0][2][at[0]], sides[1][2][at[1]])
-        score = dot / np.sqrt(np.outer(left["n2"].to_numpy(np.float64), right["n2"].to_numpy(np.float64)))
-        score[dot <= 0] = np.nan
-        return _topn_rows(left["low"].to_numpy(np.int64), right["low"].to_numpy(np.int64), score, top_n + 1)
-
-    part = groups.groupBy("_gl", "_gr").applyInPandas(score_block, _OUT)
-    near = _ranked(part, top_n + 1).select(F.col("id").alias("low"), F.col("neighbor_id").alias("near"), "score")
-    # vectors -> ids: the top_n + 1 best (score, id) of each vector, then of each item without itself
+    vectors = cut_lineage(vectors.withColumn("n2", F.aggregate("terms", F.lit(0).cast("long"), lambda a, x: a + x["tf"] * x["tf"])))
+    near, _ = vectors_by_postings(vectors, top_n + 1, block_rows)
+    return _expanded(near, docs.select("vec", "id"), vectors.select("vec", "low"), top_n)
+
+
+def _expanded(near: DataFrame, docs: DataFrame, vectors: DataFrame, top_n: int) -> DataFrame:
+    """Neighbours of vectors -> of ids: the ``top_n`` + 1 best (score, id) of each
+    vector, then of each of its ids without itself.  ``docs``: (vec, id),
+    ``vectors``: (vec, low)."""
+    best = _ranked(near, top_n + 1).select(F.col("id").alias("low"), F.col("neighbor_id").alias("near"), "score")
+    ids = topk_per_group(docs, ["vec"], [F.col("id")], top_n + 1, ["id"])
     lows = vectors.select(F.col("vec").alias("vec2"), F.col("low").alias("near"))
-    held = near.join(lows, "near").join(ids.select(F.col("vec").alias("vec2"), F.col("id").alias("neighbor_id")), "vec2")
+    held = best.join(lows, "near").join(ids.select(F.col("vec").alias("vec2"), F.col("id").alias("neighbor_id")), "vec2")
     best = topk_per_group(held.select("low", "neighbor_id", "score"), ["low"], [F.desc("score"), F.col("neighbor_id")], top_n + 1, ["neighbor_id"])
-    owner = vectors.select("vec", "low").join(docs.select("vec", "id"), "vec").select("low", "id")
+    owner = vectors.join(docs, "vec").select("low", "id")
     return _ranked(owner.join(best, "low").where("id <> neighbor_id").select("id", "neighbor_id", "score"), top_n)
 
 
@@ -176,29 +120,16 @@ def standardize(df: DataFrame, cols: Sequence[str], *, id_col: str = "id") -> Da
 def cosine_topk_numeric(df: DataFrame, cols: Sequence[str], *, id_col: str = "id", top_n: int = 10,
                         query_ids: DataFrame | None = None, block_rows: int = 4096) -> DataFrame:
     """Top-N other items by cosine of standardised numeric columns, of the
-    items in ``query_ids`` (an unknown id raises) or of all (quadratic).
+    items in ``query_ids`` (an unknown id raises; the asked vectors are
+    collected in chunks of a checked size) or of all.
     Columns: id, neighbor_id, score, rank."""
     z = standardize(df, cols, id_col=id_col)
-    vec = z.select("id", F.array(*[F.col(c) for c in cols]).alias("v"))
-
-    def scores(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        held = held.sort_values("id", kind="stable")
-        if not len(asked) or not len(held):
-            return _topn_rows(np.empty(0, np.int64), np.empty(0, np.int64), np.zeros((0, 0)), top_n)
-        a, b = (np.vstack(x["v"].to_numpy()).astype(np.float64) for x in (asked, held))
-        na, nb = (np.sqrt((x * x).sum(axis=1)) for x in (a, b))
-        s = (a / np.where(na == 0, 1.0, na)[:, None]) @ (b / np.where(nb == 0, 1.0, nb)[:, None]).T
-        ids_a, ids_b = asked["id"].to_numpy(np.int64), held["id"].to_numpy(np.int64)
-        s[ids_a[:, None] == ids_b[None, :]] = np.nan
-        return _topn_rows(ids_a, ids_b, s, top_n)
-
+    # adding 0.0 makes one zero of both
+    vec = z.select("id", F.array(*[F.col(c) + F.lit(0.0) for c in cols]).alias("v"))
     if query_ids is not None:
-        # the items are dealt once; the asked vectors go to every group of items
-        asked = _known(query_ids, df, id_col).join(vec, F.col("_q") == F.col("id")).select(
-            F.col("id").alias("id"), F.col("v").alias("v"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(QUERY_GROUPS - 1).cast("long"))).alias("q_group"))
-        held = vec.select(F.col("id").alias("id"), F.col("v").alias("v"), F.pmod(F.xxhash64("id"), F.lit(QUERY_GROUPS)).alias("group"))
-        return _ranked(asked.groupBy("q_group").cogroup(held.groupBy("group")).applyInPandas(scores, _OUT), top_n)
-    blocked = _blocked(vec, "id", block_rows)
-    groups = _pair_groups(blocked, blocked).select("_gl", "_gr", "_role", "id", "v")
-    part = groups.groupBy("_gl", "_gr").applyInPandas(lambda pdf: scores(pdf[pdf["_role"] == "L"], pdf[pdf["_role"] == "R"]), _OUT)
-    return _ranked(part, top_n)
+        asked = _known(query_ids, df, id_col).join(vec, F.col("_q") == F.col("id")).select("id", "v")
+        return _ranked(scan_numeric(vec, asked, top_n), top_n)
+    docs = cut_lineage(vec.select("id", F.col("v").alias("vec")))
+    vectors = cut_lineage(docs.groupBy("vec").agg(F.min("id").alias("low")))
+    near, _ = vectors_by_pivots(vectors.select("low", F.col("vec").alias("v")), top_n + 1, block_rows)
+    return _expanded(near, docs, vectors, top_n)

@@ -342,22 +342,33 @@ def q_neighbors_meta(spark, sf):
 _NC = P.NUTRITION_COLS
 
 
-@register("cosine_topk_numeric", P.with_ctes(P.SQL_NUTRITION) + ", keep AS (SELECT * FROM nutrition WHERE "
-          + " OR ".join(f"{c} IS NOT NULL" for c in _NC) + "),\nf AS (SELECT id, "
-          + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _NC) + " FROM keep),\nst AS (SELECT "
-          + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _NC) + " FROM f),\nz AS (SELECT id, "
-          + ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END AS {c}" for c in _NC) + " FROM f, st),\n"
-          + "nz AS (SELECT *, sqrt(" + " + ".join(f"{c} * {c}" for c in _NC) + ") AS nrm FROM z),\n"
-          + "s AS (SELECT a.id, b.id AS neighbor_id, (" + " + ".join(f"a.{c} * b.{c}" for c in _NC)
-          + ") / ((CASE WHEN a.nrm = 0 THEN 1.0 ELSE a.nrm END) * (CASE WHEN b.nrm = 0 THEN 1.0 ELSE b.nrm END)) AS score "
-          + "FROM nz a JOIN nz b ON a.id <> b.id AND a.id % 50 = 0)\n"
-          + """SELECT id, neighbor_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+def _cos_numeric_sql(asked: str) -> str:
+    """The 10 nearest by standardised nutrition, of the rows that ``asked`` marks."""
+    return (P.with_ctes(P.SQL_NUTRITION) + ", keep AS (SELECT * FROM nutrition WHERE "
+            + " OR ".join(f"{c} IS NOT NULL" for c in _NC) + "),\nf AS (SELECT id, "
+            + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _NC) + " FROM keep),\nst AS (SELECT "
+            + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _NC) + " FROM f),\nz AS (SELECT id, "
+            + ", ".join(f"({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END AS {c}" for c in _NC) + " FROM f, st),\n"
+            + "nz AS (SELECT *, sqrt(" + " + ".join(f"{c} * {c}" for c in _NC) + ") AS nrm FROM z),\n"
+            + "s AS (SELECT a.id, b.id AS neighbor_id, (" + " + ".join(f"a.{c} * b.{c}" for c in _NC)
+            + ") / ((CASE WHEN a.nrm = 0 THEN 1.0 ELSE a.nrm END) * (CASE WHEN b.nrm = 0 THEN 1.0 ELSE b.nrm END)) AS score "
+            + f"FROM nz a JOIN nz b ON a.id <> b.id AND {asked})\n"
+            + """SELECT id, neighbor_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, neighbor_id) AS rank FROM s) WHERE rank <= 10""")
+
+
+@register("cosine_topk_numeric", _cos_numeric_sql("a.id % 50 = 0"))
 def q_cos_numeric(spark, sf):
     asked = P.table(spark, sf, "embeddings").where(F.col("vec_id") % 50 == 0).select("vec_id")
     return rounded(SIM.cosine_topk_numeric(P.nutrition(spark, sf), _NC, top_n=10, query_ids=asked))
 
 
+@register("cosine_topk_numeric_all", _cos_numeric_sql("true"))
+def q_cos_numeric_all(spark, sf):
+    """The neighbours of every item (pivot partitions)."""
+    return rounded(SIM.cosine_topk_numeric(P.nutrition(spark, sf), _NC, top_n=10, block_rows=1024))
+
+
 # ---------------------------------------------------------------- G2-G5 -----
 def _docs_text(spark, sf):
     return P.table(spark, sf, "documents").select("doc_id", "text")

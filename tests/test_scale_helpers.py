@@ -177,6 +177,98 @@ def test_cosine_numeric_equals_brute_force(spark):
         assert got[i] == order
 
 
+def _numeric_brute(x, top_n):
+    """Same standardisation and score order, by numpy over all pairs."""
+    sd = x.std(axis=0)
+    z = (x - x.mean(axis=0)) / np.where(sd == 0, 1, sd)
+    size = np.sqrt((z * z).sum(axis=1))
+    u = z / np.where(size == 0, 1, size)[:, None]
+    sim = np.round(u @ u.T, 9)
+    return {i: [j for j in np.lexsort((np.arange(len(x)), -sim[i])) if j != i][:top_n] for i in range(len(x))}
+
+
+def test_pivot_partitions_are_skipped_and_answers_stay(spark):
+    from potluck.operators.neighbors import vectors_by_pivots
+
+    rng = np.random.default_rng(5)
+    x = np.round(np.concatenate([c + 0.05 * rng.normal(size=(60, 3)) for c in rng.normal(size=(10, 3)) * 3] + [np.repeat([[1.0, 2.0, 3.0]], 80, axis=0)]), 3)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double").repartition(5)
+    got = {}
+    for r in SIM.cosine_topk_numeric(df, ["a", "b", "c"], top_n=4, block_rows=40).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["neighbor_id"])
+    assert got == _numeric_brute(x, 4)
+    vectors = spark.createDataFrame([(i, list(map(float, r))) for i, r in enumerate(x[:600])], "low long, v array<double>")
+    _, skips = vectors_by_pivots(vectors, 5, 40)
+    searched = sum(r["searched"] for r in skips.collect())
+    assert 0 < searched < 0.5 * 600 * 14  # of 15 partitions less one's own
+
+
+def test_zero_and_equal_vectors_have_neighbours(spark):
+    # the mean row is the zero vector after standardising
+    x = np.array([[1.0, 1.0], [3.0, 3.0], [2.0, 2.0], [2.0, 2.0], [1.0, 3.0], [3.0, 1.0]])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double")
+    got = {}
+    for r in SIM.cosine_topk_numeric(df, ["a", "b"], top_n=3, block_rows=2).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["neighbor_id"])
+    assert got == _numeric_brute(x, 3)
+    same = df.selectExpr("id", "1.0D AS a", "2.0D AS b")
+    rows = SIM.cosine_topk_numeric(same, ["a", "b"], top_n=2).orderBy("id", "rank").collect()
+    assert [(r["id"], r["neighbor_id"]) for r in rows if r["id"] < 2] == [(0, 1), (0, 2), (1, 0), (1, 2)]
+
+
+def test_scan_memory_does_not_grow_with_the_items(spark):
+    from potluck.operators import neighbors as NB
+
+    rng = np.random.default_rng(2)
+    seen = []
+    for n in (5000, 50000):
+        heap, most = NB.Heap(20, 5), 0
+        asked = NB.unit(rng.normal(size=(20, 4)))
+        every = rng.normal(size=(n, 4))
+        for at in range(0, n, 4096):
+            score = NB.products(asked, NB.unit(every[at:at + 4096]))
+            heap.push(0, score, np.arange(at, at + score.shape[1]))
+            most = max(most, score.nbytes + heap.score.nbytes + heap.id.nbytes)
+        seen.append(most)
+        want = np.argsort(-NB.products(asked, NB.unit(every)), axis=1, kind="stable")[:, :5]
+        assert (heap.id == want).all()
+    assert seen[0] == seen[1]
+    df = spark.range(3000).selectExpr("id", "id * 1.0D AS x", "id % 7 * 1.0D AS y")
+    one = spark.createDataFrame([(17,), (30,)], "id long")
+    plan = SIM.cosine_topk_numeric(df, ["x", "y"], top_n=3, query_ids=one)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and "CoGroups" not in text
+    rows = plan.collect()
+    assert len(rows) == 6
+    small = NB.scan_numeric  # several chunks give the same rows
+    vec = df.selectExpr("id", "array(x, y) AS v")
+    ask = vec.where("id in (17, 30, 31)")
+    a = {tuple(r) for r in SIM._ranked(small(vec, ask, 3), 3).collect()}
+    assert {tuple(r) for r in SIM._ranked(small(vec, ask, 3, max_bytes=40), 3).collect()} == a
+
+
+def test_token_pairs_without_a_shared_term_never_meet(spark):
+    from potluck.operators.neighbors import vectors_by_postings
+
+    rnd = random.Random(9)
+    docs = [(i, ["salt"] * (i % 3 == 0) + [f"c{i % 12}" for _ in range(1 + i % 4)] + [f"w{rnd.randint(0, 40)}" for _ in range(2)]) for i in range(400)]
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    want = _brute_tokens(docs, 3)
+    got = {}
+    for r in SIM.cosine_topk_tokens(df, top_n=3, block_rows=50).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append((r["neighbor_id"], r["score"]))
+    assert {k: [b for b, _ in v] for k, v in got.items()} == {k: [b for b, _ in v] for k, v in want.items()}
+    distinct = {}
+    for i, toks in docs:
+        distinct.setdefault(tuple(sorted(toks)), i)
+    rows = [(i, [(t, toks.count(t)) for t in sorted(set(toks))], sum(toks.count(t) ** 2 for t in set(toks))) for toks, i in distinct.items()]
+    vectors = spark.createDataFrame(rows, "low long, terms array<struct<term:string,tf:long>>, n2 long")
+    _, compared = vectors_by_postings(vectors, 4, 50)
+    sharing = sum(1 for a in rows for b in rows if a[0] != b[0] and {t for t, _ in a[1]} & {t for t, _ in b[1]})
+    met = compared.first()["compared"]
+    assert 0 < met < 0.75 * sharing  # each pair once at most; of those that share only common terms many never
+
+
 def test_neighbour_lookup_is_linear_and_rejects_unknown_ids(spark):
     from potluck.operators.similarity import cosine_topk_numeric, cosine_topk_tokens
 
