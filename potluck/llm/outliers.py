@@ -19,7 +19,12 @@ two starts (medians with absolute deviations; plain moments):
 
 Groups with fewer than ``least_rows`` documents that pass the base rules are
 held against the estimate of all such documents of their language, and if
-these are too few, of the whole table, made by the same steps.
+these are too few, of the whole table.  Each row is dealt once to all groups
+it counts for (its own, its language if that has a small group, the table if
+that has a small language), so the same steps serve all levels at once.
+
+Repetition is measured against the length plus ``SHORT`` words: one line said
+twice is usual in a short text, half of a long one repeated is not.
 
 Defined cases: a null text is one without words; null language or source is a
 group value of its own; a table with fewer than ``least_rows`` documents that
@@ -43,7 +48,9 @@ SYMBOLS = "#*$%&|<>"
 #: Rows of a group are dealt to so many tasks wherever they meet their group's estimate.
 SALTS = 64
 #: Smallest standard deviations of the statistics: finer differences are not outlying.
-FLOORS = (0.35, 0.15, 0.25, 0.2, 0.15)
+FLOORS = (0.35, 0.15, 0.25, 0.2, 0.075)
+#: Words without repetition that every text is credited with.
+SHORT = 150
 P = len(FLOORS)
 
 
@@ -102,7 +109,7 @@ def vector() -> list[Column]:
     """The transformed statistics of a row that passed the base rules."""
     n, c = F.col("n_words").cast("double"), F.col("word_chars").cast("double")
     return [F.log(n), F.log(c / n) * 2, F.log1p(100 * F.col("n_symbols") / c), F.log1p(F.col("n_dup_lines")) / F.log1p(F.sqrt(n)),
-            F.sqrt(F.col("n_repeat_words") / n)]
+            F.sqrt(F.col("n_repeat_words") / (n + SHORT))]
 
 
 # ------------------------------------------------------- chi-square values --
@@ -216,6 +223,24 @@ def estimate(rows: DataFrame, keys: list[str], share: float = 0.75, steps: int =
             .join(enough, keys).drop("_rows"))
 
 
+def _levels(passed: DataFrame, keys: list[str], least_rows: int) -> DataFrame:
+    """A written table: per language and source the groups its rows count for,
+    and the group that judges them (null: none is large enough)."""
+    lang = keys[0]
+    own = passed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    langs = own.groupBy(F.col(lang).alias("l")).agg(F.sum("n").alias("ln"), F.min("n").alias("least"))
+    table = langs.agg(F.sum("ln").alias("tn"), F.min(F.when(F.col("least") < least_rows, F.col("ln"))).alias("few"))
+    name = F.concat(F.lit("source "), F.to_json(F.struct(*keys)))
+    in_lang, in_all = F.concat(F.lit("language "), F.col(lang)), F.lit("all")
+    large, large_lang, large_all = F.col("n") >= least_rows, F.col("ln") >= least_rows, F.col("tn") >= least_rows
+    facts = own.join(langs, F.col(lang) == F.col("l")).select("*", table.select(F.struct("tn", "few")).scalar().alias("t")).select("*", "t.*")
+    return written(facts.select(
+        *keys,
+        F.array_compact(F.array(F.when(large, name), F.when(large_lang & (F.col("least") < least_rows), in_lang),
+                                F.when(large_all & (F.col("few") < least_rows), in_all))).alias("groups"),
+        F.when(large, name).when(large_lang, in_lang).when(large_all, in_all).alias("judge")), "quality-levels")
+
+
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
           share: float = 0.75, steps: int = 3, tail: float = 1e-6, least_rows: int = 20) -> DataFrame:
     """The statistics of every row with base_failed, distance2 and kept.
@@ -226,22 +251,17 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     stats = written(statistics(docs, doc_id, text, lang, source), "quality-statistics")
     keys = ["g_lang", "g_source"]
     group = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")).alias(k) for c, k in zip(("lang", "source"), keys)]
-    group.append(F.lit("all").alias("g_all"))
     spread = salt("doc_id", "n_words", "word_chars", "n_symbols")
-    passed = stats.where("not base_failed").select(*group, spread, *[z.alias(f"z{i}") for i, z in enumerate(vector())])
     wide = share / chi2_cdf(chi2_quantile(share, P), P + 2)  # makes the tight share's covariance that of all
     limit = chi2_quantile(1 - tail, P) * wide
     marked = stats.select(*stats.columns, *group, spread, *[F.when(~F.col("base_failed"), z).alias(f"z{i}") for i, z in enumerate(vector())])
-    names = [*(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in PAIRS)]
-    levels = [keys, ["g_lang"], ["g_all"]]  # the first with an estimate counts
-    used = []
-    for k, own in enumerate(levels):
-        if k and passed.groupBy(*levels[k - 1]).count().where(F.col("count") < least_rows).isEmpty():
-            break  # every row has an estimate
-        used.append(f"e{k}")
-        usual = estimate(passed, own, share, steps, least_rows)
-        marked = with_group(marked, usual.select(*own, F.struct(*names).alias(f"e{k}")), own, "left")
-    usual = F.coalesce(*[F.col(e) for e in used])
-    far = _distance(marked.withColumn("usual", usual).select("*", "usual.*"), "d2")
+    passed = marked.where("not base_failed")
+    levels = _levels(passed, keys, least_rows)
+    dealt = with_group(passed.select(*keys, "salt", *[f"z{i}" for i in range(P)]), levels.drop("judge"), keys)
+    usual = estimate(written(dealt.select(F.explode("groups").alias("g"), "salt", *[f"z{i}" for i in range(P)]), "quality-groups"),
+                     ["g"], share, steps, least_rows)
+    marked = with_group(marked, levels.select(*keys, F.col("judge").alias("g")), keys, "left")
+    marked = with_group(marked, usual, ["g"], "left")
+    far = _distance(marked, "d2")
     return far.select(*stats.columns, (F.col("d2") / F.lit(wide)).alias("distance2"),
                       (~F.col("base_failed") & (F.col("d2").isNull() | (F.col("d2") <= F.lit(limit)))).alias("kept"))

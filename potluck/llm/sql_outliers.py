@@ -1,30 +1,36 @@
 """DuckDB SQL of the outlier query: word positions and windows as rows, the
-covariance estimate as a chain of grouped tables."""
+covariance estimate as a chain of grouped tables.  Every row counts for its
+language and source, for its language and for the whole table; the first of
+these with enough rows judges it.  All constants are written out here."""
 
 from __future__ import annotations
 
-from potluck.llm import outliers as O
-
 _SPACE = r"[\x20\x09-\x0D]"
-_Z = range(O.P)
+_P = 5
+_FLOORS = [0.35, 0.15, 0.25, 0.2, 0.075]
+_Z = range(_P)
+#: The 1 - 1e-6 quantile of chi-square with 5 degrees of freedom, times 0.75 over
+#: the share of 7 degrees that lies below the 0.75 quantile of 5.
+_LIMIT = 50.67667009829394
 _PAIRS = [(i, j) for i in _Z for j in range(i + 1)]
 
-_BASE = rf"""docs AS (SELECT doc_id, coalesce(text, '') AS text, lang, source FROM documents),
-word AS (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i FROM (
-  SELECT doc_id, unnest(regexp_split_to_array(text, '{_SPACE}+')) AS w, generate_subscripts(regexp_split_to_array(text, '{_SPACE}+'), 1) AS k FROM docs) WHERE w <> ''),
-gram AS (SELECT doc_id, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o AS g FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM gram WHERE g IS NOT NULL) WHERE n > 1),
-covered AS (SELECT doc_id, count(DISTINCT i + d) AS r FROM twice, (VALUES (0), (1), (2)) x(d) GROUP BY doc_id),
-line AS (SELECT doc_id, count(*) - count(DISTINCT l) AS dup FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM docs)
-  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-size AS (SELECT doc_id, count(*) AS n FROM word GROUP BY doc_id),
-stat AS (SELECT d.doc_id, coalesce('=' || lang, 'null') AS gl, coalesce('=' || source, 'null') AS gs, coalesce(s.n, 0) AS n_words,
+_BASE = rf"""docs AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, lang, source FROM documents),
+word AS (SELECT rid, w, row_number() OVER (PARTITION BY rid ORDER BY k) AS i FROM (
+  SELECT rid, unnest(regexp_split_to_array(text, '{_SPACE}+')) AS w, generate_subscripts(regexp_split_to_array(text, '{_SPACE}+'), 1) AS k FROM docs) WHERE w <> ''),
+gram AS (SELECT rid, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o AS g FROM word WINDOW o AS (PARTITION BY rid ORDER BY i)),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM gram WHERE g IS NOT NULL) WHERE n > 1),
+covered AS (SELECT rid, count(DISTINCT i + d) AS r FROM twice, (VALUES (0), (1), (2)) x(d) GROUP BY rid),
+line AS (SELECT rid, count(*) - count(DISTINCT l) AS dup FROM (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM docs)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY rid),
+size AS (SELECT rid, count(*) AS n FROM word GROUP BY rid),
+stat AS (SELECT d.rid, d.doc_id, coalesce('=' || lang, 'null') AS gl, coalesce('=' || source, 'null') AS gs, coalesce(s.n, 0) AS n_words,
   length(regexp_replace(text, '{_SPACE}', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-  coalesce(l.dup, 0) AS n_dup_lines, coalesce(c.r, 0) AS n_repeat_words FROM docs d LEFT JOIN size s ON s.doc_id = d.doc_id
-  LEFT JOIN line l ON l.doc_id = d.doc_id LEFT JOIN covered c ON c.doc_id = d.doc_id),
+  coalesce(l.dup, 0) AS n_dup_lines, coalesce(c.r, 0) AS n_repeat_words FROM docs d LEFT JOIN size s ON s.rid = d.rid
+  LEFT JOIN line l ON l.rid = d.rid LEFT JOIN covered c ON c.rid = d.rid),
 base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stat),
-zs AS (SELECT doc_id, gl, gs, ln(n_words) AS z0, ln(word_chars / CAST(n_words AS DOUBLE)) * 2 AS z1, ln(1 + 100 * n_symbols / CAST(word_chars AS DOUBLE)) AS z2,
-  ln(1 + n_dup_lines) / ln(1 + sqrt(n_words)) AS z3, sqrt(n_repeat_words / CAST(n_words AS DOUBLE)) AS z4 FROM base WHERE NOT base_failed)"""
+zr AS (SELECT rid, gl, gs, ln(n_words) AS z0, ln(word_chars / CAST(n_words AS DOUBLE)) * 2 AS z1, ln(1 + 100 * n_symbols / CAST(word_chars AS DOUBLE)) AS z2,
+  ln(1 + n_dup_lines) / ln(1 + sqrt(n_words)) AS z3, sqrt(n_repeat_words / CAST(n_words + 150 AS DOUBLE)) AS z4 FROM base WHERE NOT base_failed),
+zs AS MATERIALIZED (SELECT *, '0' || gl || chr(1) || gs AS g FROM zr UNION ALL SELECT *, '1' || gl FROM zr UNION ALL SELECT *, '2' FROM zr)"""
 
 
 def _factor(source: str, keys: str) -> str:
@@ -48,31 +54,31 @@ def _far(rows: str) -> str:
 
 
 def _moments(rows: str, keys: str) -> str:
-    floor = lambda i, j: f" + {O.FLOORS[i] ** 2}" if i == j else ""
+    floor = lambda i, j: f" + {_FLOORS[i] ** 2}" if i == j else ""
     return (f"(SELECT {keys}, {', '.join(f'avg(z{i}) AS m{i}' for i in _Z)}, "
             + ", ".join(f"avg(z{i} * z{j}) - avg(z{i}) * avg(z{j}){floor(i, j)} AS c{i}{j}" for i, j in _PAIRS) + f" FROM {rows} GROUP BY {keys})")
 
 
-def build(share: float = 0.75, steps: int = 3, tail: float = 1e-6, least_rows: int = 20) -> str:
+def build(share: float = 0.75, steps: int = 3, least_rows: int = 20) -> str:
     parts = [_BASE]
-    parts.append("med AS (SELECT gl, gs, " + ", ".join(f"quantile_disc(z{i}, 0.5) AS m{i}" for i in _Z) + " FROM zs GROUP BY gl, gs)")
-    parts.append("dev AS (SELECT zs.gl, zs.gs, " + ", ".join(f"any_value(m{i}) AS m{i}, quantile_disc(abs(z{i} - m{i}), 0.5) AS a{i}" for i in _Z)
-                 + " FROM zs JOIN med ON zs.gl = med.gl AND zs.gs = med.gs GROUP BY zs.gl, zs.gs)")
-    robust = ("(SELECT gl, gs, 0 AS start, " + ", ".join(f"m{i}" for i in _Z) + ", "
-              + ", ".join(f"pow(a{i} * 1.4826, 2) + {O.FLOORS[i] ** 2} AS c{i}{j}" if i == j else f"0.0 AS c{i}{j}" for i, j in _PAIRS) + " FROM dev)")
-    plain = "(SELECT gl, gs, 1 AS start, " + ", ".join([*(f"m{i}" for i in _Z), *(f"c{i}{j}" for i, j in _PAIRS)]) + f" FROM {_moments('zs', 'gl, gs')})"
-    parts.append(f"e0 AS ({_factor(f'(SELECT * FROM {robust} UNION ALL SELECT * FROM {plain})', 'gl, gs, start')})")
+    parts.append("med AS (SELECT g, " + ", ".join(f"quantile_disc(z{i}, 0.5) AS m{i}" for i in _Z) + " FROM zs GROUP BY g)")
+    parts.append("dev AS (SELECT zs.g, " + ", ".join(f"any_value(m{i}) AS m{i}, quantile_disc(abs(z{i} - m{i}), 0.5) AS a{i}" for i in _Z)
+                 + " FROM zs JOIN med ON zs.g = med.g GROUP BY zs.g)")
+    robust = ("(SELECT g, 0 AS start, " + ", ".join(f"m{i}" for i in _Z) + ", "
+              + ", ".join(f"pow(a{i} * 1.4826, 2) + {_FLOORS[i] ** 2} AS c{i}{j}" if i == j else f"0.0 AS c{i}{j}" for i, j in _PAIRS) + " FROM dev)")
+    plain = "(SELECT g, 1 AS start, " + ", ".join([*(f"m{i}" for i in _Z), *(f"c{i}{j}" for i, j in _PAIRS)]) + f" FROM {_moments('zs', 'g')})"
+    parts.append(f"e0 AS MATERIALIZED ({_factor(f'(SELECT * FROM {robust} UNION ALL SELECT * FROM {plain})', 'g, start')})")
     for k in range(steps):
-        rows = f"(SELECT zs.*, e.* EXCLUDE (gl, gs) FROM zs JOIN e{k} e ON zs.gl = e.gl AND zs.gs = e.gs)"
-        parts.append(f"""c{k} AS (SELECT gl, gs, start, {', '.join(f'z{i}' for i in _Z)}, floor(log2(d2 + 1e-6) * 16) AS cls FROM {_far(rows)}),
-b{k} AS (SELECT *, rank() OVER (PARTITION BY gl, gs, start ORDER BY cls) - 1 AS before, count(*) OVER (PARTITION BY gl, gs, start) AS total FROM c{k})""")
-        parts.append(f"e{k + 1} AS ({_factor(_moments(f'(SELECT * FROM b{k} WHERE before < {share} * total)', 'gl, gs, start'), 'gl, gs, start')})")
-    wide = share / O.chi2_cdf(O.chi2_quantile(share, O.P), O.P + 2)
-    limit = O.chi2_quantile(1 - tail, O.P) * wide
-    parts.append(f"""best AS (SELECT * FROM e{steps} WHERE (gl, gs) IN (SELECT (gl, gs) FROM zs GROUP BY gl, gs HAVING count(*) >= {least_rows})
-  QUALIFY row_number() OVER (PARTITION BY gl, gs ORDER BY det, start) = 1)""")
-    judged = _far("(SELECT zs.*, best.* EXCLUDE (gl, gs) FROM zs JOIN best ON zs.gl = best.gl AND zs.gs = best.gs)")
-    parts.append(f"judged AS (SELECT doc_id, d2 FROM {judged})")
+        rows = f"(SELECT zs.*, e.* EXCLUDE (g) FROM zs JOIN e{k} e ON zs.g = e.g)"
+        parts.append(f"""c{k} AS (SELECT g, start, {', '.join(f'z{i}' for i in _Z)}, floor(log2(d2 + 1e-6) * 16) AS cls FROM {_far(rows)}),
+b{k} AS (SELECT *, rank() OVER (PARTITION BY g, start ORDER BY cls) - 1 AS before, count(*) OVER (PARTITION BY g, start) AS total FROM c{k})""")
+        parts.append(f"e{k + 1} AS MATERIALIZED ({_factor(_moments(f'(SELECT * FROM b{k} WHERE before < {share} * total)', 'g, start'), 'g, start')})")
+    parts.append(f"""best AS (SELECT * FROM e{steps} WHERE g IN (SELECT g FROM zs GROUP BY g HAVING count(*) >= {least_rows})
+  QUALIFY row_number() OVER (PARTITION BY g ORDER BY det, start) = 1),
+own AS (SELECT zs.*, best.* EXCLUDE (g) FROM zs JOIN best ON zs.g = best.g),
+first AS (SELECT rid, min(g[1]) AS level FROM own GROUP BY rid)""")
+    judged = _far("(SELECT own.* FROM own JOIN first ON own.rid = first.rid AND own.g[1] = first.level)")
+    parts.append(f"judged AS (SELECT rid, d2 FROM {judged})")
     return ("WITH " + ",\n".join(parts) + f"""
 SELECT b.doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND (d2 IS NULL OR d2 <= {limit!r}) AS kept FROM base b LEFT JOIN judged j ON b.doc_id = j.doc_id""")
+  NOT base_failed AND (d2 IS NULL OR d2 <= {_LIMIT!r}) AS kept FROM base b LEFT JOIN judged j ON b.rid = j.rid""")

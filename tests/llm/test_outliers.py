@@ -84,7 +84,7 @@ def test_estimate_and_verdicts(make_docs):
         z = []
         for r in mine:
             n, c, s, d, p, _ = slow(r[1])
-            z.append([math.log(n), 2 * math.log(c / n), math.log1p(100 * s / c), math.log1p(d) / math.log1p(math.sqrt(n)), math.sqrt(p / n)])
+            z.append([math.log(n), 2 * math.log(c / n), math.log1p(100 * s / c), math.log1p(d) / math.log1p(math.sqrt(n)), math.sqrt(p / (n + 150))])
         want = numpy_mcd(np.array(z)) / wide
         assert np.allclose([got[r[0]]["distance2"] for r in mine], want, rtol=1e-6)
 
@@ -99,6 +99,38 @@ def test_small_groups_are_judged_by_language_then_all_rows(make_docs):
     assert all(got[r[0]]["kept"] for r in rows) and not any(got[r[0]]["kept"] for r in junk)
 
 
+def test_half_repeated_texts_go_and_clean_ones_stay(make_docs):
+    """Long texts that repeat a passage or lines are outliers; one line said twice in a short text is not."""
+    rng = random.Random(11)
+    rows = [(i, english(rng, rng.randint(60, 500)), "en", f"s{i % 4}") for i in range(400)]
+    for i in range(400, 440):  # short, one line of 13 words twice
+        line = english(rng, 13)
+        rows.append((i, "\n".join([english(rng, 20), line, english(rng, 20), line, english(rng, rng.randint(0, 60))]), "en", f"s{i % 4}"))
+    bad = []
+    for i in range(10):
+        passage = english(rng, 40)
+        bad.append((1000 + i, " ".join([english(rng, 42), *[f"{passage} {english(rng, 42)}" for _ in range(4)], passage]), "en", f"s{i % 4}"))
+    for i in range(10):
+        lines = [english(rng, 7) for _ in range(20)]
+        bad.append((2000 + i, "\n".join(lines + lines[:19] + [english(rng, 30)]), "en", f"s{i % 4}"))
+    got = {r["doc_id"]: r for r in outliers.judge(make_docs([(*r, len(r[1])) for r in rows + bad])).collect()}
+    assert not any(got[r[0]]["base_failed"] for r in bad[:10])
+    assert all(got[r[0]]["kept"] for r in rows)
+    assert not any(got[r[0]]["kept"] for r in bad)
+
+
+def test_every_row_is_dealt_to_the_groups_it_counts_for(spark):
+    keys = ["g_lang", "g_source"]
+    rows = [("=en", "=a")] * 25 + [("=en", "=b")] * 3 + [("=fr", "=a")] * 30 + [("=fi", "=a")] * 2
+    got = {(r["g_lang"], r["g_source"]): (r["groups"], r["judge"]) for r in outliers._levels(spark.createDataFrame(rows, keys), keys, 20).collect()}
+    assert got["=fr", "=a"][0] == ['source {"g_lang":"=fr","g_source":"=a"}', "all"]  # no small group in its language
+    assert got["=en", "=a"][0] == ['source {"g_lang":"=en","g_source":"=a"}', "language =en", "all"]
+    assert got["=en", "=b"] == (["language =en", "all"], "language =en")
+    assert got["=fi", "=a"] == (["all"], "all")
+    few = outliers._levels(spark.createDataFrame(rows[-2:], keys), keys, 20).first()
+    assert few["groups"] == [] and few["judge"] is None
+
+
 def test_chi_square_values():
     assert abs(outliers.chi2_quantile(0.95, 5) - 11.0705) < 1e-3
     assert abs(outliers.chi2_quantile(0.5, 2) - 2 * math.log(2)) < 1e-6
