@@ -51,9 +51,7 @@ PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_chars('L')}]+|[{_chars('N')}]|[^
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tok
+    return Tokenizer.from_file(path)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -89,9 +87,11 @@ def token_bytes(text: str | None, path: str) -> bytes:
 
     Exactly the library's: plain Latin text is normalised and split as the
     tokenizer's file says and its parts are looked up or given to its model.
+    Texts that may hold the string of a special token, which the library
+    reads as that token, go to it whole.
     """
     text = text or ""
-    if PLAIN.fullmatch(text):
+    if "<|" not in text and PLAIN.fullmatch(text):
         return b"".join(map(_words(path).__getitem__, PARTS.findall(text.lower())))
     return np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 

@@ -13,12 +13,16 @@
 
 Queries are a stated set; they meet the shards in blocks, and every (block,
 shard) returns at most k rows a query.  Components are integers held as
-doubles: exact as long as inner products stay below 2 ** 53.
-
-Defined cases: vectors that are null or hold null or non-finite components
-take no part, neither do those with a null id; empty vectors meet with score
-0; vectors only meet others of their length; repeated ids are rows of their
-own, a query skips every row of its own id; ties go to the smaller id.
+doubles.  Where an inner product could reach 2 ** 53, the block meets the
+shard in Python's integers instead of the tree; scores travel as two longs.
+
+Defined cases: vectors that are null or hold null or non-finite components, or
+(scaled) components above 2 ** 53, take no part, neither do those with a null
+id; empty vectors meet with score 0; vectors only meet others of their length;
+repeated ids are rows of their own, a query skips every row of its own id;
+query rows equal in id and vector are asked once, and of several vectors with
+one id the best pairs of all are returned; ties go to the smaller id; a score
+beyond a long is null, its rank stays; other columns are not read.
 """
 
 from __future__ import annotations
@@ -117,7 +121,20 @@ def valid(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True))
 
 
-FOUND = "query_id long, vec_id long, score double"
+#: A score is high * EXACT + low, with 0 <= low < EXACT.
+EXACT = 1 << 53
+FOUND = "query_id long, vec_id long, high long, low long"
+
+
+def exact_search(qid: list, q: np.ndarray, ids: list, x: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(query id, id, score) of the best rows, in Python's integers."""
+    whole = [(i, [int(c) for c in row]) for i, row in zip(ids, x)]
+    out = []
+    for i, row in zip(qid, q):
+        mine = [int(c) for c in row]
+        best = heapq.nsmallest(k, ((-sum(a * b for a, b in zip(mine, other)), j) for j, other in whole if j != i))
+        out += [(i, j, -s) for s, j in best]
+    return out
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", scale: float = 256.0,
@@ -127,7 +144,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
     Components become floor(``scale`` * x).  ``queries`` marks the query rows.
     """
     whole = F.transform(embedding, lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double"))
-    rows = written(vectors.where(valid(F.col(embedding)) & F.col(vec_id).isNotNull())
+    fits = ~F.exists(embedding, lambda x: F.abs(x.cast("double") * F.lit(scale)) > F.lit(float(EXACT)))
+    rows = written(vectors.where(valid(F.col(embedding)) & fits & F.col(vec_id).isNotNull())
                    .select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v"), F.size(embedding).alias("dim"),
                            queries.alias("asks")), "vectors")
     n = rows.count()
@@ -138,12 +156,17 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
                                      F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(shards)).cast("int").alias("home"))
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
+        found = lambda q, v, s: pd.DataFrame({"query_id": np.asarray(q, np.int64), "vec_id": np.asarray(v, np.int64),
+                                              "high": np.asarray(s, np.int64) >> 53, "low": np.asarray(s, np.int64) & (EXACT - 1)})
         asked = asked.rename(columns={c: c[2:] for c in asked.columns if c.startswith("q_")})
         if not len(asked) or not len(held):
-            return empty
+            return found([], [], [])
         stack = lambda v: np.stack([np.asarray(x, dtype=np.float64) for x in v])
-        tree = KDTree(held["vec_id"].to_numpy(), stack(held["v"]))
+        x, q = stack(held["v"]), stack(asked["v"])
+        if x.shape[1] and x.shape[1] * float(np.abs(x).max()) * float(np.abs(q).max()) >= EXACT:
+            best = exact_search(asked["vec_id"].tolist(), q, held["vec_id"].tolist(), x, k)
+            return pd.DataFrame([(a, b, s >> 53, s & (EXACT - 1)) for a, b, s in best], columns=["query_id", "vec_id", "high", "low"])
+        tree = KDTree(held["vec_id"].to_numpy(), x)
         asked = asked.sort_values("vec_id", kind="stable")
         out = []
         for at in range(0, len(asked), 256):
@@ -151,8 +174,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
             bar = some["bar"].to_numpy(dtype=np.float64, na_value=-np.inf)
             best, who = tree.search(some["vec_id"].to_numpy(), stack(some["v"]), k, np.where(np.isnan(bar), -np.inf, bar))
             row, col = np.nonzero(np.isfinite(best))
-            out.append(pd.DataFrame({"query_id": some["vec_id"].to_numpy()[row], "vec_id": who[row, col], "score": best[row, col]}))
-        return pd.concat(out) if out else empty
+            out.append(found(some["vec_id"].to_numpy()[row], who[row, col], best[row, col]))
+        return pd.concat(out) if out else found([], [], [])
 
     def meet(asked: DataFrame) -> DataFrame:
         """(shard, block) of queries against the shard's rows."""
@@ -161,14 +184,18 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
         return (asked.groupBy("q_dim", "q_shard", "q_block").cogroup(held.groupBy("dim", "shard", "block"))
                 .applyInPandas(search, FOUND))
 
-    # a query that repeats its id is asked once
-    once = asks.dropDuplicates(["vec_id", "dim"])
+    once = asks.dropDuplicates(["vec_id", "v"])
     first = written(meet(once.select("vec_id", "v", "dim", F.col("home").alias("shard"), "block", F.lit(None).cast("double").alias("bar"))), "first-shard")
-    bar = first.groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
+    # what a query's id has found at least; beyond exact doubles a little less
+    worst = F.min(F.struct("high", "low"))
+    value = worst["high"].cast("double") * F.lit(float(EXACT)) + worst["low"].cast("double")
+    bar = first.groupBy("query_id").agg((value - F.when(F.abs(value) >= F.lit(float(EXACT)), F.abs(value) * 1e-12).otherwise(0.0)).alias("low"),
+                                        F.count(F.lit(1)).alias("n"))
     barred = (once.join(bar, F.col("vec_id") == F.col("query_id"), "left")
               .select("vec_id", "v", "dim", "block", "home", F.when(F.col("n") >= k, F.col("low")).alias("bar")))
     rest = barred.select("vec_id", "v", "dim", "block", "bar", "home", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")).where("shard <> home")
     found = first.unionByName(meet(rest.drop("home"))) if shards > 1 else first
-    own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    own = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("low"), "vec_id")
+    score = F.when(F.col("high").between(-1024, 1023), F.shiftleft("high", 53) + F.col("low"))
     return (found.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score")))
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score")))

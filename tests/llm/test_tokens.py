@@ -121,7 +121,16 @@ def test_unigram_edges():
 def test_word_ids_equal_library():
     path = P.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
-    lib.encode_special_tokens = True
     for t in texts(400):
         got = np.frombuffer(packing.token_bytes(t, path), "<u4").tolist()
         assert got == lib.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_special_strings_are_read_as_the_library_reads_them():
+    from potluck.llm import packing
+    path = P.path("word_bpe_49k.json")
+    ids = lambda t: np.frombuffer(packing.token_bytes(t, path), dtype="<u4").tolist()
+    assert ids("<|endoftext|>") == [49407] and ids("<|startoftext|>") == [49406]
+    lib = packing._tokenizer(path)
+    for t in ("a<|endoftext|>b", "x <|startoftext|> y <| z |>", "<|EndOfText|>", "é <|endoftext|>"):
+        assert ids(t) == lib.encode(t, add_special_tokens=False).ids

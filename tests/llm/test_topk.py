@@ -28,7 +28,7 @@ def run(spark, rows, k=5, **options):
     got = {}
     for r in topk.top_k(df, F.col("vec_id") % 5 == 0, k=k, **options).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    return {q: sorted(v) for q, v in got.items()}
+    return {q: sorted(v, key=lambda r: r[0]) for q, v in got.items()}
 
 
 @pytest.mark.parametrize("dim", [2, 16])
@@ -50,6 +50,19 @@ def test_edge_cases(spark):
     assert run(spark, [(0, [1.0])]) == {}
 
 
+def test_repeated_ids_and_large_components(spark):
+    """Several vectors of one query id answer together; exact beyond 2 ** 53; null beyond a long."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [5.0, 0.0]), (2, [0.0, 7.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0]), (4, [-9.0, -9.0])]
+    want = {0: [(1, 2, 7 * 65536), (2, 1, 5 * 65536), (3, 3, 65536), (4, 3, 65536), (5, 3, 65536)]}
+    assert run(spark, rows) == run(spark, rows, shard_rows=2) == want
+    big = [(i, [3e7 + i * 64, -3e7 if i % 2 else 3e7, float(i)]) for i in range(12)] + [(20, [1e5, 2e5, 3e5]), (21, [1.0, 2.0, 3.0])]
+    got, exact = run(spark, big, shard_rows=4), brute(big, lambda q: q % 5 == 0, 5)
+    assert {q: [(r, i) for r, i, _ in v] for q, v in got.items()} == {q: [(r, i) for r, i, _ in v] for q, v in exact.items()}
+    for q, v in exact.items():
+        assert [s for _, _, s in got[q]] == [s if abs(s) < 1 << 63 else None for _, _, s in v]
+    assert any(s is None for v in got.values() for _, _, s in v) and any(s is not None for v in got.values() for _, _, s in v)
+
+
 def test_tree_prunes_and_boxes_hold():
     rng = np.random.default_rng(1)
     x = np.floor(rng.normal(size=(4000, 3)) * 256)
