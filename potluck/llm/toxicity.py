@@ -1,15 +1,17 @@
 """Toxicity: a learned lexicon, misspellings by automaton, context windows.
 
-Learning (on a bounded, documented sample of the labelled rows, near copies
-of one another counted once):
+Learning (near copies of one another count once):
 
 * words and word beginnings whose rate among toxic documents is far above
-  their rate among clean ones form the lexicon;
+  their rate among clean ones (smoothed, and ``min_docs`` toxic documents or
+  more) form the lexicon; rates are over all labelled rows that are not held
+  out, whatever the number of terms;
 * the lexicon is a trie; Levenshtein automata run over it at once: a state is
   a set of (trie node, edits used), so one walk over a word's letters finds
   every term within its distance (none for short terms, 1, or 2 for long);
-* every (term, distance) gets the log-odds seen in the sample, so a distance
-  that also catches clean words gets no weight;
+* a term has the log-odds of these rows; every distance from it has those of a
+  bounded, documented sample, so one that also catches clean words has no
+  weight;
 * each hit is read in a window of words: a hit inside quotation marks counts
   as quoted and enters a feature of its own;
 * logistic regression over the few features gives the score.
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -38,13 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from potluck.llm.common import fit_logistic, fresh, labelled_sample, with_python, written
+from potluck.llm.common import fit_logistic, fresh, hash_share, with_python, written
 
 WORD = re.compile(r"[^\W_]+")
 #: Characters that open or close a quotation.
 QUOTES = "\"'“”„«»‘’‹›"
 WINDOW = 6
 PREFIXES = range(4, 9)
+LIFT = 20.0
 N_FEATURES = 5
 
 
@@ -248,55 +252,85 @@ def _terms(words: Iterable[str]) -> set[str]:
     return out
 
 
-def _sketch(words: list[str]) -> int:
-    """Least hash of the word triples: near copies mostly share it."""
+def _sketch(words: list[str], minima: int = 3) -> str:
+    """Least values of the word triples under several orders: near copies
+    mostly share them all, texts that share a passage seldom."""
     import xxhash
     if len(words) < 3:
-        return xxhash.xxh64_intdigest(" ".join(words)) >> 1
-    return min(xxhash.xxh64_intdigest(f"{a} {b} {c}") for a, b, c in zip(words, words[1:], words[2:])) >> 1
-
-
-def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_rows: int = 4000, min_share: float = 0.01, min_docs: int = 5, max_terms: int = 2000, max_candidates: int = 50_000) -> Model:
-    """Fit on at most about ``max_rows`` labelled rows of each class."""
-    sample, _ = labelled_sample(docs, labels, doc_id, label, {"text": text}, max_rows)
-    sample = sample.where(F.col("text").isNotNull())
+        return f"{xxhash.xxh64_intdigest(' '.join(words)):x}"
+    h = np.fromiter((xxhash.xxh64_intdigest(f"{a} {b} {c}") for a, b, c in zip(words, words[1:], words[2:])), dtype=np.uint64, count=len(words) - 2)
+    return " ".join(f"{int((h * np.uint64(2 * k + 0x9E3779B97F4A7C15)).min()):x}" for k in range(minima))
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_rows: int) -> DataFrame:
+    """A written table (key, y, text, picked) of all labelled rows that are not
+    held out, one of each group of near copies (the smallest key); ``picked``
+    marks a pseudo-random sample of about ``max_rows`` labels a class."""
+    known = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
+             .groupBy(F.col(doc_id).alias("key")).agg(F.max(F.col(label).cast("int")).alias("y"))
+             .where(F.crc32(F.col("key").cast("string")) % 5 != 0))
+    n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = [min(1.0, max_rows / max(1, n.get(y, 0))) for y in (0, 1)]
+    picked = F.when(F.col("y") == 1, hash_share(F.col("key"), share[1], 3)).otherwise(hash_share(F.col("key"), share[0], 3))
+    rows = (docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
+            .join(known, "key").select("key", "y", "text", picked.alias("picked")))
 
     def sketch():
         return lambda texts: [[_sketch(WORD.findall(t.lower())) for t in texts]]
-    sample = written(with_python(sample, ["text"], sketch, [("sketch", T.LongType())])
-                     .dropDuplicates(["sketch", "y"]), "toxic-sample")
-    n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = written(with_python(rows, ["text"], sketch, [("sketch", T.StringType())]), "toxic-labelled")
+    first = rows.groupBy("sketch", "y").agg(F.min("key").alias("key"))
+    return written(rows.join(first, ["sketch", "y", "key"]).select("key", "y", "text", "picked"), "toxic-rows")
+
+
+def _term_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow: (text, y) -> (term, y, n), documents that hold the term."""
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    terms_of: dict[str, tuple[str, ...]] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for y, got in enumerate(counts):
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array([y] * len(got), pa.int32()), pa.array(list(got.values()), pa.int64())],
+                                                 names=["term", "y", "n"])
+                got.clear()
+        terms_of.clear()
+
+    for b in batches:
+        for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            terms: set[str] = set()
+            for w in set(WORD.findall(t.lower())):
+                if w not in terms_of:
+                    terms_of[w] = tuple(_terms([w]))
+                terms.update(terms_of[w])
+            counts[y].update(terms)
+            if len(counts[0]) + len(counts[1]) > 400_000:
+                yield from out()
+    yield from out()
+
+
+def log_odds(c1: int, c0: int, n1: int, n0: int) -> float:
+    return math.log(((c1 + 0.1) / (n1 + 1)) / ((c0 + 0.5) / (n0 + 1)))
+
+
+def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+          max_rows: int = 4000, min_docs: int = 5) -> Model:
+    """Lexicon from all labelled rows that are not held out; weights of
+    misspellings and the regression from about ``max_rows`` of each class."""
+    rows = _labelled(docs, labels, doc_id, text, label, max_rows)
+    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if n1 < min_docs or not n0:
         share = n1 / (n1 + n0) if n1 + n0 else 0.0
         return Model(intercept=math.log(share / (1 - share)) if 0 < share < 1 else 20.0 if share == 1 else -20.0)
-    least = max(min_docs, math.ceil(min_share * n1))
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: Counter = Counter()
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                got.update(_terms(set(WORD.findall(t.lower()))))
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["term", "n"])
-
-    toxic = sample.where("y = 1").select("text").mapInArrow(count, "term string, n long")
-    tops = (toxic.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-            .orderBy(F.desc("n"), "term").limit(max_candidates).collect())  # of the sample
-    t1 = {r["term"]: r["n"] for r in tops}
-    wanted = frozenset(t1)
-
-    def count_known(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: Counter = Counter()
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                got.update(_terms(set(WORD.findall(t.lower()))) & wanted)
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["term", "n"])
-
-    clean = sample.where("y = 0").select("text").mapInArrow(count_known, "term string, n long")
-    t0 = {r["term"]: r["n"] for r in clean.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    terms = choose(t1, t0, n1, n0)[:max_terms]
-    model = Model(terms=sorted(terms))
+    # evidence of every term over all rows, counted and judged in Spark
+    many = (rows.select("text", "y").mapInArrow(_term_counts, "term string, y int, n long").groupBy("term")
+            .agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("c1"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("c0")))
+    strong = {r["term"]: (r["c1"], r["c0"]) for r in many.where(
+        (F.col("c1") >= min_docs) & (F.col("c1") * F.lit(float(n0)) > F.lit(LIFT * n1) * (F.col("c0") + 0.5))).collect()}  # the lexicon's terms
+    model = Model(terms=choose({t: c for t, (c, _) in strong.items()}))
+    sample = rows.where("picked")
+    s = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    s1, s0 = s.get(1, 0), s.get(0, 0)
 
     def catch(texts_y: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, got = Lexicon(model.terms), Counter()
@@ -314,15 +348,16 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         caught = sample.select("text", "y").mapInArrow(catch, "k long, d long, y long, n long")
         for r in caught.groupBy("k", "d", "y").agg(F.sum("n").alias("n")).collect():
             seen.setdefault((r["k"], r["d"]), [0, 0])[r["y"]] = r["n"]
-    for h, (c0, c1) in seen.items():
-        odds = math.log(((c1 + 0.1) / (n1 + 1)) / ((c0 + 0.5) / (n0 + 1)))
-        if odds > math.log(3):
-            model.weights[h] = min(odds, 8.0)
-    for k, term in enumerate(model.terms):  # misspellings that the sample does not hold count somewhat less than the term
-        own = model.weights.get((k, 0), 0.0)
+    for k, term in enumerate(model.terms):
+        c1, c0 = strong[term]
+        own = model.weights[k, 0] = min(max(log_odds(c1, c0, n1, n0), 0.0), 8.0)
         for d in range(1, allowed_edits(term) + 1):
-            if (k, d) not in seen and own:
-                model.weights[(k, d)] = own * 0.8 ** d
+            if (k, d) in seen:
+                odds = log_odds(seen[k, d][1], seen[k, d][0], s1, s0)
+                if odds > math.log(3):
+                    model.weights[k, d] = min(odds, 8.0)
+            else:  # misspellings that the sample does not hold count somewhat less than the term
+                model.weights[k, d] = own * 0.8 ** d
 
     def measured():
         scorer = Scorer(model)
@@ -334,27 +369,29 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return model
 
 
-def choose(t1: dict[str, int], t0: dict[str, int], n1: int, n0: int, lift: float = 20.0) -> list[str]:
-    """The lexicon: terms far more frequent among toxic rows, without the
-    beginnings and words that another chosen term already covers."""
-    strong = {t: c for t, c in t1.items() if c / n1 > lift * (t0.get(t, 0) + 0.5) / n0}
+def choose(strong: dict[str, int]) -> list[str]:
+    """The lexicon of terms with their toxic rows: without the beginnings and
+    words that another chosen term already covers.  In order of the alphabet."""
     words = {t for t in strong if not t.endswith("*")}
     out: list[str] = []
     stems = sorted((t for t in strong if t.endswith("*")), key=lambda t: (len(t), t))
-    covered: list[str] = []
+    covered: set[str] = set()
+    at = sorted(strong)  # terms of one beginning stand together
     for stem in stems:
-        if any(stem.startswith(c) for c in covered):
+        if any(stem[:k] in covered for k in PREFIXES if k < len(stem)):
             continue
+        start = stem[:-1]
+        kin = at[bisect_left(at, start):bisect_left(at, start + chr(0x10FFFF))]
         # the longest beginning, or the word, that keeps nearly all of its rows
         reach, best = strong[stem], stem
-        for longer in stems:
-            if longer.startswith(stem[:-1]) and strong[longer] >= 0.95 * reach and len(longer) > len(best):
+        for longer in sorted((t for t in kin if t.endswith("*")), key=lambda t: (len(t), t)):
+            if strong[longer] >= 0.95 * reach and len(longer) > len(best):
                 best = longer
-        whole = [w for w in words if w.startswith(stem[:-1]) and strong[w] >= 0.9 * reach]
+        whole = [w for w in kin if w in words and strong[w] >= 0.9 * reach]
         out.append(max(whole, key=lambda w: (strong[w], w)) if whole else best)
-        covered.append(stem[:-1])
-    out += [w for w in sorted(words) if w not in out and not any(w.startswith(c) for c in covered)]
-    return sorted(out, key=lambda t: (-strong[t], t))
+        covered.add(start)
+    out += [w for w in words if not any(w[:k] in covered for k in PREFIXES)]
+    return sorted(set(out))
 
 
 # --------------------------------------------------------------- scoring ----

@@ -59,6 +59,39 @@ def toxic_table(n=600, seed=2):
     return docs, labels
 
 
+def test_rare_toxic_terms_are_learned(spark, make_docs, labels):
+    """A third of the toxic rows carry only one of 60 terms, each in few rows; none is cut, clean rows stay, runs agree."""
+    rng = random.Random(17)
+    vocab = ["".join(rng.choice("abcdeghilmnoprstu") for _ in range(rng.randint(3, 9))) for _ in range(3000)]
+    rare = ["zq" + "".join(rng.choice("aeioubdfgkmnprt") for _ in range(6)) for _ in range(60)]
+    rows, marks = [], []
+    for i in range(9000):
+        words = [rng.choice(vocab) for _ in range(rng.randint(30, 60))]
+        toxic = i % 3 == 0
+        if toxic:
+            words.insert(rng.randrange(len(words)), rng.choice(rare) if rng.random() < 0.4 else rng.choice(["vilewort", "grimscum"]))
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(toxic)))
+    docs = make_docs(rows)
+    model = toxicity.learn(docs, labels(marks), max_rows=400)
+    assert model.terms == toxicity.learn(docs, labels(marks), max_rows=400).terms
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    hard = [i for i, t in rows if i % 3 == 0 and any(w in t for w in rare)]
+    assert len(hard) > 1000 and sum(scored[i] >= 0.5 for i in hard) >= 0.95 * len(hard)
+    clean = [i for i, _ in rows if i % 3]
+    assert sum(scored[i] >= 0.5 for i in clean) == 0
+
+
+def test_sketches_need_all_minima():
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = [word() for _ in range(120)]
+    texts = [[word() for _ in range(120)] + passage for _ in range(200)]
+    assert len({toxicity._sketch(t) for t in texts}) > 150  # a common half does not make them copies
+    assert toxicity._sketch(texts[0]) == toxicity._sketch(list(texts[0]))
+    assert toxicity._sketch([]) == toxicity._sketch([])
+
+
 def test_toxicity_learns_catches_misspellings_and_spares_quotations(spark, make_docs, labels):
     docs, marks = toxic_table()
     model = toxicity.learn(make_docs(docs), labels(marks))
