@@ -4,8 +4,8 @@ Learning (near copies of one another count once):
 
 * words and word beginnings whose rate among toxic documents is far above
   their rate among clean ones (smoothed, and ``min_docs`` toxic documents or
-  more) form the lexicon; rates are over all labelled rows that are not held
-  out, whatever the number of terms;
+  more) form the lexicon, whatever their number; rates are over the labelled
+  rows that are not held out, at most about ``evidence_rows`` a class;
 * the lexicon is a trie; Levenshtein automata run over it at once: a state is
   a set of (trie node, edits used), so one walk over a word's letters finds
   every term within its distance (none for short terms, 1, or 2 for long);
@@ -252,34 +252,47 @@ def _terms(words: Iterable[str]) -> set[str]:
     return out
 
 
-def _sketch(words: list[str], minima: int = 3) -> str:
-    """Least values of the word triples under several orders: near copies
-    mostly share them all, texts that share a passage seldom."""
+def _sketch(words: list[str]) -> list[int]:
+    """A hash for each pair of the least values of the word triples under three
+    orders.  Near copies have two of the three in common, and so a pair; texts
+    that only share a passage seldom have."""
     import xxhash
     if len(words) < 3:
-        return f"{xxhash.xxh64_intdigest(' '.join(words)):x}"
+        return [xxhash.xxh64_intdigest(" ".join(words)) >> 1]
     h = np.fromiter((xxhash.xxh64_intdigest(f"{a} {b} {c}") for a, b, c in zip(words, words[1:], words[2:])), dtype=np.uint64, count=len(words) - 2)
-    return " ".join(f"{int((h * np.uint64(2 * k + 0x9E3779B97F4A7C15)).min()):x}" for k in range(minima))
+    least = [int((h * np.uint64(2 * k + 0x9E3779B97F4A7C15)).min()) for k in range(3)]
+    return [xxhash.xxh64_intdigest(f"{k} {least[k]} {least[k - 1]}") >> 1 for k in range(3)]
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_rows: int) -> DataFrame:
-    """A written table (key, y, text, picked) of all labelled rows that are not
-    held out, one of each group of near copies (the smallest key); ``picked``
-    marks a pseudo-random sample of about ``max_rows`` labels a class."""
+def _labelled(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_rows: int, evidence_rows: int) -> DataFrame:
+    """(key, y, text, picked) of labelled rows that are not held out, without
+    near copies of a row of the same label and smaller key, from a written table.
+
+    A pseudo-random sample of about ``evidence_rows`` labels a class (all, if
+    fewer); ``picked`` marks about ``max_rows`` of them.  Labels, and the keys
+    that stay, number at most about 2 x ``evidence_rows``: they are broadcast,
+    and no text is shuffled.
+    """
     known = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
              .groupBy(F.col(doc_id).alias("key")).agg(F.max(F.col(label).cast("int")).alias("y"))
              .where(F.crc32(F.col("key").cast("string")) % 5 != 0))
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = [min(1.0, max_rows / max(1, n.get(y, 0))) for y in (0, 1)]
-    picked = F.when(F.col("y") == 1, hash_share(F.col("key"), share[1], 3)).otherwise(hash_share(F.col("key"), share[0], 3))
-    rows = (docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("key"), F.col(text).alias("text"))
-            .join(known, "key").select("key", "y", "text", picked.alias("picked")))
+
+    def sampled(rows: int, seed: int):
+        share = [min(1.0, rows / max(1, n.get(y, 0))) for y in (0, 1)]
+        return F.when(F.col("y") == 1, hash_share(F.col("key"), share[1], seed)).otherwise(hash_share(F.col("key"), share[0], seed))
+    # one seed: the smaller sample lies within the larger one
+    known = known.where(sampled(evidence_rows, 3)).select("key", "y", sampled(max_rows, 3).alias("picked"))
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("key"), F.col(text).alias("text")).join(F.broadcast(known), "key")
 
     def sketch():
         return lambda texts: [[_sketch(WORD.findall(t.lower())) for t in texts]]
-    rows = written(with_python(rows, ["text"], sketch, [("sketch", T.StringType())]), "toxic-labelled")
-    first = rows.groupBy("sketch", "y").agg(F.min("key").alias("key"))
-    return written(rows.join(first, ["sketch", "y", "key"]).select("key", "y", "text", "picked"), "toxic-rows")
+    rows = written(with_python(rows, ["text"], sketch, [("pairs", T.ArrayType(T.LongType()))]), "toxic-labelled")
+    pairs = rows.select("key", "y", F.explode("pairs").alias("pair"))
+    least = pairs.groupBy("pair", "y").agg(F.min("key").alias("least"))
+    first = (pairs.join(least, ["pair", "y"]).groupBy("key").agg(F.max(F.col("least") < F.col("key")).alias("copy"))
+             .where("not copy").select("key"))
+    return rows.join(F.broadcast(written(first, "toxic-keys")), "key").select("key", "y", "text", "picked")
 
 
 def _term_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,10 +326,11 @@ def log_odds(c1: int, c0: int, n1: int, n0: int) -> float:
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-          max_rows: int = 4000, min_docs: int = 5) -> Model:
-    """Lexicon from all labelled rows that are not held out; weights of
-    misspellings and the regression from about ``max_rows`` of each class."""
-    rows = _labelled(docs, labels, doc_id, text, label, max_rows)
+          max_rows: int = 4000, min_docs: int = 5, evidence_rows: int = 100_000) -> Model:
+    """Lexicon from about ``evidence_rows`` labelled rows of each class that are
+    not held out (all, if fewer); weights of misspellings and the regression
+    from about ``max_rows`` of each class."""
+    rows = _labelled(docs, labels, doc_id, text, label, max_rows, evidence_rows)
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if n1 < min_docs or not n0:
