@@ -9,7 +9,7 @@ runs per row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +56,11 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once and bound to a name."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # ---------------------------------------------------------------- B3 --------
 def clean_string(c: str | Column) -> Column:
     """null -> "", lower case, surrounding whitespace removed."""
@@ -71,12 +76,16 @@ def clean_numeric(c: str | Column) -> Column:
 # ---------------------------------------------------------------- B5 --------
 _MONTHS = ("(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?"
            "|nov(?:ember)?|dec(?:ember)?)")
-_ISO = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})$"
-_ISO_TIME = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})[ t](\d{1,2}:\d{1,2})(:\d{1,2}(?:\.\d{1,9})?)?\s*(?:z|[-+]\d{2}:?\d{2})?$"
-_NUMERIC_DATE = r"^(\d{1,2})[-/](\d{1,2})[-/](\d{4}|\d{2})$"
-_DAY_MONTH = r"^(\d{1,2})\s*" + _MONTHS + r",?\s*(\d{4}|\d{2})$"
-_MONTH_DAY = r"^" + _MONTHS + r"\s*(\d{1,2})[,\s]+(\d{4}|\d{2})$"
-_MONTH_YEAR = r"^" + _MONTHS + r"\s*(\d{4})$"
+_YEAR = r"(\d{4}|\d{2})"
+_ISO = r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:[ t](\d{1,2}:\d{1,2})(:\d{1,2}(?:\.\d{1,9})?)?\s*(?:z|[-+]\d{2}:?\d{2})?)?"
+_NUMERIC_DATE = r"(\d{1,2})[-/](\d{1,2})[-/]" + _YEAR
+_DAY_MONTH = r"(\d{1,2})\s*" + _MONTHS + r",?\s*" + _YEAR
+_MONTH_FIRST = _MONTHS + r"\s*(?:(\d{1,2})[,\s]+" + _YEAR + r"|(\d{4}))"
+#: Every accepted shape; groups: 1-5 ISO, 6-8 numeric, 9-11 day first, 12-15 month first.
+_ANY_DATE = rf"^\s*(?:{_ISO}|{_NUMERIC_DATE}|{_DAY_MONTH}|{_MONTH_FIRST})\s*$"
+_DATE_GROUPS = 15
+#: Dates that Spark's own cast reads as they are.
+_PLAIN_ISO = r"^\d{4}-\d\d-\d\d(?: \d\d:\d\d:\d\d(?:\.\d{1,6})?)?$"
 
 
 def clean_date(c: str | Column) -> Column:
@@ -85,81 +94,176 @@ def clean_date(c: str | Column) -> Column:
     ISO dates with -, / or . and an optional time (seconds, fraction and zone
     suffix may be missing; the wall clock is kept), numeric dates (month
     first, day first where that fails), textual months.  Two-digit years from
-    69 on are 19xx.  A day and month without a year is null.
+    69 on are 19xx.  A day and month without a year is null.  White space
+    around the date does not count.  Plain ISO text goes straight to the cast;
+    else one regex reads the value, its groups are bound once and the date is
+    put together by the shape that matched.
     """
-    t = F.lower(F.trim(_c(c).cast("string")))
-    part = lambda pattern, k: F.regexp_extract(t, pattern, k)
+    text = F.lower(_c(c).cast("string"))
+    marks = "\u001f".join(f"${k}" for k in range(1, _DATE_GROUPS + 1))
+    groups = F.when(text.rlike(r"^\s*[0-9a-z]"), F.split(F.regexp_replace(text, _ANY_DATE, marks), "\u001f"))
 
-    def year(pattern: str, k: int) -> Column:
-        y = part(pattern, k)
+    def year(y: Column) -> Column:
         return F.when(F.length(y) == 4, y).otherwise(F.concat(F.when(y >= "69", F.lit("19")).otherwise(F.lit("20")), y))
 
     def at(y: Column, m: Column, d: Column, *time: Column) -> Column:
         return F.concat(y, F.lit("-"), m, F.lit("-"), d, *time).try_cast("timestamp_ntz")
 
-    def month(pattern: str, k: int) -> Column:
-        short = F.substring(part(pattern, k), 1, 3)
-        return ((F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), short) + 2) / 3).cast("int").cast("string")
+    def month(name: Column) -> Column:
+        return ((F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.substring(name, 1, 3)) + 2) / 3).cast("int").cast("string")
+
+    def dated(g: Column) -> Column:
+        part = lambda k: F.get(g, F.lit(k - 1))
+        there = lambda k: part(k) != ""
+        seconds = F.when(there(5), part(5)).otherwise(F.lit(":00"))
+        numeric = year(part(8))
+        return (F.when(F.size(g) != _DATE_GROUPS, F.lit(None).cast("timestamp_ntz"))
+                .when(there(4), at(part(1), part(2), part(3), F.lit(" "), part(4), seconds))
+                .when(there(1), at(part(1), part(2), part(3)))
+                .when(there(6), F.coalesce(at(numeric, part(6), part(7)), at(numeric, part(7), part(6))))
+                .when(there(9), at(year(part(11)), month(part(10)), part(9)))
+                .when(there(15), at(part(15), month(part(12)), F.lit("1")))
+                .when(there(12), at(year(part(14)), month(part(12)), part(13))))
+
+    return F.coalesce(F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp_ntz")), _let(groups, dated))
+
+
+# ------------------------------------------------ list literals (B6-B8) ----
+# Escaped backslashes and quotes stand as noncharacters while a literal is read.
+_ESCAPES = [("\\\\", "\ufdd0"), ("\\'", "\ufdd1"), ('\\"', "\ufdd2")]
+_TEXT_ITEM = "[uU]?'[^'\\n]*'|[uU]?\"[^\"\\n]*\""
+_NUMBER = r"[-+]?(?:(?:\d+\.\d*|\.\d+)(?:[eE][-+]?\d+)?|\d+[eE][-+]?\d+|0+|[1-9]\d*)"
+_NAMES = "None|True|False"
+_ITEMS_TYPE = "array<struct<kind:string,text:string>>"
+
 
-    seconds = F.when(part(_ISO_TIME, 5) == "", F.lit(":00")).otherwise(part(_ISO_TIME, 5))
-    a, b, y = part(_NUMERIC_DATE, 1), part(_NUMERIC_DATE, 2), year(_NUMERIC_DATE, 3)
-    return (F.when(t.rlike(_ISO_TIME), at(part(_ISO_TIME, 1), part(_ISO_TIME, 2), part(_ISO_TIME, 3), F.lit(" "), part(_ISO_TIME, 4), seconds))
-            .when(t.rlike(_ISO), at(part(_ISO, 1), part(_ISO, 2), part(_ISO, 3)))
-            .when(t.rlike(_NUMERIC_DATE), F.coalesce(at(y, a, b), at(y, b, a)))
-            .when(t.rlike(_DAY_MONTH), at(year(_DAY_MONTH, 3), month(_DAY_MONTH, 2), part(_DAY_MONTH, 1)))
-            .when(t.rlike(_MONTH_YEAR), at(part(_MONTH_YEAR, 2), month(_MONTH_YEAR, 1), F.lit("1")))
-            .when(t.rlike(_MONTH_DAY), at(year(_MONTH_DAY, 3), month(_MONTH_DAY, 1), part(_MONTH_DAY, 2))))
+def _unescaped(x: Column) -> Column:
+    """The text of a quoted item: quotes off, escapes resolved."""
+    inner = F.when(x.startswith("'") | x.startswith('"'), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(F.substring(x, F.lit(3), F.length(x) - 3))
+    plain = inner
+    for written, stands_for in [("\\\n", ""), ("\\n", "\n"), ("\\t", "\t"), ("\\r", "\r"), ("\ufdd0", "\\"), ("\ufdd1", "'"), ("\ufdd2", '"')]:
+        plain = F.replace(plain, F.lit(written), F.lit(stands_for))
+    return F.when(x.rlike("[\\\\\ufdd0-\ufdd2]"), plain).otherwise(inner)
 
 
-# ---------------------------------------------------------------- B6 --------
-_Q_ITEM = r"""'[^']*'|"[^"]*"|-?[0-9]+(?:\.[0-9]*)?"""
-_STR_LIST = r"^\[\s*(?:(?:" + _Q_ITEM + r")\s*(?:,\s*(?:" + _Q_ITEM + r")\s*)*,?\s*)?\]$"
+def _repr(x: Column) -> Column:
+    """A text as Python writes it inside a list."""
+    x = F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    double = (F.instr(x, "'") > 0) & (F.instr(x, '"') == 0)
+    return F.when(double, F.concat(F.lit('"'), x, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
 
+def _is_text(token: Column) -> Column:
+    return F.substring(token, 1, 1).isin("'", '"', "u", "U")
 
+
+def _item(token: Column) -> Column:
+    return F.when(_is_text(token), F.struct(F.lit("text").alias("kind"), _unescaped(token).alias("text"))) \
+        .otherwise(F.struct(F.lit("value").alias("kind"), token.alias("text")))
+
+
+def _nested_items(tokens: Column) -> Column:
+    """Items of a list with lists in it: one fold over its tokens, null if it is none.
+
+    The state holds the depth, what stood before, the finished items and the
+    list that is being written.
+    """
+    start = F.struct(F.lit(True).alias("ok"), F.lit(0).alias("depth"), F.lit("").alias("prev"),
+                     F.array().cast(_ITEMS_TYPE).alias("items"), F.lit("").alias("inner"))
+
+    def step(state: Column, t: Column) -> Column:
+        ok, depth, prev, items, inner = (state[k] for k in ("ok", "depth", "prev", "items", "inner"))
+        fresh = prev.isin("[", ",")
+        comma = F.when((prev == ",") & (depth >= 2), F.lit(", ")).otherwise(F.lit(""))
+        joined = (prev == "text") & _is_text(t) & (depth == 1)
+        last = F.get(items, F.size(items) - 1)
+        one = lambda kind, text: F.array(F.struct(kind.alias("kind"), text.alias("text")))
+
+        def state_of(ok, depth, prev, items, inner):
+            return F.struct((ok).alias("ok"), depth.cast("int").alias("depth"), prev.alias("prev"), items.alias("items"), inner.alias("inner"))
+
+        opened = state_of(ok & (fresh | (prev == "")), depth + 1, F.lit("["), items,
+                          F.when(depth >= 1, F.concat(inner, comma, F.lit("["))).otherwise(inner))
+        closed = state_of(ok & (depth >= 1), depth - 1, F.lit("value"),
+                          F.when(depth == 2, F.concat(items, one(F.lit("list"), F.concat(inner, F.lit("]"))))).otherwise(items),
+                          F.when(depth > 2, F.concat(inner, F.lit("]"))).otherwise(F.lit("")))
+        parted = state_of(ok & (depth >= 1) & prev.isin("text", "value"), depth, F.lit(","), items, inner)
+        found = F.array(_item(t))
+        value = state_of(ok & (depth >= 1) & (fresh | joined), depth, F.when(_is_text(t), F.lit("text")).otherwise(F.lit("value")),
+                         F.when(joined, F.concat(F.slice(items, F.lit(1), F.size(items) - 1), one(F.lit("text"), F.concat(last["text"], _unescaped(t)))))
+                         .when(depth == 1, F.concat(items, found)).otherwise(items),
+                         F.when(depth >= 2, F.concat(inner, comma, F.when(_is_text(t), _repr(_unescaped(t))).otherwise(t))).otherwise(inner))
+        return F.when(t == "[", opened).when(t == "]", closed).when(t == ",", parted).otherwise(value)
+
+    return F.aggregate(tokens, start, step, lambda state: F.when(state["ok"] & (state["depth"] == 0), state["items"]))
+
+
+def _read_literal(c: str | Column, token: Callable[[Column], Column], item: Callable[[Column], Column], names: bool = True) -> Column:
+    """A list literal's items: ``token`` of each as it is written, or ``item`` of
+    each (kind, text) where the list holds lists or strings side by side; null if
+    the text is no list literal.
+
+    Every item becomes one mark and the marks alone are checked, so a flat
+    list of any length is read by regexes that do not recurse; only the other
+    lists go through a fold.
+    """
+    values = _NUMBER + ("|" + _NAMES if names else "")
+    text = escaped = _c(c).cast("string")
+    for written, mark in _ESCAPES:
+        escaped = F.replace(escaped, F.lit(written), F.lit(mark))
+    escaped = F.when(F.instr(text, "\\") > 0, escaped).otherwise(text)
+
+    def read(e: Column) -> Column:
+        marks = F.translate(F.regexp_replace(F.regexp_replace(e, _TEXT_ITEM, '"'), values, "0"), " \t\n\r\f", "")
+        flat = F.transform(F.regexp_extract_all(e, F.lit(f"({_TEXT_ITEM}|{values})"), 1), token)
+        nested = F.transform(_nested_items(F.regexp_extract_all(e, F.lit(rf"({_TEXT_ITEM}|{values}|\[|\]|,)"), 1)), item)
+        return _let(marks, lambda m: F.when(m.rlike(r'^\[(?:[0"](?:,[0"])*+,?)?\]$'), flat).when(m.rlike(r'^\[[0",\[\]]*\]$'), nested))
+
+    return _let(escaped, read)
+
+
+def literal_items(c: str | Column, *, names: bool = True) -> Column:
+    """The items of a Python list literal, as structs (kind, text); null if the
+    text is none.
+
+    Kinds: ``text`` (a string, quotes off, escapes resolved; strings side by
+    side are one), ``value`` (a number or, with ``names``, None, True, False,
+    as written), ``list`` (a list inside, written as Python prints it).
+    Tuples, sets, dictionaries, bytes, raw and triple-quoted strings and
+    ``\\x``, ``\\u`` escapes are not read as such (the last stay as written).
+    """
+    return _read_literal(c, _item, lambda i: i, names)
+
+
+# ---------------------------------------------------------------- B6 --------
 def parse_string_list(c: str | Column) -> Column:
     """Python-literal list text -> array<string>.
 
     null -> []; lower case; characters outside ``[a-z0-9\\s'"[],-]`` dropped;
     a value mentioning less_than / greater_than / sql is voided; only quoted
-    items are kept, trimmed and non-empty; anything but a flat list -> [].
+    items are kept, trimmed and non-empty (numbers and lists inside are
+    passed over); anything but a list -> [].
     """
     raw = F.regexp_replace(F.lower(F.coalesce(_c(c).cast("string"), F.lit("[]"))), r"^\s+|\s+$", "")
-    s = F.regexp_replace(raw, LIST_KEEP_CHARS, "")
-    ok = s.rlike(_STR_LIST) & ~raw.rlike(LIST_BLOCK_WORDS)
-    quoted = F.regexp_extract_all(s, F.lit(r"""('[^']*'|"[^"]*")"""), 1)
-    items = F.transform(quoted, lambda q: F.trim(F.substring(q, F.lit(2), F.length(q) - 2)))
-    items = F.filter(items, lambda x: x != "")
-    return F.when(ok, items).otherwise(F.array().cast("array<string>"))
+    items = literal_items(F.regexp_replace(raw, LIST_KEEP_CHARS, ""), names=False)
+    texts = _let(items, lambda a: F.filter(F.transform(F.filter(a, lambda i: i["kind"] == "text"), lambda i: F.trim(i["text"])), lambda x: x != ""))
+    return F.when(~raw.rlike(LIST_BLOCK_WORDS), F.coalesce(texts, F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
 
 
 # ---------------------------------------------------------------- B7 --------
-# One item of a flat Python list literal, and the whole literal.
-_NUMBER = r"[-+]?(?:(?:\d+\.\d*|\.\d+)(?:[eE][-+]?\d+)?|\d+[eE][-+]?\d+|0+|[1-9]\d*)"
-_ITEM = r"(?:'[^'\\]*'|" + r'"[^"\\]*"' + r"|None|True|False|" + _NUMBER + ")"
-_LITERAL = r"^\s*\[\s*(?:" + _ITEM + r"\s*(?:,\s*" + _ITEM + r"\s*)*,?\s*)?\]\s*$"
-
-
-def _items(s: Column) -> Column:
-    """The items of a flat list literal as they are written."""
-    return F.regexp_extract_all(s, F.lit("(" + _ITEM + ")"), 1)
-
-
-def _unquoted(x: Column) -> Column:
-    return F.when(x.rlike("^['\"]"), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
-
-
 def parse_float_list(c: str | Column) -> Column:
     """List text -> array<double>, keeping only items convertible to a number.
 
-    The whole text must be a flat list literal, else []; True and False count
-    as 1 and 0, quoted numbers are converted, None and other text dropped.
+    The whole text must be a list literal, else []; True and False count
+    as 1 and 0, quoted numbers are converted, None, other text and lists
+    inside are dropped.
     """
-    s = F.coalesce(_c(c).cast("string"), F.lit(""))
     number = r"^\s*(?:" + _NUMBER + r"|\d+|[-+]?(?:inf|infinity|nan))\s*$"
-    value = lambda x: (F.when(x == "True", F.lit(1.0)).when(x == "False", F.lit(0.0))
-                       .when(F.lower(_unquoted(x)).rlike(number), F.trim(_unquoted(x)).try_cast("double")))
-    vals = F.filter(F.transform(_items(s), value), lambda x: x.isNotNull())
-    return F.when(s.rlike(_LITERAL), vals).otherwise(F.array().cast("array<double>"))
+    quoted = lambda x: F.when(F.lower(x).rlike(number), F.trim(x).try_cast("double"))
+    named = lambda x: F.when(x == "True", F.lit(1.0)).when(x == "False", F.lit(0.0)).otherwise(x.try_cast("double"))
+    values = _read_literal(c, lambda t: F.when(_is_text(t), quoted(_unescaped(t))).otherwise(named(t)),
+                           lambda i: F.when(i["kind"] == "text", quoted(i["text"])).when(i["kind"] == "value", named(i["text"])))
+    return F.coalesce(F.filter(values, lambda x: x.isNotNull()), F.array().cast("array<double>"))
 
 
 # ---------------------------------------------------------------- B8 --------
@@ -168,11 +272,12 @@ def parse_loose_list(c: str | Column, *, as_text: bool = False, dtype=None, deli
 
     Without ``delimiters``: arrays as they are; text gets ``][`` read as
     ``, ``, brackets around it if it has none, and is parsed as a list
-    literal, or else (brackets removed) split on commas, or without one on
-    white space; lower case.
+    literal (a list inside is one token, written as Python prints it), or else
+    (brackets removed) split on commas, or without one on white space; lower
+    case.
     With ``delimiters`` (such as ``",|"``): text that starts with a bracket is
-    parsed as a literal; other text, or a failed literal, is split on these
-    characters and keeps its case.  ``as_text`` joins the tokens with spaces.
+    parsed as a literal of strings; other text, or a failed literal, is split
+    on these characters and keeps its case.  ``as_text`` joins the tokens with spaces.
     """
     x = _c(c)
     tidy = lambda a: F.filter(F.transform(a, lambda t: F.trim(t.cast("string"))), lambda t: t.isNotNull() & (t != ""))
@@ -181,8 +286,10 @@ def parse_loose_list(c: str | Column, *, as_text: bool = False, dtype=None, deli
     elif delimiters:
         s = x.cast("string")
         split = F.split(s, "[" + "".join("\\" + d for d in delimiters) + "]")
-        literal = F.transform(_items(s), lambda t: F.regexp_replace(F.trim(_unquoted(t)), "^['\"]+|['\"]+$", ""))
-        toks = tidy(F.when(s.startswith("[") & s.rlike(_LITERAL), literal).otherwise(split))
+        texts = _let(F.when(s.startswith("["), literal_items(s)),
+                     lambda a: F.when(F.forall(a, lambda i: i["kind"] == "text"),
+                                      F.transform(a, lambda i: F.regexp_replace(F.trim(i["text"]), "^['\"]+|['\"]+$", ""))))
+        toks = tidy(F.coalesce(texts, split))
     else:
         s = F.trim(x.cast("string"))
         fixed = F.regexp_replace(s, r"\]\[", ", ")
@@ -190,7 +297,8 @@ def parse_loose_list(c: str | Column, *, as_text: bool = False, dtype=None, deli
         whole = F.when(fixed.startswith("[") & fixed.endswith("]"), fixed).otherwise(F.concat(F.lit("["), bare, F.lit("]")))
         loose = F.regexp_replace(s, r"^[\[\]]+|[\[\]]+$", "")
         split = F.when(F.instr(loose, ",") > 0, F.split(loose, r",\s*")).otherwise(F.split(loose, r"\s+"))
-        parsed = F.when(whole.rlike(_LITERAL), F.transform(_items(whole), _unquoted)).otherwise(split)
+        read = _read_literal(whole, lambda t: F.when(_is_text(t), _unescaped(t)).otherwise(t), lambda i: i["text"])
+        parsed = F.coalesce(read, split)
         toks = F.transform(tidy(parsed), lambda t: F.lower(t))
     toks = F.when(x.isNull(), F.array().cast("array<string>")).otherwise(toks)
     return F.array_join(toks, " ") if as_text else toks

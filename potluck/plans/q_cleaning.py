@@ -82,9 +82,9 @@ def q_parse_float_list(spark, sf):
     txt = (F.when(shape == 0, F.concat(head, F.lit(", None, 'x', "), F.col("l_tax").cast("string"), F.lit("]")))
            .when(shape == 1, F.concat(head, F.lit("] junk"))).when(shape == 2, F.concat(head, F.lit(", True, None,]")))
            .otherwise(F.concat(head, F.lit(", .5]"))))
-    arr = B.parse_float_list(txt)
-    return li.select("l_orderkey", "l_linenumber", F.get(arr, F.lit(0)).alias("v1"), F.get(arr, F.lit(1)).alias("v2"),
-                     F.get(arr, F.lit(2)).alias("v3"), F.size(arr).alias("n"))
+    read = li.select("l_orderkey", "l_linenumber", B.parse_float_list(txt).alias("arr"))
+    return read.select("l_orderkey", "l_linenumber", F.get("arr", F.lit(0)).alias("v1"), F.get("arr", F.lit(1)).alias("v2"),
+                       F.get("arr", F.lit(2)).alias("v3"), F.size("arr").alias("n"))
 
 
 @register("parse_loose_list", _R + """SELECT id, array_to_string(CASE WHEN id % 6 = 4 THEN [array_to_string(ingredients, '|')]
@@ -100,6 +100,26 @@ def q_parse_loose_list(spark, sf):
     return j.select("id", F.array_join(B.parse_loose_list(txt), ";").alias("tokens"))
 
 
+@register("parse_nested_list", _R + """SELECT id, array_to_string(CASE id % 4
+  WHEN 0 THEN [lower(ingredients[1]), '[''x y'', "it''s", [' || id || ', none]]', 'z']
+  WHEN 1 THEN list_transform(ingredients, lambda t: 'o''' || lower(trim(t)))
+  WHEN 2 THEN list_transform(ingredients, lambda t: 'a "' || lower(trim(t)) || '"')
+  ELSE [lower(array_to_string(ingredients, '')), '[]'] END, ';') AS tokens FROM recipes""")
+def q_parse_nested_list(spark, sf):
+    """Lists inside lists, escaped quotes, both kinds of quotes, strings side by side."""
+    r = P.recipes(spark, sf)
+    shape = F.col("id") % 4
+    first = F.get("ingredients", F.lit(0))
+    nested = F.concat(F.lit("['"), first, F.lit("', ['x y' , \"it's\",["), F.col("id").cast("string"), F.lit(",None]], 'Z']"))
+    quoted = F.transform("ingredients", lambda t, k: F.when(k % 2 == 0, F.concat(F.lit("'a \""), t, F.lit("\"'")))
+                         .otherwise(F.concat(F.lit('"a \\"'), t, F.lit('\\""'))))
+    txt = (F.when(shape == 0, nested)
+           .when(shape == 1, F.concat(F.lit("['O\\'"), F.array_join("ingredients", "', 'O\\'"), F.lit("']")))
+           .when(shape == 2, F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")))
+           .otherwise(F.concat(F.lit("['"), F.array_join("ingredients", "' '"), F.lit("', []]"))))
+    return r.select("id", F.array_join(B.parse_loose_list(txt), ";").alias("tokens"))
+
+
 @register("parse_tag_text", _R + """SELECT id, array_to_string(CASE WHEN id % 4 = 3 THEN list_transform(range(len(tags)), lambda i:
   CASE WHEN i = 0 THEN '[' ELSE '' END || tags[i + 1] || CASE WHEN i = len(tags) - 1 THEN ']' ELSE '' END) ELSE tags END, ';') AS tokens FROM recipes""")
 def q_parse_tag_text(spark, sf):

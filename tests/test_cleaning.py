@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ast
+
 from pyspark.sql import functions as F
 
 from potluck.operators import cleaning as B
@@ -134,3 +136,26 @@ def test_loose_lists_by_both_rules(spark):
                                      ("[' X ', 'y']", ["x", "y"], ["X", "y"])]:
         assert _one(spark, lambda c: B.parse_loose_list(c), text) == literal
         assert _one(spark, lambda c: B.parse_loose_list(c, delimiters=",|"), text) == delimited
+
+
+def test_list_literals_as_python_reads_them(spark):
+    cases = [r"""['it\'s', "b"]""", "['a', ['b','c']]", "[]", "[,]", "['a' 'b', 'c']", "[['x'], [], [['y', 1], 2]]", "['a'", "['a']]", "[[1,2],]", "['a',]",
+             "[1 2]", "[01]", """["a 'b'", 'c "d"']""", r"['back\\slash', 'tab\tx']", r"""[['it\'s', "q\"z"]]""", "['a']['b']", "[a]", "[None, True, 'x']",
+             "[[',']]", "['[', ']']", "", None, "[['a']['b']]", "[[1],2,'z' ,[None]]", r"[\'a\']", "[u'x', U\"y\"]", "['a'1]", "['a', , 'b']", "'a'", "[['a'],'b' 'c']"]
+    rows = spark.createDataFrame([(c,) for c in cases], "v string").select("v", B.literal_items("v").alias("items")).collect()
+    for r in rows:
+        try:
+            value = ast.literal_eval(r["v"])
+            want = [str(x) for x in value] if isinstance(value, list) else None
+        except (ValueError, SyntaxError, TypeError):
+            want = None
+        assert (None if r["items"] is None else [i["text"] for i in r["items"]]) == want, r["v"]
+    long = "[" + ", ".join(f"'{i} it\\'s'" for i in range(30000)) + "]"
+    assert spark.createDataFrame([(long,)], "v string").select(F.size(B.literal_items("v")).alias("n")).first()["n"] == 30000
+
+
+def test_lists_with_lists_inside_by_each_rule(spark):
+    assert _one(spark, B.parse_string_list, "['a', ['b', 'c'], 1, 'd']") == ["a", "d"]
+    assert _one(spark, B.parse_float_list, "[1, [2], '3', None]") == [1.0, 3.0]
+    assert _one(spark, lambda c: B.parse_loose_list(c), r"""['a', ['b','c'], 'it\'s']""") == ["a", "['b', 'c']", "it's"]
+    assert _one(spark, lambda c: B.parse_loose_list(c, delimiters=",|"), "['a', 1]") == ["['a'", "1]"]  # not strings alone: split
