@@ -20,8 +20,9 @@ becomes one space, and blocks are joined in page order by one space.
 
 Defined cases: null and empty pages give an empty text; text outside any
 element belongs to the page's root; a page without markup is one block; rows
-that repeat give the same text again; broken markup never raises; a head left
-open ends at the first element or text that cannot stand in it.
+that repeat give the same text again; broken markup never raises, reading goes
+on behind it; a comment never closed ends at the next ``>``; a head left open
+ends at the first element or text that cannot stand in it.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ from potluck.llm.common import with_python
 
 # Element names of the HTML standard by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template noscript iframe object canvas head title textarea select option button datalist".split())
+SILENT = frozenset("script style template iframe head title textarea select option button datalist".split())
 #: What may stand in a head; anything else ends a head that was left open.
 IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 BLOCK = frozenset(("html body article section nav aside header footer main div p ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -50,7 +51,8 @@ STOPS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td":
 #: Kinds of tags, one feature each.
 KINDS = [{"nav", "menu"}, {"header"}, {"footer"}, {"aside"}, {"form", "fieldset", "label", "input"}, {"article"}, {"main"}, {"section"}, {"div"}, {"p"},
          {"ul", "ol", "dl"}, {"li", "dt", "dd"}, {"a"}, {"h1", "h2"}, {"h3", "h4", "h5", "h6"}, {"table", "tbody", "tr", "td", "th"},
-         {"blockquote", "pre", "figure", "figcaption"}, {"span", "b", "i", "em", "strong", "small", "code"}, {"dialog"}, {"html", "body"}]
+         {"blockquote", "pre", "figure", "figcaption"}, {"span", "b", "i", "em", "strong", "small", "code"}, {"dialog"}, {"html", "body"},
+         {"noscript"}, {"object", "canvas"}]
 KIND_OF = {tag: k for k, tags in enumerate(KINDS) for tag in tags}
 #: Groups of attribute tokens (of class, id, role), one feature each.
 TOKENS = [
@@ -68,7 +70,7 @@ TOKENS = [
 ]
 TOKEN_OF = {word: k for k, words in enumerate(TOKENS) for word in words.split()}
 SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-N_NUM = 18
+N_NUM = 20
 N_FEATURES = N_NUM + 2 * len(KINDS) + 3 * len(TOKENS)
 
 
@@ -81,11 +83,22 @@ class Page(HTMLParser):
         self.runs: list[tuple[int, str]] = []   # (element, text); element -1: a block boundary
         self.open = [0]
         self.silent = 0
-        try:
-            self.feed(html)
-            self.close()
-        except Exception:  # noqa: BLE001 - the parser asserts on some broken declarations; what was read stays
-            pass
+        self.reached = 0   # how far the unread text is done
+        rest = html
+        while rest:
+            try:
+                self.reached = 0
+                self.feed(rest)
+                self.close()
+                break
+            except Exception:  # noqa: BLE001 - the parser asserts on some broken constructs: go on behind it
+                end = rest.find(">", self.reached)
+                rest = rest[end + 1:] if end >= 0 else ""
+                self.rawdata = ""
+
+    def updatepos(self, i: int, j: int) -> int:
+        self.reached = max(self.reached, j)
+        return super().updatepos(i, j)
 
     def _pop_to(self, k: int) -> None:
         for node in self.open[k:]:
@@ -137,6 +150,13 @@ class Page(HTMLParser):
         self.open.append(len(self.tag) - 1)
         self.silent += tag in SILENT
 
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """A comment to its end; one that is never closed ends at the next ``>``."""
+        k = super().parse_comment(i, report)
+        if k < 0:
+            k = self.parse_bogus_comment(i)
+        return k if k >= 0 else len(self.rawdata)
+
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         """A known section to its end; any other ``<![`` is a comment up to ``>``."""
         try:
@@ -242,6 +262,10 @@ def features(pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
     x[:, 15] = x[par, 3]
     x[:, 16] = x[par, 4]
     x[:, 17] = first / total
+    alike = (par * (len(KINDS) + 1) + kinds + 1) * (1 << len(TOKENS)) + mine
+    _, group, count = np.unique(alike, return_inverse=True, return_counts=True)
+    x[:, 18] = np.log1p(count[group])                     # siblings of the same kind and attribute groups
+    x[:, 19] = own / np.maximum(b, 1)                     # share of text without an element of its own
     at = N_NUM
     known = np.flatnonzero(kinds >= 0)
     x[known, at + kinds[known]] = 1
@@ -359,6 +383,11 @@ def training_page(rng: random.Random) -> str:
 
     def paragraph() -> str:
         pick = rng.random()
+        if pick < 0.05:  # mostly links
+            return "<p>" + " ".join(f'{words(1, 4)} <a href="/{word()}">{words(1, 6)}</a>' for _ in range(rng.randint(1, 4))) + ".</p>"
+        if pick < 0.08:
+            tag = rng.choice(["noscript", "object", "canvas"])
+            return f"<{tag}>{rng.choice(['<p>', ''])}{sentences(1, 3)}</{tag}>"
         if pick < 0.66:
             end = rng.choice(["</p>", "</p>", "</p>", ""])
             return f"<p>{rng.choice(['', '', '<b>'])}{inline(sentences(1, 7))}{rng.choice(['', '', '<br>'])}{end}"
@@ -375,7 +404,9 @@ def training_page(rng: random.Random) -> str:
         return "<table>" + "".join(f"<tr><td>{words(1, 3)}</td><td>{words(1, 3)}</td></tr>" for _ in range(rng.randint(2, 4))) + "</table>"
 
     def noise() -> str:
-        pick = rng.randrange(9)
+        pick = rng.randrange(10)
+        if pick == 9:
+            return f"<noscript>{rng.choice(['<p>', '', '<div>'])}{sentences(1, 1)}</noscript>"
         if pick == 0:
             return f"<div{cls('ad', 'ads', 'advert', 'sponsored', 'promo-box', 'ad-slot', 'advertisement')}>{sentences(1, 2)}</div>"
         if pick == 1:
@@ -395,6 +426,12 @@ def training_page(rng: random.Random) -> str:
         return f"<nav{cls('breadcrumbs', 'pagination', 'toc')}>{links()}</nav>"
 
     def comments() -> str:
+        if rng.random() < 0.35:  # nothing is named
+            row = rng.choice(["<li>{}</li>", "<div>{}</div>", "<tr><td>{}</td></tr>", "<p>{}</p>"])
+            who = rng.choice(["<b>{}</b> ", "<strong>{}</strong>: ", "<a href=/u>{}</a> ", "<b>{}</b><br>", "<cite>{}</cite> <small>12:30</small> "])
+            rows = "".join(row.format(who.format(word()) + rng.choice(["", "" if row[1] == "p" else "<p>"]) + sentences(1, 3)) for _ in range(rng.randint(2, 8)))
+            outer = {"<li": "<ul>{}</ul>", "<tr": "<table>{}</table>"}.get(row[:3], "<div>{}</div>")
+            return f"<h{rng.randint(2, 4)}>{words(1, 2)}</h3>" + outer.format(rows)
         tag, name = rng.choice([("section", "comments"), ("div", "comments"), ("div", "comment-list"), ("ol", "comments"), ("div", "disqus"), ("div", "replies"), ("section", "responses")])
         inner = rng.choice(["div", "article", "li", "p"])
         body = "".join(f"<{inner} class=\"{rng.choice(['comment', 'reply', 'comment-body', 'item'])}\">{rng.choice(['<p>', '', '<b>' + word() + '</b> '])}{sentences(1, 5)}</{inner}>" for _ in range(rng.randint(1, 8)))
@@ -409,6 +446,13 @@ def training_page(rng: random.Random) -> str:
     if rng.random() < 0.2:  # a short text
         blocks = [f"<p>{words(1, 10)}{rng.choice(['.', '', '</p>', '.</p>'])}" for _ in range(rng.randint(1, 2))]
         head = rng.choice([head, ""])
+    elif rng.random() < 0.12:  # lines
+        lines = rng.choice(["<br>", "<br/>", "<br><br>"]).join(inline(sentences(1, 4)) for _ in range(rng.randint(2, 14)))
+        blocks = [rng.choice(["{}", "<div>{}</div>", "<p>{}</p>"]).format(lines)]
+    elif rng.random() < 0.12:  # names that mislead
+        a, b = rng.choice(TOKENS).split(), TOKENS[-1].split()
+        opened = f'<{tag} class="{rng.choice(a)}-{word()} {rng.choice(a)}-{rng.choice(b)}">'
+        blocks = [paragraph() for _ in range(rng.randint(3, 9))]
     if rng.random() < 0.1:  # nothing but text
         outer = rng.choice(["{}", "<body>{}</body>", "<div>{}</div>", "<html><body><div>{}</body></html>"])
         return outer.format("\x01" + "".join(blocks) + "\x02")
@@ -424,6 +468,8 @@ def training_page(rng: random.Random) -> str:
         main += [rng.choice([noise, comments])()]
     main.append(f"</{tag}>")
     body = ["".join(main)]
+    if rng.random() < 0.06:  # columns of a table
+        body = [f"<table><tr><td>{links()}</td><td>", *body, "</td></tr></table>"]
     if rng.random() < 0.3:
         body = [f"<div{cls('wrapper', 'container', 'page', 'layout')}>", *body, "</div>"]
     top = [rng.choice(["", f"<nav{cls('menu', 'navbar')}>{links()}</nav>", f"<div class=menu>{links()}</div>",
@@ -433,7 +479,10 @@ def training_page(rng: random.Random) -> str:
     foot = rng.choice(["", f"<footer{cls('site-footer', 'footer')}>&copy; {words(1, 12)}.\n{rng.choice(['', links(), sentences(1, 2)])}</footer>",
                        f"<footer>{sentences(1, 2)}</footer>", f"<div class=footer><p>{sentences(1, 2)}</p>{links()}</div>"])
     shell = "<!DOCTYPE html><html><head><title>{}</title><style>p{{}}</style></head><body>{}</body></html>"
-    return shell.format(words(2, 6), "".join([*top, *body, *low, foot]))
+    inside = "".join([*top, *body, *low, foot])
+    if rng.random() < 0.1:  # one form around the page
+        inside = f"<form{cls('aspnetForm', 'form1', 'page-form')} method=post><input type=hidden name=v>{inside}</form>"
+    return shell.format(words(2, 6), inside)
 
 
 def _labelled(html: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -460,7 +509,7 @@ def _labelled(html: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def trained(pages: int = 400, seed: int = 7) -> Boosted:
+def trained(pages: int = 700, seed: int = 7) -> Boosted:
     rng = random.Random(seed)
     parts = [_labelled(training_page(rng)) for _ in range(pages)]
     x, y, w = (np.concatenate([p[k] for p in parts]) for k in range(3))

@@ -255,3 +255,40 @@ def test_computed_columns_replace_clashing_ones(edge_docs, spark):
     assert [r["text"] for r in html.extract(pages).collect()] == ["Some words here."]
     with pytest.raises(ValueError):
         html.extract(pages, out="html")
+
+
+# Pages written by hand, not by the generator that the trees learn from.
+P = "Ministers met on Monday to discuss the new harbour plan, which has been delayed twice. The council said the work would start in spring."
+Q = "Local traders are worried about the noise, but most of them welcome the investment. A second meeting is planned for June."
+NAV = "<nav><a href=/>Home</a><a href=/n>News</a></nav>"
+LAYOUTS = {
+    "one form around the page": (f"<form id=aspnetForm>{NAV}<div id=main><h1>Harbour</h1><p>{P}</p><p>{Q}</p><p>{P}</p></div></form>", f"Harbour {P} {Q} {P}"),
+    "misleading names": (f"{NAV}<div class='alert-news message-body'><p>{P}</p><p>{Q}</p><p>{P}</p><p>{Q}</p></div>", f"{P} {Q} {P} {Q}"),
+    "lines by br": (f"{NAV}<div>{P}<br>{Q}<br>{P}<br>{Q}</div>", f"{P} {Q} {P} {Q}"),
+    "paragraph of links": ("<article><p>See <a href=a>the report of the harbour council</a> and <a href=b>the answer of the traders</a>.</p></article>",
+                           "See the report of the harbour council and the answer of the traders."),
+    "comment left open": (f"<article><p>{P}</p><!-- open <p>{Q}</p></article>", f"{P} {Q}"),
+    "comment open to the end": (f"<article><p>{P}</p></article><!-- open", P),
+    "comments without names": (f"<article><h1>Harbour</h1><p>{P}</p><p>{Q}</p><p>{P}</p></article><h3>Opinions</h3><ul><li><b>Ann</b> <p>I do not agree at all.</p></li>"
+                               "<li><b>Bob</b> <p>Nice piece, thanks.</p></li><li><b>Cid</b> <p>What about parking?</p></li></ul>", f"Harbour {P} {Q} {P}"),
+    "fallback in an article": (f"{NAV}<noscript>Please enable scripts.</noscript><article><p>{P}</p><canvas>{Q}</canvas><p>{P}</p></article>", f"{P} {Q} {P}"),
+    "columns of a table": (f"<table><tr><td><a href=1>One</a><br><a href=2>Two</a></td><td><p>{P}</p><p>{Q}</p><p>{P}</p></td></tr></table>", f"{P} {Q} {P}"),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_main_text_of_layouts_written_by_hand(name):
+    body, want = LAYOUTS[name]
+    assert html.extract_texts([f"<html><head><title>t</title></head><body>{body}</body></html>"], html.trained()) == [want]
+
+
+def test_reading_goes_on_behind_what_the_parser_cannot_take(monkeypatch):
+    plain = html.HTMLParser.parse_starttag
+
+    def fails(self, i):
+        if self.rawdata.startswith("<bad", i):
+            raise AssertionError("no such construct")
+        return plain(self, i)
+    monkeypatch.setattr(html.HTMLParser, "parse_starttag", fails)
+    page = f"<article><p>{P}</p><bad x><p>{Q}</p><bad><bad y><p>{P}</p></article><bad"
+    assert html.extract_texts([page, "<bad", "<bad>"], html.trained()) == [f"{P} {Q} {P}", "", ""]
