@@ -9,6 +9,7 @@ from potluck.operators import enrich as EN
 from potluck.operators import similarity as SIM
 from potluck.operators import text as TX
 from potluck.plans import proxies as P
+from potluck.plans import sql_clusters as SC
 from potluck.plans import sql_fuzzy as SF
 from potluck.plans.registry import register, rounded
 from potluck.streaming import logs as LG
@@ -404,20 +405,40 @@ def q_kmeans_text(spark, sf):
     return CL.not_nearest(docs, tfidf, km, "doc_id", "text")
 
 
-@register("assign_clusters")
+def _clusters(spark, sf):
+    """Lloyd steps in whole numbers over all documents; fitted once, then read."""
+    from potluck.operators import text_clusters as TC
+
+    return TC.fit_text_clusters(_docs_text(spark, sf), "doc_id", "text", k=6, stop_words=STOP_WORDS)
+
+
+_CLUSTERS_SQL = SC.text_clusters(k=6, max_features=8000, steps=10, stop_words=STOP_WORDS)
+
+
+@register("assign_clusters", _CLUSTERS_SQL + " SELECT id AS doc_id, CAST(cluster AS INTEGER) AS cluster FROM own")
 def q_assign_clusters(spark, sf):
-    from potluck.operators import clustering as CL
+    from potluck.operators import text_clusters as TC
 
-    docs, tfidf, km = _model(spark, sf)
-    return CL.assign_clusters(docs, tfidf, km).select("doc_id", "cluster")
+    return TC.assign_text_clusters(_docs_text(spark, sf), _clusters(spark, sf), "doc_id", "text").select("doc_id", "cluster")
+
+
+@register("cluster_sizes", _CLUSTERS_SQL + """ SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n_docs,
+  round(CAST(sum(d) AS DOUBLE) / 1099511627776.0, 6) AS inertia FROM own GROUP BY 1""")
+def q_cluster_sizes(spark, sf):
+    """Texts and squared distances of each cluster."""
+    from potluck.operators import text_clusters as TC
 
+    own = TC.assign_text_clusters(_docs_text(spark, sf), _clusters(spark, sf), "doc_id", "text")
+    return rounded(own.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("distance").alias("inertia")))
 
-@register("top_terms_per_cluster")
+
+@register("top_terms_per_cluster", _CLUSTERS_SQL + """ SELECT CAST(cluster AS INTEGER) AS cluster, string_agg(term, ', ' ORDER BY r) AS top_terms FROM (
+  SELECT c.cluster, v.term, row_number() OVER (PARTITION BY c.cluster ORDER BY c.c DESC, v.term) AS r
+  FROM centers c JOIN v ON v.t = c.t WHERE c.c > 0) WHERE r <= 10 GROUP BY 1""")
 def q_top_terms(spark, sf):
-    from potluck.operators import clustering as CL
+    from potluck.operators import text_clusters as TC
 
-    _, tfidf, km = _model(spark, sf)
-    return CL.top_terms_per_cluster(tfidf, km, spark, n=10)
+    return TC.center_terms(_clusters(spark, sf), n=10)
 
 
 @register("project_2d")
