@@ -11,25 +11,29 @@ floor of their mean.  Steps end when no centre moves.
 
 The texts' weights lie in one row per id, at most ``max_features`` entries, in a
 table in the shared folder.  A step reads it once without a shuffle of its rows:
-centres (k x vocabulary, both parameters) come as a literal, and only sums per
-centre and term are shuffled.
+centres (k x vocabulary, both parameters) go with the task, and only sums per
+centre and term, combined in the tasks, are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from potluck.operators import clustering as CL
 from potluck.operators.common import topk_per_group
 from potluck.operators.model_store import fitted
-from potluck.operators.stats import attach_row
 from potluck.session import scratch_path
 
-SCALE = 1 << 20  # units of a weight
+SCALE = 1 << 20   # units of a weight
+SLICE_ROWS = 512  # texts multiplied at once
 
 
 @dataclass(frozen=True)
@@ -47,27 +51,40 @@ def weight_rows(df: DataFrame, vocab: DataFrame, id_col: str = "id", text_col: s
           .groupBy("id", "x.term").agg(F.sum("x.cnt").alias("cnt")))
     raw = F.when(F.col("t").isNotNull(), F.struct("t", (F.col("cnt") * F.col("idf")).alias("raw")))
     own = tf.join(vocab, "term", "left").groupBy("id").agg(F.array_sort(F.collect_list(raw)).alias("raw"))
-    length = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x["raw"] * x["raw"]))
-    out = own.select("id", "raw", length.alias("len"))
-    terms = F.transform("raw", lambda x: F.struct(
-        x["t"].alias("t"), F.floor(x["raw"] / F.col("len") * SCALE + 0.5).cast("long").alias("w")))
     zero = F.lit(0).cast("long")
-    return out.select("id", terms.alias("terms")).select(
+    length = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x["raw"] * x["raw"]))
+    # bound once a row: inside the lambda the length would be summed again for every entry
+    terms = F.get(F.transform(F.array(length), lambda n: F.transform("raw", lambda x: F.struct(
+        x["t"].alias("t"), F.floor(x["raw"] / n * SCALE + 0.5).cast("long").alias("w")))), F.lit(0))
+    return own.select("id", terms.alias("terms")).select(
         "id", "terms", F.aggregate("terms", zero, lambda s, x: s + x["w"] * x["w"]).alias("n2"))
 
 
 def nearest(rows: DataFrame, centers: Sequence[Sequence[int]]) -> DataFrame:
-    """``rows`` with cluster and distance (squared, units of 2 ** -40)."""
-    spark = rows.sparkSession
-    table = spark.createDataFrame([([(list(c), sum(x * x for x in c)) for c in centers],)],
-                                  "_centers array<struct<c: array<bigint>, c2: bigint>>")
-    zero = F.lit(0).cast("long")
-    gap = F.transform("_centers", lambda k: k["c2"] - 2 * F.aggregate(
-        "terms", zero, lambda s, x: s + x["w"] * F.get(k["c"], x["t"])))
-    best = F.get(F.transform(F.array(gap), lambda g: F.struct(
-        (F.array_position(g, F.array_min(g)) - 1).cast("int").alias("k"), F.array_min(g).alias("g"))), F.lit(0))
-    return (attach_row(rows, table).withColumn("_best", best)
-            .select(*rows.columns, F.col("_best.k").alias("cluster"), (F.col("n2") + F.col("_best.g")).alias("distance")))
+    """``rows`` with cluster and distance (squared, units of 2 ** -40).  Batches
+    are multiplied in 64-bit integers, ``SLICE_ROWS`` rows at a time."""
+    by_term = np.ascontiguousarray(np.array(centers, dtype=np.int64))
+    length = (by_term * by_term).sum(axis=1)
+    schema = T.StructType([*rows.schema.fields, T.StructField("cluster", T.IntegerType()), T.StructField("distance", T.LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                terms = batch.column("terms")
+                flat = terms.flatten()
+                t, w = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("t", "w"))
+                ends = np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False), dtype=np.int64)
+                bounds = np.concatenate([[0], ends])
+                gap = np.empty((len(by_term), batch.num_rows), dtype=np.int64)
+                for k, c in enumerate(by_term):
+                    upto = np.concatenate([[0], np.cumsum(w * c[t], dtype=np.int64)])
+                    gap[k] = length[k] - 2 * (upto[bounds[1:]] - upto[bounds[:-1]])
+                best = gap.argmin(axis=0)
+                far = batch.column("n2").to_numpy(zero_copy_only=False) + gap.min(axis=0)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.int32()), pa.array(far, pa.int64())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def _dense(terms, size: int) -> list[int]:
@@ -116,7 +133,7 @@ def fit_text_clusters(df: DataFrame, id_col: str = "id", text_col: str = "text",
     A table with fewer distinct texts than ``k`` has fewer clusters; texts
     without any term raise ValueError."""
     stop = None if stop_words is None else tuple(stop_words)
-    params = {"k": k, "max_features": max_features, "max_iter": max_iter, "stop_words": stop, "id": id_col, "text": text_col}
+    params = {"form": 1, "k": k, "max_features": max_features, "max_iter": max_iter, "stop_words": stop, "id": id_col, "text": text_col}
     t = fitted(df.select(id_col, text_col), "text-clusters", params,
                lambda: _lloyd(df, id_col, text_col, k, max_features, max_iter, stop))
     return TextClusters(t["vocab"], t["centers"], stop)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 
 import pytest
@@ -61,7 +62,8 @@ def table(spark, docs):
 def test_clusters_equal_brute_force(spark, texts, k, features):
     own, gap, tops = brute(texts, k, features, 6)
     df = table(spark, texts)
-    model = TC.fit_text_clusters(df, k=k, max_features=features, max_iter=6, stop_words=STOP)
+    t = TC._lloyd(df, "id", "text", k, features, 6, STOP)
+    model = TC.TextClusters(t["vocab"], t["centers"], tuple(STOP))
     got = {r["id"]: (r["cluster"], r["distance"]) for r in TC.assign_text_clusters(df, model).collect()}
     assert {i: c for i, (c, _) in got.items()} == own
     assert [got[i][1] for i in texts] == pytest.approx([gap[i] for i in texts])
@@ -92,26 +94,28 @@ def test_no_terms(spark):
 
 def test_store_fits_once(spark):
     runs = []
+    name = f"m{uuid.uuid4().hex}"  # the folder may outlive a test run
     df = spark.createDataFrame([(i, f"t{i}") for i in range(9)], "id long, text string")
 
     def fit():
         runs.append(1)
         return {"a": spark.createDataFrame([(len(runs),)], "n int"), "b": df.limit(0)}
 
-    first = MS.fitted(df, "m", {"k": 1}, fit)
-    again = MS.fitted(df.repartition(5), "m", {"k": 1}, fit)  # the same rows in another order
+    first = MS.fitted(df, name, {"k": 1}, fit)
+    again = MS.fitted(df.repartition(5), name, {"k": 1}, fit)  # the same rows in another order
     assert len(runs) == 1 and first["a"].collect() == again["a"].collect() and again["b"].count() == 0
-    MS.fitted(df, "m", {"k": 2}, fit)
-    MS.fitted(df.where("id < 8"), "m", {"k": 1}, fit)
+    MS.fitted(df, name, {"k": 2}, fit)
+    MS.fitted(df.where("id < 8"), name, {"k": 1}, fit)
     assert len(runs) == 3
 
 
 def test_a_broken_fit_is_not_read(spark):
+    name = f"m{uuid.uuid4().hex}"
     df = spark.createDataFrame([(1, "x")], "id long, text string")
 
     def broken():
         raise RuntimeError("lost")
 
     with pytest.raises(RuntimeError):
-        MS.fitted(df, "broken", {}, broken)
-    assert MS.fitted(df, "broken", {}, lambda: {"a": df})["a"].count() == 1
+        MS.fitted(df, name, {}, broken)
+    assert MS.fitted(df, name, {}, lambda: {"a": df})["a"].count() == 1
