@@ -12,10 +12,11 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from potluck.operators.common import topk_per_group
+from potluck.operators.stats import attach_row
 
 
 def _review_len(review_col: str):
@@ -140,8 +141,8 @@ def count_by_dimension(df: DataFrame, col: str, *, drop_empty: bool = False) ->
     if drop_empty:
         d = d.where(F.col(col).isNotNull() & (F.col(col) != ""))
     g = d.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    # the window runs over one row per dimension value (bounded by the dimension)
-    return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy())).orderBy(F.desc("n"), col)
+    total = g.agg(F.sum("n").alias("_total"))
+    return attach_row(g, total).select(col, "n", (F.col("n") / F.col("_total")).alias("share")).orderBy(F.desc("n"), col)
 
 
 def dimension_extremes(df: DataFrame, col: str, *, drop_empty: bool = True) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from potluck.functions.fuzzy import NameIndex
 from potluck.operators.chunks import chunks
+from potluck.operators.common import with_index
 
 # ----------------------------------------------------------------------------
 # Fixed values (must equal the original behaviour)
@@ -408,18 +409,35 @@ def season_agreement(df: DataFrame, *, tags_col: str = "tags", date_col: str = "
 # ---------------------------------------------------------------- F16 -------
 def vocabulary_overlap(tags_df: DataFrame, names_df: DataFrame, *, tags_col: str = "tags",
                        name_col: str = "name") -> tuple[DataFrame, DataFrame]:
-    """(tags that are substrings of the space-joined holiday names,
+    """(tags that are substrings of the space-joined sorted holiday names,
     one-row count of holiday names that are tags).
 
-    The joined names, a reference list, are one row; tags are de-duplicated
-    first.
+    A tag may span several names.  Names are numbered in their order and joined
+    in blocks of as many names as the longest tag has characters, each with the
+    following block as a border, so every place where a tag may begin has the
+    whole tag in its block.  Each place is indexed by its next 1, 2, 4, ...
+    characters; a tag is looked up by the longest of these that it fills (half
+    its length at least) and then compared in full.  An empty tag is a
+    substring of any names; null tags and names take no part.
     """
     names = names_df.select(F.lower(F.col(name_col)).alias("n")).where(F.col("n").isNotNull())
-    joined = names.agg(F.concat_ws(" ", F.sort_array(F.collect_list("n"))).alias("_joined"))
     tags = tags_df.select(F.explode(tags_col).alias("tag")).where(F.col("tag").isNotNull()).distinct()
-    from potluck.operators.stats import attach_row
-
-    hits = attach_row(tags, joined).where(F.instr(F.col("_joined"), F.col("tag")) > 0).select("tag").orderBy("tag")
+    longest = max(1, tags.agg(F.max(F.length("tag"))).first()[0] or 0)
+    sizes = [1 << i for i in range(longest.bit_length())]
+    number = F.floor(F.col("i") / F.lit(longest))
+    dealt = with_index(names, ["n"], "i").select("i", "n", F.explode(F.array(number, number - 1)).alias("b")).where("b >= 0")
+    blocks = dealt.groupBy("b").agg(F.array_sort(F.collect_list(F.struct("i", "n"))).alias("x"))  # at most 2 x longest names
+    own = F.filter("x", lambda x: F.floor(x["i"] / F.lit(longest)) == F.col("b"))
+    joined = lambda x: F.array_join(F.transform(x, lambda y: y["n"]), " ")
+    places = (blocks.select(joined(F.col("x")).alias("text"), F.length(joined(own)).alias("upto")).where("upto > 0")
+              .select("text", F.explode(F.sequence(F.lit(1), F.col("upto") + 1)).alias("at")))
+    grams = (places.select(F.explode(F.array(*[F.struct(F.lit(p).alias("size"), F.substr("text", "at", F.lit(p)).alias("gram"),
+                                                        F.substr("text", "at", F.lit(2 * p - 1)).alias("next")) for p in sizes])).alias("g"))
+             .select("g.*").where(F.length("gram") == F.col("size")).distinct())
+    size = F.array_max(F.filter(F.array(*[F.lit(p) for p in sizes]), lambda p: p <= F.length("tag")))
+    asked = tags.select("tag", size.alias("size")).withColumn("gram", F.substr("tag", F.lit(1), F.col("size")))
+    found = asked.join(grams, ["size", "gram"]).where(F.startswith("next", "tag")).select("tag").distinct()
+    hits = found.unionByName(tags.where(F.col("tag") == "")).orderBy("tag")
     are_tags = names.distinct().join(tags, names["n"] == tags["tag"], "left_semi").agg(
         F.count(F.lit(1)).alias("n_names_that_are_tags"))
     return hits, are_tags

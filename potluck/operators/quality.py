@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from potluck.operators.common import exact_quantiles, quantiles_wide
+from potluck.operators.stats import attach_row
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -237,8 +238,7 @@ def list_length_check(df: DataFrame, *, list_col: str = "ingredients", n_col: st
 
 def list_length_distribution(df: DataFrame, *, list_col: str = "ingredients") -> DataFrame:
     """Percent of rows per list length."""
-    from pyspark.sql import Window
-
     ln = F.size(F.coalesce(F.col(list_col), F.array())).alias("length")
     g = df.groupBy(ln).agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).orderBy("length")
+    total = g.agg(F.sum("n").alias("_total"))
+    return attach_row(g, total).select("length", "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct")).orderBy("length")

@@ -517,6 +517,19 @@ def q_stream_log_level_counts(spark, sf):
     return LG.latest_counts(spark, f"{base}/out")
 
 
+@register("stream_log_tail", _LINES_SQL + """ SELECT time, level, logger, message FROM
+  (SELECT * FROM p ORDER BY event_id DESC LIMIT 2000) WHERE level = 'ERROR'""")
+def q_stream_log_tail(spark, sf):
+    """The errors of the last 2000 lines, carried on over micro-batches of three files."""
+    from potluck.session import scratch_path
+
+    base = scratch_path(spark, "log-tail")
+    lines = _event_lines(spark, sf).repartitionByRange(8, "line_no").sortWithinPartitions("line_no")
+    lines.select("value").write.text(f"{base}/in")
+    LG.run_tail(LG.stream_lines(spark, f"{base}/in", files_per_batch=3), f"{base}/out", f"{base}/ckpt", last_n=2000)
+    return LG.filter_logs(LG.latest_tail(spark, f"{base}/out"), levels=["ERROR"]).select("time", "level", "logger", "message")
+
+
 @register("signature_top3", _tfidf_sql(_R + ", items AS (SELECT name AS g, unnest(tags) AS term FROM recipes)", 3).replace(
     "SELECT g AS grp, term, round(tfidf, 6) AS tfidf, round(tf, 6) AS tf, CAST(rank AS INTEGER) AS rank FROM (",
     "SELECT grp, string_agg(term, ', ' ORDER BY rank) AS top_terms FROM (SELECT g AS grp, term, rank FROM (") + ") GROUP BY grp")

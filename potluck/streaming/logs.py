@@ -92,6 +92,49 @@ def stream_level_counts(spark: SparkSession, log_dir: str, *, window: str = "1 h
     return level_counts(parse_logs(lines), window=window, watermark=watermark)
 
 
+def stream_lines(spark: SparkSession, log_dir: str, *, files_per_batch: int | None = None) -> DataFrame:
+    """Streaming DataFrame: lines of the files that appear in ``log_dir``, with
+    the file and block they stand in."""
+    reader = spark.readStream.format("text")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(log_dir).select("value", F.col("_metadata.file_path").alias("file"),
+                                       F.col("_metadata.file_block_start").alias("block"))
+
+
+def run_tail(lines: DataFrame, path: str, checkpoint: str, *, last_n: int = 2000) -> None:
+    """Keep the last ``last_n`` lines of a growing log folder.
+
+    ``lines``: as from ``stream_lines``.  After each micro-batch the folder
+    ``path``/batch=N holds the tail of all files so far, in the order of
+    ``read_lines``, however late or unordered the files came: the tail of the
+    batch before and the batch's own last lines, merged.  The state is that one
+    tail, ``last_n`` rows; a repeated batch writes the same tail again.  Waits
+    until the input is used up; the checkpoint makes it restartable.
+    """
+    spark = lines.sparkSession
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        place = F.struct("file", "block", F.monotonically_increasing_id().alias("place"))
+        tail = filter_logs(parse_logs(batch.select("value", place.alias("line_no"))), last_n=last_n)
+        if epoch:
+            before = spark.read.schema(tail.schema).parquet(f"{path}/batch={epoch - 1}")
+            tail = filter_logs(before.unionByName(tail), last_n=last_n)
+        tail.write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+
+    q = (lines.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def latest_tail(spark: SparkSession, path: str) -> DataFrame:
+    """The newest tail under ``path``; ``filter_logs`` chooses levels and words."""
+    rows = spark.read.parquet(path)
+    newest = rows.agg(F.max("batch")).first()[0]
+    return rows.where(F.col("batch") == newest).drop("batch")
+
+
 def event_line() -> Column:
     """The log line of a row of the events table: time, level from the event
     type, logger from the user, value and properties."""
