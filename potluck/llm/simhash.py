@@ -257,43 +257,68 @@ def _cells(rows: np.ndarray, radius: int, small: int = 16) -> tuple[np.ndarray,
 
 
 # ------------------------------------------------------------- components ---
+HOT_KEYS = 4096  # keys whose rows a join may deal over several tasks
+
+
+def dealt_join(rows: DataFrame, side: DataFrame, key: str, total: int, least: int = 4096) -> DataFrame:
+    """``rows`` joined with ``side`` on ``key``; no task has to take all rows of a key.
+
+    ``side`` has one row a key and ``n``, the key's number of ``rows``, ``total``
+    in all.  A key with more than ``total`` / ``HOT_KEYS`` rows (and ``least``)
+    is dealt over as many salts as it holds such portions.  There are fewer than
+    ``HOT_KEYS`` of these keys, so the list of them may be broadcast.  Rows are
+    dealt by their place in a written table.  ``n`` is left out of the result.
+    """
+    portion = max(least, total // HOT_KEYS)
+    hot = F.broadcast(side.where(F.col("n") > portion).select(F.col(key).alias("_hot"), F.ceil(F.col("n") / portion).cast("int").alias("_salts")))
+    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("_salts", F.lit(1))).cast("int")
+    left = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot", "_salts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    right = side.drop("n").join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", every).drop("_hot", "_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node with an edge; root: the part's smallest node.
+    """(node, root) of every node with an edge but the roots; root: the part's smallest node.
 
     Alternating large and small stars: in each round every node links its
     larger (then its smaller) neighbours to its smallest one.  Only per-node
-    minima are aggregated (partially, before the shuffle); a node with many
-    edges is never gathered in one place.  Rounds are written to the shared
-    folder; two numbers come back to the driver.
+    minima are aggregated (partially, before the shuffle), and a hub's edges
+    meet its minimum in several tasks (``dealt_join``).  Rounds are written to
+    the shared folder; counts and a checksum come back to the driver.
     """
+    count = F.count(F.lit(1))
     now = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                   .where("u <> v").dropDuplicates(["u", "v"]), "edges")
-    seen = None
+    seen, size = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").dropDuplicates(["u", "v"]))
-        large = written(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        least = written(both.groupBy("u").agg(F.min("v").alias("m"), count.alias("n"))
+                        .select("u", F.least("u", "m").alias("m"), "n"), "large-star-least")
+        large = written(dealt_join(both.where("v > u"), least, "u", 2 * size).select(F.col("v").alias("u"), F.col("m").alias("v"))
+                        .where("u <> v").dropDuplicates(["u", "v"]), "large-star")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m"), count.alias("n")), "small-star-least")
+        small = dealt_join(large, low, "u", large.count())
         now = written(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).dropDuplicates(["u", "v"]), "small-star")
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        state = now.agg(count, F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = tuple(state)
+        seen, size = tuple(state), state[0]
 
 
 def rooted(marked: DataFrame, fp: str, doc_id: str, radius: int = 3, blocks: int | None = None,
            split_rows: int = 4096) -> DataFrame:
-    """(node, root, component_id) of every fingerprint in the written table ``marked``."""
-    nodes = written(marked.groupBy(F.col(fp).alias("node")).agg(F.min(doc_id).alias("low")), "simhash-nodes")
+    """(node, root, component_id, n: its rows) of every fingerprint in the
+    written table ``marked``, as a written table."""
+    nodes = written(marked.groupBy(F.col(fp).alias("node")).agg(F.min(doc_id).alias("low"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
     part = components(edges(nodes, "node", radius, blocks, split_rows))
-    known = nodes.join(part, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    lows = known.groupBy("root").agg(F.min("low").alias("component_id"))
-    return known.join(lows, "root").select("node", "root", "component_id")
+    known = written(nodes.join(part, "node", "left").select("node", "low", F.col("n").alias("rows"), F.coalesce("root", "node").alias("root")),
+                    "simhash-roots")
+    lows = written(known.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n")), "simhash-components")
+    return written(dealt_join(known, lows, "root", known.count())
+                   .select("node", "root", "component_id", F.col("rows").alias("n")), "simhash-known")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
@@ -302,8 +327,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     marked = written(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", "fp", shingle)
                      .select("doc_id", "fp"), "simhash-fingerprints")
     known = rooted(marked, "fp", "doc_id", radius, blocks, split_rows)
-    return (marked.join(known, F.col("fp") == F.col("node"))
-            .select("doc_id", F.col("fp").alias("fingerprint"), "component_id"))
+    rows = marked.select("doc_id", F.col("fp").alias("node"))
+    return (dealt_join(rows, known, "node", marked.count())
+            .select("doc_id", F.col("node").alias("fingerprint"), "component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -313,7 +339,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     marked = written(fingerprints(docs, text, fp, shingle).withColumn(rid, F.monotonically_increasing_id()), "simhash-docs")
     known = rooted(marked, fp, doc_id, radius)
     least = F.col(doc_id).eqNullSafe(F.col("component_id")).alias("least")  # null only where all ids are
-    member = marked.select(F.col(rid).alias("r"), doc_id, F.col(fp).alias("node")).join(known, "node").select("r", "root", least)
+    rows = marked.select(F.col(rid).alias("r"), doc_id, F.col(fp).alias("node"))
+    member = dealt_join(rows, known, "node", marked.count()).select("r", "root", least)
     # one row of those with the smallest id stays; no step gathers the rows of a group
     first = member.where("least").groupBy("root").agg(F.min("r").alias("r"))
     gone = member.join(first, "r", "left_anti").select(F.col("r").alias("_gone"))

@@ -121,3 +121,30 @@ def test_edge_cases(spark, edge_docs, no_docs):
 def test_keep_one_of_all_null_ids(make_docs):
     kept = simhash.keep_one(make_docs([(None, "p q r s t"), (None, "p q r s t"), (None, "other words are here now")]))
     assert kept.groupBy().agg(F.count("*")).first()[0] == 2
+
+
+def test_dealt_join_spreads_a_hot_key(spark):
+    """Half of all rows hold one key: the plain join's rows, and no task joins a twentieth of them."""
+    from potluck.llm.common import written
+    rows = written(spark.range(200_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("long").alias("u"), "id"), "t")
+    side = written(rows.groupBy("u").agg(F.min("id").alias("m"), F.count(F.lit(1)).alias("n")), "t")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(old, ("100", "false", "-1")):
+            spark.conf.set(k, v)
+        got = written(simhash.dealt_join(rows, side, "u", 200_000).withColumn("p", F.spark_partition_id()), "t")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got.groupBy("p").count().agg(F.max("count")).first()[0] <= 10_000
+    assert got.columns == ["u", "id", "m", "p"] and got.count() == 200_000
+    assert got.drop("p").exceptAll(rows.join(side.drop("n"), "u")).count() == 0
+
+
+def test_components_with_a_hub(spark, monkeypatch):
+    """A hub, a long chain and small parts, all keys with more than two edges dealt."""
+    monkeypatch.setattr(simhash.dealt_join, "__defaults__", (2,))
+    links = [(10_000, i) for i in range(100, 1500)] + [(i, i + 1) for i in range(20, 40)] + [(1, 2), (2, 1), (5, 5)]
+    got = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {**{i: 100 for i in [*range(101, 1500), 10_000]}, **{i: 20 for i in range(21, 41)}, 2: 1}  # roots are not listed
+    assert got == want
