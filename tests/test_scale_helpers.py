@@ -287,6 +287,33 @@ def test_neighbour_lookup_is_linear_and_rejects_unknown_ids(spark):
     assert max(rows) <= 2 * 4000  # term counts of the items, dealt once; no copy per block
 
 
+def test_token_lookup_makes_no_row_of_a_pair(spark):
+    """Asked items that share a common term with every item (also copies, null ids and
+    items without tokens): the rows shuffled stay below the pairs."""
+    docs = [(i, ["salt"] + [f"w{i % 90}", f"x{i % 7}"] * (i % 3)) for i in range(1500)] + [(1500, []), (1501, None), (None, ["salt"])]
+    df = spark.createDataFrame(docs, "id long, tokens array<string>")
+    asked = spark.createDataFrame([(i,) for i in [*range(0, 1500, 30), 1500, 1]], "id long")
+    near = SIM.cosine_topk_tokens(df, top_n=4, query_ids=asked)
+    got = {}
+    for r in near.orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append((r["neighbor_id"], r["score"]))
+    want = _brute_tokens([(i, t or []) for i, t in docs if i is not None], 4)
+    assert set(got) == {*range(0, 1500, 30), 1}
+    for k, v in got.items():
+        assert [b for b, _ in v] == [b for b, _ in want[k]]
+        assert [s for _, s in v] == pytest.approx([s for _, s in want[k]])
+    assert max(_exchange_rows(near)) < 0.3 * 51 * 1500
+
+
+def test_token_scan_in_chunks(spark):
+    from potluck.operators.neighbors import scan_tokens
+
+    rows = [(i, [(f"t{i % 5}", 1 + i % 3), (f"u{i}", 1)], (1 + i % 3) ** 2 + 1) for i in range(60)]
+    vectors = spark.createDataFrame(rows, "low long, terms array<struct<term:string,tf:long>>, n2 long")
+    one = {tuple(r) for r in SIM._ranked(scan_tokens(vectors, vectors.where("low < 9"), 3), 3).collect()}
+    assert len(one) == 27 and {tuple(r) for r in SIM._ranked(scan_tokens(vectors, vectors.where("low < 9"), 3, max_bytes=150), 3).collect()} == one
+
+
 def _exchange_rows(df):
     """Rows written by each shuffle of the executed plan."""
     return _exchange_rows_of(df, type(df).collect)
