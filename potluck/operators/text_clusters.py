@@ -47,46 +47,82 @@ def weight_rows(df: DataFrame, vocab: DataFrame, id_col: str = "id", text_col: s
                 stop_words: Sequence[str] | None = None) -> DataFrame:
     """(id, terms: [(t, w)] by t, n2: their squared length).  Rows of one id are
     one text; texts without a term of ``vocab`` (also null) have no entries."""
-    tf = (df.select(F.col(id_col).alias("id"), F.explode_outer(CL._counts(CL.words(text_col, stop_words))).alias("x"))
-          .groupBy("id", "x.term").agg(F.sum("x.cnt").alias("cnt")))
-    raw = F.when(F.col("t").isNotNull(), F.struct("t", (F.col("cnt") * F.col("idf")).alias("raw")))
-    own = tf.join(vocab, "term", "left").groupBy("id").agg(F.array_sort(F.collect_list(raw)).alias("raw"))
-    zero = F.lit(0).cast("long")
-    length = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x["raw"] * x["raw"]))
-    # bound once a row: inside the lambda the length would be summed again for every entry
-    terms = F.get(F.transform(F.array(length), lambda n: F.transform("raw", lambda x: F.struct(
-        x["t"].alias("t"), F.floor(x["raw"] / n * SCALE + 0.5).cast("long").alias("w")))), F.lit(0))
-    return own.select("id", terms.alias("terms")).select(
-        "id", "terms", F.aggregate("terms", zero, lambda s, x: s + x["w"] * x["w"]).alias("n2"))
+    listed = vocab.select("term", "idf", "t").collect()  # at most max_features
+    listed.sort(key=lambda r: r["t"])
+    own = CL.term_rows(df, [r["term"] for r in listed], [r["idf"] for r in listed], id_col, text_col, stop_words)
+    schema = T.StructType([own.schema["id"], T.StructField("terms", T.ArrayType(T.StructType([
+        T.StructField("t", T.IntegerType()), T.StructField("w", T.LongType())]))), T.StructField("n2", T.LongType())])
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = pc.list_value_length(batch.column("t")).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(n)), n)
+            raw, length = batch.column("raw").flatten().to_numpy(zero_copy_only=False), batch.column("length").to_numpy(zero_copy_only=False)
+            w = np.floor(raw / length[row] * SCALE + 0.5).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(n)])
+            upto = np.concatenate([[0], np.cumsum(w * w)])
+            terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([batch.column("t").flatten(), pa.array(w)], ["t", "w"]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), terms, pa.array(upto[ends[1:]] - upto[ends[:-1]])], names=schema.names)
+
+    return own.mapInArrow(whole, schema)
+
+
+def _assigned(batches: Iterable[pa.RecordBatch], by_term: np.ndarray):
+    """(batch, term, weight, row bounds, cluster, distance) of ``SLICE_ROWS`` rows at a
+    time, multiplied in 64-bit integers."""
+    length = (by_term * by_term).sum(axis=1)
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE_ROWS):
+            batch = whole.slice(at, SLICE_ROWS)
+            terms = batch.column("terms")
+            flat = terms.flatten()
+            t, w = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("t", "w"))
+            ends = np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False), dtype=np.int64)
+            bounds = np.concatenate([[0], ends])
+            gap = np.empty((len(by_term), batch.num_rows), dtype=np.int64)
+            for k, c in enumerate(by_term):
+                upto = np.concatenate([[0], np.cumsum(w * c[t], dtype=np.int64)])
+                gap[k] = length[k] - 2 * (upto[bounds[1:]] - upto[bounds[:-1]])
+            far = batch.column("n2").to_numpy(zero_copy_only=False) + gap.min(axis=0)
+            yield batch, t, w, bounds, gap.argmin(axis=0), far
+
+
+def _by_term(centers: Sequence[Sequence[int]]) -> np.ndarray:
+    return np.ascontiguousarray(np.array(centers, dtype=np.int64))
 
 
 def nearest(rows: DataFrame, centers: Sequence[Sequence[int]]) -> DataFrame:
-    """``rows`` with cluster and distance (squared, units of 2 ** -40).  Batches
-    are multiplied in 64-bit integers, ``SLICE_ROWS`` rows at a time."""
-    by_term = np.ascontiguousarray(np.array(centers, dtype=np.int64))
-    length = (by_term * by_term).sum(axis=1)
+    """``rows`` with cluster and distance (squared, units of 2 ** -40)."""
+    by_term = _by_term(centers)
     schema = T.StructType([*rows.schema.fields, T.StructField("cluster", T.IntegerType()), T.StructField("distance", T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(at, SLICE_ROWS)
-                terms = batch.column("terms")
-                flat = terms.flatten()
-                t, w = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("t", "w"))
-                ends = np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False), dtype=np.int64)
-                bounds = np.concatenate([[0], ends])
-                gap = np.empty((len(by_term), batch.num_rows), dtype=np.int64)
-                for k, c in enumerate(by_term):
-                    upto = np.concatenate([[0], np.cumsum(w * c[t], dtype=np.int64)])
-                    gap[k] = length[k] - 2 * (upto[bounds[1:]] - upto[bounds[:-1]])
-                best = gap.argmin(axis=0)
-                far = batch.column("n2").to_numpy(zero_copy_only=False) + gap.min(axis=0)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.int32()), pa.array(far, pa.int64())], names=schema.names)
+        for batch, _, _, _, best, far in _assigned(batches, by_term):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best, pa.int32()), pa.array(far, pa.int64())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
+def center_sums(rows: DataFrame, centers: Sequence[Sequence[int]]) -> DataFrame:
+    """(cluster, t, s): the weights of the texts nearest to each centre, summed by
+    term; t = -1: their number.  A task gives at most one row a centre and term."""
+    by_term = _by_term(centers)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, n = np.zeros(by_term.size, dtype=np.int64), np.zeros(len(by_term), dtype=np.int64)
+        size = by_term.shape[1]
+        for _, t, w, bounds, best, _ in _assigned(batches, by_term):
+            place = np.repeat(best, np.diff(bounds)) * size + t
+            sums += np.bincount(place, weights=w, minlength=len(sums)).astype(np.int64)  # a slice's sums stay below 2 ** 53
+            n += np.bincount(best, minlength=len(n))
+        some = np.flatnonzero(sums)
+        cluster, t = np.concatenate([np.flatnonzero(n), some // size]), np.concatenate([np.full(np.count_nonzero(n), -1), some % size])
+        yield pa.RecordBatch.from_arrays([pa.array(cluster, pa.int32()), pa.array(t, pa.int32()), pa.array(np.concatenate([n[n > 0], sums[some]]), pa.int64())],
+                                         names=["cluster", "t", "s"])
+
+    return rows.mapInArrow(run, "cluster int, t int, s long").groupBy("cluster", "t").agg(F.sum("s").alias("s"))
+
+
 def _dense(terms, size: int) -> list[int]:
     out = [0] * size
     for x in terms:
@@ -112,10 +148,8 @@ def _lloyd(df: DataFrame, id_col: str, text_col: str, k: int, max_features: int,
         if far["distance"] <= 0:
             break  # fewer distinct texts than k
         centers.append(_dense(far["terms"], len(listed)))
-    one = F.array(F.struct(F.lit(-1).alias("t"), F.lit(1).cast("long").alias("w")))  # counts the texts
     for _ in range(max_iter):
-        sums = (nearest(rows, centers).select("cluster", F.explode(F.concat("terms", one)).alias("x"))
-                .groupBy("cluster", "x.t").agg(F.sum("x.w").alias("s")).collect())  # k x (max_features + 1)
+        sums = center_sums(rows, centers).collect()  # k x (max_features + 1)
         n = {r["cluster"]: r["s"] for r in sums if r["t"] == -1}
         moved = [[0] * len(c) if i in n else c for i, c in enumerate(centers)]
         for r in sums:

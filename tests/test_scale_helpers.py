@@ -314,6 +314,46 @@ def test_token_scan_in_chunks(spark):
     assert len(one) == 27 and {tuple(r) for r in SIM._ranked(scan_tokens(vectors, vectors.where("low < 9"), 3, max_bytes=150), 3).collect()} == one
 
 
+def test_text_weights_shuffle_no_row_of_a_text_and_term(spark):
+    """A text's words are counted where they are read: what is shuffled is a row a
+    text, and a row a task and term (or a centre's term)."""
+    from potluck.operators import clustering as CL
+    from potluck.operators import text_clusters as TC
+
+    docs = [(i, " ".join(f"word{(i * k) % 40}" for k in range(1, 30)) + " none" * (i % 3)) for i in range(400)] + [(7, "word1 extra"), (None, "word2")]
+    df = spark.createDataFrame(docs, "id long, text string").repartition(3).localCheckpoint()
+    weights = CL.tfidf_weights(df)
+    got = {(r["id"], r["term"]): r["weight"] for r in weights.collect()}
+    total = {i: sum(w * w for (k, _), w in got.items() if k == i) for i in range(400)}
+    assert min(total.values()) > 1 - 1e-9 and max(total.values()) < 1 + 1e-9 and (7, "extra") in got and (None, "word2") not in got
+    assert max(_exchange_rows(weights)) <= 402
+    vocab = CL.vocabulary(df).orderBy(F.desc("total"), "term").collect()
+    assert {r["term"]: r["total"] for r in vocab}["word2"] == sum(t.split().count("word2") for _, t in docs)
+    listed = spark.createDataFrame([(r["term"], r["idf"], t) for t, r in enumerate(vocab)], "term string, idf double, t int")
+    rows = TC.weight_rows(df, listed).localCheckpoint()
+    centers = [[1] * len(vocab), [t % 2 for t in range(len(vocab))]]
+    sums = TC.center_sums(rows, centers)
+    assert max(_exchange_rows(sums)) <= rows.rdd.getNumPartitions() * 2 * (len(vocab) + 1)
+    assert {(r["cluster"], r["t"]): r["s"] for r in sums.collect()} == {
+        (r["cluster"], r["t"]): r["s"] for r in TC.nearest(rows, centers).selectExpr("cluster", "explode(concat(terms, array(struct(-1 AS t, 1L AS w)))) AS x")
+        .groupBy("cluster", "x.t").agg(F.sum("x.w").alias("s")).collect()}
+
+
+def test_residuals_and_nearest_clusters_shuffle_few_rows(spark, monkeypatch):
+    from potluck.operators import clustering as CL
+
+    docs = [(i, " ".join(f"word{(i * k) % 40}" for k in range(1, 30))) for i in range(300)]
+    df = spark.createDataFrame(docs, "id long, text string").repartition(3).localCheckpoint()
+    tfidf, km = CL.kmeans_text(df, "text", k=3, id_col="id")
+    near = CL.not_nearest(df, tfidf, km)
+    assert max(_exchange_rows(near)) <= 300 and tuple(near.first()) == (300, 0)
+    monkeypatch.setattr(CL, "assign_clusters", lambda d, *_: d.withColumn("cluster", F.lit(0)))
+    moved = CL.not_nearest(df, tfidf, km).first()
+    assert moved["n_docs"] == 300 and 0 < moved["n_not_nearest"] < 300
+    residuals = CL.singular_residuals(df)
+    assert max(_exchange_rows(residuals)) <= 300 and max(r["residual"] for r in residuals.collect()) < 1e-6
+
+
 def _exchange_rows(df):
     """Rows written by each shuffle of the executed plan."""
     return _exchange_rows_of(df, type(df).collect)
