@@ -65,7 +65,7 @@ class Lexicon:
     are frozen sets of (node, edits) and transitions are kept, up to a bound.
     """
 
-    def __init__(self, terms: Iterable[str], keep: int = 200_000):
+    def __init__(self, terms: Iterable[str], keep: int = 50_000):
         self.terms = sorted(set(terms))
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[list[int]] = [[]]      # whole-word terms that end here
@@ -165,7 +165,7 @@ class Model:
 
 
 class Scorer:
-    def __init__(self, model: Model, keep: int = 200_000):
+    def __init__(self, model: Model, keep: int = 50_000):
         self.model, self.lexicon, self.keep = model, Lexicon(model.terms), keep
         assert self.lexicon.terms == sorted(set(model.terms))
         self.cache: dict[str, tuple] = {}
@@ -243,6 +243,10 @@ def _closed(after: str) -> bool:
 
 
 # -------------------------------------------------------------- learning ----
+HELD_TERMS = 400_000  # terms counted in a task before they go to the shuffle
+HELD_WORDS = 20_000  # words whose terms a task remembers
+
+
 def _terms(words: Iterable[str]) -> set[str]:
     out = set()
     for w in words:
@@ -313,10 +317,12 @@ def _term_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms: set[str] = set()
             for w in set(WORD.findall(t.lower())):
                 if w not in terms_of:
+                    if len(terms_of) >= HELD_WORDS:
+                        terms_of.clear()
                     terms_of[w] = tuple(_terms([w]))
                 terms.update(terms_of[w])
             counts[y].update(terms)
-            if len(counts[0]) + len(counts[1]) > 400_000:
+            if len(counts[0]) + len(counts[1]) > HELD_TERMS:
                 yield from out()
     yield from out()
 

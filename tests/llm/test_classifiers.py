@@ -292,3 +292,25 @@ def test_reading_goes_on_behind_what_the_parser_cannot_take(monkeypatch):
     monkeypatch.setattr(html.HTMLParser, "parse_starttag", fails)
     page = f"<article><p>{P}</p><bad x><p>{Q}</p><bad><bad y><p>{P}</p></article><bad"
     assert html.extract_texts([page, "<bad", "<bad>"], html.trained()) == [f"{P} {Q} {P}", "", ""]
+
+
+def test_term_counts_remember_few_words(monkeypatch):
+    """The words whose terms a task remembers are bounded; the counts do not change."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from potluck.llm import toxicity
+
+    texts = [" ".join(f"stem{i}w{k}" for k in range(i, i + 40)) for i in range(1500)]
+    batches = [pa.record_batch([pa.array(texts[at:at + 300]), pa.array([k % 2 for k in range(300)])], names=["text", "y"]) for at in range(0, 1500, 300)]
+
+    def counted(words):
+        monkeypatch.setattr(toxicity, "HELD_WORDS", words, raising=False)
+        tracemalloc.start()
+        got = pa.Table.from_batches(list(toxicity._term_counts(batches))).to_pylist()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return sorted(got, key=lambda r: (r["term"], r["y"])), peak
+
+    (some, small), (every, large) = counted(500), counted(10 ** 9)
+    assert some == every and small < 0.85 * large
