@@ -203,6 +203,73 @@ def test_pivot_partitions_are_skipped_and_answers_stay(spark):
     assert 0 < searched < 0.5 * 600 * 14  # of 15 partitions less one's own
 
 
+def _near_brute(x, n):
+    from potluck.operators import neighbors as NB
+
+    score = NB.products(NB.unit(x), NB.unit(x))
+    return {i: [(int(j), float(score[i, j])) for j in np.lexsort((np.arange(len(x)), -score[i]))[:n]] for i in range(len(x))}
+
+
+def _near_found(found):
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["id"], []).append((r["neighbor_id"], r["score"]))
+    return {i: sorted(x, key=lambda y: (-y[1], y[0])) for i, x in got.items()}
+
+
+def test_all_numeric_neighbours_leave_a_task_once(spark):
+    """Seven components, where a vector reaches many blocks: a seat returns the
+    final best of its vectors, no list a pair of blocks."""
+    from potluck.operators.neighbors import vectors_by_pivots
+
+    x = np.random.default_rng(8).normal(size=(1500, 7))
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "low long, v array<double>").repartition(3)
+    found, skips = vectors_by_pivots(vectors, 4, 100)
+    assert found.count() == 4 * 1500
+    assert _near_found(found) == _near_brute(x, 4)
+    assert 0 < sum(r["searched"] for r in skips.collect()) < 1500 * 15  # less than all to all of 16 seats
+
+
+def test_equal_directions_are_dealt_to_chunks(spark):
+    """Vectors of two directions, which no tree can split, and a few others."""
+    from potluck.operators.neighbors import vectors_by_pivots
+
+    same = np.concatenate([np.outer(2.0 ** np.arange(40), d) for d in ([1.0, 2.0, 2.0], [3.0, -1.0, 0.5])])
+    x = np.concatenate([same, np.random.default_rng(4).normal(size=(30, 3))])
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "low long, v array<double>")
+    found, _ = vectors_by_pivots(vectors, 5, 6)
+    assert found.count() == 5 * len(x)
+    assert _near_found(found) == _near_brute(x, 5)
+
+
+def test_seat_cuts_what_it_holds(monkeypatch):
+    from potluck.operators import neighbors as NB
+
+    monkeypatch.setattr(NB, "_PENDING", 100)
+    x = NB.unit(np.random.default_rng(6).normal(size=(900, 3)))
+    seat, most = NB._Seat(3, np.arange(50), x[:50].copy(), np.repeat(np.arange(5), 10), np.full(50, -np.inf)), 0
+    for at in range(0, 900, 90):
+        seat.meet(np.arange(at, at + 90), x[at:at + 90])
+        most = max(most, seat.pending)
+    assert most <= 100
+    rows, want = seat.rows().to_pandas(), _near_brute(x, 3)
+    for i in range(50):
+        mine = rows[rows["id"] == i]
+        assert mine["neighbor_id"].tolist() == [j for j, _ in want[i]]
+        assert mine["score"].tolist() == pytest.approx([s for _, s in want[i]])
+
+
+def test_items_without_id_are_no_numeric_neighbours(spark):
+    x = np.random.default_rng(7).normal(size=(60, 3))
+    rows = [(None if i % 7 == 0 else i, *map(float, r)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    got = {}
+    for r in SIM.cosine_topk_numeric(df, ["a", "b", "c"], top_n=3, block_rows=8).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["neighbor_id"])
+    want = _numeric_brute(x, 60)
+    assert got == {i: [j for j in near if j % 7][:3] for i, near in want.items() if i % 7}
+
+
 def test_zero_and_equal_vectors_have_neighbours(spark):
     # the mean row is the zero vector after standardising
     x = np.array([[1.0, 1.0], [3.0, 3.0], [2.0, 2.0], [2.0, 2.0], [1.0, 3.0], [3.0, 1.0]])
